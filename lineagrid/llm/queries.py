@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules
+from . import mixing, quality_classifier, quality_rules, toxicity
 from .shared import table
 
 
@@ -17,6 +17,25 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_llr")
 
 
+def remainder(key: str, by: int) -> Column:
+    """crc32 of the key as text, modulo by."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % by
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    out = toxicity.score_toxicity(docs, learnt, keep_text=False)
+    return out.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
+    out = quality_classifier.score_quality(docs, learnt)
+    return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select(
@@ -31,6 +50,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op3_toxicity": op3_toxicity,
+        "op5_quality_classifier": op5_quality_classifier,
         "op10_mixing": op10_mixing,
     }
 
