@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_classifier, quality_rules, toxicity
+from . import line_dedup, minhash, mixing, quality_classifier, quality_rules, toxicity
 from .shared import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", (F.col("n_dropped") < F.col("n_lines")).alias("kept"), "text")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     out = quality_rules.quality_rules(table(spark, sf_dir, "documents"), good)
@@ -29,6 +34,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learnt = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
@@ -49,8 +58,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_quality_rules": op2_quality_rules,
         "op3_toxicity": op3_toxicity,
+        "op4_minhash": op4_minhash,
         "op5_quality_classifier": op5_quality_classifier,
         "op10_mixing": op10_mixing,
     }

@@ -54,9 +54,10 @@ class Chunk:
     bound: np.ndarray
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0) -> Chunk:
+def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0, word: np.ndarray = _WORD, fold: np.ndarray = _LOWER) -> Chunk:
+    """Hash the words of one chunk; ``word`` says which bytes make words, ``fold`` what each byte counts as."""
     n = len(data)
-    is_word = _WORD[data]
+    is_word = word[data]
     head, tail = is_word.copy(), is_word.copy()
     head[1:] &= ~is_word[:-1]
     tail[:-1] &= ~is_word[1:]
@@ -67,13 +68,13 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0) -> Chunk:
     start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
     power, inverse = _power(n + 1)
     total = np.zeros(n + 1, U)
-    np.cumsum(_BYTE[_LOWER[data]] * power[:n], out=total[1:])
+    np.cumsum(_BYTE[fold[data]] * power[:n], out=total[1:])
     h = mix((total[end] - total[start]) * inverse[start])
     return Chunk(first, len(offsets) - 1, data, offsets, h, start, end, np.searchsorted(start, offsets))
 
 
-def chunks(column: pa.Array, size: int = 1 << 20) -> Iterator[Chunk]:
-    """Chunks of a string column; null counts as empty."""
+def byte_chunks(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of parts of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -88,10 +89,15 @@ def chunks(column: pa.Array, size: int = 1 << 20) -> Iterator[Chunk]:
     while at < len(column):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
         to = min(to, len(column))
-        yield hash_words(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], at)
+        yield at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 
 
+def chunks(column: pa.Array, size: int = 1 << 20) -> Iterator[Chunk]:
+    for at, data, offsets in byte_chunks(column, size):
+        yield hash_words(data, offsets, at)
+
+
 _STEP = np.random.default_rng(5).integers(0, 2**63, 64, dtype=U) * U(2) + U(1)
 
 
