@@ -45,3 +45,11 @@ def words(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """All rows where there are at most ``most``, else about as many, chosen by a hash of the key; marked for broadcast."""
+    n = rows.count()
+    if n > most:
+        rows = rows.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(1_000_000 * most / n))
+    return F.broadcast(rows)
