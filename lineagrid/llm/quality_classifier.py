@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE_CHARS, words
+from .shared import SPACE_CHARS, bounded_sample, words
 
 
 def statistics(text: Column, tokens: Column) -> dict[str, Column]:
@@ -106,10 +106,7 @@ def score_quality(
     """
     docs = docs.drop("quality_score")
     learnt = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_y"))
-    n = learnt.count()
-    if n > fit_rows:
-        learnt = learnt.where(F.pmod(F.xxhash64("_key"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / n))
-    sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(learnt), "_key")
+    sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(bounded_sample(learnt, "_key", fit_rows), "_key")
     sample, names = with_statistics(sample, "_text")
     rows = {r["_y"]: (r["n"], np.array(r["one"]), np.array(r["two"])) for r in moments(sample, "_y", names).collect()}
     model = Discriminant(rows, len(names), pooled, ridge)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import bounded_sample, stored
 
 #: Fixed readings of signs and digits that stand for letters.
 LEET = {
@@ -172,11 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, lm: np.ndarray, *, key: str, text: s
     The number kept is bounded by the words of the bounded sample over ``least``.
     """
     labelled = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("_y"))
-    n = labelled.count()
-    if n > fit_rows:
-        labelled = labelled.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(1_000_000 * fit_rows / n))
     # A broadcast of about fit_rows keys; equal texts count once.
-    rows = docs.select(F.col(key), F.col(text).alias("_text")).join(F.broadcast(labelled), key)
+    rows = docs.select(F.col(key), F.col(text).alias("_text")).join(bounded_sample(labelled, key, fit_rows), key)
     rows = rows.groupBy(F.xxhash64("_text").alias("_h")).agg(F.max_by("_text", F.length("_text")).alias("_text"), F.max("_y").alias("_y"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
