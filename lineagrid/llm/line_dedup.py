@@ -23,15 +23,12 @@ from pyspark.sql import functions as F
 from .components import components
 from .minhash import BROADCAST_IDS
 from .shared import forget, stored
-from .textvec import U, byte_chunks, hash_words, mix
+from .textvec import LETTERS_DIGITS, U, byte_chunks, hash_words, mix
 
 BITS = 64
 #: What each byte counts as: letters and bytes of other scripts make words, digits are alike, the rest separates.
-_FOLD = np.full(256, 0x20, np.uint8)
+_FOLD = LETTERS_DIGITS.copy()
 _FOLD[48:58] = 48
-_FOLD[65:91] = np.arange(97, 123)
-_FOLD[97:123] = np.arange(97, 123)
-_FOLD[128:] = np.arange(128, 256)
 _WORD = _FOLD != 0x20
 _STEP = 0xD6E8FEB86659FD93
 

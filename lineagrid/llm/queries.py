@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, minhash, mixing, quality_classifier, quality_rules, toxicity
+from . import decontaminate, line_dedup, minhash, mixing, quality_classifier, quality_rules, toxicity
 from .shared import table
 
 
@@ -45,6 +45,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", F.col("leaked_items").alias("items"), F.size("leaked_items").cast("long").alias("n_items"), F.col("leaked_words").alias("n_matched"), "kept")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select(
@@ -63,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_minhash": op4_minhash,
         "op5_quality_classifier": op5_quality_classifier,
+        "op9_decontaminate": op9_decontaminate,
         "op10_mixing": op10_mixing,
     }
 
@@ -109,5 +116,6 @@ mix_taken AS (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op9_decontaminate": op9_decontaminate,
         "op10_mixing": f"WITH docs AS (SELECT * FROM documents), {MIX_SQL} SELECT doc_id, size, source_size, target, size * copies AS taken FROM mix_taken",
     }

@@ -20,6 +20,12 @@ _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Letters (A-Z as a-z), digits and bytes of other scripts make words; ASCII punctuation separates like white space.
+LETTERS_DIGITS = np.full(256, 0x20, np.uint8)
+LETTERS_DIGITS[48:58] = np.arange(48, 58)
+LETTERS_DIGITS[65:91] = np.arange(97, 123)
+LETTERS_DIGITS[97:123] = np.arange(97, 123)
+LETTERS_DIGITS[128:] = np.arange(128, 256)
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
@@ -93,9 +99,9 @@ def byte_chunks(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, np
         at = to
 
 
-def chunks(column: pa.Array, size: int = 1 << 20) -> Iterator[Chunk]:
+def chunks(column: pa.Array, size: int = 1 << 20, word: np.ndarray = _WORD, fold: np.ndarray = _LOWER) -> Iterator[Chunk]:
     for at, data, offsets in byte_chunks(column, size):
-        yield hash_words(data, offsets, at)
+        yield hash_words(data, offsets, at, word, fold)
 
 
 _STEP = np.random.default_rng(5).integers(0, 2**63, 64, dtype=U) * U(2) + U(1)
