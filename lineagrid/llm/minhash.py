@@ -7,9 +7,9 @@
    those are posted, and a passage that many texts share is rarely among them.
 3. Each posting list names its most central set; every set is verified against the one it shares most lists with.  This
    links most of any large group through one member instead of through all pairs.
-4. What remains are lists that still hold several components.  Pairs inside a component are skipped; for the others,
-   sizes and the count of shingles that no other text holds bound the similarity from above, and pairs that the bound
-   admits are counted (``t`` matches or more) and verified on the full sets.
+4. What remains are sets in lists that still hold several components.  Pairs inside a component are skipped.  The others
+   meet under their rarest shingles (an exact prefix filter), since two variants of one text share most coordinates
+   without being similar enough; pairs that meet are kept at ``t`` matching coordinates or more and verified.
 
 The chance that a pair at the threshold has fewer than ``t`` of ``k`` matches is the only loss: P(Binomial(64, 0.75) <
 30) is about 3e-7.  Sets are compared by 64-bit shingle hashes and named by 64-bit ids; two different ones meet with a
@@ -128,6 +128,30 @@ def verified(edges: DataFrame, sets: DataFrame, percent: int, t: int) -> DataFra
     return edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ga", "gb").mapInArrow(check, "a long, b long")
 
 
+def rare_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of (nid, set, component) from different components that could reach the similarity.
+
+    Shingles are ordered by how many sets hold them.  Two sets of n and m shingles that reach it share w = percent (n +
+    m) / (100 + percent) or more, so one of the rarest n - w + 1 of the first is among the rarest m - w + 1 of the
+    second.  Sets are posted under their rarest shingles with the rank, and lists of a single component are left out.
+    Variants of one text differ in rare shingles, so large groups of them yield few pairs.
+    """
+    held = sets.select("nid", "component", F.size("set").cast("long").alias("n"), F.explode("set").alias("s"))
+    met = held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    of = held.join(met, "s").groupBy("nid", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("of"))
+    own = F.col("n") - F.size("of")
+    # The smallest partner has percent of n, and so the longest prefix is n less that, plus 1; own shingles come first.
+    longest = F.greatest(F.floor(F.col("n") * (100 - percent) / 100) + 1 - own, F.lit(0)).cast("int")
+    posted = of.select("nid", "component", "n", own.alias("own"), F.posexplode(F.slice(F.col("of.s"), F.lit(1), longest)).alias("i", "s"))
+    posted = stored(posted.select("nid", "component", "n", "s", (F.col("own") + F.col("i") + 1).alias("rank")), "rare-postings")
+    mixed = posted.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("s")
+    x, y = posted.join(mixed, "s").alias("x"), posted.alias("y")
+    common = F.floor((percent * (F.col("x.n") + F.col("y.n")) + 99 + percent) / (100 + percent))
+    fits = (F.col("x.rank") <= F.col("x.n") - common + 1) & (F.col("y.rank") <= F.col("y.n") - common + 1)
+    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.nid") < F.col("y.nid")) & (F.col("x.component") != F.col("y.component")) & fits)
+    return met.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct()
+
+
 def near_edges(docs: DataFrame, reps: DataFrame, *, key: str, text: str, size: int, percent: int, k: int, t: int) -> DataFrame:
     """Verified edges (a, b) between set ids that connect whatever links connect."""
     lists = stored(postings(reps, k, t), "postings")
@@ -141,19 +165,11 @@ def near_edges(docs: DataFrame, reps: DataFrame, *, key: str, text: str, size: i
     labelled = lists.select("nid", "list").join(group, "nid", "left").withColumn("component", F.coalesce("component", "nid"))
     labelled = stored(labelled, "labelled")
     mixed = labelled.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list")
-    open_lists = stored(labelled.join(mixed, "list"), "open-lists")
+    apart = stored(labelled.join(mixed, "list").select("nid", "component").distinct(), "apart")
     forget(lists, labelled)
-    # Shingles of a set that other sets in open lists hold too, and so could be common to a pair.
-    open_sets = sets.join(open_lists.select("nid").distinct(), "nid", "left_semi")
-    own = open_sets.select("nid", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("df"), F.min("nid").alias("nid")).where("df = 1").groupBy("nid").agg(F.count("*").alias("own"))
-    sizes = open_sets.select("nid", F.size("set").cast("long").alias("n")).join(own, "nid", "left").select("nid", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
-    members = stored(open_lists.join(sizes, "nid"), "members")
-    x, y = members.alias("x"), members.alias("y")
-    most = F.least("x.common", "y.common")
-    pairs = x.join(y, (F.col("x.list") == F.col("y.list")) & (F.col("x.nid") < F.col("y.nid")) & (F.col("x.component") != F.col("y.component")) & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)))
-    pairs = pairs.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct()
+    pairs = stored(rare_pairs(sets.select("nid", "set").join(apart, "nid"), percent), "pairs")
     second = stored(verified(pairs, sets, percent, t), "links")
-    forget(open_lists, members)
+    forget(apart, pairs)
     return first.union(second)
 
 
