@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, line_dedup, minhash, mixing, quality_classifier, quality_rules, toxicity
+from . import decontaminate, html_text, line_dedup, minhash, mixing, pii, quality_classifier, quality_rules, toxicity
 from .shared import table
 
 
@@ -45,6 +45,16 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs)
+    every = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rk")).join(found, "rk", "left")
+    base = F.filter("found", lambda x: x["base"])
+    count = lambda kind: F.coalesce(F.size(F.filter("found", lambda x: x["base"] & (x["kind"] == kind))), F.lit(0)).cast("long")
+    every = every.withColumn("found", F.coalesce("found", F.array().cast(found.schema["found"].dataType)))
+    return every.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE], F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -73,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_minhash": op4_minhash,
         "op5_quality_classifier": op5_quality_classifier,
+        "op6_pii": op6_pii,
         "op7_html_text": op7_html_text,
         "op9_decontaminate": op9_decontaminate,
         "op10_mixing": op10_mixing,
@@ -121,6 +132,7 @@ mix_taken AS (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_pii": op6_pii,
         "op7_html_text": op7_html_text,
         "op9_decontaminate": op9_decontaminate,
         "op10_mixing": f"WITH docs AS (SELECT * FROM documents), {MIX_SQL} SELECT doc_id, size, source_size, target, size * copies AS taken FROM mix_taken",
