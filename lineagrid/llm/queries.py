@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, line_dedup, minhash, mixing, pii, quality_classifier, quality_rules, toxicity
-from .shared import table
+from . import decontaminate, html_text, line_dedup, minhash, mixing, pii, quality_classifier, quality_rules, token_rollup, toxicity
+from .shared import stored, table, work_dir
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,26 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: all documents come; texts seen under a smaller doc_id go; lines repeated inside a text go."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    lines = F.split("text", "\n")
+    shorter = F.when(F.size(F.array_distinct(lines)) < F.size(lines), F.array_join(F.array_distinct(lines), "\n"))
+    row = docs.select("doc_id", "source", "lang", F.xxhash64("text").alias("h"), "text", shorter.alias("shorter"))
+    row = row.withColumns({"words": token_rollup.word_tokens(F.col("text")), "shorter_words": F.when(F.col("shorter").isNotNull(), token_rollup.word_tokens(F.col("shorter")))})
+    (version, path), *_ = token_rollup.TOKENIZERS.items()
+    counted = stored(token_rollup.count_tokens(row, ["text", "shorter"], path), "token-counts")
+    first = counted.groupBy("h").agg(F.min("doc_id").alias("first"))
+    both = F.explode(F.array(F.struct(F.lit(version).alias("tokenizer"), F.col("text").alias("n"), F.col("shorter").alias("m")), F.struct(F.lit("words").alias("tokenizer"), F.col("words").alias("n"), F.col("shorter_words").alias("m"))))
+    long = counted.join(first, "h").select("source", "lang", F.col("doc_id").eqNullSafe(F.col("first")).alias("stays"), both.alias("x")).select("source", "lang", "stays", "x.*")
+    store = f"{work_dir(spark)}/{spark.sparkContext.applicationId}/token-store-{uuid.uuid4().hex}"
+    none = F.lit(None).cast("long")
+    token_rollup.commit(long.select(F.lit("insert").alias("op"), "source", "lang", "tokenizer", F.col("n").alias("n_tokens"), none.alias("old_tokens")), store, "all")
+    token_rollup.commit(long.where("not stays").select(F.lit("delete").alias("op"), "source", "lang", "tokenizer", F.col("n").alias("n_tokens"), none.alias("old_tokens")), store, "repeated")
+    token_rollup.commit(long.where("stays and m is not null").select(F.lit("revise").alias("op"), "source", "lang", "tokenizer", F.col("m").alias("n_tokens"), F.col("n").alias("old_tokens")), store, "shortened")
+    return token_rollup.totals(spark, store)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -85,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_classifier": op5_quality_classifier,
         "op6_pii": op6_pii,
         "op7_html_text": op7_html_text,
+        "op8_token_rollup": op8_token_rollup,
         "op9_decontaminate": op9_decontaminate,
         "op10_mixing": op10_mixing,
     }
@@ -134,6 +156,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_pii": op6_pii,
         "op7_html_text": op7_html_text,
+        "op8_token_rollup": op8_token_rollup,
         "op9_decontaminate": op9_decontaminate,
         "op10_mixing": f"WITH docs AS (SELECT * FROM documents), {MIX_SQL} SELECT doc_id, size, source_size, target, size * copies AS taken FROM mix_taken",
     }
