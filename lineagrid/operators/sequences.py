@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from lineagrid.functions.scalars import list_size, sequence_diff
 
@@ -47,7 +48,7 @@ def attach_sequences(df: DataFrame, seqs: DataFrame, key: str, gene: str, seq: s
     return df.join(seqs.groupBy(key).pivot(gene, list(genes)).agg(F.first(seq)), key, "left")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def hamming_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     """Differing places of strings; those beyond the shorter string count as differing."""
     def one(x: str, y: str) -> int:
