@@ -145,10 +145,10 @@ def offset_sites(df: DataFrame, offset: int) -> DataFrame:
 
 
 def floor_and_renormalise(df: DataFrame, column: str, least: float, by: Sequence[str] = ()) -> DataFrame:
-    """Values under the floor become 0 and the others are divided by their sum (per group, or over all)."""
+    """Values under the floor become 0 and the others are divided by their sum (per group, or over all); all 0 where none is left."""
     kept = df.withColumn(column, F.when(F.col(column) < least, 0.0).otherwise(F.col(column)))
     if not by:
         total = kept.agg(F.sum(column)).scalar()
-        return kept.withColumn("_total", total).withColumn(column, F.try_divide(F.col(column), F.col("_total"))).drop("_total")
+        return kept.withColumn("_total", total).withColumn(column, F.coalesce(F.try_divide(F.col(column), F.col("_total")), F.lit(0.0))).drop("_total")
     totals = kept.groupBy(*by).agg(F.sum(column).alias("_total"))
-    return kept.join(totals, list(by)).withColumn(column, F.try_divide(F.col(column), F.col("_total"))).drop("_total")
+    return kept.join(totals, list(by)).withColumn(column, F.coalesce(F.try_divide(F.col(column), F.col("_total")), F.lit(0.0))).drop("_total")
