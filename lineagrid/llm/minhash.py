@@ -7,9 +7,10 @@
    those are posted, and a passage that many texts share is rarely among them.
 3. Each posting list names its most central set; every set is verified against the one it shares most lists with.  This
    links most of any large group through one member instead of through all pairs.
-4. What remains are sets in lists that still hold several components.  Pairs inside a component are skipped.  The others
-   meet under their rarest shingles (an exact prefix filter), since two variants of one text share most coordinates
-   without being similar enough; pairs that meet are kept at ``t`` matching coordinates or more and verified.
+4. What remains are sets in lists that still hold several components.  Two variants of one text share most coordinates
+   without being similar enough, so these sets go to blocks by the member they tried; pairs of blocks that meet under a
+   rare shingle (an exact prefix filter) are compared in one task each.  Pairs inside a component are skipped; the others
+   link at ``t`` matching coordinates or more and the similarity of the full sets.
 
 The chance that a pair at the threshold has fewer than ``t`` of ``k`` matches is the only loss: P(Binomial(64, 0.75) <
 30) is about 3e-7.  Sets are compared by 64-bit shingle hashes and named by 64-bit ids; two different ones meet with a
@@ -30,6 +31,8 @@ from .components import components
 from .shared import forget, stored
 from .textvec import U, chunks, mix, shingle_hashes
 
+#: Shingles that a block of sets holds on average at most.
+BLOCK_SHINGLES = 1 << 14
 #: Candidate ids up to this number (16 MB) are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -105,51 +108,104 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size
     return rows.select("nid", "_text").mapInArrow(make, "nid long, set array<long>, sig array<int>").dropDuplicates(["nid"])
 
 
-def verified(edges: DataFrame, sets: DataFrame, percent: int, t: int) -> DataFrame:
-    """The edges (a, b) with t matching coordinates or more whose sets reach the similarity."""
-
-    def arrays(column: pa.ListArray) -> list[np.ndarray]:
-        at, values = column.offsets.to_numpy(), column.values.to_numpy()
-        return [values[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The edges (a, b) whose sets reach the similarity."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y, p, q in zip(*(arrays(batch.column(i)) for i in (2, 3, 4, 5)), strict=True):
-                if (p == q).sum() < t:
-                    keep.append(False)
-                    continue
+            for x, y in zip(_arrays(batch.column(2)), _arrays(batch.column(3)), strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("nid").alias("a"), F.col("set").alias("sa"), F.col("sig").alias("ga"))
-    right = sets.select(F.col("nid").alias("b"), F.col("set").alias("sb"), F.col("sig").alias("gb"))
-    return edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ga", "gb").mapInArrow(check, "a long, b long")
+    left, right = (sets.select(F.col("nid").alias(k), F.col("set").alias(f"s{k}")) for k in "ab")
+    return edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+
+
+def placed_in_blocks(sets: DataFrame) -> DataFrame:
+    """Sets (nid, component, hub, set, sig) with a block: the hub they tried, in as many parts as keep a block's shingles few."""
+    parts = sets.groupBy("hub").agg(F.ceil(F.sum(F.size("set")) / BLOCK_SHINGLES).alias("parts"))
+    part = F.pmod(F.xxhash64("nid"), F.col("parts"))
+    return sets.join(parts, "hub").select("nid", "component", F.xxhash64("hub", part).alias("block"), "set", "sig")
 
 
-def rare_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of (nid, set, component) from different components that could reach the similarity.
+def block_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of blocks (a, b), a block with itself too, that may hold a pair from different components at the similarity.
 
-    Shingles are ordered by how many sets hold them.  Two sets of n and m shingles that reach it share w = percent (n +
-    m) / (100 + percent) or more, so one of the rarest n - w + 1 of the first is among the rarest m - w + 1 of the
-    second.  Sets are posted under their rarest shingles with the rank, and lists of a single component are left out.
-    Variants of one text differ in rare shingles, so large groups of them yield few pairs.
+    Shingles are ordered by how many components hold them; those of one component come first, since no such pair shares
+    them.  Two sets of n and m shingles that reach the similarity share w = percent (n + m) / (100 + percent) or more, so
+    one of the first n - w + 1 of one is among the first m - w + 1 of the other.  Blocks are posted under those of their
+    sets with the lowest rank.  Variants of one text lie in the same few blocks, so a large group of them makes as many
+    pairs as it has pairs of blocks.
     """
-    held = sets.select("nid", "component", F.size("set").cast("long").alias("n"), F.explode("set").alias("s"))
-    met = held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
-    of = held.join(met, "s").groupBy("nid", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("of"))
+    held = placed.select("nid", "component", "block", F.size("set").cast("long").alias("n"), F.explode("set").alias("s"))
+    met = held.select("s", "component").distinct().groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    of = held.join(met, "s").groupBy("nid", "component", "block", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("of"))
     own = F.col("n") - F.size("of")
     # The smallest partner has percent of n, and so the longest prefix is n less that, plus 1; own shingles come first.
     longest = F.greatest(F.floor(F.col("n") * (100 - percent) / 100) + 1 - own, F.lit(0)).cast("int")
-    posted = of.select("nid", "component", "n", own.alias("own"), F.posexplode(F.slice(F.col("of.s"), F.lit(1), longest)).alias("i", "s"))
-    posted = stored(posted.select("nid", "component", "n", "s", (F.col("own") + F.col("i") + 1).alias("rank")), "rare-postings")
-    mixed = posted.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("s")
-    x, y = posted.join(mixed, "s").alias("x"), posted.alias("y")
-    common = F.floor((percent * (F.col("x.n") + F.col("y.n")) + 99 + percent) / (100 + percent))
-    fits = (F.col("x.rank") <= F.col("x.n") - common + 1) & (F.col("y.rank") <= F.col("y.n") - common + 1)
-    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.nid") < F.col("y.nid")) & (F.col("x.component") != F.col("y.component")) & fits)
-    return met.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct()
+    posted = of.select("component", "block", "n", own.alias("own"), F.posexplode(F.slice(F.col("of.s"), F.lit(1), longest)).alias("i", "s"))
+    rank = F.col("own") + F.col("i") + 1
+    lists = posted.groupBy("block", "s").agg(F.min(rank).alias("rank"), F.min("n").alias("least"), F.max("n").alias("most"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    lists = stored(lists, "block-postings")
+    mixed = lists.groupBy("s").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("s")
+    x, y = lists.join(mixed, "s").alias("x"), lists.alias("y")
+    common = F.floor((percent * (F.col("x.least") + F.col("y.least")) + 99 + percent) / (100 + percent))
+    fits = (F.col("x.rank") <= F.col("x.most") - common + 1) & (F.col("y.rank") <= F.col("y.most") - common + 1)
+    apart = (F.least("x.lo", "y.lo") != F.greatest("x.hi", "y.hi"))
+    pairs = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.block") <= F.col("y.block")) & apart & fits)
+    return pairs.select(F.col("x.block").alias("a"), F.col("y.block").alias("b")).distinct()
+
+
+def block_links(pairs: DataFrame, placed: DataFrame, percent: int, t: int) -> DataFrame:
+    """Verified edges (a, b) between components inside pairs of blocks; of edges that connect the same, one."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for row in range(batch.num_rows):
+                sides = []
+                for c in (0, 1):
+                    struct = batch.column(c)[row].values
+                    sides.append((struct.field("nid").to_numpy(), struct.field("component").to_numpy(), _arrays(struct.field("set")), np.stack(_arrays(struct.field("sig")))))
+                found += links_between(*sides, percent, t)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    content = placed.groupBy("block").agg(F.collect_list(F.struct("nid", "component", "set", "sig")).alias("of"))
+    content = stored(content, "blocks")
+    left, right = (content.select(F.col("block").alias(k), F.col("of").alias(f"of_{k}")) for k in "ab")
+    return pairs.join(left, "a").join(right, "b").select("of_a", "of_b").mapInArrow(check, "a long, b long")
+
+
+def links_between(x: tuple, y: tuple, percent: int, t: int) -> list[tuple[int, int]]:
+    """Links of two sides (ids, components, sets, signatures) between components, less those inside what others connect."""
+    (ids, of, sets, sigs), (other_ids, other_of, other_sets, other_sigs) = x, y
+    values, where = np.unique(np.concatenate([*sets, *other_sets]), return_inverse=True)
+    held = np.zeros((len(sets) + len(other_sets), len(values)), np.float32)
+    held[np.repeat(np.arange(len(held)), [len(s) for s in (*sets, *other_sets)]), where] = 1
+    both = held[: len(sets)] @ held[len(sets) :].T
+    size, other_size = held[: len(sets)].sum(1), held[len(sets) :].sum(1)
+    near = (100 * both >= percent * (size[:, None] + other_size - both)) & (of[:, None] != other_of)
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    links = []
+    for i, j in np.argwhere(near).tolist():
+        a, b = root(int(of[i])), root(int(other_of[j]))
+        if a != b and (sigs[i] == other_sigs[j]).sum() >= t:
+            parent[a] = b
+            links.append((int(ids[i]), int(other_ids[j])))
+    return links
+
+
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    at, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
 
 
 def near_edges(docs: DataFrame, reps: DataFrame, *, key: str, text: str, size: int, percent: int, k: int, t: int) -> DataFrame:
@@ -159,17 +215,18 @@ def near_edges(docs: DataFrame, reps: DataFrame, *, key: str, text: str, size: i
     sets = stored(candidate_sets(docs, wanted, key, text, size, k), "sets")
     hubs = lists.groupBy("list").agg(F.max(F.struct("cent", "nid")).alias("hub"), F.count("*").alias("m")).where("m > 1").select("list", F.col("hub.nid").alias("b"))
     shared = lists.join(hubs, "list").where("nid <> b").groupBy(F.col("nid").alias("a"), "b").agg(F.count("*").alias("m"))
-    best = shared.groupBy("a").agg(F.max(F.struct("m", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    first = stored(verified(best, sets, percent, 0), "links")
+    best = stored(shared.groupBy("a").agg(F.max(F.struct("m", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "hubs")
+    first = stored(verified(best, sets, percent), "links")
     group = components(first).withColumnsRenamed({"id": "nid"})
     labelled = lists.select("nid", "list").join(group, "nid", "left").withColumn("component", F.coalesce("component", "nid"))
     labelled = stored(labelled, "labelled")
     mixed = labelled.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list")
-    apart = stored(labelled.join(mixed, "list").select("nid", "component").distinct(), "apart")
-    forget(lists, labelled)
-    pairs = stored(rare_pairs(sets.select("nid", "set").join(apart, "nid"), percent), "pairs")
-    second = stored(verified(pairs, sets, percent, t), "links")
-    forget(apart, pairs)
+    apart = labelled.join(mixed, "list").select("nid", "component").distinct()
+    apart = apart.join(best.withColumnsRenamed({"a": "nid", "b": "hub"}), "nid", "left").withColumn("hub", F.coalesce("hub", "nid"))
+    placed = stored(placed_in_blocks(sets.join(apart, "nid")), "placed")
+    forget(lists, labelled, sets)
+    second = stored(block_links(stored(block_pairs(placed, percent), "block-pairs"), placed, percent, t), "links")
+    forget(placed)
     return first.union(second)
 
 
