@@ -26,6 +26,8 @@ from .shared import forget, stored
 from .textvec import LETTERS_DIGITS, U, byte_chunks, hash_words, mix
 
 BITS = 64
+#: Up to so many documents that lose lines (8 lines each on average, under 32 MB) their line numbers are broadcast; else joined.
+BROADCAST_ROWS = 300_000
 #: What each byte counts as: letters and bytes of other scripts make words, digits are alike, the rest separates.
 _FOLD = LETTERS_DIGITS.copy()
 _FOLD[48:58] = 48
@@ -172,12 +174,17 @@ def verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, percent: int
 def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, distance: int, blocks: int, percent: int) -> DataFrame:
     """Verified edges between distinct lines that connect whatever links connect."""
     posted = classes.select("lid", "sim", F.explode(block_keys(F.col("sim"), blocks, distance)).alias("list"))
-    lists = posted.groupBy("list").agg(F.count("*").alias("m"), F.min("lid").alias("hub")).where("m > 1").select("list", "hub")
-    members = stored(posted.join(lists, "list"), "line-lists")
-    sims = members.where("lid = hub").select("list", F.col("sim").alias("hub_sim"))
     near = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= distance
-    hubs = members.where("lid <> hub").join(sims, "list").where(near("sim", "hub_sim")).select(F.col("lid").alias("a"), F.col("hub").alias("b")).distinct()
-    first = stored(verified(stored(hubs, "line-pairs"), classes, docs, percent), "line-links")
+    # A list of two lines beyond the distance, as chance makes them, is dropped before any line is joined to it.
+    lists = posted.groupBy("list").agg(F.count("*").alias("m"), F.min("sim").alias("lo"), F.max("sim").alias("hi")).where((F.col("m") > 2) | ((F.col("m") > 1) & near("lo", "hi"))).select("list")
+    lists = stored(lists, "lists")
+    few = lists.count() <= BROADCAST_IDS
+    members = stored(posted.join(F.broadcast(lists) if few else lists, "list"), "line-lists")
+    hub = members.groupBy("list").agg(F.min(F.struct("lid", "sim")).alias("hub")).select("list", F.col("hub.lid").alias("hub"), F.col("hub.sim").alias("hub_sim"))
+    x = members.alias("x")
+    hubs = x.join(hub, (F.col("x.list") == hub["list"]) & (F.col("lid") != F.col("hub")) & near("sim", "hub_sim")).select(F.col("lid").alias("a"), F.col("hub").alias("b")).distinct()
+    hubs = stored(hubs, "line-pairs")
+    first = stored(verified(hubs, classes, docs, percent), "line-links")
     group = components(first).withColumnRenamed("id", "lid")
     labelled = stored(members.select("lid", "sim", "list").join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid")), "line-lists")
     mixed = labelled.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list")
@@ -224,6 +231,9 @@ def dedup_lines(
     repeated = grouped.select("lid", "component").join(stays, "component").select("lid", F.col("stays.rk").alias("stay_rk"), F.col("stays.line").alias("stay_line"))
     goes = found.join(repeated, "lid").where((F.col("rk") != F.col("stay_rk")) | (F.col("line") != F.col("stay_line")))
     dropped = stored(goes.groupBy("rk").agg(F.collect_set("line").alias("_dropped")), "dropped-lines").withColumnRenamed("rk", "_rk")
+    rows, total = dropped.agg(F.count("*"), F.coalesce(F.sum(F.size("_dropped")), F.lit(0))).first()
+    if rows <= BROADCAST_ROWS and total <= 8 * BROADCAST_ROWS:
+        dropped = F.broadcast(dropped)
     split = F.split(F.col(text), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     out = docs.withColumn("_row", row_key).join(dropped, F.col("_row") == F.col("_rk"), "left")
