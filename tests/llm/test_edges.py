@@ -1,0 +1,122 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every corpus operator."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from lineagrid.llm import decontaminate, html_text, line_dedup, minhash, mixing, pii, quality_classifier, quality_rules, token_rollup, toxicity
+
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega"
+ROWS = [
+    (1, WORDS, "a", 1), (2, WORDS, "a", 2), (2, WORDS, "a", 2), (3, None, None, 3), (4, "", "b", 4), (5, LONG, None, 5), (None, "one two three", "c", 6), (6, "you idiot you", "c", 7),
+    (7, WORDS + " more", "b", None), (8, "   \n\t ", "b", 8), (9, "x" * 5000, "b", 9), (10, "a\n" + WORDS + "\nb", None, 10),
+]
+SCHEMA = "doc_id long, text string, source string, kept long, score string, component_id string, n long, nid string, rk string, list string, tok string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """With columns that have the names of results and of internal columns."""
+    return spark.createDataFrame([(*r, "s", "c", 0, "n", "r", "l", "t") for r in ROWS], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, 1, 0), (2, 0, 0), (6, None, 1), (6, 1, 1), (None, 1, 1), (4, 1, 0), (99, 0, 1)], "doc_id long, quality int, toxic int")
+
+
+def test_line_dedup(spark, docs):
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == [*docs.columns, "n_lines", "n_dropped"]
+    got = sorted((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out.where("doc_id in (1, 2, 3, 4, 10)").collect() if r.text is not None)
+    assert got == [(1, WORDS, 1, 0), (2, "", 1, 1), (2, "", 1, 1), (4, "", 1, 0), (10, "a\nb", 3, 1)]
+    assert out.where("doc_id = 3").first().n_lines == 0
+    assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_quality_rules(spark, docs, labels):
+    out = quality_rules.quality_rules(docs, labels.where("quality = 1").select("doc_id"), buckets=256)
+    by = {r.doc_id: r for r in out.collect()}
+    assert out.count() == len(ROWS)
+    assert (by[3].n_words, by[3].base_failed, by[3].kept) == (0, True, False)
+    assert (by[1].n_words, by[1].base_failed) == (24, False)
+    assert quality_rules.quality_rules(docs.limit(0), labels.select("doc_id"), buckets=256).count() == 0
+    assert quality_rules.quality_rules(docs, labels.limit(0).select("doc_id"), buckets=256).count() == len(ROWS)
+
+
+def test_repeats(spark):
+    text = " ".join("abcdefghij") + " x " + " ".join("abcdefghij")
+    df = quality_rules.with_base_counts(spark.createDataFrame([(1, text), (2, "p q\np q\n \n \nr")], "i int, text string"))
+    assert [(r.n_repeat_words, r.n_dup_lines, r.word_chars) for r in df.orderBy("i").collect()] == [(20, 0, 21), (0, 1, 5)]
+
+
+def test_toxicity(spark, docs, labels):
+    out = toxicity.score_toxicity(docs, labels)
+    assert out.count() == len(ROWS) and out.where("toxicity is null or toxicity < 0 or toxicity > 1").count() == 0
+    assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
+    assert toxicity.score_toxicity(docs, labels.limit(0)).select("toxicity").distinct().count() == 1
+
+
+def test_quality_classifier(spark, docs, labels):
+    out = quality_classifier.score_quality(docs, labels)
+    assert out.count() == len(ROWS) and out.where("quality_score is null or quality_score < 0 or quality_score > 1").count() == 0
+    assert quality_classifier.score_quality(docs.limit(0), labels).count() == 0
+    assert quality_classifier.score_quality(docs, labels.where("quality = 1")).select(F.round("quality_score", 9)).distinct().count() == 1
+
+
+def test_minhash(spark, docs):
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()), key=repr)
+    by = {r[0]: r for r in got}
+    assert by[1] == (1, 20, 1, True) and by[2] == (2, 20, 1, False) and by[7] == (7, 21, 1, False) and by[3] == (3, 0, 3, True) and by[8] == (8, 0, 8, True)
+    assert by[None] == (None, 1, None, True) and len(got) == len(ROWS)
+    assert minhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_pii(spark, docs):
+    df = docs.withColumn("text", F.when(F.col("doc_id") == 4, "a@b.c and 1.2.3.4, +1 (555) 555-1234 x 4111 1111 1111 1111 y 300.1.1.1").otherwise(F.col("text")))
+    found = pii.find_pii(df).collect()
+    spans = [[(x["kind"], x["start"], x["end"]) for x in r.found if x["base"]] for r in found]
+    assert spans == [[("email", 0, 5), ("ip", 10, 17), ("phone", 19, 36), ("card", 39, 58)]]
+    assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+def test_html(spark):
+    page = "<body><nav><a href=x>Menu</a></nav><article class=comment>no</article><article><h1>T&amp;t</h1><p>One  two<p>Three <b>four</b></article><footer>f</footer>"
+    df = spark.createDataFrame([(1, page, "t"), (2, None, "t"), (3, "", "t"), (4, "just text", "t"), (5, "<p>" * 3000 + "deep", "t")], "page_id int, html string, text string")
+    got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(df).collect()}
+    assert got == {1: ("T&t\nOne two\nThree four", 22), 2: ("", 0), 3: ("", 0), 4: ("just text", 9), 5: ("deep", 4)}
+    assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_rollup(spark, tmp_path):
+    change = lambda *r: spark.createDataFrame(list(r), "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long")
+    store = str(tmp_path / "store")
+    assert token_rollup.totals(spark, store).count() == 0
+    first = change(("insert", "a", "en", "t", 5, None), ("insert", "a", "en", "t", 7, None), ("insert", None, None, "t", None, None))
+    assert token_rollup.commit(first, store, "one") and not token_rollup.commit(first, store, "one")
+    assert token_rollup.commit(change(("delete", "a", "en", "t", 5, None), ("revise", "a", "en", "t", 9, 7)), store, "two")
+    assert token_rollup.commit(first.limit(0), store, "none")
+    assert sorted(map(tuple, token_rollup.totals(spark, store).collect()), key=repr) == [("a", "en", "t", 1, 9), (None, None, "t", 1, 0)]
+    with pytest.raises(Exception, match="unknown op"):
+        token_rollup.commit(change(("put", "a", "en", "t", 5, None)), store, "bad")
+
+
+def test_decontaminate(spark, docs):
+    bench = spark.createDataFrame([(1, WORDS), (2, WORDS), (3, None), (4, "one two"), (None, WORDS), (5, "one two three x y")], "item_id long, text string")
+    out = decontaminate.decontaminate(docs, bench)
+    got = {r.doc_id: (r.leaked_items, r.kept) for r in out.collect()}
+    assert out.count() == len(ROWS)
+    assert [k for k, v in got.items() if not v[1]] and {k for k, v in got.items() if not v[1]} == {1, 2, 7, 10} and got[1][0] == [1, 2]
+    changed = docs.withColumn("text", F.replace(F.replace("text", F.lit("gamma"), F.lit("g")), F.lit("lambda"), F.lit("l")))
+    assert decontaminate.decontaminate(changed, bench, block_words=10).where("not kept").select("doc_id").distinct().count() == 4
+    assert decontaminate.decontaminate(docs, bench.limit(0)).where("not kept").count() == 0
+    assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0
+
+
+def test_mixing(spark, docs):
+    out = mixing.mix(docs)
+    assert out.count() == len(ROWS) and out.where("mix_copies is null or mix_copies < 0 or mix_copies > 2").count() == 0
+    sums = {r.source: r for r in out.groupBy("source").agg(F.first("mix_target").alias("t"), F.first("mix_source_size").alias("s")).collect()}
+    assert sum(r.t for r in sums.values()) == pytest.approx(1.5 * sum(r.s for r in sums.values()))
+    assert all(r.t <= 2 * r.s for r in sums.values())
+    assert mixing.mix(docs.limit(0)).count() == 0
