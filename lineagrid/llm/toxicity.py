@@ -132,7 +132,8 @@ class Restorer:
             return _WORDISH.findall(core.lower())
         if _SEPARATED.fullmatch(core):
             return [decode(_BETWEEN.sub("", core), self.lm)]
-        if _RUN.search(core) or (_INSIDE.search(core) and 2 * sum(map(str.isalpha, core)) >= len(core)):
+        letters = sum(map(str.isalpha, core))
+        if _RUN.search(core) or (_INSIDE.search(core) and letters > 1 and 3 * letters >= len(core)):
             return [decode(core, self.lm), *_WORDISH.findall(core.lower())]
         return _WORDISH.findall(core.lower())
 
