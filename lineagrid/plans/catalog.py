@@ -823,6 +823,188 @@ def record_change(spark, sf):
     old, new = _versions(spark, sf)
     return U.record_change(new, old)
 
+# -- further operators --------------------------------------------------------------------------------------------
+
+
+@query("SELECT c_custkey AS id, c_name, c_mktsegment AS c_mktsegment_ha, CASE WHEN s_suppkey IS NULL THEN NULL ELSE s_name END AS c_name_na, true AS ha, s_suppkey IS NOT NULL AS na FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey")
+def join_segments(spark, sf):
+    a = read(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_mktsegment")
+    b = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("c_name"))
+    out = J.join_segments({"ha": a, "na": b.withColumn("c_mktsegment", F.lit(None).cast("string"))}, "id", ["c_name", "c_mktsegment"], "left")
+    return out.select("id", F.col("c_name_ha").alias("c_name"), "c_mktsegment_ha", "c_name_na", "ha", "na")
+
+
+_HOSTS = {"economy": "Human", "standard": "Avian", "promo": "Nonhuman Mammal", "red": "Cattle"}
+
+
+@query("""SELECT p_partkey, CASE WHEN h = 'economy' THEN 'Human' WHEN h = 'standard' THEN 'Avian' WHEN h = 'promo' THEN CASE WHEN g = 'red' THEN 'Cattle' ELSE 'Nonhuman Mammal' END WHEN h = 'red' THEN 'Cattle' ELSE host END AS host
+FROM (SELECT *, CASE WHEN host = '' THEN g ELSE replace(lower(host), ' ', '') END AS h FROM (SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_type END AS host, CASE WHEN p_partkey % 2 = 0 THEN lower(split_part(p_name, ' ', 1)) ELSE '' END AS g FROM part))""")
+def classify_host(spark, sf):
+    classes = F.create_map(*[F.lit(x) for kv in _HOSTS.items() for x in kv])
+    k = F.col("p_partkey")
+    strain = F.when(k % 2 == 0, F.concat(F.lit("A/"), F.split_part("p_name", F.lit(" "), F.lit(1)), F.lit("/x/1/2000"))).otherwise("A/x/1/2000")
+    df = read(spark, sf, "part").select("p_partkey", F.when(k % 4 == 0, "").otherwise(F.col("p_type")).alias("h"), strain.alias("s"))
+    return df.select("p_partkey", S.classify_host(F.col("h"), F.col("s"), classes).alias("host"))
+
+
+@query("""SELECT c_custkey, CASE WHEN s = 'machinery' THEN 'A' WHEN s = 'building' THEN 'B' ELSE 'tbd' END AS type, CASE WHEN s = 'machinery' THEN 'mach' WHEN s = 'building' THEN 'build' ELSE 'tbd' END AS standard_lineage FROM (SELECT c_custkey, lower(c_mktsegment) AS s FROM customer)""")
+def map_lineage(spark, sf):
+    dim = values(spark, "subtype string, lineage string, type string, name string", ("machinery", "", "A", "mach"), ("building", "", "B", "build"))
+    df = read(spark, sf, "customer").select("c_custkey", "c_mktsegment", F.lit("seasonal").alias("l"))
+    return J.map_lineage(df, "c_mktsegment", "l", F.lit(""), dim).select("c_custkey", "type", "standard_lineage")
+
+
+@query("""WITH a AS (SELECT o_orderkey AS a, o_custkey AS c, o_totalprice AS p FROM orders WHERE o_orderkey % 5 = 0), b AS (SELECT o_orderkey AS b, o_custkey AS c, o_totalprice AS p FROM orders WHERE o_orderkey % 7 = 0),
+s AS (SELECT x.a, y.b, 'price' AS stage FROM (SELECT p, min(a) AS a FROM a GROUP BY p) x JOIN (SELECT p, min(b) AS b FROM b GROUP BY p) y USING (p)),
+s1 AS (SELECT min(a) AS a, b FROM (SELECT a, min(b) AS b FROM s GROUP BY a) GROUP BY b),
+t AS (SELECT x.a, y.b FROM (SELECT c, min(a) AS a FROM a WHERE a NOT IN (SELECT a FROM s1) GROUP BY c) x JOIN (SELECT c, min(b) AS b FROM b WHERE b NOT IN (SELECT b FROM s1) GROUP BY c) y USING (c))
+SELECT a, b, 'price' AS stage FROM s1 UNION ALL SELECT min(a), b, 'customer' FROM (SELECT a, min(b) AS b FROM t GROUP BY a) GROUP BY b""")
+def link_in_stages(spark, sf):
+    o = read(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("c"), F.format_string("%.2f", "o_totalprice").alias("p"))
+    a, b = o.where("o_orderkey % 5 = 0").withColumnRenamed("o_orderkey", "a"), o.where("o_orderkey % 7 = 0").withColumnRenamed("o_orderkey", "b")
+    return J.link_in_stages(a, b, "a", "b", [("price", F.col("p"), F.col("p")), ("customer", F.col("c"), F.col("c"))])
+
+
+@query("SELECT l_suppkey::BIGINT AS virus, sum(CASE WHEN r = 'virus' THEN 1 ELSE 0 END)::BIGINT AS virus_count, sum(CASE WHEN r = 'serum' THEN 1 ELSE 0 END)::BIGINT AS serum_count, min(l_returnflag) AS candidate FROM (SELECT l_suppkey, 'virus' AS r, l_returnflag FROM lineitem UNION ALL SELECT l_partkey, 'serum', l_returnflag FROM lineitem) GROUP BY 1")
+def missing_strains(spark, sf):
+    df = read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("virus"), F.col("l_partkey").alias("serum"), F.col("l_returnflag").alias("candidate"))
+    return A.missing_strains(df, ["virus", "serum"], "candidate").select(F.col("name").alias("virus"), "virus_count", "serum_count", "candidate")
+
+
+@query("""WITH r AS (SELECT l_returnflag AS region, l_linenumber AS site, l_linestatus AS wildtype, l_returnflag AS mutant, round(avg(l_tax), 6) AS weight FROM lineitem WHERE l_quantity > 30 GROUP BY ALL)
+SELECT region AS gene, CASE WHEN region = 'A' THEN site + (SELECT max(site) FROM r WHERE region <> 'A') ELSE site END::BIGINT AS site, wildtype AS "from", mutant AS "to", weight FROM r WHERE wildtype <> mutant AND weight IS NOT NULL""")
+def phenotype_to_map(spark, sf):
+    r = read(spark, sf, "lineitem").where("l_quantity > 30").groupBy(F.col("l_returnflag").alias("region"), F.col("l_linenumber").alias("site"), F.col("l_linestatus").alias("wildtype"), F.col("l_returnflag").alias("mutant")).agg(F.round(F.avg("l_tax"), 6).alias("weight"))
+    return A.phenotype_to_map(r, "weight", "A").select("gene", *L("site"), "from", "to", "weight")
+
+
+@query("SELECT p_brand, round(median(p_retailprice), 4) AS autologous FROM part WHERE p_size % 25 = TRY_CAST(split_part(p_brand, '#', 2) AS INTEGER) GROUP BY 1")
+def autologous(spark, sf):
+    df = read(spark, sf, "part").withColumn("test", F.concat(F.lit("Brand#"), (F.col("p_size") % 25).cast("string")))
+    return A.autologous(df, "p_brand", "test", "p_retailprice").select("p_brand", *R("autologous"))
+
+
+@query("""WITH c AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, avg(p_retailprice), p_type) AS o FROM part GROUP BY 1)
+SELECT p_brand, p_type, round(avg(p_retailprice), 4) AS mean, round(stddev_samp(p_retailprice), 4) AS sd, any_value(o)::BIGINT AS clade_order FROM part JOIN c USING (p_type) GROUP BY p_brand, p_type""")
+def reference_profile(spark, sf):
+    return A.reference_profile(read(spark, sf, "part"), "p_brand", "p_type", "p_retailprice").select("p_brand", "p_type", *R("mean", "sd"), *L("clade_order"))
+
+
+@query("SELECT user_id, round(count(*) FILTER (event_type = 'view') / count(DISTINCT event_id % 9), 6) AS view, round(count(*) FILTER (event_type = 'error') / count(DISTINCT event_id % 9), 6) AS error FROM events GROUP BY 1")
+def status_share(spark, sf):
+    e = read(spark, sf, "events").withColumn("sample", F.col("event_id") % 9)
+    return A.status_share(e, "user_id", "event_type", ["view", "error"], "sample").select("user_id", *R("view", "error", digits=6))
+
+
+@query("SELECT c_mktsegment, concat('{\"target\":\"', c_mktsegment, '\",\"values\":[', string_agg(n::VARCHAR, ',' ORDER BY c_nationkey), ']}') AS record FROM (SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY ALL) GROUP BY 1")
+def prediction_records(spark, sf):
+    df = read(spark, sf, "customer").groupBy("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n"))
+    return A.prediction_records(df, "c_mktsegment", "c_nationkey", "n")
+
+
+@query("""WITH g AS (SELECT l_suppkey, l_linenumber, sum(l_quantity) AS q FROM lineitem GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_linenumber) AS i FROM g)
+SELECT l_suppkey, (i - 1)::BIGINT AS pivot_idx, l_linenumber::BIGINT AS pivot, q AS frequency, l_linenumber <= 4 AS observed FROM r""")
+def explode_frequencies(spark, sf):
+    sums = read(spark, sf, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.sum("l_quantity").alias("frequency"))
+    long = sums.select("l_suppkey", F.col("l_linenumber").alias("pivot"), "frequency", F.col("l_linenumber").alias("pivot_idx"))
+    arrays = A.collect_frequencies(long, "l_suppkey").withColumn("projection", F.lit(4))
+    return A.explode_frequencies(arrays, "l_suppkey", "pivots", "frequencies", "projection").select("l_suppkey", *L("pivot_idx", "pivot"), "frequency", "observed")
+
+
+@query("""SELECT item_id, (SELECT count(*) FROM range(1, 41) t(i) WHERE i % 2 = 1 AND i <= length(text) AND substr(text, i, 1) <> substr(base, i, 1))::BIGINT AS distance FROM (SELECT item_id, text, (SELECT text FROM benchmark WHERE item_id = 0) AS base FROM benchmark)""")
+def masked_distance(spark, sf):
+    b = read(spark, sf, "benchmark")
+    df = b.withColumn("base", b.where("item_id = 0").select("text").scalar())
+    return df.select("item_id", Q.masked_distance(F.col("text"), F.col("base"), "10" * 20).cast("long").alias("distance"))
+
+
+@query("""WITH b AS (SELECT item_id, substr(text, 1, 20) AS s, (SELECT substr(text, 1, 20) FROM benchmark WHERE item_id = 0) AS base FROM benchmark), m(map, site, f, t, w) AS (VALUES ('one', 2, NULL, NULL, 1.0), ('one', 5, 'a', 'e', 2.0), ('two', 3, NULL, 'e', 0.5), ('two', 7, NULL, NULL, 4.0))
+SELECT item_id, map, round(sum(CASE WHEN substr(s, site, 1) <> substr(base, site, 1) AND site <= length(s) AND (f IS NULL OR f = substr(base, site, 1)) AND (t IS NULL OR t = substr(s, site, 1)) THEN w ELSE 0 END), 6) AS distance FROM b, m GROUP BY ALL""")
+def distance_to(spark, sf):
+    b = read(spark, sf, "benchmark").select("item_id", F.substring("text", 1, 20).alias("s"))
+    df = b.withColumn("base", b.where("item_id = 0").select("s").scalar())
+    maps = values(spark, "map string, site int, `from` string, `to` string, weight double", ("one", 2, None, None, 1.0), ("one", 5, "a", "e", 2.0), ("two", 3, None, "e", 0.5), ("two", 7, None, None, 4.0))
+    return Q.distance_to(df, "item_id", "s", "base", maps).select("item_id", "map", *R("distance", digits=6))
+
+
+@query("""WITH c AS (SELECT i::BIGINT AS site, substr(s, i, 1) AS char, sum(w) AS n FROM (SELECT substr(p_name, 1, 8) AS s, p_retailprice AS w FROM part), range(1, 9) t(i) WHERE i <= length(s) GROUP BY ALL) SELECT site, char, round(n / sum(n) OVER (PARTITION BY site), 6) AS frequency FROM c""")
+def allele_frequencies(spark, sf):
+    return Q.allele_frequencies(read(spark, sf, "part").select(F.substring("p_name", 1, 8).alias("s"), "p_retailprice"), "s", "p_retailprice").select(*L("site"), "char", *R("frequency", digits=6))
+
+
+@query(f"""WITH {_CLOSURE}, t AS (SELECT 1 + s_suppkey AS node, CASE WHEN s_acctbal > 5000 THEN 'high' ELSE 'low' END AS label FROM supplier) SELECT label, min(node) AS node FROM t GROUP BY 1""")
+def first_node_per_label(spark, sf):
+    e = _tree(spark, sf).withColumn("label", F.when(F.col("s_acctbal") > 5000, "high").otherwise("low"))
+    return T.first_node_per_label(e, "label")
+
+
+@query(f"""WITH {_CLOSURE}, d AS (SELECT s_suppkey + 1 AS node, DATE '2000-01-01' + (s_suppkey % 50)::INTEGER AS date FROM supplier) SELECT c.node, arg_min(ancestor, hops) AS past FROM c JOIN d ON d.node = c.ancestor WHERE hops > 0 AND date < DATE '2000-01-03' GROUP BY 1""")
+def past_ancestor(spark, sf):
+    e = _tree(spark, sf)
+    dates = e.select("node", F.date_add(F.lit("2000-01-01").cast("date"), ((F.col("node") - 1) % 50).cast("int")).alias("date"))
+    return T.past_ancestor(T.closure(e), dates, F.lit("2000-01-03").cast("date"))
+
+
+@query(f"WITH {_CLOSURE}, s AS (SELECT c.node, sum(abs(s_acctbal)) AS t FROM c JOIN supplier ON s_suppkey + 1 = c.ancestor GROUP BY 1) SELECT node, round(t / max(t) OVER (), 6) AS scaled FROM s")
+def cumulative_scaled(spark, sf):
+    e = _tree(spark, sf).withColumn("v", F.abs("s_acctbal"))
+    return T.cumulative_scaled(T.closure(e), e, "v").select("node", *R("scaled", digits=6))
+
+
+@query(f"""WITH {_CLOSURE}, m AS (SELECT s_suppkey + 1 AS node, s_suppkey % 3 AS site, CASE WHEN s_suppkey % 4 < 2 THEN 'A' ELSE 'B' END AS alt FROM supplier),
+al AS (SELECT c.node, site, arg_min(alt, hops) AS alt FROM c JOIN m ON m.node = c.ancestor GROUP BY c.node, site), d(clade, site, alt) AS (VALUES ('x', 0, 'A'), ('y', 0, 'A'), ('y', 1, 'B'), ('z', 2, 'B')),
+k AS (SELECT node, clade, count(*) AS n FROM al JOIN d USING (site, alt) GROUP BY ALL), q AS (SELECT clade, count(*) AS need FROM d GROUP BY 1)
+SELECT e.node, coalesce(w.clade, 'unassigned') AS clade FROM e LEFT JOIN (SELECT node, arg_max(clade, need * 1000 + ascii(clade)) AS clade FROM k JOIN q USING (clade) WHERE n = need GROUP BY node) w USING (node)""")
+def assign_clades(spark, sf):
+    e = _tree(spark, sf)
+    k = F.col("node") - 1
+    muts = e.select("node", (k % 3).cast("int").alias("site"), F.when(k % 4 < 2, "A").otherwise("B").alias("alt"))
+    defs = values(spark, "clade string, site int, alt string", ("x", 0, "A"), ("y", 0, "A"), ("y", 1, "B"), ("z", 2, "B"))
+    return T.assign_clades(e, T.closure(e), muts, defs).select("node", "clade")
+
+
+@query(f"""WITH {_PANEL}, c AS (SELECT t, strain, f FROM s) SELECT 'd' AS name, round(avg(sd), 6) AS value FROM (SELECT t, stddev_samp(d) AS sd FROM f GROUP BY t) UNION ALL SELECT 'x', round(avg(sd), 6) FROM (SELECT t, stddev_samp(x) AS sd FROM f GROUP BY t)""")
+def mean_sd(spark, sf):
+    one = M.mean_sd(_panel(spark, sf), ["d", "x"], "t")
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.round(c, 6).alias("value")) for c in ("d", "x")])).alias("x")).select("x.*")
+
+
+@query("""WITH p AS (SELECT DISTINCT l_suppkey % 20 AS sample, l_suppkey % 4 AS k FROM lineitem), d AS (SELECT a.sample, b.sample AS other_sample, abs(a.sample - b.sample) AS distance FROM p a, p b WHERE a.sample <> b.sample),
+f AS (SELECT sample, sum(l_quantity) / sum(sum(l_quantity)) OVER () AS f FROM (SELECT l_suppkey % 20 AS sample, l_quantity FROM lineitem) GROUP BY 1)
+SELECT d.sample, round(sum(f * distance), 6) AS expected FROM d JOIN f ON f.sample = d.other_sample GROUP BY 1""")
+def expected_distance(spark, sf):
+    q = read(spark, sf, "lineitem").groupBy((F.col("l_suppkey") % 20).alias("sample")).agg(F.sum("l_quantity").alias("q"))
+    f = q.withColumn("t", q.agg(F.sum("q")).scalar()).select("sample", (F.col("q") / F.col("t")).alias("f"))
+    d = f.select("sample").join(f.select(F.col("sample").alias("other_sample")), F.col("sample") != F.col("other_sample")).withColumn("distance", F.abs(F.col("sample") - F.col("other_sample")))
+    return M.expected_distance(f, f, d, "sample", "f").select("sample", *R("expected", digits=6))
+
+
+@query(f"""WITH o AS (SELECT o_orderkey AS cur, o_custkey AS c, o_orderdate::DATE AS d, o_totalprice AS p FROM orders), q AS (SELECT a.cur, a.d, b.d AS pd, abs(a.p - b.p) / 100000 AS dist FROM o a JOIN o b ON a.c = b.c AND b.d < a.d AND b.d >= a.d - INTERVAL 12 MONTH)
+SELECT cur, round(-sum(greatest(1 - (year(d) + (dayofyear(d) - 1) / 365.25 - (year(pd) + (dayofyear(pd) - 1) / 365.25)) / 2.0, 0) * 0.5 * exp(-dist / 3.0)), 5) AS cross_immunity FROM q GROUP BY cur""")
+def cross_immunity(spark, sf):
+    o = read(spark, sf, "orders").select(F.col("o_orderkey").alias("cur"), F.col("o_custkey").alias("c"), day("o_orderdate").alias("d"), F.col("o_totalprice").alias("p"))
+    pairs = J.join_past(o, o, "d", 1, ["c"]).select("cur", S.to_decimal_year(F.col("d")).alias("t"), S.to_decimal_year(F.col("past_d")).alias("tp"), (F.abs(F.col("p") - F.col("past_p")) / 100000).alias("dist"), F.lit(0.5).alias("mf"))
+    return M.cross_immunity(pairs, "cur", "dist", "t", "tp", "mf", 3.0, 2.0).select("cur", *R("cross_immunity", digits=5))
+
+
+@query(f"""WITH {_PANEL}, j AS (SELECT t, strain, f, d, f * exp(0.4 * d) AS e FROM s), r AS (SELECT t, round(avg(f), 8) AS f FROM s GROUP BY t) SELECT 'error' AS name, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS sd FROM (SELECT t, avg(f) * 10 AS v FROM s GROUP BY t) UNION ALL SELECT 'beta', round(avg(v), 6), round(stddev_pop(v), 6) FROM (SELECT t, sum(f * d) AS v FROM f GROUP BY t)""")
+def summarise_scores(spark, sf):
+    p = _panel(spark, sf).groupBy("t").agg((F.avg("f") * 10).alias("error"), F.sum(F.col("f") * F.col("d")).alias("beta"))
+    return M.summarise_scores(p, "error", ["beta"]).select("name", *R("mean", "sd", digits=6))
+
+
+@query(f"{_SCORED}, k AS (SELECT t, sum(e * (clade + 1)) AS e, sum(o * (clade + 1)) AS o, sum(i * (clade + 1)) AS i FROM o GROUP BY t) SELECT round(avg((e - o) / i), 6) AS score FROM k")
+def distance_score(spark, sf):
+    s = _scored(spark, sf).withColumn("dist", F.col("clade") + 1)
+    return M.distance_score(s, "t", "dist", "e", "observed", "i").select(*R("score", digits=6))
+
+
+@query(f"""{_DIFF.replace("SELECT coalesce", "WITH x AS (SELECT coalesce", 1)}) SELECT o_orderkey, field, CASE WHEN change LIKE '%record' THEN 'whole record' WHEN lower(was) = lower(now) THEN 'case' WHEN now IS NULL THEN 'emptied' ELSE 'unexplained' END AS reason FROM x""")
+def explain_differences(spark, sf):
+    d = U.diff_records(*_versions(spark, sf), "o_orderkey")
+    return U.explain(d, [("whole record", F.col("change").endswith("record")), ("case", F.lower("was") == F.lower("now")), ("emptied", F.col("now").isNull())]).select("o_orderkey", "field", "reason")
+
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
