@@ -18,8 +18,8 @@ def link_sequences(meta: DataFrame, seqs: DataFrame, segments: Mapping[str, str]
     and sequence.
     """
     long = meta.select(key, F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), F.col(c).alias("ids")) for s, c in segments.items()])).alias("x")).select(key, "x.*")
-    ids = long.select(key, "segment", F.explode(F.split(F.coalesce("ids", F.lit("")), ",")).alias("id"))
-    found = ids.select(key, "segment", F.regexp_extract("id", pattern, 1).alias("accession")).where("accession <> ''").join(seqs.select("accession", "sequence"), "accession")
+    ids = long.select(key, "segment", F.explode(F.split(F.coalesce("ids", F.lit("")), ",")).alias("_id"))
+    found = ids.select(key, "segment", F.regexp_extract("_id", pattern, 1).alias("accession")).where("accession <> ''").join(seqs.select("accession", "sequence"), "accession")
     lists = found.groupBy(key, "segment").agg(F.array_sort(F.collect_list(F.struct("accession", "sequence"))).alias("of"))
     maps = lists.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("segment", "of"))).alias("_found"))
     empty = F.array().cast("array<struct<accession:string,sequence:string>>")
