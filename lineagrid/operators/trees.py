@@ -34,12 +34,15 @@ def closure(edges: DataFrame, node: str = "node", parent: str = "parent") -> Dat
 
 
 def _folder(df: DataFrame) -> None:
-    """Set a checkpoint folder only where the session names none."""
+    """Use the checkpoint folder that the session names; only where it names none, a local one of our own."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
+    if spark.sparkContext.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            import tempfile
 
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lineagrid-"))
+            named = tempfile.mkdtemp(prefix="lineagrid-")
+        spark.sparkContext.setCheckpointDir(named)
 
 
 def sum_descendants(paths: DataFrame, tips: DataFrame, value: str) -> DataFrame:
