@@ -13,12 +13,15 @@ SPACE = "\\x20\\x09-\\x0D"
 SPACE_CHARS = " \t\n\x0b\f\r"
 
 
+_own: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables; only where the cluster names none, a local one of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        named = tempfile.mkdtemp(prefix="lineagrid-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        named = _own[app] = _own.get(app) or tempfile.mkdtemp(prefix="lineagrid-")
     return named.rstrip("/")
 
 
