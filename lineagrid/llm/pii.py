@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,13 +79,11 @@ def luhn(txt: Column) -> Column:
 def candidates(docs: DataFrame, text: str, row: Column) -> DataFrame:
     """(rk, kind, start, end, txt, before, after, valid) of every candidate; valid is null for loose kinds."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    # A text without a digit or one of these signs has no candidate; the screen is one cheap pass.
-    hints = {"email": "@", "phone": "+", "secret": None, "email_loose": None}
-    arrays = []
-    for kind, pattern in KINDS.items():
-        a = spans(F.col("_t"), kind, pattern)
-        hint = hints.get(kind)
-        arrays.append(F.when(F.contains(F.col("_t"), F.lit(hint)), a).otherwise(F.array().cast("array<struct<kind:string,start:int,end:int,txt:string>>")) if hint else a)
+    # What a text must have for a pattern to be worth trying; each is one cheap pass.
+    has = lambda *signs: reduce(lambda a, b: a | b, [F.contains(F.col("_t"), F.lit(x)) for x in signs])
+    digit = F.regexp_like(F.col("_t"), F.lit("[0-9]"))
+    hints = {"email": has("@"), "ip": digit, "card": digit, "phone": has("+"), "secret": has("=", ":", "AKIA"), "phone_loose": digit, "email_loose": F.regexp_like(F.col("_t"), F.lit(r"(?i)[\[(]at[\])]|\x20dot\x20"))}
+    arrays = [F.when(hints[kind], spans(F.col("_t"), kind, pattern)).otherwise(F.array().cast("array<struct<kind:string,start:int,end:int,txt:string>>")) for kind, pattern in KINDS.items()]
     found = docs.select(row.alias("rk"), whole.alias("_t")).select("rk", "_t", F.explode(F.concat(*arrays)).alias("s"))
     txt, kind = F.col("s.txt"), F.col("s.kind")
     digits = F.length(F.regexp_replace(txt, "[^0-9]", ""))
