@@ -81,8 +81,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT c_custkey AS id, coalesce(c_name, '') AS name, coalesce(c_mktsegment, '') AS segment, '' AS note FROM customer")
 def conform_fields(spark, sf):
     df = C.rename_fields(read(spark, sf, "customer"), {"c_custkey": "id", "c_name": "name", "c_mktsegment": "segment"})
-    out, _ = C.conform(df, ["name", "segment", "note"])
-    return C.conform(df, ["id", "name", "segment", "note"])[0].withColumn("id", F.col("id").cast("long")) if out.columns else out
+    out, _ = C.conform(df, ["id", "name", "segment", "note"])
+    return out.withColumn("id", F.col("id").cast("long"))
 
 
 @query("SELECT *, 'reference' AS source, 1::BIGINT AS version FROM region")
