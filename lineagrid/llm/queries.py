@@ -14,7 +14,7 @@ from .shared import stored, table, work_dir
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_dropped", (F.col("n_dropped") < F.col("n_lines")).alias("kept"), "text")
+    return out.select("doc_id", "n_lines", "n_dropped", ((F.col("n_dropped") < F.col("n_lines")) | (F.col("n_lines") == 0)).alias("kept"), "text")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
