@@ -172,7 +172,9 @@ def block_links(pairs: DataFrame, placed: DataFrame, percent: int, t: int) -> Da
                 found += links_between(*sides, percent, t)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    content = placed.groupBy("block").agg(F.collect_list(F.struct("nid", "component", "set", "sig")).alias("of"))
+    met = pairs.select(F.col("a").alias("block")).union(pairs.select(F.col("b").alias("block"))).distinct()
+    few = met.count() <= BROADCAST_IDS
+    content = placed.join(F.broadcast(met) if few else met, "block").groupBy("block").agg(F.collect_list(F.struct("nid", "component", "set", "sig")).alias("of"))
     content = stored(content, "blocks")
     left, right = (content.select(F.col("block").alias(k), F.col("of").alias(f"of_{k}")) for k in "ab")
     return pairs.join(left, "a").join(right, "b").select("of_a", "of_b").mapInArrow(check, "a long, b long")
@@ -223,8 +225,10 @@ def near_edges(docs: DataFrame, reps: DataFrame, *, key: str, text: str, size: i
     mixed = labelled.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list")
     apart = labelled.join(mixed, "list").select("nid", "component").distinct()
     apart = apart.join(best.withColumnsRenamed({"a": "nid", "b": "hub"}), "nid", "left").withColumn("hub", F.coalesce("hub", "nid"))
-    placed = stored(placed_in_blocks(sets.join(apart, "nid")), "placed")
-    forget(lists, labelled, sets)
+    apart = stored(apart, "apart")
+    few = apart.count() <= BROADCAST_IDS
+    placed = stored(placed_in_blocks(sets.join(F.broadcast(apart) if few else apart, "nid")), "placed")
+    forget(lists, labelled, sets, apart)
     second = stored(block_links(stored(block_pairs(placed, percent), "block-pairs"), placed, percent, t), "links")
     forget(placed)
     return first.union(second)
