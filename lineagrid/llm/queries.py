@@ -154,9 +154,5 @@ mix_taken AS (
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op6_pii": op6_pii,
-        "op7_html_text": op7_html_text,
-        "op8_token_rollup": op8_token_rollup,
-        "op9_decontaminate": op9_decontaminate,
         "op10_mixing": f"WITH docs AS (SELECT * FROM documents), {MIX_SQL} SELECT doc_id, size, source_size, target, size * copies AS taken FROM mix_taken",
     }
