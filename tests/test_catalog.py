@@ -23,3 +23,10 @@ def test_query(spark, data, con, name):
 
 def test_flagship(spark, data):
     assert catalog.flagship(spark, data).count() > 0
+
+
+def test_entry_module():
+    import __spark_entry__
+
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+    assert all(isinstance(v, str) for v in __spark_entry__.oracle_sql().values())
