@@ -4,7 +4,7 @@
    one separator) and gives it a 64-bit id and a 64-bit SimHash of its distinct words.  Lines of fewer than
    ``min_words`` words are left alone: so short a line recurs by chance.
 2. Equal lines fall together by a sum per id.  Distinct lines are posted under pairs of SimHash blocks: with
-   ``distance`` 3 and 5 blocks, two lines within the distance agree on 2 whole blocks, 25 bits or more.
+   ``distance`` 3 and 6 blocks, two lines within the distance agree on 3 whole blocks, 31 bits or more.
 3. Lines of a list link to its smallest member first, then across what is still apart, always within the distance; the
    edit similarity of the normalised lines (Levenshtein over the longer length) decides.
 4. The first occurrence of each connected group stays, in order of document key and line number; the others go.
@@ -208,7 +208,7 @@ def dedup_lines(
     text: str = "text",
     min_words: int = 5,
     distance: int = 3,
-    blocks: int = 5,
+    blocks: int = 6,
     percent: int = 80,
 ) -> DataFrame:
     """Every row of docs with its text less the repeated lines, and n_lines, n_dropped (its lines, and those that went).
