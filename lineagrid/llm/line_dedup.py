@@ -1,23 +1,22 @@
-"""Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, connected groups.
+"""Fuzzy line deduplication: MinHash bands of byte windows, edit similarity, connected groups.
 
 1. One vectorised pass normalises every line (letters A-Z lower-cased, digits alike, ASCII punctuation and white space as
-   one separator) and gives it a 64-bit id and a 64-bit SimHash of its distinct words.  Lines of fewer than
-   ``min_words`` words are left alone: so short a line recurs by chance.
-2. Equal lines fall together by a sum per id.  Distinct lines are posted under pairs of SimHash blocks: with
-   ``distance`` 3 and 6 blocks, two lines within the distance agree on 3 whole blocks, 31 bits or more.
-3. Lines of a list link to its smallest member first, then across what is still apart, always within the distance; the
-   edit similarity of the normalised lines (Levenshtein over the longer length) decides.
+   one separator) and gives it a 64-bit id, MinHash bands of its windows of 8 bytes, and a sketch of 64 bits.  Lines of
+   fewer than ``min_words`` words are left alone: so short a line recurs by chance.
+2. Equal lines fall together by a sum per id.  Distinct lines are posted under each of their bands.
+3. Lines of a list link to its smallest member first, then across what is still apart; lines of which more than
+   ``distance`` sketch bits differ (chance makes 32) aren't compared.  The edit similarity of the normalised lines
+   (Levenshtein over the longer length) decides.
 4. The first occurrence of each connected group stays, in order of document key and line number; the others go.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -26,6 +25,8 @@ from .shared import forget, stored
 from .textvec import LETTERS_DIGITS, U, byte_chunks, hash_words, mix
 
 BITS = 64
+#: Bytes of a window whose hashes are compared, and how many bands of how many MinHash values a line is posted under.
+SHINGLE, BANDS, ROWS = 8, 20, 3
 #: Up to so many documents that lose lines (8 lines each on average, under 32 MB) their line numbers are broadcast; else joined.
 BROADCAST_ROWS = 300_000
 #: What each byte counts as: letters and bytes of other scripts make words, digits are alike, the rest separates.
@@ -33,19 +34,50 @@ _FOLD = LETTERS_DIGITS.copy()
 _FOLD[48:58] = 48
 _WORD = _FOLD != 0x20
 _STEP = 0xD6E8FEB86659FD93
+_NONE = U(2**64 - 1)
 
 
 def normalised(line: bytes) -> str:
     return b" ".join(line.translate(_FOLD.tobytes()).split()).decode("utf-8", "replace")
 
 
-def line_hashes(data: np.ndarray, offsets: np.ndarray, first: int, min_words: int) -> tuple[np.ndarray, ...]:
-    """(row, line number, id, SimHash) of the lines of min_words words or more in one chunk."""
+def bands_of(data: np.ndarray, line_of: np.ndarray, lines: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lines, bands) of MinHash bands of the SHINGLE-byte windows of normalised lines, one hash dealt to bands * rows bins.
+
+    Two lines agree on a band with the power ``rows`` of the Jaccard similarity of their windows.  An empty bin takes
+    what the next one holds; neighbouring bins are in different bands.  Also a sketch of a line, a bit of each of the first BITS bins.
+    """
+    k = bands * rows
+    sig = np.full(lines * k, _NONE, U)
+    n = len(data) - SHINGLE + 1
+    if n > 0:
+        h = np.zeros(n, U)
+        for i in range(SHINGLE):
+            h |= data[i : i + n].astype(U) << U(8 * i)
+        inside = line_of[:n] == line_of[SHINGLE - 1 :]
+        h, of = mix(h[inside]), line_of[:n][inside].astype(np.int64)
+        np.minimum.at(sig, of * k + ((h >> U(32)) * U(k) >> U(32)).astype(np.int64), mix(h + U(_STEP)) >> U(1))
+    sig = sig.reshape(lines, k)
+    for i in (*range(k - 1, -1, -1), *range(k - 1, -1, -1)):
+        empty = sig[:, i] == _NONE
+        sig[empty, i] = sig[empty, (i + 1) % k]
+    out = np.zeros((lines, bands), U)
+    for i in range(rows):
+        out = mix(out + sig[:, i * bands : (i + 1) * bands] * U(2 * i + 1))
+    bits = np.zeros((lines, BITS), np.uint8)
+    bits[:, : min(k, BITS)] = sig[:, :BITS] & U(1)
+    sketch = np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
+    return (out >> U(32)).astype(np.uint32).view(np.int32), sketch
+
+
+def line_hashes(data: np.ndarray, offsets: np.ndarray, first: int, min_words: int, bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, ...]:
+    """(row, line number, id, bands, sketch) of the lines of min_words words or more in one chunk."""
     breaks = np.flatnonzero(data == 10)
     starts = np.union1d(offsets[:-1], breaks + 1)  # an empty text's start may be the next one's too
     starts = starts[starts < len(data)]
     row = np.searchsorted(offsets, starts, side="right") - 1
     number = np.arange(len(starts)) - np.searchsorted(starts, offsets[row])
+    data = _FOLD[data]
     c = hash_words(data, np.append(starts, len(data)), first, _WORD, _FOLD)
     count = np.diff(c.bound)
     line_of = np.repeat(np.arange(len(starts)), count)
@@ -55,50 +87,35 @@ def line_hashes(data: np.ndarray, offsets: np.ndarray, first: int, min_words: in
     whole = np.zeros(len(c.hash) + 1, U)
     np.cumsum(c.hash * steps[place] if len(c.hash) else c.hash, out=whole[1:])
     ids = mix(whole[c.bound[1:]] - whole[c.bound[:-1]] + count.astype(U))
-    long = np.flatnonzero(count >= min_words)
-    if not len(long):
-        return first + row[long], number[long], ids[long].view(np.int64), np.zeros(0, np.int64)
-    wanted = count[line_of] >= min_words
-    h, of = c.hash[wanted], line_of[wanted]
-    order = np.lexsort((h, of))
-    h, of = h[order], of[order]
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-    h, of = h[fresh], of[fresh]
-    heads = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-    sims = np.zeros(len(heads), U)
-    sizes = np.diff(np.append(heads, len(h)))
-    octets = np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)
-    for b in range(8):  # an eighth of the bits at a time keeps the unpacked array small
-        ones = np.add.reduceat(np.unpackbits(octets[:, b : b + 1], axis=1, bitorder="little"), heads, axis=0, dtype=np.int32)
-        sims |= np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").ravel().astype(U) << U(8 * b)
-    return first + row[long], number[long], ids[long].view(np.int64), sims.view(np.int64)
-
-
-def lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(rk, key, line, lid, sim) of the lines that count, from (rk, key, _text)."""
+    long = count >= min_words
+    some = np.flatnonzero(long)
+    # Bytes of the normalised lines that are long enough: words, and one separator before each but the first of a line.
+    keep = data != 0x20
+    keep[c.start[place > 0] - 1] = True
+    at = np.flatnonzero(keep)
+    mark = np.zeros(len(data) + 1, np.int32)
+    mark[starts] = 1
+    of = (np.cumsum(mark) - 1)[at]
+    at, of = at[long[of]], of[long[of]]
+    seat = np.cumsum(long) - 1
+    signed, sketch = bands_of(data[at], seat[of], int(long.sum()), bands, rows)
+    return first + row[some], number[some], ids[some].view(np.int64), signed, sketch
+
+
+def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
+    """(rk, key, line, lid, sim, bands) of the lines that count, from (rk, key, _text); sim is the sketch."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in byte_chunks(batch.column(2)):
-                row, number, ids, sims = line_hashes(data, offsets, first, min_words)
+                row, number, ids, signed, sketch = line_hashes(data, offsets, first, min_words, bands, rows)
                 at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(number.astype(np.int32)), pa.array(ids), pa.array(sims)], names=["rk", "key", "line", "lid", "sim"])
-
-    return docs.mapInArrow(make, f"rk long, key {docs.schema['key'].dataType.simpleString()}, line int, lid long, sim long")
-
+                ends = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * np.int32(bands))
+                lists = pa.ListArray.from_arrays(ends, pa.array(signed.ravel()))
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(number.astype(np.int32)), pa.array(ids), pa.array(sketch), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["rk", "key", "line", "lid", "sim", "bands"])
 
-def block_keys(sim: Column, blocks: int, distance: int) -> Column:
-    """The values of every choice of blocks - distance blocks of a SimHash, with the choice's number."""
-    edges = [BITS * i // blocks for i in range(blocks + 1)]
-    part = [F.shiftrightunsigned(sim, a).bitwiseAND((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    keys = []
-    for n, chosen in enumerate(combinations(range(blocks), blocks - distance)):
-        key = F.lit(n).cast("long")
-        for i in chosen:
-            key = key * (1 << (edges[i + 1] - edges[i])) + part[i]
-        keys.append(key)
-    return F.array(*keys)
+    return docs.mapInArrow(make, f"rk long, key {docs.schema['key'].dataType.simpleString()}, line int, lid long, sim long, bands array<int>")
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -171,9 +188,11 @@ def verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, percent: int
     return edges.join(left, "a").join(right, "b").select("a", "b", "norm_a", "norm_b").mapInArrow(check, "a long, b long")
 
 
-def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, distance: int, blocks: int, percent: int) -> DataFrame:
+def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, distance: int, percent: int) -> DataFrame:
     """Verified edges between distinct lines that connect whatever links connect."""
-    posted = classes.select("lid", "sim", F.explode(block_keys(F.col("sim"), blocks, distance)).alias("list"))
+    # The band's number above its 32 bits.
+    posted = classes.select("lid", "sim", F.posexplode("bands").alias("place", "band"))
+    posted = posted.select("lid", "sim", (F.shiftleft(F.col("place").cast("long"), 32) + F.col("band")).alias("list"))
     near = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= distance
     # A list of two lines beyond the distance, as chance makes them, is dropped before any line is joined to it.
     lists = posted.groupBy("list").agg(F.count("*").alias("m"), F.min("sim").alias("lo"), F.max("sim").alias("hi")).where((F.col("m") > 2) | ((F.col("m") > 1) & near("lo", "hi"))).select("list")
@@ -207,8 +226,9 @@ def dedup_lines(
     key: str = "doc_id",
     text: str = "text",
     min_words: int = 5,
-    distance: int = 3,
-    blocks: int = 6,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    distance: int = 24,
     percent: int = 80,
 ) -> DataFrame:
     """Every row of docs with its text less the repeated lines, and n_lines, n_dropped (its lines, and those that went).
@@ -221,15 +241,15 @@ def dedup_lines(
     docs = docs.drop("n_lines", "n_dropped")
     row_key = F.xxhash64(F.col(key), F.col(text))
     slim = docs.select(row_key.alias("rk"), F.col(key).alias("key"), F.col(text).alias("_text"))
-    found = stored(lines(slim, min_words), "lines")
-    classes = stored(found.groupBy("lid").agg(F.min(F.struct("key", "rk", "line")).alias("first"), F.first("sim").alias("sim"), F.count("*").alias("m")), "line-classes")
-    edges = fuzzy_edges(classes, slim, distance=distance, blocks=blocks, percent=percent)
+    found = stored(lines(slim, min_words, bands, rows), "lines")
+    classes = stored(found.groupBy("lid").agg(F.min(F.struct("key", "rk", "line")).alias("first"), F.first("sim").alias("sim"), F.first("bands").alias("bands"), F.count("*").alias("m")), "line-classes")
+    edges = fuzzy_edges(classes, slim, distance=distance, percent=percent)
     group = components(edges).withColumnRenamed("id", "lid")
     # A class alone in its group is one of its own; only groups of two lines or more can lose any.
-    grouped = classes.join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+    grouped = classes.drop("bands").join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
     stays = grouped.groupBy("component").agg(F.min("first").alias("stays"), F.sum("m").alias("all")).where(F.col("all") > 1)
     repeated = grouped.select("lid", "component").join(stays, "component").select("lid", F.col("stays.rk").alias("stay_rk"), F.col("stays.line").alias("stay_line"))
-    goes = found.join(repeated, "lid").where((F.col("rk") != F.col("stay_rk")) | (F.col("line") != F.col("stay_line")))
+    goes = found.select("rk", "line", "lid").join(repeated, "lid").where((F.col("rk") != F.col("stay_rk")) | (F.col("line") != F.col("stay_line")))
     dropped = stored(goes.groupBy("rk").agg(F.collect_set("line").alias("_dropped")), "dropped-lines").withColumnRenamed("rk", "_rk")
     rows, total = dropped.agg(F.count("*"), F.coalesce(F.sum(F.size("_dropped")), F.lit(0))).first()
     if rows <= BROADCAST_ROWS and total <= 8 * BROADCAST_ROWS:
