@@ -1,9 +1,9 @@
 """Fuzzy line deduplication: MinHash bands of byte windows, edit similarity, connected groups.
 
 1. One vectorised pass normalises every line (letters A-Z lower-cased, digits alike, ASCII punctuation and white space as
-   one separator) and gives it a 64-bit id, MinHash bands of its windows of 8 bytes, and a sketch of 64 bits.  Lines of
-   fewer than ``min_words`` words are left alone: so short a line recurs by chance.
-2. Equal lines fall together by a sum per id.  Distinct lines are posted under each of their bands.
+   one separator) and gives it a 64-bit id, MinHash bands of its windows of 8 bytes, and a sketch of 64 bits.
+2. Equal lines of any length, one word or more, fall together by a sum per id.  Distinct lines of ``min_words`` words or
+   more are posted under each of their bands; each character of a script without spaces counts as a word.
 3. Lines of a list link to its smallest member first, then across what is still apart; lines of which more than
    ``distance`` sketch bits differ (chance makes 32) aren't compared.  The edit similarity of the normalised lines
    (Levenshtein over the longer length) decides.
@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,34 @@ _STEP = 0xD6E8FEB86659FD93
 _NONE = U(2**64 - 1)
 
 
+#: CJK and full-width punctuation, which separates too.
+_WIDE = re.compile(rb"\xe3\x80[\x80-\x84\x88-\xa0\xb0]|\xef\xbc[\x81-\x8f\x9a-\xa0\xbb-\xbf]|\xef\xbd[\x80\x9b-\xa5]")
+
+
 def normalised(line: bytes) -> str:
-    return b" ".join(line.translate(_FOLD.tobytes()).split()).decode("utf-8", "replace")
+    return b" ".join(_WIDE.sub(b" ", line).translate(_FOLD.tobytes()).split()).decode("utf-8", "replace")
+
+
+def folded(data: np.ndarray) -> np.ndarray:
+    """What each byte counts as, wide punctuation included."""
+    out = _FOLD[data]
+    if len(data) and data.max() >= 0xE3:
+        for m in _WIDE.finditer(data.tobytes()):
+            out[m.start() : m.end()] = 0x20
+    return out
+
+
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """How many characters of scripts without spaces begin before each byte, and at the end."""
+    total = np.zeros(len(data) + 1, np.int64)
+    if len(data) and data.max() >= 0xE0:
+        after = np.append(data[1:], np.uint8(0))
+        # Kana and Han; Thai and Lao; Myanmar; Khmer; Han beyond the basic plane.
+        begins = ((data >= 0xE3) & (data <= 0xE9)) | ((data == 0xE0) & (after >= 0xB8) & (after <= 0xBB))
+        begins |= (data == 0xE1) & (((after >= 0x80) & (after <= 0x82)) | (after == 0x9E) | (after == 0x9F))
+        begins |= (data == 0xF0) & (after >= 0xA0)
+        np.cumsum(begins, out=total[1:])
+    return total
 
 
 def bands_of(data: np.ndarray, line_of: np.ndarray, lines: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,13 +98,13 @@ def bands_of(data: np.ndarray, line_of: np.ndarray, lines: int, bands: int, rows
 
 
 def line_hashes(data: np.ndarray, offsets: np.ndarray, first: int, min_words: int, bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, ...]:
-    """(row, line number, id, bands, sketch) of the lines of min_words words or more in one chunk."""
+    """(row, line number, id, whether long enough for fuzzy links, bands and sketch of those) of the lines with words in one chunk."""
     breaks = np.flatnonzero(data == 10)
     starts = np.union1d(offsets[:-1], breaks + 1)  # an empty text's start may be the next one's too
     starts = starts[starts < len(data)]
     row = np.searchsorted(offsets, starts, side="right") - 1
     number = np.arange(len(starts)) - np.searchsorted(starts, offsets[row])
-    data = _FOLD[data]
+    data = folded(data)
     c = hash_words(data, np.append(starts, len(data)), first, _WORD, _FOLD)
     count = np.diff(c.bound)
     line_of = np.repeat(np.arange(len(starts)), count)
@@ -87,8 +114,10 @@ def line_hashes(data: np.ndarray, offsets: np.ndarray, first: int, min_words: in
     whole = np.zeros(len(c.hash) + 1, U)
     np.cumsum(c.hash * steps[place] if len(c.hash) else c.hash, out=whole[1:])
     ids = mix(whole[c.bound[1:]] - whole[c.bound[:-1]] + count.astype(U))
-    long = count >= min_words
-    some = np.flatnonzero(long)
+    before = unspaced(data)
+    sizes = np.concatenate([[0], np.cumsum(np.maximum(1, before[c.end] - before[c.start]))])
+    long = sizes[c.bound[1:]] - sizes[c.bound[:-1]] >= max(1, min_words)
+    some = np.flatnonzero(count)
     # Bytes of the normalised lines that are long enough: words, and one separator before each but the first of a line.
     keep = data != 0x20
     keep[c.start[place > 0] - 1] = True
@@ -99,20 +128,21 @@ def line_hashes(data: np.ndarray, offsets: np.ndarray, first: int, min_words: in
     at, of = at[long[of]], of[long[of]]
     seat = np.cumsum(long) - 1
     signed, sketch = bands_of(data[at], seat[of], int(long.sum()), bands, rows)
-    return first + row[some], number[some], ids[some].view(np.int64), signed, sketch
+    return first + row[some], number[some], ids[some].view(np.int64), long[some], signed, sketch
 
 
 def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
-    """(rk, key, line, lid, sim, bands) of the lines that count, from (rk, key, _text); sim is the sketch."""
+    """(rk, key, line, lid, sim, bands) of the lines with words, from (rk, key, _text); sim is the sketch, null with bands where a line is short."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in byte_chunks(batch.column(2)):
-                row, number, ids, signed, sketch = line_hashes(data, offsets, first, min_words, bands, rows)
+                row, number, ids, long, signed, sketch = line_hashes(data, offsets, first, min_words, bands, rows)
                 at = pa.array(row)
-                ends = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * np.int32(bands))
-                lists = pa.ListArray.from_arrays(ends, pa.array(signed.ravel()))
-                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(number.astype(np.int32)), pa.array(ids), pa.array(sketch), lists]
+                seat = pa.array(np.cumsum(long) - 1, mask=~long)
+                ends = pa.array(np.arange(len(signed) + 1, dtype=np.int32) * np.int32(bands))
+                lists = pa.ListArray.from_arrays(ends, pa.array(signed.ravel())).take(seat)
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(number.astype(np.int32)), pa.array(ids), pa.array(sketch).take(seat), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["rk", "key", "line", "lid", "sim", "bands"])
 
     return docs.mapInArrow(make, f"rk long, key {docs.schema['key'].dataType.simpleString()}, line int, lid long, sim long, bands array<int>")

@@ -48,3 +48,10 @@ def test_line_dedup_whole_table():
     *_, bands, sketch = line_dedup.line_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 0, 5)
     near = sum((bands[i] == bands[j]).any() and ((int(sketch[i]) ^ int(sketch[j])) & (2**64 - 1)).bit_count() <= 24 for i, j in pairs)
     assert len(pairs) > 40 and near >= 0.95 * len(pairs)
+
+
+def test_line_dedup_short_and_unspaced(spark):
+    first, copy = "今天天气很好，我们一起去公园散步吧。", "今天天气很好、我们一起去公园散步！"
+    rows = [(1, "All rights reserved.\nand\n\n" + first), (2, "all rights, reserved\nand more\n\n" + copy), (3, "and\n" + first)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "and more\n", 3: ""}
