@@ -1,7 +1,7 @@
 """Toxicity by a noisy channel: restore disguised words with a character language model, then score restored text.
 
 1. A character trigram model is counted over all documents (one vectorised pass, counts summed by Spark).
-2. Tokens that may be disguised (digits or signs inside, letters three times over, letters spaced out) become character
+2. Tokens that may be disguised (digits or signs inside, doubled letters, letters spaced out) become character
    lattices; Viterbi decoding under the trigram model picks the reading.  A token of plain letters has a lattice of one
    path and stands for itself.
 3. Words and word beginnings of the restored texts of labelled documents get log-odds weights, kept where the evidence
@@ -81,22 +81,24 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-_SPACED = re.compile(r"(?<!\S)[^\W_](?:\s[^\W_]){2,}(?!\S)")
-_SEPARATED = re.compile(r"[^\W_](?:[.\-_*~][^\W_]){2,}")
+_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(€£])(?:\s+(?:[^\W_]|[@$!|+(€£])){2,}(?!\S)")
+_SEPARATED = re.compile(r"[^\W_](?:[.\-_*~]+[^\W_]){2,}")
 _BETWEEN = re.compile(r"[\s.\-_*~]")
-_RUN = re.compile(r"([^\W\d_])\1\1")
+_RUN = re.compile(r"([^\W\d_])\1", re.I)
 _INSIDE = re.compile(r"[^\W\d_][\d@$!|+(€£]+[^\W\d_]|^[\d@$!|+(€£]+[^\W\d_]|[^\W\d_][013457@$|]$")
 _WORDISH = re.compile(r"[^\W\d_]+")
 _EDGE = re.compile(r"^[.,;:?\"'*#%&\-_()\[\]]+|(?:[.,;:?\"'*#%&\-_()\[\]!]|([$@|+])\1+)+$")
 
 
-def decode(token: str, lm: np.ndarray) -> str:
+def decode(token: str, lm: np.ndarray, several: bool = False) -> str:
     """The likeliest reading of one token: Viterbi over its character lattice.
 
     Each input character offers itself (letters), the letters it may stand for (at a cost), or nothing (separators and
     repetitions, at a cost).  The state is the last two characters of the reading; the reading is wrapped in spaces.
+    With ``several`` a space may follow any letter, so that the reading may be of several words.  Readings are chains of
+    (chain before, character): time and memory grow with the length.
     """
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     before = ""
     for ch in token.lower():
         options = [(ch, 0.0)] if ch in CODE else []
@@ -104,7 +106,7 @@ def decode(token: str, lm: np.ndarray) -> str:
         skip = SQUEEZE if ch == before else DROP if ch not in CODE else None
         if not options and skip is None:
             options = [("", DROP)]
-        following: dict[tuple[int, int], tuple[float, str]] = {}
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, read) in states.items():
             if skip is not None and cost + skip < following.get((a, b), (math.inf,))[0]:
                 following[a, b] = (cost + skip, read)
@@ -112,9 +114,19 @@ def decode(token: str, lm: np.ndarray) -> str:
                 i = CODE.get(c, 1)
                 total = cost + extra - float(lm[a, b, i])
                 if total < following.get((b, i), (math.inf,))[0]:
-                    following[b, i] = (total, read + c)
+                    following[b, i] = (total, (read, c) if c else read)
+        if several:
+            for (a, b), (cost, read) in list(following.items()):
+                total = cost - float(lm[a, b, 0])
+                if b and total < following.get((b, 0), (math.inf,))[0]:
+                    following[b, 0] = (total, (read, " "))
         states, before = following, ch
-    return min(states.items(), key=lambda s: s[1][0] - float(lm[s[0][0], s[0][1], 0]))[1][1]
+    chain = min(states.items(), key=lambda s: s[1][0] - (float(lm[s[0][0], s[0][1], 0]) if s[0][1] else 0.0))[1][1]
+    out = []
+    while chain:
+        chain, c = chain
+        out.append(c)
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -128,18 +140,23 @@ class Restorer:
         core = _EDGE.sub("", token)
         if core.isalpha() and not _RUN.search(core):
             return [core.lower()]
-        if len(core) > 64 or 2 * sum(map(str.isalnum, core)) < len(core):
-            return _WORDISH.findall(core.lower())
         if _SEPARATED.fullmatch(core):
-            return [decode(_BETWEEN.sub("", core), self.lm)]
+            return self.run(core)
+        if 2 * sum(map(str.isalnum, core)) < len(core):
+            return _WORDISH.findall(core.lower())
         letters = sum(map(str.isalpha, core))
         if _RUN.search(core) or (_INSIDE.search(core) and letters > 1 and 3 * letters >= len(core)):
             return [decode(core, self.lm), *_WORDISH.findall(core.lower())]
         return _WORDISH.findall(core.lower())
 
+    def run(self, run: str) -> list[str]:
+        """The words that letters set apart read as: as one word, and as the likeliest words."""
+        letters = _BETWEEN.sub("", run)
+        return [decode(letters, self.lm), *decode(letters, self.lm, several=True).split()]
+
     def spaced(self, text: str) -> list[str]:
-        """Readings of runs of single letters set apart by white space."""
-        return [decode(_BETWEEN.sub("", m), self.lm) for m in _SPACED.findall(text) if len(m) <= 128]
+        """Readings of runs of single letters or signs set apart by white space."""
+        return [w for m in _SPACED.findall(text) for w in self.run(m)]
 
     def words(self, text: str) -> set[str]:
         """The distinct words of the restored text."""

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow.parquet as pq
 
-from lineagrid.llm import line_dedup
+from lineagrid.llm import line_dedup, toxicity
 
 
 def test_line_dedup_reaches_similar_lines(spark):
@@ -55,3 +55,16 @@ def test_line_dedup_short_and_unspaced(spark):
     rows = [(1, "All rights reserved.\nand\n\n" + first), (2, "all rights, reserved\nand more\n\n" + copy), (3, "and\n" + first)]
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: rows[0][1], 2: "and more\n", 3: ""}
+
+
+def test_toxicity_disguises(spark):
+    plain = "what a moron he is and you idiot are so stupid that the trash was a good read for you and a man "
+    restore = toxicity.Restorer(toxicity.language_model(spark.createDataFrame([(plain * 50,)], "text string")))
+    sentence = " ".join("you are so stupid that the trash was good and you idiot are a moron he is and was a man".replace(" ", ""))
+    cases = {
+        "a m o r o n": "moron", "y o u i d i o t": "idiot", "i  d  i  o  t": "idiot", "m o r @ n s t u p ! d": "stupid", sentence: "idiot",
+        "ssttuuppiidd": "stupid", "Iiddiioott": "idiot", "i--d--i--o--t": "idiot", "y.o.u.i.d.i.o.t": "idiot", "idi" + "o" * 200 + "t": "idiot",
+    }
+    assert [c for c, word in cases.items() if word not in restore.words(f"well {c} then")] == []
+    assert len(sentence) > 128
+    assert restore.words("x1" * 100_000)
