@@ -20,8 +20,19 @@ from pyspark.sql import functions as F
 from .shared import stored
 from .textvec import LETTERS_DIGITS, U, chunks, hash_words, mix
 
-#: Fixed masks: 1 compares a word, 0 ignores it.  Wherever two of 13 words are substituted, one of these still fits.
-MASKS = ("11110111", "1100101111", "10111001011")
+#: Fixed masks by the words of a window (an item's, up to 13): 1 compares a word, 0 ignores it.  Wherever words are
+#: substituted with 75 % of the window left equal, one mask of its family still fits somewhere inside the window.
+MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111"),
+    8: ("11011", "1111", "1100011"),
+    9: ("111011", "1001111", "11010011", "111101"),
+    10: ("111011", "11010011", "11111"),
+    11: ("1110111", "111001011", "1011111", "111111"),
+    12: ("111011", "110100011", "11001011", "110111"),
+    13: ("11101011", "1100100111", "111111", "1011000111", "111000101001", "11101101"),
+}
 _WORD = LETTERS_DIGITS != 0x20
 _STEP = mix(np.arange(1, 65, dtype=U)) | U(1)
 
@@ -48,13 +59,13 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], least: int):
         self.ids, self.words = [], []
         hashes, item, place = [], [], []
-        self.masks = list(MASKS)
+        self.masks: list[str] = []
         for i, text in items:
             data = np.frombuffer(text.encode(), np.uint8)
             w = hash_words(data, np.array([0, len(data)]), 0, _WORD, LETTERS_DIGITS).hash
             if len(w) < least:
                 continue
-            own = [m for m in MASKS if len(m) <= len(w)] or ["1" * len(w)]
+            own = MASKS.get(min(len(w), max(MASKS)), ("1" * len(w),))
             self.masks += [m for m in own if m not in self.masks]
             for m in own:
                 h = window_hashes(w, m)

@@ -1,11 +1,12 @@
 """What the corpus operators reach, counted without the filters that make them fast."""
 
+import itertools
 import random
 
 import numpy as np
 import pyarrow.parquet as pq
 
-from lineagrid.llm import line_dedup, toxicity
+from lineagrid.llm import decontaminate, line_dedup, toxicity
 
 
 def test_line_dedup_reaches_similar_lines(spark):
@@ -68,3 +69,16 @@ def test_toxicity_disguises(spark):
     assert [c for c, word in cases.items() if word not in restore.words(f"well {c} then")] == []
     assert len(sentence) > 128
     assert restore.words("x1" * 100_000)
+
+
+def test_decontaminate_seeds_reach_the_rule():
+    """Every choice of substituted words that leaves 75 % of a window equal is hit by a seed."""
+    for n in range(5, 17):
+        width = min(n, 13)
+        words = " ".join(f"w{i}" for i in range(n))
+        index = decontaminate.Index([(1, words)], 5)
+        for gone in itertools.combinations(range(width), width - -(-75 * width // 100)):
+            text = " ".join("x" if i in gone or i >= width else f"w{i}" for i in range(n)).encode()
+            found = decontaminate.hash_words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 0, decontaminate._WORD, decontaminate.LETTERS_DIGITS).hash
+            hits = index.hits(found, np.zeros(len(found), int)).tolist()
+            assert [0, 0, 0] in hits and decontaminate.overlap(index.words[0], found, 0, 0, n, 13, 75)[0], (n, gone)
