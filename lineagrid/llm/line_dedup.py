@@ -1,17 +1,22 @@
-"""Fuzzy line deduplication: MinHash bands of byte windows, edit similarity, connected groups.
-
-1. One vectorised pass normalises every line (letters A-Z lower-cased, digits alike, ASCII punctuation and white space as
-   one separator) and gives it a 64-bit id, MinHash bands of its windows of 8 bytes, and a sketch of 64 bits.
-2. Equal lines of any length, one word or more, fall together by a sum per id.  Distinct lines of ``min_words`` words or
-   more are posted under each of their bands; each character of a script without spaces counts as a word.
-3. Lines of a list link to its smallest member first, then across what is still apart; lines of which more than
-   ``distance`` sketch bits differ (chance makes 32) aren't compared.  The edit similarity of the normalised lines
-   (Levenshtein over the longer length) decides.
-4. The first occurrence of each connected group stays, in order of document key and line number; the others go.
+"""Fuzzy line deduplication: SimHash of normalised lines, pigeonhole blocks, edit similarity, connected groups.
+
+1. Lines are normalised (letters A-Z lower-cased, ASCII punctuation and white space as one separator) and get a 64-bit
+   id; equal lines of any length, one word or more, fall together by a sum per id.
+2. The words of a line of ``min_words`` words or more are dealt by their hashes to the blocks of a SimHash; a word votes
+   on the bits of its own block only, so a changed word leaves the other blocks as they were, wherever it stands.  Lines
+   that share enough whole blocks meet: 3 of 6 for short lines, 2 of 8 for middling ones, 1 of as many as a line has room
+   for where it is long.  Each character of a script without spaces counts as a word.
+3. A line's keys, one for each choice of blocks with words enough, are sent in packed rows to buckets of about equal size;
+   keys of one line only, nearly all, end there.
+4. A line is compared with the member it shares most lists with first, then across what is still apart in its lists.
+   Lines of which more than ``distance`` bits of a second SimHash differ (chance makes 60) or whose lengths rule it out
+   aren't compared.  The edit similarity of the normalised lines (Levenshtein over the longer length) decides.
+5. The first occurrence of each connected group stays, in order of document key and line number; the others go.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -23,19 +28,20 @@ from pyspark.sql import functions as F
 from .components import components
 from .minhash import BROADCAST_IDS
 from .shared import forget, stored
-from .textvec import LETTERS_DIGITS, U, byte_chunks, hash_words, mix
+from .textvec import LETTERS_DIGITS, Chunk, U, byte_chunks, hash_words, mix
 
-BITS = 64
-#: Bytes of a window whose hashes are compared, and how many bands of how many MinHash values a line is posted under.
-SHINGLE, BANDS, ROWS = 8, 20, 3
 #: Up to so many documents that lose lines (8 lines each on average, under 32 MB) their line numbers are broadcast; else joined.
 BROADCAST_ROWS = 300_000
-#: What each byte counts as: letters and bytes of other scripts make words, digits are alike, the rest separates.
-_FOLD = LETTERS_DIGITS.copy()
-_FOLD[48:58] = 48
-_WORD = _FOLD != 0x20
+#: (blocks, blocks of a key, letters a key needs, fewest words, most words) of short and middling lines; words under 4
+#: letters don't count as letters.  Long lines have 16, 32, 64, ... blocks, one a key, from 1.5 to 5 words a block.
+FAMILIES = ((6, 3, 7, 5, 12), (8, 2, 12, 8, 48))
+LONG_BLOCKS, LONG_LETTERS, FEWEST, MOST = 16, 16, 1.5, 5
+#: Postings of a packed bucket, and lines under one key in one part from which they don't go to the key's bucket.
+BUCKET, HOT = 1 << 20, 32
+#: Bytes from which two lines are compared whatever their sketches.
+LONG_LINE = 1 << 14
+_WORD = LETTERS_DIGITS != 0x20
 _STEP = 0xD6E8FEB86659FD93
-_NONE = U(2**64 - 1)
 
 
 #: CJK and full-width punctuation, which separates too.
@@ -43,109 +49,160 @@ _WIDE = re.compile(rb"\xe3\x80[\x80-\x84\x88-\xa0\xb0]|\xef\xbc[\x81-\x8f\x9a-\x
 
 
 def normalised(line: bytes) -> str:
-    return b" ".join(_WIDE.sub(b" ", line).translate(_FOLD.tobytes()).split()).decode("utf-8", "replace")
+    return b" ".join(_WIDE.sub(b" ", line).translate(LETTERS_DIGITS.tobytes()).split()).decode("utf-8", "replace")
 
 
 def folded(data: np.ndarray) -> np.ndarray:
     """What each byte counts as, wide punctuation included."""
-    out = _FOLD[data]
+    out = LETTERS_DIGITS[data]
     if len(data) and data.max() >= 0xE3:
         for m in _WIDE.finditer(data.tobytes()):
             out[m.start() : m.end()] = 0x20
     return out
 
 
-def unspaced(data: np.ndarray) -> np.ndarray:
-    """How many characters of scripts without spaces begin before each byte, and at the end."""
-    total = np.zeros(len(data) + 1, np.int64)
-    if len(data) and data.max() >= 0xE0:
-        after = np.append(data[1:], np.uint8(0))
-        # Kana and Han; Thai and Lao; Myanmar; Khmer; Han beyond the basic plane.
-        begins = ((data >= 0xE3) & (data <= 0xE9)) | ((data == 0xE0) & (after >= 0xB8) & (after <= 0xBB))
-        begins |= (data == 0xE1) & (((after >= 0x80) & (after <= 0x82)) | (after == 0x9E) | (after == 0x9F))
-        begins |= (data == 0xF0) & (after >= 0xA0)
-        np.cumsum(begins, out=total[1:])
-    return total
+def unspaced_cuts(data: np.ndarray) -> np.ndarray | None:
+    """Where a word begins because a character of a script without spaces does, or ends before it; None for no such text."""
+    if not len(data) or data.max() < 0xE0:
+        return None
+    after = np.append(data[1:], np.uint8(0))
+    # Kana and Han; Thai and Lao; Myanmar; Khmer; Han beyond the basic plane.
+    begins = ((data >= 0xE3) & (data <= 0xE9)) | ((data == 0xE0) & (after >= 0xB8) & (after <= 0xBB))
+    begins |= (data == 0xE1) & (((after >= 0x80) & (after <= 0x82)) | (after == 0x9E) | (after == 0x9F))
+    begins |= (data == 0xF0) & (after >= 0xA0)
+    cut = begins.copy()
+    chars = np.flatnonzero((data & 0xC0) != 0x80)
+    cut[chars[1:]] |= begins[chars[:-1]]
+    return cut
 
 
-def bands_of(data: np.ndarray, line_of: np.ndarray, lines: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(lines, bands) of MinHash bands of the SHINGLE-byte windows of normalised lines, one hash dealt to bands * rows bins.
-
-    Two lines agree on a band with the power ``rows`` of the Jaccard similarity of their windows.  An empty bin takes
-    what the next one holds; neighbouring bins are in different bands.  Also a sketch of a line, a bit of each of the first BITS bins.
-    """
-    k = bands * rows
-    sig = np.full(lines * k, _NONE, U)
-    n = len(data) - SHINGLE + 1
-    if n > 0:
-        h = np.zeros(n, U)
-        for i in range(SHINGLE):
-            h |= data[i : i + n].astype(U) << U(8 * i)
-        inside = line_of[:n] == line_of[SHINGLE - 1 :]
-        h, of = mix(h[inside]), line_of[:n][inside].astype(np.int64)
-        np.minimum.at(sig, of * k + ((h >> U(32)) * U(k) >> U(32)).astype(np.int64), mix(h + U(_STEP)) >> U(1))
-    sig = sig.reshape(lines, k)
-    for i in (*range(k - 1, -1, -1), *range(k - 1, -1, -1)):
-        empty = sig[:, i] == _NONE
-        sig[empty, i] = sig[empty, (i + 1) % k]
-    out = np.zeros((lines, bands), U)
-    for i in range(rows):
-        out = mix(out + sig[:, i * bands : (i + 1) * bands] * U(2 * i + 1))
-    bits = np.zeros((lines, BITS), np.uint8)
-    bits[:, : min(k, BITS)] = sig[:, :BITS] & U(1)
-    sketch = np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
-    return (out >> U(32)).astype(np.uint32).view(np.int32), sketch
-
-
-def line_hashes(data: np.ndarray, offsets: np.ndarray, first: int, min_words: int, bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, ...]:
-    """(row, line number, id, whether long enough for fuzzy links, bands and sketch of those) of the lines with words in one chunk."""
+def line_words(data: np.ndarray, offsets: np.ndarray) -> tuple[Chunk, np.ndarray, np.ndarray]:
+    """The words of one chunk by lines, and each line's row and number in it."""
     breaks = np.flatnonzero(data == 10)
     starts = np.union1d(offsets[:-1], breaks + 1)  # an empty text's start may be the next one's too
     starts = starts[starts < len(data)]
     row = np.searchsorted(offsets, starts, side="right") - 1
     number = np.arange(len(starts)) - np.searchsorted(starts, offsets[row])
     data = folded(data)
-    c = hash_words(data, np.append(starts, len(data)), first, _WORD, _FOLD)
+    return hash_words(data, np.append(starts, len(data)), 0, _WORD, LETTERS_DIGITS, unspaced_cuts(data)), row, number
+
+
+def line_ids(c: Chunk) -> np.ndarray:
+    """The word hashes times powers of an odd number, by position in the line."""
     count = np.diff(c.bound)
-    line_of = np.repeat(np.arange(len(starts)), count)
-    # Id: the word hashes times powers of an odd number, by position in the line.
+    if not len(c.hash):
+        return np.zeros(len(count), U)
     place = np.arange(len(c.hash)) - np.repeat(c.bound[:-1], count)
-    steps = np.multiply.accumulate(np.full(int(count.max()) if len(count) else 1, _STEP, U)) if len(c.hash) else np.zeros(1, U)
+    steps = np.multiply.accumulate(np.full(int(count.max()), _STEP, U))
     whole = np.zeros(len(c.hash) + 1, U)
-    np.cumsum(c.hash * steps[place] if len(c.hash) else c.hash, out=whole[1:])
-    ids = mix(whole[c.bound[1:]] - whole[c.bound[:-1]] + count.astype(U))
-    before = unspaced(data)
-    sizes = np.concatenate([[0], np.cumsum(np.maximum(1, before[c.end] - before[c.start]))])
-    long = sizes[c.bound[1:]] - sizes[c.bound[:-1]] >= max(1, min_words)
-    some = np.flatnonzero(count)
-    # Bytes of the normalised lines that are long enough: words, and one separator before each but the first of a line.
-    keep = data != 0x20
-    keep[c.start[place > 0] - 1] = True
-    at = np.flatnonzero(keep)
-    mark = np.zeros(len(data) + 1, np.int32)
-    mark[starts] = 1
-    of = (np.cumsum(mark) - 1)[at]
-    at, of = at[long[of]], of[long[of]]
-    seat = np.cumsum(long) - 1
-    signed, sketch = bands_of(data[at], seat[of], int(long.sum()), bands, rows)
-    return first + row[some], number[some], ids[some].view(np.int64), long[some], signed, sketch
-
-
-def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
-    """(rk, key, line, lid, sim, bands) of the lines with words, from (rk, key, _text); sim is the sketch, null with bands where a line is short."""
+    np.cumsum(c.hash * steps[place], out=whole[1:])
+    return mix(whole[c.bound[1:]] - whole[c.bound[:-1]] + count.astype(U))
+
+
+class Lanes:
+    """Sums of bits, several side by side in one float64 of 53 exact bits: a sum of ``width`` bits for each of ``bits`` bits."""
+
+    def __init__(self, bits: int, width: int):
+        self.bits, self.width = bits, width
+        values = np.arange(1 << bits)
+        self.of = sum(((values >> j) & 1).astype(np.float64) * 2.0 ** (width * j) for j in range(bits))
+        self.ones = sum(1 << (width * j) for j in range(bits))
+        self.half = 1 << (width - 1)
+
+    def majority(self, words: np.ndarray, shift: int, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """For each group the bits, spread over the lanes' upper ends, that more than half of its words have."""
+        part = ((words >> U(shift)) & U((1 << self.bits) - 1)).astype(np.int64)
+        sums = np.bincount(at, weights=self.of[part], minlength=len(size)).astype(np.int64)
+        lift = (self.half - 1 - np.minimum(size >> 1, self.half - 1)) * self.ones
+        return (sums + lift).astype(U) & U(self.ones * self.half)
+
+
+_BLOCK, _SKETCH = Lanes(8, 6), Lanes(5, 10)
+
+
+def dealt(words: np.ndarray, line: np.ndarray, lines: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words hashed anew for this number of blocks, the block that each is dealt to, and the words of each block."""
+    h = mix(words + U(blocks))
+    at = line * blocks + ((h >> U(40)) * U(blocks) >> U(24)).astype(np.int64)
+    return h, at, np.bincount(at, minlength=lines * blocks)
+
+
+def line_keys(c: Chunk, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of each choice of blocks with letters enough, of lines of ``min_words`` words or more."""
+    count = np.diff(c.bound)
+    length = c.end - c.start
+    letters = np.where(length >= 4, length, _unspaced(c, length)).astype(float)
+    line_of = np.repeat(np.arange(len(count)), count)
+    families, blocks = list(FAMILIES), LONG_BLOCKS
+    while len(count) and FEWEST * blocks <= count.max():
+        families.append((blocks, 1, LONG_LETTERS, FEWEST * blocks, MOST * blocks))
+        blocks *= 2
+    rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, U)]
+    for blocks, chosen, least, lo, hi in families:
+        of = np.flatnonzero((count >= max(min_words, lo)) & (count < hi))
+        if not len(of):
+            continue
+        seat = np.full(len(count), -1)
+        seat[of] = np.arange(len(of))
+        inside = np.flatnonzero(seat[line_of] >= 0)
+        h, at, size = dealt(c.hash[inside], seat[line_of[inside]], len(of), blocks)
+        held = np.bincount(at, weights=letters[inside], minlength=len(size)).reshape(-1, blocks)
+        bits = size.astype(U)
+        for shift in (0, 8, 16, 24):
+            bits = bits * U(_STEP) + _BLOCK.majority(h, shift, at, size)
+        bits = bits.reshape(-1, blocks)
+        for n, choice in enumerate(itertools.combinations(range(blocks), chosen)):
+            some = np.flatnonzero(held[:, choice].sum(1) >= least)
+            key = np.full(len(some), 1_000_003 * blocks + n, U)
+            for i in choice:
+                key = mix(key + bits[some, i])
+            rows.append(of[some])
+            keys.append(key)
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def _unspaced(c: Chunk, length: np.ndarray) -> np.ndarray:
+    """The bytes of a word of one character of a script without spaces, else 0."""
+    return np.where((length == 3) & (c.data[c.start] >= 0xE0), length, 0) if len(length) else length
+
+
+def sketches(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """A second SimHash of every line in two halves of 60 bits: 8 blocks of 15 bits."""
+    count = np.diff(c.bound)
+    h, at, size = dealt(c.hash, np.repeat(np.arange(len(count)), count), len(count), 8)
+    bits = np.zeros(len(size), U)
+    for k in range(3):
+        # Lanes end at bits 9, 19, ...: five of them moved to bits k, k + 3, ... of the block's 15.
+        spread = _SKETCH.majority(h, 5 * k, at, size)
+        for j in range(5):
+            bits |= ((spread >> U(10 * j + 9)) & U(1)) << U(3 * j + k)
+    bits = bits.reshape(-1, 8)
+    return tuple(sum(bits[:, half + i] << U(15 * i) for i in range(4)).astype(np.int64) for half in (0, 4))
+
+
+def sizes(c: Chunk) -> np.ndarray:
+    """The characters of every normalised line: those of its words, and one between two stretches of words."""
+    word = _WORD[c.data]
+    before = np.zeros(len(word), bool)
+    before[1:] = word[:-1]
+    before[c.offsets[:-1]] = False
+    total = np.concatenate([[0], np.cumsum((word & ((c.data & 0xC0) != 0x80)).astype(np.int64) + (word & ~before))])
+    return total[c.offsets[1:]] - total[c.offsets[:-1]] - (np.diff(c.bound) > 0)
+
+
+def lines(docs: DataFrame) -> DataFrame:
+    """(rk, key, line, lid, sim0, sim1, size) of the lines with words, from (rk, key, _text); size in characters of the normalised line."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in byte_chunks(batch.column(2)):
-                row, number, ids, long, signed, sketch = line_hashes(data, offsets, first, min_words, bands, rows)
-                at = pa.array(row)
-                seat = pa.array(np.cumsum(long) - 1, mask=~long)
-                ends = pa.array(np.arange(len(signed) + 1, dtype=np.int32) * np.int32(bands))
-                lists = pa.ListArray.from_arrays(ends, pa.array(signed.ravel())).take(seat)
-                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(number.astype(np.int32)), pa.array(ids), pa.array(sketch).take(seat), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["rk", "key", "line", "lid", "sim", "bands"])
+                c, row, number = line_words(data, offsets)
+                some = np.flatnonzero(np.diff(c.bound))
+                made = [number[some].astype(np.int32), line_ids(c)[some].view(np.int64), *(s[some] for s in sketches(c)), sizes(c)[some].astype(np.int32)]
+                at = pa.array(first + row[some])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, made)], names=["rk", "key", "line", "lid", "sim0", "sim1", "size"])
 
-    return docs.mapInArrow(make, f"rk long, key {docs.schema['key'].dataType.simpleString()}, line int, lid long, sim long, bands array<int>")
+    return docs.mapInArrow(make, f"rk long, key {docs.schema['key'].dataType.simpleString()}, line int, lid long, sim0 long, sim1 long, size int")
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -218,33 +275,109 @@ def verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, percent: int
     return edges.join(left, "a").join(right, "b").select("a", "b", "norm_a", "norm_b").mapInArrow(check, "a long, b long")
 
 
-def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, distance: int, percent: int) -> DataFrame:
+def packed(keys: np.ndarray, ids: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, keys, ids) rows of postings, each key in the bucket of its upper bits.
+
+    The lines of a hot key come in rows with negative buckets of their own; the key's bucket gets two of them, so that a
+    line that other parts hold isn't alone there.  A key is sent without its bucket's bits, as its next 32.
+    """
+    order = np.lexsort((ids, keys))
+    keys, ids = _once(keys[order], ids[order])
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+    held = np.diff(np.append(start, len(keys)))
+    many = np.repeat(held >= HOT, held)
+    lists = keys >> U(32 - bits)
+    for at in range(0, int(many.sum()), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        yield -1 - int(ids[many][at] >> U(33)), lists[many][part].tobytes(), ids[many][part].tobytes()
+    many[start] = False
+    many[start[held >= HOT] + 1] = False
+    lists, ids = lists[~many], ids[~many]
+    bucket = (lists >> U(32)).astype(np.int64)
+    edges = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(lists)) if len(lists) else np.zeros(0, int)
+    for a, z in itertools.pairwise(edges.tolist()):
+        yield int(bucket[a]), lists[a:z].astype(np.uint32).tobytes(), ids[a:z].tobytes()
+
+
+def _once(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted pairs, each once."""
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+    return keys[new], ids[new]
+
+
+def postings(docs: DataFrame, min_words: int, rows: int) -> DataFrame:
+    """(list, lid) of the keys that two lines or more have, from (rk, key, _text) with ``rows`` lines.
+
+    A line has some 20 keys; buckets are as many as make BUCKET postings each, whatever keys are hot.
+    """
+    bits = min(31, max(0, int(np.ceil(np.log2(max(1, 20 * rows / BUCKET))))))
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            made = list(packed(np.concatenate(keys), np.concatenate(ids), bits))
+            keys.clear()
+            ids.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "keys", "ids"])
+
+        for batch in batches:
+            for _, data, offsets in byte_chunks(batch.column(0)):
+                c, _, _ = line_words(data, offsets)
+                row, key = line_keys(c, min_words)
+                keys.append(key)
+                ids.append(line_ids(c)[row])
+                if sum(map(len, keys)) >= 2 * BUCKET:
+                    yield flush()
+        if keys:
+            yield flush()
+
+    def meet(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"][0].as_py()
+        ids = np.frombuffer(b"".join(table["ids"].to_pylist()), U)
+        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), U if bucket < 0 else np.uint32).astype(U)
+        if bucket >= 0:
+            order = np.lexsort((ids, keys))
+            keys, ids = _once(keys[order], ids[order])
+            same = np.zeros(len(keys) + 1, bool)
+            same[1:-1] = keys[1:] == keys[:-1]
+            held = same[1:] | same[:-1]
+            keys, ids = keys[held] + (U(bucket) << U(32)), ids[held]
+        return pa.table({"list": pa.array(keys.view(np.int64)), "lid": pa.array(ids.view(np.int64))})
+
+    made = docs.select("_text").mapInArrow(post, "bucket int, keys binary, ids binary")
+    return made.groupBy("bucket").applyInArrow(meet, "list long, lid long")
+
+
+def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance: int, percent: int) -> DataFrame:
     """Verified edges between distinct lines that connect whatever links connect."""
-    # The band's number above its 32 bits.
-    posted = classes.select("lid", "sim", F.posexplode("bands").alias("place", "band"))
-    posted = posted.select("lid", "sim", (F.shiftleft(F.col("place").cast("long"), 32) + F.col("band")).alias("list"))
-    near = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= distance
-    # A list of two lines beyond the distance, as chance makes them, is dropped before any line is joined to it.
-    lists = posted.groupBy("list").agg(F.count("*").alias("m"), F.min("sim").alias("lo"), F.max("sim").alias("hi")).where((F.col("m") > 2) | ((F.col("m") > 1) & near("lo", "hi"))).select("list")
-    lists = stored(lists, "lists")
-    few = lists.count() <= BROADCAST_IDS
-    members = stored(posted.join(F.broadcast(lists) if few else lists, "list"), "line-lists")
-    hub = members.groupBy("list").agg(F.min(F.struct("lid", "sim")).alias("hub")).select("list", F.col("hub.lid").alias("hub"), F.col("hub.sim").alias("hub_sim"))
-    x = members.alias("x")
-    hubs = x.join(hub, (F.col("x.list") == hub["list"]) & (F.col("lid") != F.col("hub")) & near("sim", "hub_sim")).select(F.col("lid").alias("a"), F.col("hub").alias("b")).distinct()
-    hubs = stored(hubs, "line-pairs")
-    first = stored(verified(hubs, classes, docs, percent), "line-links")
+
+    def near(x: str, y: str):
+        bits = F.bit_count(F.col(f"{x}sim0").bitwiseXOR(F.col(f"{y}sim0"))) + F.bit_count(F.col(f"{x}sim1").bitwiseXOR(F.col(f"{y}sim1")))
+        low, high = F.least(f"{x}size", f"{y}size").cast("long"), F.greatest(f"{x}size", f"{y}size").cast("long")
+        return (100 * low >= percent * high) & ((bits <= distance) | (low >= LONG_LINE))
+
+    met = stored(postings(docs, min_words, classes.count()), "line-postings")
+    members = stored(met.join(classes.select("lid", "sim0", "sim1", "size"), "lid"), "line-lists")
+    hubs = members.groupBy("list").agg(F.min(F.struct("lid", "sim0", "sim1", "size")).alias("hub")).select("list", *[F.col(f"hub.{x}").alias(f"hub_{x}") for x in ("lid", "sim0", "sim1", "size")])
+    tried = members.join(hubs, "list").where((F.col("lid") != F.col("hub_lid")) & near("", "hub_")).groupBy(F.col("lid").alias("a"), F.col("hub_lid").alias("b")).agg(F.count("*").alias("n"))
+    best = stored(tried.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "line-pairs")
+    first = stored(verified(best, classes, docs, percent), "line-links")
     group = components(first).withColumnRenamed("id", "lid")
-    labelled = stored(members.select("lid", "sim", "list").join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid")), "line-lists")
-    mixed = labelled.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list")
-    x = labelled.join(mixed, "list").alias("x")
-    y = labelled.alias("y")
-    across = (F.col("x.list") == F.col("y.list")) & (F.col("x.lid") < F.col("y.lid")) & (F.col("x.component") != F.col("y.component"))
-    pairs = x.join(y, across & near("x.sim", "y.sim")).select(F.col("x.lid").alias("a"), F.col("y.lid").alias("b")).distinct()
+    labelled = stored(members.join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid")), "line-lists")
+    # Of two members apart one is outside the list's largest component, so those inside needn't meet each other.
+    parts = labelled.groupBy("list", "component").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("list").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select("list", F.col("most.component").alias("most"))
+    apart = labelled.join(mixed, "list")
+    x, y = apart.where("component <> most").alias("x"), apart.alias("y")
+    across = (F.col("x.list") == F.col("y.list")) & (F.col("x.component") != F.col("y.component")) & near("x.", "y.")
+    pairs = x.join(y, across).select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b")).distinct()
     # A pair that the first round refused needs no second look.
-    refused = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    refused = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = stored(pairs.join(refused, ["a", "b"], "left_anti"), "line-pairs")
-    forget(members, labelled)
+    forget(met, members, labelled)
     if pairs.isEmpty():
         return first
     return first.union(stored(verified(pairs, classes, docs, percent), "line-links"))
@@ -256,9 +389,7 @@ def dedup_lines(
     key: str = "doc_id",
     text: str = "text",
     min_words: int = 5,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    distance: int = 24,
+    distance: int = 44,
     percent: int = 80,
 ) -> DataFrame:
     """Every row of docs with its text less the repeated lines, and n_lines, n_dropped (its lines, and those that went).
@@ -271,12 +402,12 @@ def dedup_lines(
     docs = docs.drop("n_lines", "n_dropped")
     row_key = F.xxhash64(F.col(key), F.col(text))
     slim = docs.select(row_key.alias("rk"), F.col(key).alias("key"), F.col(text).alias("_text"))
-    found = stored(lines(slim, min_words, bands, rows), "lines")
-    classes = stored(found.groupBy("lid").agg(F.min(F.struct("key", "rk", "line")).alias("first"), F.first("sim").alias("sim"), F.first("bands").alias("bands"), F.count("*").alias("m")), "line-classes")
-    edges = fuzzy_edges(classes, slim, distance=distance, percent=percent)
+    found = stored(lines(slim), "lines")
+    classes = stored(found.groupBy("lid").agg(F.min(F.struct("key", "rk", "line")).alias("first"), *[F.first(x).alias(x) for x in ("sim0", "sim1", "size")], F.count("*").alias("m")), "line-classes")
+    edges = fuzzy_edges(classes, slim, min_words=min_words, distance=distance, percent=percent)
     group = components(edges).withColumnRenamed("id", "lid")
     # A class alone in its group is one of its own; only groups of two lines or more can lose any.
-    grouped = classes.drop("bands").join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+    grouped = classes.select("lid", "first", "m").join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
     stays = grouped.groupBy("component").agg(F.min("first").alias("stays"), F.sum("m").alias("all")).where(F.col("all") > 1)
     repeated = grouped.select("lid", "component").join(stays, "component").select("lid", F.col("stays.rk").alias("stay_rk"), F.col("stays.line").alias("stay_line"))
     goes = found.select("rk", "line", "lid").join(repeated, "lid").where((F.col("rk") != F.col("stay_rk")) | (F.col("line") != F.col("stay_line")))

@@ -60,13 +60,17 @@ class Chunk:
     bound: np.ndarray
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0, word: np.ndarray = _WORD, fold: np.ndarray = _LOWER) -> Chunk:
-    """Hash the words of one chunk; ``word`` says which bytes make words, ``fold`` what each byte counts as."""
+def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0, word: np.ndarray = _WORD, fold: np.ndarray = _LOWER, cut: np.ndarray | None = None) -> Chunk:
+    """Hash the words of one chunk; ``word`` says which bytes make words, ``fold`` what each byte counts as, ``cut`` before
+    which bytes a word ends."""
     n = len(data)
     is_word = word[data]
     head, tail = is_word.copy(), is_word.copy()
     head[1:] &= ~is_word[:-1]
     tail[:-1] &= ~is_word[1:]
+    if cut is not None:
+        head |= is_word & cut
+        tail[:-1] |= is_word[:-1] & cut[1:]
     full = offsets[1:] > offsets[:-1]
     a, z = offsets[:-1][full], offsets[1:][full] - 1
     head[a] = is_word[a]

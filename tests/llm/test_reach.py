@@ -10,20 +10,26 @@ from lineagrid.llm import decontaminate, line_dedup, toxicity
 
 
 def test_line_dedup_reaches_similar_lines(spark):
-    """Lines with one word of n replaced: 80 % alike by edit similarity, so the second one goes."""
+    """Lines with one word of n replaced, or a fifth: 80 % alike by edit similarity, so the second one goes."""
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8)))
-    for n, least in ((8, 0.85), (12, 0.95), (20, 0.98), (50, 1.0)):
-        pairs = []
-        while len(pairs) < 200:
+    cases = {(8, 1): 0.95, (10, 1): 0.95, (12, 1): 0.95, (20, 1): 0.98, (40, 1): 1.0, (50, 1): 1.0, (200, 1): 1.0, (10, 2): 0.85, (30, 6): 0.8, (60, 12): 0.9}
+    pairs = []
+    for n, changed in cases:
+        more = []
+        while len(more) < 200:
             a = [word() for _ in range(n)]
             b = [*a]
-            b[rng.randrange(n)] = word()
+            for i in rng.sample(range(n), changed):
+                b[i] = word()
             if a != b and line_dedup.similar(" ".join(a), " ".join(b), 80):
-                pairs.append((" ".join(a), " ".join(b)))
-        docs = spark.createDataFrame([(i, t) for i, t in enumerate(x for p in pairs for x in p)], "doc_id long, text string")
-        dropped = {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_dropped = 1").collect()}
-        assert all(i % 2 for i in dropped) and len(dropped) >= least * len(pairs), n
+                more.append((" ".join(a), " ".join(b)))
+        pairs += more
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(x for p in pairs for x in p)], "doc_id long, text string")
+    dropped = {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_dropped = 1").collect()}
+    assert all(i % 2 for i in dropped)
+    for k, (case, least) in enumerate(cases.items()):
+        assert sum(400 * k <= i < 400 * (k + 1) for i in dropped) >= least * 200, case
 
 
 def test_line_dedup_whole_table():
@@ -46,8 +52,13 @@ def test_line_dedup_whole_table():
         least = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
         pairs += [(i, j) for j in close[5 * least <= np.maximum(size[close], size[i])] if line_dedup.similar(names[i], names[j], 80)]
     raw = "\n".join(names).encode()
-    *_, bands, sketch = line_dedup.line_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 0, 5)
-    near = sum((bands[i] == bands[j]).any() and ((int(sketch[i]) ^ int(sketch[j])) & (2**64 - 1)).bit_count() <= 24 for i, j in pairs)
+    c, *_ = line_dedup.line_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert line_dedup.sizes(c).tolist() == size.tolist()
+    keys = [set() for _ in names]
+    for i, k in zip(*line_dedup.line_keys(c, 5), strict=True):
+        keys[i].add(k)
+    halves = line_dedup.sketches(c)
+    near = sum(bool(keys[i] & keys[j]) and sum((int(h[i]) ^ int(h[j])).bit_count() for h in halves) <= 44 for i, j in pairs)
     assert len(pairs) > 40 and near >= 0.95 * len(pairs)
 
 
