@@ -9,7 +9,7 @@
 3. A line's keys, one for each choice of blocks with words enough, are sent in packed rows to buckets of about equal size;
    keys of one line only, nearly all, end there.
 4. A line is compared with the member it shares most lists with first, then across what is still apart in its lists.
-   Lines of which more than ``distance`` bits of a second SimHash differ (chance makes 60) or whose lengths rule it out
+   Lines of which more than ``distance`` bits of a second SimHash differ (of 240; chance makes 120, of texts with common words 90) or whose lengths rule it out
    aren't compared.  The edit similarity of the normalised lines (Levenshtein over the longer length) decides.
 5. The first occurrence of each connected group stays, in order of document key and line number; the others go.
 """
@@ -38,8 +38,9 @@ FAMILIES = ((6, 3, 7, 5, 12), (8, 2, 12, 8, 48))
 LONG_BLOCKS, LONG_LETTERS, FEWEST, MOST = 16, 16, 1.5, 5
 #: Postings of a packed bucket, and lines under one key in one part from which they don't go to the key's bucket.
 BUCKET, HOT = 1 << 20, 32
-#: Bytes from which two lines are compared whatever their sketches.
-LONG_LINE = 1 << 14
+#: Characters up to which and from which two lines are compared whatever their sketches: few words, or more than lanes hold.
+SHORT_LINE, LONG_LINE = 80, 1 << 16
+SIMS = ("sim0", "sim1", "sim2", "sim3")
 _WORD = LETTERS_DIGITS != 0x20
 _STEP = 0xD6E8FEB86659FD93
 
@@ -127,11 +128,17 @@ def dealt(words: np.ndarray, line: np.ndarray, lines: int, blocks: int) -> tuple
     return h, at, np.bincount(at, minlength=lines * blocks)
 
 
+def weighty_letters(c: Chunk) -> np.ndarray:
+    """The bytes of each word that tells lines apart: of 4 letters or more, or a character of a script without spaces; else 0."""
+    length = c.end - c.start
+    lone = (length == 3) & (c.data[c.start] >= 0xE0) if len(length) else length
+    return np.where((length >= 4) | lone, length, 0)
+
+
 def line_keys(c: Chunk, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """(line, key) of each choice of blocks with letters enough, of lines of ``min_words`` words or more."""
     count = np.diff(c.bound)
-    length = c.end - c.start
-    letters = np.where(length >= 4, length, _unspaced(c, length)).astype(float)
+    letters = weighty_letters(c).astype(float)
     line_of = np.repeat(np.arange(len(count)), count)
     families, blocks = list(FAMILIES), LONG_BLOCKS
     while len(count) and FEWEST * blocks <= count.max():
@@ -161,23 +168,19 @@ def line_keys(c: Chunk, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def _unspaced(c: Chunk, length: np.ndarray) -> np.ndarray:
-    """The bytes of a word of one character of a script without spaces, else 0."""
-    return np.where((length == 3) & (c.data[c.start] >= 0xE0), length, 0) if len(length) else length
-
-
-def sketches(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """A second SimHash of every line in two halves of 60 bits: 8 blocks of 15 bits."""
+def sketches(c: Chunk) -> list[np.ndarray]:
+    """A second SimHash of every line in four parts of 60 bits: 8 blocks of 30 bits, of words that tell lines apart."""
     count = np.diff(c.bound)
-    h, at, size = dealt(c.hash, np.repeat(np.arange(len(count)), count), len(count), 8)
+    some = weighty_letters(c) > 0
+    h, at, size = dealt(c.hash[some], np.repeat(np.arange(len(count)), count)[some], len(count), 8)
     bits = np.zeros(len(size), U)
-    for k in range(3):
-        # Lanes end at bits 9, 19, ...: five of them moved to bits k, k + 3, ... of the block's 15.
+    for k in range(6):
+        # Lanes end at bits 9, 19, ...: five of them moved to bits k, k + 6, ... of the block's 30.
         spread = _SKETCH.majority(h, 5 * k, at, size)
         for j in range(5):
-            bits |= ((spread >> U(10 * j + 9)) & U(1)) << U(3 * j + k)
+            bits |= ((spread >> U(10 * j + 9)) & U(1)) << U(6 * j + k)
     bits = bits.reshape(-1, 8)
-    return tuple(sum(bits[:, half + i] << U(15 * i) for i in range(4)).astype(np.int64) for half in (0, 4))
+    return [(bits[:, i] << U(30) | bits[:, i + 1]).view(np.int64) for i in range(0, 8, 2)]
 
 
 def sizes(c: Chunk) -> np.ndarray:
@@ -191,18 +194,18 @@ def sizes(c: Chunk) -> np.ndarray:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(rk, key, line, lid, sim0, sim1, size) of the lines with words, from (rk, key, _text); size in characters of the normalised line."""
+    """(rk, key, line, lid, size, sim0, ... sim3) of the lines with words, from (rk, key, _text); size in characters of the normalised line."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in byte_chunks(batch.column(2)):
                 c, row, number = line_words(data, offsets)
                 some = np.flatnonzero(np.diff(c.bound))
-                made = [number[some].astype(np.int32), line_ids(c)[some].view(np.int64), *(s[some] for s in sketches(c)), sizes(c)[some].astype(np.int32)]
+                made = [number[some].astype(np.int32), line_ids(c)[some].view(np.int64), sizes(c)[some].astype(np.int32), *(s[some] for s in sketches(c))]
                 at = pa.array(first + row[some])
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, made)], names=["rk", "key", "line", "lid", "sim0", "sim1", "size"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, made)], names=["rk", "key", "line", "lid", "size", *SIMS])
 
-    return docs.mapInArrow(make, f"rk long, key {docs.schema['key'].dataType.simpleString()}, line int, lid long, sim0 long, sim1 long, size int")
+    return docs.mapInArrow(make, f"rk long, key {docs.schema['key'].dataType.simpleString()}, line int, lid long, size int, {', '.join(f'{x} long' for x in SIMS)}")
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -355,13 +358,13 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
     """Verified edges between distinct lines that connect whatever links connect."""
 
     def near(x: str, y: str):
-        bits = F.bit_count(F.col(f"{x}sim0").bitwiseXOR(F.col(f"{y}sim0"))) + F.bit_count(F.col(f"{x}sim1").bitwiseXOR(F.col(f"{y}sim1")))
+        bits = sum(F.bit_count(F.col(x + s).bitwiseXOR(F.col(y + s))) for s in SIMS)
         low, high = F.least(f"{x}size", f"{y}size").cast("long"), F.greatest(f"{x}size", f"{y}size").cast("long")
-        return (100 * low >= percent * high) & ((bits <= distance) | (low >= LONG_LINE))
+        return (100 * low >= percent * high) & (~low.between(SHORT_LINE, LONG_LINE) | (bits <= distance))
 
     met = stored(postings(docs, min_words, classes.count()), "line-postings")
-    members = stored(met.join(classes.select("lid", "sim0", "sim1", "size"), "lid"), "line-lists")
-    hubs = members.groupBy("list").agg(F.min(F.struct("lid", "sim0", "sim1", "size")).alias("hub")).select("list", *[F.col(f"hub.{x}").alias(f"hub_{x}") for x in ("lid", "sim0", "sim1", "size")])
+    members = stored(met.join(classes.select("lid", "size", *SIMS), "lid"), "line-lists")
+    hubs = members.groupBy("list").agg(F.min(F.struct("lid", "size", *SIMS)).alias("hub")).select("list", *[F.col(f"hub.{x}").alias(f"hub_{x}") for x in ("lid", "size", *SIMS)])
     tried = members.join(hubs, "list").where((F.col("lid") != F.col("hub_lid")) & near("", "hub_")).groupBy(F.col("lid").alias("a"), F.col("hub_lid").alias("b")).agg(F.count("*").alias("n"))
     best = stored(tried.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "line-pairs")
     first = stored(verified(best, classes, docs, percent), "line-links")
@@ -389,7 +392,7 @@ def dedup_lines(
     key: str = "doc_id",
     text: str = "text",
     min_words: int = 5,
-    distance: int = 44,
+    distance: int = 72,
     percent: int = 80,
 ) -> DataFrame:
     """Every row of docs with its text less the repeated lines, and n_lines, n_dropped (its lines, and those that went).
@@ -403,7 +406,7 @@ def dedup_lines(
     row_key = F.xxhash64(F.col(key), F.col(text))
     slim = docs.select(row_key.alias("rk"), F.col(key).alias("key"), F.col(text).alias("_text"))
     found = stored(lines(slim), "lines")
-    classes = stored(found.groupBy("lid").agg(F.min(F.struct("key", "rk", "line")).alias("first"), *[F.first(x).alias(x) for x in ("sim0", "sim1", "size")], F.count("*").alias("m")), "line-classes")
+    classes = stored(found.groupBy("lid").agg(F.min(F.struct("key", "rk", "line")).alias("first"), *[F.first(x).alias(x) for x in ("size", *SIMS)], F.count("*").alias("m")), "line-classes")
     edges = fuzzy_edges(classes, slim, min_words=min_words, distance=distance, percent=percent)
     group = components(edges).withColumnRenamed("id", "lid")
     # A class alone in its group is one of its own; only groups of two lines or more can lose any.

@@ -57,8 +57,9 @@ def test_line_dedup_whole_table():
     keys = [set() for _ in names]
     for i, k in zip(*line_dedup.line_keys(c, 5), strict=True):
         keys[i].add(k)
-    halves = line_dedup.sketches(c)
-    near = sum(bool(keys[i] & keys[j]) and sum((int(h[i]) ^ int(h[j])).bit_count() for h in halves) <= 44 for i, j in pairs)
+    parts = line_dedup.sketches(c)
+    far = lambda i, j: min(size[i], size[j]) >= line_dedup.SHORT_LINE and sum((int(h[i]) ^ int(h[j])).bit_count() for h in parts) > 72
+    near = sum(bool(keys[i] & keys[j]) and not far(i, j) for i, j in pairs)
     assert len(pairs) > 40 and near >= 0.95 * len(pairs)
 
 
