@@ -40,6 +40,8 @@ LONG_BLOCKS, LONG_LETTERS, FEWEST, MOST = 16, 16, 1.5, 5
 BUCKET, HOT = 1 << 20, 32
 #: Characters up to which and from which two lines are compared whatever their sketches: few words, or more than lanes hold.
 SHORT_LINE, LONG_LINE = 80, 1 << 16
+#: Characters from which the sketch, of more words, gets by with 8 bits less.
+LONGER_LINE = 300
 SIMS = ("sim0", "sim1", "sim2", "sim3")
 _WORD = LETTERS_DIGITS != 0x20
 _STEP = 0xD6E8FEB86659FD93
@@ -360,7 +362,7 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
     def near(x: str, y: str):
         bits = sum(F.bit_count(F.col(x + s).bitwiseXOR(F.col(y + s))) for s in SIMS)
         low, high = F.least(f"{x}size", f"{y}size").cast("long"), F.greatest(f"{x}size", f"{y}size").cast("long")
-        return (100 * low >= percent * high) & (~low.between(SHORT_LINE, LONG_LINE) | (bits <= distance))
+        return (100 * low >= percent * high) & (~low.between(SHORT_LINE, LONG_LINE) | (bits <= F.when(low < LONGER_LINE, distance).otherwise(distance - 8)))
 
     met = stored(postings(docs, min_words, classes.count()), "line-postings")
     members = stored(met.join(classes.select("lid", "size", *SIMS), "lid"), "line-lists")
