@@ -135,12 +135,12 @@ def distance_to_future(references: DataFrame, tips: DataFrame, forecasts: DataFr
     """
     distinct = tips.select("region", "haplotype", seq).groupBy("region", "haplotype", seq).agg(F.count("*").alias("_n"))
     seqs = distinct.select(F.col(seq).alias("_s")).distinct()
-    pairs = references.select(ref, F.col(seq).alias("_r")).join(F.broadcast(seqs) if _small(seqs, 10_000) else seqs)
-    scored = substitution_distance(pairs, "_r", "_s", weights, [ref, "_s"], 0.0)
-    mean = distinct.join(scored, distinct[seq] == scored["_s"]).groupBy(ref, "region", "haplotype").agg((F.sum(F.col("distance") * F.col("_n")) / F.sum("_n")).alias("d"))
+    pairs = references.select(F.col(ref).alias("_ref"), F.col(seq).alias("_r")).join(F.broadcast(seqs) if _small(seqs, 10_000) else seqs)
+    scored = substitution_distance(pairs, "_r", "_s", weights, ["_ref", "_s"], 0.0)
+    mean = distinct.join(scored, distinct[seq] == scored["_s"]).groupBy("_ref", "region", "haplotype").agg((F.sum(F.col("distance") * F.col("_n")) / F.sum("_n")).alias("d"))
     regions = forecasts.agg(F.count_distinct("region")).scalar()
-    total = mean.join(forecasts, ["region", "haplotype"]).groupBy(ref).agg(F.sum(F.col("d") * F.col("frequency")).alias("_d"))
-    return total.withColumn("_k", regions).select(ref, (F.col("_d") / F.col("_k")).alias("distance_to_future"))
+    total = mean.join(forecasts, ["region", "haplotype"]).groupBy("_ref").agg(F.sum(F.col("d") * F.col("frequency")).alias("_d"))
+    return total.withColumn("_k", regions).select(F.col("_ref").alias(ref), (F.col("_d") / F.col("_k")).alias("distance_to_future"))
 
 
 #: The standard genetic code in the order of T, C, A, G at each place.

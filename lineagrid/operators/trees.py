@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lineagrid.sources.files import work_folder
+
 
 def closure(edges: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
     """(node, ancestor, hops) with every node its own ancestor at 0 hops.
@@ -34,15 +36,9 @@ def closure(edges: DataFrame, node: str = "node", parent: str = "parent") -> Dat
 
 
 def _folder(df: DataFrame) -> None:
-    """Use the checkpoint folder that the session names; only where it names none, a local one of our own."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            import tempfile
-
-            named = tempfile.mkdtemp(prefix="lineagrid-")
-        spark.sparkContext.setCheckpointDir(named)
+        spark.sparkContext.setCheckpointDir(work_folder(spark))
 
 
 def sum_descendants(paths: DataFrame, tips: DataFrame, value: str) -> DataFrame:

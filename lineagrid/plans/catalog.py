@@ -1014,3 +1014,5 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+# Registers more queries; at the end, since it uses what this module defines.
+from lineagrid.plans import records  # noqa: E402, F401

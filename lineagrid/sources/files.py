@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -11,6 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+_own: dict[str, str] = {}
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names for its own tables; one of our own only where all runs on one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("a cluster needs spark.checkpoint.dir: a folder that its executors share")
+        named = _own[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="lineagrid-")
+    return named.rstrip("/")
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(id, description, seq) with upper-cased sequences; files are split at ``>``."""
     rows = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
