@@ -447,3 +447,8 @@ def derived_haplotype(clade: Column, mutations: Column, genes: Sequence[str] | N
     if strip:
         parts = F.transform(parts, lambda x: F.substring_index(x, ":", -1))
     return F.when(F.size(parts) > 0, F.concat(clade, F.lit(":"), F.array_join(parts, "-"))).otherwise(clade)
+
+
+def label(pattern: str, *columns: Column) -> Column:
+    """A text with columns filled in, as ``%s (%s, %s)``; null where a column is."""
+    return F.when(reduce(lambda a, b: a & b, [c.isNotNull() for c in columns]), F.format_string(pattern, *columns))

@@ -207,6 +207,18 @@ def collect_frequencies(df: DataFrame, node: str) -> DataFrame:
     return df.groupBy(node).agg(F.array_sort(F.collect_list(F.struct("pivot_idx", "pivot", "frequency"))).alias("x")).select(node, F.col("x.pivot").alias("pivots"), F.col("x.frequency").alias("frequencies"))
 
 
+def extend_trajectories(df: DataFrame, projected: DataFrame, node: str, pivots: Sequence[float]) -> DataFrame:
+    """(node, pivots, frequencies): long rows with pivots appended, each node's projected value at them or 0.0.
+
+    df has (node, pivot_idx, pivot, frequency); projected (node, pivot, frequency); only nodes of df appear.
+    """
+    last = df.agg(F.max("pivot_idx")).scalar()
+    ahead = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(float(p)).alias("pivot")) for i, p in enumerate(pivots)])).alias("x")
+    grid = df.select(node).distinct().withColumn("_last", last).select(node, "_last", ahead).select(node, (F.col("_last") + F.col("x.i")).alias("pivot_idx"), F.col("x.pivot").alias("pivot"))
+    more = grid.join(projected.select(node, "pivot", "frequency"), [node, "pivot"], "left").select(node, "pivot_idx", "pivot", F.coalesce("frequency", F.lit(0.0)).alias("frequency"))
+    return collect_frequencies(df.select(node, "pivot_idx", "pivot", "frequency").unionByName(more), node)
+
+
 def concat_genes(seqs: DataFrame, strain: str, gene: str, seq: str, order: Sequence[str]) -> DataFrame:
     """Each strain's genes joined in the given order."""
     place = F.array_position(F.array(*[F.lit(g) for g in order]), F.col(gene))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineagrid.functions.scalars import date_range, lineage_match, relative_date
+from lineagrid.functions.scalars import lineage_match, relative_date
 
 
 def rename_fields(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -86,12 +86,15 @@ def exclude_where(df: DataFrame, conditions: Sequence[str], include: Sequence[st
 
 def date_between(df: DataFrame, column: str, lo: str | None, hi: str | None, as_of: Column) -> DataFrame:
     """Rows whose date, as a range if ambiguous, reaches into [lo, hi]; bounds may be relative to as_of."""
-    span = date_range(F.col(column).cast("string"))
-    keep = span["lo"].isNotNull()
+    # As text: an unknown part is 00 for the earliest day and 99 for the latest, which no bound lies between.
+    text = F.col(column).cast("string")
+    end = lambda part: F.replace(F.concat(F.substring(text, 1, 10), F.substr(F.lit(f"0000-{part}-{part}"), F.length(F.substring(text, 1, 10)) + 1)), F.lit("XX"), F.lit(part))
+    bound = lambda x: F.date_format(relative_date(x, as_of), "yyyy-MM-dd")
+    keep = text.rlike(r"^\d{4}")
     if lo:
-        keep &= span["hi"] >= relative_date(lo, as_of)
+        keep &= end("99") >= bound(lo)
     if hi:
-        keep &= span["lo"] <= relative_date(hi, as_of)
+        keep &= end("00") <= bound(hi)
     return df.where(keep)
 
 
@@ -152,3 +155,9 @@ def floor_and_renormalise(df: DataFrame, column: str, least: float, by: Sequence
         return kept.withColumn("_total", total).withColumn(column, F.coalesce(F.try_divide(F.col(column), F.col("_total")), F.lit(0.0))).drop("_total")
     totals = kept.groupBy(*by).agg(F.sum(column).alias("_total"))
     return kept.join(totals, list(by)).withColumn(column, F.coalesce(F.try_divide(F.col(column), F.col("_total")), F.lit(0.0))).drop("_total")
+
+
+def filter_by_region(seqs: DataFrame, region: str, gene: str, genes: Sequence[str]) -> DataFrame:
+    """The sequences of regions that have one of every gene; nulls are no region."""
+    full = seqs.where(F.col(gene).isin(*genes) & F.col(region).isNotNull()).groupBy(region).agg(F.count_distinct(gene).alias("_n")).where(F.col("_n") == len(set(genes))).select(region)
+    return seqs.where(F.col(gene).isin(*genes)).join(full, region, "left_semi")

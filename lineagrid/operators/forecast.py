@@ -166,3 +166,23 @@ def project_tree(df: DataFrame, paths: DataFrame, node: str, frequency: str, fit
     """(node, delta, projected) of all nodes: tips projected over each delta, inner nodes the sums below them."""
     tips = project(df.withColumn("delta", F.explode(F.array(*[F.lit(float(d)) for d in deltas]))), frequency, fit, F.col("delta"), ["delta"])
     return paths.join(tips.select(F.col(node).alias("node"), "delta", "projected"), "node").groupBy(F.col("ancestor").alias("node"), "delta").agg(F.sum("projected").alias("projected"))
+
+
+def validate_trajectories(df: DataFrame, trajectories: DataFrame, t: str, clade: str, frequency: str, fit: str, deltas: Sequence[float], unit: float = 1.0) -> DataFrame:
+    """(t, clade, delta, observed, predicted) of clades before and after each timepoint t, a number.
+
+    ``observed`` lies on the clade's trajectory (clade, pivot, frequency), inside its pivots; ``predicted`` equals it before
+    t and is the clade's projected share after, growing by fitness times delta.
+    """
+    ahead = F.explode(F.array(*[F.lit(float(d)) for d in deltas]))
+    predicted = project(df.withColumn("delta", ahead), frequency, fit, F.greatest(F.col("delta"), F.lit(0.0)) * unit, [t, "delta"])
+    sums = predicted.groupBy(t, clade, "delta").agg(F.sum("projected").alias("_p"))
+    # The straight line between the pivots around a time; both ends are found in one array for each clade.
+    line = trajectories.groupBy(clade).agg(F.array_sort(F.collect_list(F.struct("pivot", "frequency"))).alias("_line"))
+    at = F.col(t) + F.col("delta")
+    low = F.try_element_at(F.filter("_line", lambda x: x["pivot"] <= at), F.lit(-1))
+    high = F.get(F.filter("_line", lambda x: x["pivot"] >= at), F.lit(0))
+    share = F.coalesce(F.try_divide(at - F.col("_low.pivot"), F.col("_high.pivot") - F.col("_low.pivot")), F.lit(0.0))
+    out = sums.join(line, clade).withColumns({"_low": low, "_high": high}).where("_low is not null and _high is not null")
+    out = out.withColumn("observed", F.col("_low.frequency") + share * (F.col("_high.frequency") - F.col("_low.frequency")))
+    return out.select(t, clade, "delta", "observed", F.when(F.col("delta") < 0, F.col("observed")).otherwise(F.col("_p")).alias("predicted"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,27 +15,33 @@ def pivots(spark: SparkSession, lo: str, hi: str, step: int, unit: str) -> DataF
     return spark.range(1).select(F.posexplode(dates).alias("pivot_idx", "pivot"))
 
 
+def _at_pivots(df: DataFrame, grid: DataFrame, near: Callable[[Column], Column], name: str = "pivot") -> DataFrame:
+    """Each row once for each value of a small grid that is near it: the grid is one array, and no rows are joined."""
+    listed = grid.agg(F.collect_list(name)).scalar()
+    return df.withColumn("_grid", listed).withColumn(name, F.explode(F.filter("_grid", near))).drop("_grid")
+
+
 def kde_frequencies(df: DataFrame, key: str, x: str, grid: DataFrame, narrow: float, wide: float, share: float, reach: float = 8.0) -> DataFrame:
     """(key, pivot, frequency): a mixture of two normal kernels around each row's x at every pivot, over the pivot's sum.
 
     The mixture is ``share`` of the narrow kernel and the rest of the wide.  Pivots further than ``reach`` wide bandwidths
     are left out before the kernel is computed.  Keys that are zero at all pivots don't appear.
     """
-    pairs = df.select(F.col(key).alias("_key"), F.col(x).alias("_x")).join(F.broadcast(grid.select("pivot")), F.abs(F.col("_x") - F.col("pivot")) <= reach * wide)
+    pairs = _at_pivots(df.select(F.col(key).alias("_key"), F.col(x).alias("_x")), grid, lambda p: F.abs(F.col("_x") - p) <= reach * wide)
     normal = lambda s: F.exp(-0.5 * F.pow((F.col("_x") - F.col("pivot")) / s, 2)) / (s * math.sqrt(2 * math.pi))
     mass = pairs.groupBy("_key", "pivot").agg(F.sum(share * normal(narrow) + (1 - share) * normal(wide)).alias("_m"))
     totals = mass.groupBy("pivot").agg(F.sum("_m").alias("_t"))
-    return mass.join(F.broadcast(totals), "pivot").select(F.col("_key").alias(key), "pivot", F.try_divide("_m", "_t").alias("frequency")).where("frequency > 0")
+    return mass.join(totals, "pivot").select(F.col("_key").alias(key), "pivot", F.try_divide("_m", "_t").alias("frequency")).where("frequency > 0")
 
 
 def censored_frequencies(df: DataFrame, key: str, x: str, timepoints: DataFrame, grid: DataFrame, narrow: float, wide: float, share: float) -> DataFrame:
     """(timepoint, key, pivot, frequency) of what was known before each timepoint, at pivots up to it."""
-    known = df.select(key, x).join(F.broadcast(timepoints), F.col(x) < F.col("timepoint"))
-    pairs = known.join(F.broadcast(grid.select("pivot")), F.col("pivot") <= F.col("timepoint"))
+    known = _at_pivots(df.select(key, x), timepoints, lambda p: p > F.col(x), "timepoint")
+    pairs = _at_pivots(known, grid, lambda p: p <= F.col("timepoint"))
     normal = lambda s: F.exp(-0.5 * F.pow((F.col(x) - F.col("pivot")) / s, 2)) / (s * math.sqrt(2 * math.pi))
     mass = pairs.groupBy("timepoint", key, "pivot").agg(F.sum(share * normal(narrow) + (1 - share) * normal(wide)).alias("_m"))
     totals = mass.groupBy("timepoint", "pivot").agg(F.sum("_m").alias("_t"))
-    return mass.join(F.broadcast(totals), ["timepoint", "pivot"]).select("timepoint", key, "pivot", F.try_divide("_m", "_t").alias("frequency"))
+    return mass.join(totals, ["timepoint", "pivot"]).select("timepoint", key, "pivot", F.try_divide("_m", "_t").alias("frequency"))
 
 
 def group_frequency_delta(df: DataFrame, group: str, pivot: str, value: str, k: int = 1) -> DataFrame:
@@ -58,7 +64,7 @@ def delta_frequency(df: DataFrame, clade: str, pivot: str, value: str, k: int, t
 def global_frequency(regional: DataFrame, weights: DataFrame, keys: Sequence[str], region: str, value: str) -> DataFrame:
     """Sum of regional frequencies times weights over the sum of all weights; a missing region counts 0."""
     total = weights.agg(F.sum("weight")).scalar()
-    out = regional.join(F.broadcast(weights), region).groupBy(*keys).agg(F.sum(F.col(value) * F.col("weight")).alias("_s"))
+    out = regional.join(weights, region).groupBy(*keys).agg(F.sum(F.col(value) * F.col("weight")).alias("_s"))
     return out.withColumn("_t", total).select(*keys, (F.col("_s") / F.col("_t")).alias("frequency"))
 
 
@@ -86,7 +92,7 @@ def interpolate(df: DataFrame, key: str, pivot: str, value: str, timepoints: Dat
     order = Window.partitionBy(key).orderBy(pivot)
     seg = df.select(key, F.col(pivot).alias("x0"), F.col(value).alias("y0"), F.lead(pivot).over(order).alias("x1"), F.lead(value).over(order).alias("y1"), F.row_number().over(order).alias("i"))
     t = F.col("timepoint")
-    hit = seg.join(F.broadcast(timepoints), ((t >= F.col("x0")) & (t < F.col("x1"))) | (F.col("x1").isNull() & (t >= F.col("x0"))) | ((F.col("i") == 1) & (t < F.col("x0"))))
+    hit = _at_pivots(seg, timepoints, lambda p: ((p >= F.col("x0")) & (p < F.col("x1"))) | (F.col("x1").isNull() & (p >= F.col("x0"))) | ((F.col("i") == 1) & (p < F.col("x0"))), "timepoint")
     line = F.col("y0") + (F.col("y1") - F.col("y0")) * (t - F.col("x0")) / (F.col("x1") - F.col("x0"))
     return hit.select(key, "timepoint", F.when(F.col("x1").isNull() | (t < F.col("x0")), F.col("y0")).otherwise(line).alias(value))
 

@@ -78,7 +78,7 @@ def apply_location_rules(df: DataFrame, parts: str, rules: DataFrame, row_key: s
     places = F.filter(F.transform("raw", lambda x, i: F.when(x != "*", i)), lambda x: x.isNotNull())
     keyed = rules.withColumn("mask", places).withColumn("n", F.size("raw")).withColumn("fixed", F.filter("raw", lambda x: x != "*"))
     masks = keyed.select("n", "mask").distinct()
-    tries = df.select(row_key, F.col(parts).alias("_p")).join(F.broadcast(masks), F.size("_p") == F.col("n")).withColumn("fixed", F.transform("mask", lambda i: F.get(F.col("_p"), i)))
+    tries = df.select(row_key, F.col(parts).alias("_p")).join(masks, F.size("_p") == F.col("n")).withColumn("fixed", F.transform("mask", lambda i: F.get(F.col("_p"), i)))
     hits = tries.join(keyed.select("n", "mask", "fixed", "raw", "new", "rule_order"), ["n", "mask", "fixed"])
     first = hits.groupBy(row_key).agg(F.min_by(F.struct("raw", "new"), "rule_order").alias("_rule"))
     wild = F.filter(F.transform(F.col("_rule.raw"), lambda x, i: F.when(x == "*", F.get(F.col(parts), i))), lambda x: x.isNotNull())
@@ -216,15 +216,17 @@ def fuzzy_candidates(queries: DataFrame, names: DataFrame, q: str, n: str, least
 def asof_window(df: DataFrame, t: str, windows: DataFrame, key: str, past_last: bool = True) -> DataFrame:
     """Each row with the first window (window_start, window_end) that ends after t, or with the last if t is past all.
 
-    A window that starts after t gives nulls.  The windows are a small table; the range condition is a join on them.
+    A window that starts after t gives nulls.  The windows are a calendar's worth of rows; each row looks them up in one
+    sorted array, without a shuffle.  ``key`` is not needed to tell rows apart and stays for callers that name it.
     """
-    last = windows.agg(F.max("window_end").alias("_last"))
-    hit = df.select(key, t).join(F.broadcast(windows), F.col("window_end") > F.col(t), "left").groupBy(key).agg(F.min("window_end").alias("window_end"))
-    out = df.join(hit, key).join(F.broadcast(last))
-    end = F.coalesce("window_end", "_last") if past_last else F.col("window_end")
-    out = out.withColumn("window_end", end).drop("_last").join(F.broadcast(windows), "window_end", "left")
-    late = F.col("window_start") > F.col(t)
-    return out.withColumns({"window_end": F.when(~late, F.col("window_end")), "window_start": F.when(~late, F.col("window_start"))})
+    listed = windows.where("window_end is not null").agg(F.array_sort(F.collect_list(F.struct("window_end", "window_start"))).alias("w"))
+    later = F.filter("_windows", lambda w: w["window_end"] > F.col(t))
+    hit = F.get(later, F.lit(0))
+    if past_last:
+        hit = F.when(F.col(t).isNotNull(), F.coalesce(hit, F.try_element_at("_windows", F.lit(-1))))
+    out = df.withColumn("_windows", listed.scalar()).withColumn("_hit", hit)
+    late = F.coalesce(F.col("_hit.window_start") > F.col(t), F.lit(False))
+    return out.withColumns({"window_end": F.when(~late, F.col("_hit.window_end")), "window_start": F.when(~late, F.col("_hit.window_start"))}).drop("_windows", "_hit")
 
 
 def join_offset(a: DataFrame, b: DataFrame, t: str, months: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -251,3 +253,21 @@ def keep_common(tables: Sequence[DataFrame], key: str) -> list[DataFrame]:
 def join_rounded(left: DataFrame, right: DataFrame, on: Sequence[str], digits: int = 3) -> DataFrame:
     out = left.join(right, list(on))
     return out.withColumns({f.name: F.round(f.name, digits) for f in out.schema if f.dataType.typeName() == "double"})
+
+
+def override_locations(df: DataFrame, overrides: DataFrame, key: str, columns: Sequence[str], derived: Mapping[str, Column]) -> DataFrame:
+    """Columns from an override of the same id, whole; rows without one get the derived expressions.
+
+    An override ends the matter: no derived rule applies to its row, and parts that it leaves out are empty.
+    """
+    fixed = overrides.select(F.col(key).alias("_id"), *[F.col(c).alias(f"_o_{c}") for c in columns], F.lit(True).alias("_fixed"))
+    out = df.join(fixed, F.col(key) == F.col("_id"), "left")
+    made = {c: F.when(F.col("_fixed"), F.coalesce(f"_o_{c}", F.lit(""))).otherwise(derived[c]) for c in columns}
+    return out.withColumns(made).drop("_id", "_fixed", *[f"_o_{c}" for c in columns])
+
+
+def coverage_for(df: DataFrame, country: str, codes: DataFrame, covered: DataFrame) -> DataFrame:
+    """Rows with the coverage of their country, given as a name or as a code of ``codes`` (code, country); null where unknown."""
+    named = df.join(codes.select(F.col("code").alias("_code"), F.col("country").alias("_name")), F.col(country) == F.col("_code"), "left")
+    named = named.withColumn("_place", F.coalesce("_name", country)).drop("_code", "_name")
+    return named.join(covered.select(F.col("country").alias("_place"), "coverage"), "_place", "left").drop("_place")

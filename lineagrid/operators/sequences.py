@@ -58,20 +58,19 @@ def hamming_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else one(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
 
 
-def pairwise_hamming(df: DataFrame, t: str, months: int, sample: str, seq: str) -> DataFrame:
+def pairwise_hamming(df: DataFrame, t: str, months: int, sample: str, seq: str, queries: Column | None = None, blocks: int = 16) -> DataFrame:
     """(sample, other_sample, distance) of samples of one timepoint, and of a timepoint with that ``months`` later.
 
-    Distances are computed once per pair of distinct sequences.
+    With ``queries``, only for samples that it holds for, against all others.  A timepoint is dealt to blocks by the other
+    sample, each of which meets every query of the timepoint, so that a crowded one is not one task's work.
     """
     rows = df.select(F.col(t).alias("_t"), F.col(sample).alias("_s"), F.col(seq).alias("_q"))
-    times = rows.select("_t", "_q").distinct()
-    other = times.select(F.explode(F.array(F.col("_t"), F.add_months("_t", -months))).alias("_t"), F.col("_q").alias("_p"), F.col("_t").alias("_u"))
-    pairs = times.join(other, "_t").select("_t", "_u", "_q", "_p")
-    scored = pairs.select(F.least("_q", "_p").alias("a"), F.greatest("_q", "_p").alias("b")).distinct().withColumn("distance", hamming_batch("a", "b"))
-    x = rows.alias("x").join(pairs.alias("p"), (F.col("x._t") == F.col("p._t")) & (F.col("x._q") == F.col("p._q")))
-    x = x.join(rows.alias("y"), (F.col("y._t") == F.col("p._u")) & (F.col("y._q") == F.col("p._p")))
-    x = x.select(F.col("x._s").alias("sample"), F.col("y._s").alias("other_sample"), F.least("p._q", "p._p").alias("a"), F.greatest("p._q", "p._p").alias("b"))
-    return x.where("sample <> other_sample").join(scored, ["a", "b"]).select("sample", "other_sample", "distance").distinct()
+    asked = df.where(queries).select(F.col(t).alias("_t"), F.col(sample).alias("_s"), F.col(seq).alias("_q")) if queries is not None else rows
+    x = asked.select(F.explode(F.array("_t", F.add_months("_t", months))).alias("_u"), F.col("_s").alias("sample"), F.col("_q").alias("a"))
+    x = x.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    y = rows.select(F.col("_t").alias("_u"), F.col("_s").alias("other_sample"), F.col("_q").alias("b"), F.pmod(F.xxhash64("_s"), F.lit(blocks)).cast("int").alias("_block"))
+    pairs = x.join(y, ["_u", "_block"]).where("sample <> other_sample")
+    return pairs.select("sample", "other_sample", hamming_batch("a", "b").alias("distance")).distinct()
 
 
 def substitution_distance(pairs: DataFrame, a: str, b: str, weights: DataFrame, key: Sequence[str], default: float = 0.0) -> DataFrame:

@@ -99,7 +99,7 @@ def inherited_labels(paths: DataFrame, labels: DataFrame, label: str) -> DataFra
 def subtree(edges: DataFrame, paths: DataFrame, has_label: Column) -> DataFrame:
     """The edges at or below the first node in preorder that has the label."""
     root = edges.where(has_label).agg(F.min_by("node", "preorder").alias("ancestor"))
-    return edges.join(paths.join(F.broadcast(root), "ancestor").select("node"), "node", "left_semi")
+    return edges.join(paths.join(root, "ancestor").select("node"), "node", "left_semi")
 
 
 def founder_haplotype(nodes: DataFrame, seqs: DataFrame, clade: str = "clade") -> DataFrame:
@@ -138,7 +138,7 @@ def assign_clades(edges: DataFrame, paths: DataFrame, mutations: DataFrame, defi
     """
     alleles = paths.join(mutations.select(F.col("node").alias("ancestor"), "site", "alt"), "ancestor").groupBy("node", "site").agg(F.min_by("alt", "hops").alias("alt"))
     need = definitions.groupBy("clade").agg(F.count("*").alias("need"))
-    met = alleles.join(F.broadcast(definitions), ["site", "alt"]).groupBy("node", "clade").agg(F.count("*").alias("n")).join(F.broadcast(need), "clade").where("n = need")
+    met = alleles.join(definitions, ["site", "alt"]).groupBy("node", "clade").agg(F.count("*").alias("n")).join(need, "clade").where("n = need")
     return met.groupBy("node").agg(F.max_by("clade", F.struct("need", "clade")).alias("clade")).join(edges.select("node"), "node", "right").withColumn("clade", F.coalesce("clade", F.lit("unassigned")))
 
 
@@ -159,3 +159,50 @@ def prune_to_common(trees: Sequence[tuple[DataFrame, DataFrame]]) -> list[DataFr
     tips = [e.where("is_terminal").select("node") for e, _ in trees]
     common = reduce(lambda a, b: a.intersect(b), tips)
     return [e.join(p.join(common, "node", "left_semi").select(F.col("ancestor").alias("node")).distinct(), "node", "left_semi") for e, p in trees]
+
+
+def distance_to_past_ancestor(paths: DataFrame, dates: DataFrame, t: Column, seqs: DataFrame, mask: str) -> DataFrame:
+    """(node, past, distance): the nearest proper ancestor dated before t, and the sites of the mask where it differs."""
+    past = past_ancestor(paths, dates, t)
+    both = past.join(seqs.select("node", F.col("seq").alias("_s")), "node").join(seqs.select(F.col("node").alias("past"), F.col("seq").alias("_p")), "past")
+    sites = F.array(*[F.lit(i + 1) for i, c in enumerate(mask) if c == "1"])
+    differing = F.filter(sites, lambda i: F.substr(F.col("_s"), i, F.lit(1)) != F.substr(F.col("_p"), i, F.lit(1)))
+    return both.select("node", "past", F.size(differing).alias("distance"))
+
+
+def clades_in_band(edges: DataFrame, paths: DataFrame, tips: DataFrame, frequency: str, lo: float, hi: float) -> DataFrame:
+    """(node, frequency) of nodes whose tips' frequencies sum to [lo, hi] and to less than their parent's."""
+    sums = sum_descendants(paths, tips.select("node", frequency), frequency).select(F.col("ancestor").alias("node"), F.col("total").alias("frequency"))
+    above = sums.select(F.col("node").alias("parent"), F.col("frequency").alias("_above"))
+    banded = sums.where(F.col("frequency").between(lo, hi)).join(edges.select("node", "parent"), "node")
+    return banded.join(above, "parent").where("frequency < _above").select("node", "frequency")
+
+
+def separate_clades(paths: DataFrame, clades: DataFrame, dates: DataFrame, since: Column) -> DataFrame:
+    """Of clades (node, ...) dated ``since`` or later those below no other such clade, so that none overlap."""
+    recent = clades.join(dates.where(F.col("date") >= since).select("node"), "node", "left_semi")
+    inside = paths.where("hops > 0").join(recent.select(F.col("node").alias("ancestor")), "ancestor", "left_semi").select("node").distinct()
+    return recent.join(inside, "node", "left_anti")
+
+
+def diagnose_clock(tips: DataFrame, rate: float, sigma: float, cutoff: float) -> DataFrame:
+    """(node, z, diagnosis) of tips (node, date, expected, parent_date, mutations) off the clock, z in units of all tips' deviation.
+
+    A tip without a date is ``bad_date``.  One beyond the cutoff and late is ``date_too_late``; one early is
+    ``date_too_early`` where its mutations can't account for the time from its parent, else ``excess_mutations``.
+    """
+    scored = tips.withColumn("_z", (F.col("date") - F.col("expected")) / sigma)
+    spread = scored.agg(F.stddev_pop("_z")).scalar()
+    z = F.try_divide("_z", "_sd")
+    gap = F.abs(F.col("date") - F.col("parent_date")) > F.col("mutations") / rate
+    early = F.when(gap, "date_too_early").otherwise("excess_mutations")
+    out = scored.withColumn("_sd", spread).withColumn("z", z)
+    out = out.withColumn("diagnosis", F.when(F.col("date").isNull(), "bad_date").when(F.abs("z") > cutoff, F.when(F.col("z") < 0, early).otherwise("date_too_late")))
+    return out.where("diagnosis is not null").select("node", "z", "diagnosis")
+
+
+def prune_tips(edges: DataFrame, paths: DataFrame, outliers: DataFrame) -> DataFrame:
+    """Edges without the outlying tips and without what then leads to none."""
+    left = edges.where("is_terminal").select("node").join(outliers.select("node"), "node", "left_anti")
+    needed = paths.join(left, "node").select(F.col("ancestor").alias("node")).distinct()
+    return edges.join(needed, "node", "left_semi")

@@ -70,7 +70,7 @@ def subsample(df: DataFrame, by: Sequence[str], max_rows: int, row: str, priorit
     final = spare.withColumn("_rest", rest).withColumn("_take", F.col("_take") + F.when(F.col("_place") <= F.col("_rest"), 1).otherwise(0)).select(*by, "_take")
     within = Window.partitionBy(*by).orderBy(*([priority.desc_nulls_last()] if priority is not None else []), F.md5(F.concat(F.col(row).cast("string"), F.lit(seed))), row)
     ranked = df.withColumn("_r", F.row_number().over(within))
-    return ranked.join(F.broadcast(final) if len(by) == 1 else final, list(by)).where("_r <= _take").drop("_r", "_take")
+    return ranked.join(final, list(by)).where("_r <= _take").drop("_r", "_take")
 
 
 def top_references(df: DataFrame, key: str, n: int, include: DataFrame, exclude: DataFrame, item: str = "item") -> DataFrame:

@@ -539,24 +539,24 @@ def rising(spark, sf):
 # -- sequences ----------------------------------------------------------------------------------------------------
 
 
-@query("SELECT item_id, i::BIGINT AS site, substr(base, i, 1) AS ref, substr(seq, i, 1) AS alt FROM (SELECT item_id, substr(text, 1, 40) AS seq, (SELECT substr(text, 1, 40) FROM benchmark WHERE item_id = 0) AS base FROM benchmark), range(1, 41) t(i) WHERE i <= least(length(seq), length(base)) AND substr(base, i, 1) <> substr(seq, i, 1)")
+@query("SELECT item_id, i::BIGINT AS site, substr(base, i, 1) AS ref, substr(seq, i, 1) AS alt FROM (SELECT item_id, text AS seq, (SELECT text FROM benchmark WHERE item_id = 0) AS base FROM benchmark), range(1, (SELECT max(length(text)) + 1 FROM benchmark)) t(i) WHERE i <= least(length(seq), length(base)) AND substr(base, i, 1) <> substr(seq, i, 1)")
 def sequence_diff(spark, sf):
-    b = read(spark, sf, "benchmark").select("item_id", F.substring("text", 1, 40).alias("seq"))
+    b = read(spark, sf, "benchmark").select("item_id", F.col("text").alias("seq"))
     df = b.withColumn("base", b.where("item_id = 0").select("seq").scalar())
     return df.select("item_id", F.explode(S.sequence_diff(F.col("base"), F.col("seq"))).alias("x")).select("item_id", F.col("x.site").cast("long").alias("site"), "x.ref", "x.alt")
 
 
-@query("""WITH s AS (SELECT event_id AS s, ts::DATE AS t, concat(event_type, lpad((value * 100)::BIGINT::VARCHAR, 12, '0')) AS q FROM events WHERE user_id = 3)
-SELECT a.s AS sample, b.s AS other_sample, (list_sum(list_transform(range(1, greatest(length(a.q), length(b.q)) + 1), lambda i: CASE WHEN substr(a.q, i, 1) = substr(b.q, i, 1) THEN 0 ELSE 1 END)))::BIGINT AS distance FROM s a JOIN s b ON a.s <> b.s AND (a.t = b.t OR b.t = a.t + INTERVAL 1 MONTH)""")
+@query("""WITH s AS (SELECT event_id AS s, ts::DATE AS t, concat(event_type, lpad((value * 100)::BIGINT::VARCHAR, 12, '0')) AS q FROM events)
+SELECT a.s AS sample, b.s AS other_sample, (list_sum(list_transform(range(1, greatest(length(a.q), length(b.q)) + 1), lambda i: CASE WHEN substr(a.q, i, 1) = substr(b.q, i, 1) THEN 0 ELSE 1 END)))::BIGINT AS distance FROM s a JOIN s b ON a.s % 100 = 0 AND a.s <> b.s AND (a.t = b.t OR b.t = a.t + INTERVAL 1 MONTH)""")
 def pairwise_hamming(spark, sf):
-    s = read(spark, sf, "events").where("user_id = 3").select("event_id", day("ts").alias("t"), F.concat("event_type", F.lpad(F.round(F.col("value") * 100).cast("long").cast("string"), 12, "0")).alias("q"))
-    return Q.pairwise_hamming(s, "t", 1, "event_id", "q").select("sample", "other_sample", *L("distance"))
+    s = read(spark, sf, "events").select("event_id", day("ts").alias("t"), F.concat("event_type", F.lpad(F.round(F.col("value") * 100).cast("long").cast("string"), 12, "0")).alias("q"))
+    return Q.pairwise_hamming(s, "t", 1, "event_id", "q", F.col("event_id") % 100 == 0).select("sample", "other_sample", *L("distance"))
 
 
-@query("""WITH c AS (SELECT i::BIGINT AS site, substr(s, i, 1) AS ch, count(*) AS n FROM (SELECT substr(text, 1, 60) AS s FROM documents), range(1, 61) t(i) WHERE i <= length(s) GROUP BY ALL)
-SELECT site, round(-sum(n / t * ln(n / t + 1e-15)), 6) AS entropy FROM c JOIN (SELECT site, sum(n) AS t FROM c GROUP BY 1) USING (site) GROUP BY site""")
+@query("""WITH c AS (SELECT i::BIGINT AS site, substr(s, i, 1) AS ch, count(*) AS n FROM (SELECT text AS s FROM documents), range(1, (SELECT max(length(text)) + 1 FROM documents)) t(i) WHERE i <= length(s) GROUP BY ALL)
+SELECT site, abs(round(-sum(n / t * ln(n / t + 1e-15)), 6)) AS entropy FROM c JOIN (SELECT site, sum(n) AS t FROM c GROUP BY 1) USING (site) GROUP BY site""")
 def site_entropy(spark, sf):
-    return Q.site_entropy(read(spark, sf, "documents").select(F.substring("text", 1, 60).alias("s")), "s").select(*L("site"), *R("entropy", digits=6))
+    return Q.site_entropy(read(spark, sf, "documents").select(F.col("text").alias("s")), "s").select(*L("site"), F.abs(F.round("entropy", 6)).alias("entropy"))
 
 
 @query("""SELECT p_partkey, CASE WHEN list_has_all(w, ['blue']) AND p_type = 'ECONOMY' THEN 'b' WHEN list_has_all(w, ['small', 'ring']) THEN 'sr' WHEN list_has_all(w, ['small']) THEN 's' ELSE p_type END AS haplotype FROM (SELECT *, string_split(p_name, ' ') AS w FROM part)""")
@@ -572,12 +572,13 @@ def mutation_features(spark, sf):
     return df.select("p_partkey", *L("mutations"), S.derived_haplotype(F.col("p_type"), F.col("m")).alias("haplotype"), S.gap_count(F.col("p_name"), "ae").cast("long").alias("gaps"), S.motif_count(F.col("p_name"), "[aeiou][^aeiou ]").cast("long").alias("motifs"))
 
 
-@query("""WITH p AS (SELECT a.item_id AS a, b.item_id AS b, substr(a.text, 1, 30) AS x, substr(b.text, 1, 30) AS y FROM benchmark a, benchmark b WHERE a.item_id < b.item_id)
-SELECT a, b, round(sum(CASE WHEN i > least(length(x), length(y)) OR substr(x, i, 1) = substr(y, i, 1) THEN 0 WHEN i = 3 AND substr(x, i, 1) = 'a' AND substr(y, i, 1) = 't' THEN 2.5 WHEN i % 2 = 0 THEN 0.5 ELSE 1.0 END), 6) AS distance FROM p, range(1, 31) t(i) GROUP BY a, b""")
+@query("""WITH p AS (SELECT a.item_id AS a, b.item_id AS b, a.text AS x, b.text AS y FROM benchmark a, benchmark b WHERE a.item_id % 100 = 0 AND a.item_id <> b.item_id)
+SELECT a, b, round(sum(CASE WHEN i > least(length(x), length(y)) OR substr(x, i, 1) = substr(y, i, 1) THEN 0 WHEN i = 3 AND substr(x, i, 1) = 'a' AND substr(y, i, 1) = 't' THEN 2.5 WHEN i % 2 = 0 THEN 0.5 ELSE 1.0 END), 6) AS distance FROM p, range(1, (SELECT max(length(text)) + 1 FROM benchmark)) t(i) WHERE i <= greatest(length(x), length(y)) GROUP BY a, b""")
 def substitution_distance(spark, sf):
-    b = read(spark, sf, "benchmark").select("item_id", F.substring("text", 1, 30).alias("s"))
-    pairs = b.select(F.col("item_id").alias("a"), F.col("s").alias("x")).join(b.select(F.col("item_id").alias("b"), F.col("s").alias("y")), F.col("a") < F.col("b"))
-    weights = values(spark, "site int, `from` string, `to` string, weight double", (3, "a", "t", 2.5), *[(i, None, None, 0.5) for i in range(2, 31, 2)])
+    b = read(spark, sf, "benchmark").select("item_id", F.col("text").alias("s"))
+    queries = b.where("item_id % 100 = 0").select(F.col("item_id").alias("a"), F.col("s").alias("x"))  # a stated query set against all rows
+    pairs = b.select(F.col("item_id").alias("b"), F.col("s").alias("y")).join(queries, F.col("a") != F.col("b"))
+    weights = values(spark, "site int, `from` string, `to` string, weight double", (3, "a", "t", 2.5), *[(i, None, None, 0.5) for i in range(2, 2000, 2)])
     return Q.substitution_distance(pairs, "x", "y", weights, ["a", "b"], 1.0).select("a", "b", *R("distance", digits=6))
 
 
@@ -918,18 +919,18 @@ def masked_distance(spark, sf):
     return df.select("item_id", Q.masked_distance(F.col("text"), F.col("base"), "10" * 20).cast("long").alias("distance"))
 
 
-@query("""WITH b AS (SELECT item_id, substr(text, 1, 20) AS s, (SELECT substr(text, 1, 20) FROM benchmark WHERE item_id = 0) AS base FROM benchmark), m(map, site, f, t, w) AS (VALUES ('one', 2, NULL, NULL, 1.0), ('one', 5, 'a', 'e', 2.0), ('two', 3, NULL, 'e', 0.5), ('two', 7, NULL, NULL, 4.0))
+@query("""WITH b AS (SELECT item_id, text AS s, (SELECT text FROM benchmark WHERE item_id = 0) AS base FROM benchmark), m(map, site, f, t, w) AS (VALUES ('one', 2, NULL, NULL, 1.0), ('one', 5, 'a', 'e', 2.0), ('two', 3, NULL, 'e', 0.5), ('two', 7, NULL, NULL, 4.0))
 SELECT item_id, map, round(sum(CASE WHEN substr(s, site, 1) <> substr(base, site, 1) AND site <= length(s) AND (f IS NULL OR f = substr(base, site, 1)) AND (t IS NULL OR t = substr(s, site, 1)) THEN w ELSE 0 END), 6) AS distance FROM b, m GROUP BY ALL""")
 def distance_to(spark, sf):
-    b = read(spark, sf, "benchmark").select("item_id", F.substring("text", 1, 20).alias("s"))
+    b = read(spark, sf, "benchmark").select("item_id", F.col("text").alias("s"))
     df = b.withColumn("base", b.where("item_id = 0").select("s").scalar())
     maps = values(spark, "map string, site int, `from` string, `to` string, weight double", ("one", 2, None, None, 1.0), ("one", 5, "a", "e", 2.0), ("two", 3, None, "e", 0.5), ("two", 7, None, None, 4.0))
     return Q.distance_to(df, "item_id", "s", "base", maps).select("item_id", "map", *R("distance", digits=6))
 
 
-@query("""WITH c AS (SELECT i::BIGINT AS site, substr(s, i, 1) AS char, sum(w) AS n FROM (SELECT substr(p_name, 1, 8) AS s, p_retailprice AS w FROM part), range(1, 9) t(i) WHERE i <= length(s) GROUP BY ALL) SELECT site, char, round(n / sum(n) OVER (PARTITION BY site), 6) AS frequency FROM c""")
+@query("""WITH c AS (SELECT i::BIGINT AS site, substr(s, i, 1) AS char, sum(w) AS n FROM (SELECT p_name AS s, p_retailprice AS w FROM part), range(1, (SELECT max(length(p_name)) + 1 FROM part)) t(i) WHERE i <= length(s) GROUP BY ALL) SELECT site, char, round(n / sum(n) OVER (PARTITION BY site), 6) AS frequency FROM c""")
 def allele_frequencies(spark, sf):
-    return Q.allele_frequencies(read(spark, sf, "part").select(F.substring("p_name", 1, 8).alias("s"), "p_retailprice"), "s", "p_retailprice").select(*L("site"), "char", *R("frequency", digits=6))
+    return Q.allele_frequencies(read(spark, sf, "part").select(F.col("p_name").alias("s"), "p_retailprice"), "s", "p_retailprice").select(*L("site"), "char", *R("frequency", digits=6))
 
 
 @query(f"""WITH {_CLOSURE}, t AS (SELECT 1 + s_suppkey AS node, CASE WHEN s_acctbal > 5000 THEN 'high' ELSE 'low' END AS label FROM supplier) SELECT label, min(node) AS node FROM t GROUP BY 1""")

@@ -478,6 +478,102 @@ def project_tree(spark, sf):
     return M.project_tree(tips, T.closure(e), "node", "f", "fit", [0.25, 1.0]).select("node", "delta", *R("projected", digits=6))
 
 
+@query(f"WITH {_CLOSURE}, t AS (SELECT node FROM e WHERE node NOT IN (SELECT parent FROM e WHERE parent IS NOT NULL)), w AS (SELECT node, abs(s_acctbal) / sum(abs(s_acctbal)) OVER () AS f FROM t JOIN supplier ON s_suppkey + 1 = node), n AS (SELECT ancestor AS node, sum(f) AS f FROM c JOIN w USING (node) GROUP BY 1) SELECT n.node, round(n.f, 6) AS frequency FROM n JOIN e USING (node) JOIN n p ON p.node = e.parent WHERE n.f BETWEEN 0.05 AND 0.6 AND n.f < p.f")
+def clades_in_band(spark, sf):
+    e, tips = _weighted_tips(spark, sf)
+    return T.clades_in_band(e, T.closure(e), tips, "f", 0.05, 0.6).select("node", *R("frequency", digits=6))
+
+
+def _weighted_tips(spark, sf):
+    e = _tree(spark, sf)
+    tips = T.tips_only(e).select("node", F.abs("s_acctbal").alias("v"))
+    total = tips.agg(F.sum("v")).scalar()
+    return e, tips.withColumn("_t", total).select("node", (F.col("v") / F.col("_t")).alias("f"))
+
+
+@query(f"WITH {_CLOSURE}, k AS (SELECT node FROM e WHERE node % 2 = 1 AND node > 2) SELECT node FROM k WHERE node NOT IN (SELECT c.node FROM c JOIN k ON k.node = c.ancestor WHERE hops > 0)")
+def separate_clades(spark, sf):
+    e = _tree(spark, sf)
+    dates = e.select("node", F.date_add(F.lit("2000-01-01").cast("date"), F.col("node").cast("int")).alias("date"))
+    return T.separate_clades(T.closure(e), e.where("node % 2 = 1").select("node"), dates, F.lit("2000-01-04").cast("date"))
+
+
+@query(f'''WITH RECURSIVE e AS (SELECT s_suppkey + 1 AS node, CASE WHEN s_suppkey > 0 THEN (s_suppkey + 1) // 2 END AS parent FROM supplier), t AS (SELECT node FROM e WHERE node NOT IN (SELECT parent FROM e WHERE parent IS NOT NULL) AND NOT (node > 4 AND node % 3 <> 0)),
+u(node) AS (SELECT node FROM t UNION SELECT e.parent FROM u JOIN e USING (node) WHERE e.parent IS NOT NULL) SELECT node FROM u''')
+def prune_outliers(spark, sf):
+    """Tips dated after a year and not of a kind go, and inner nodes that led to nothing else."""
+    e = _tree(spark, sf)
+    outliers = e.where("node > 4 and node % 3 <> 0").select("node")
+    return T.prune_tips(e, T.closure(e), outliers).select("node")
+
+
+@query('''WITH t AS (SELECT o_orderkey AS node, CASE WHEN o_orderkey % 50 > 0 THEN 1990 + (o_orderkey % 37) / 10.0 END AS date, 1992.0 AS expected, 1991.0 + (o_orderkey % 3) AS parent_date, o_orderkey % 5 AS m FROM orders), z AS (SELECT *, (date - expected) / 1.5 / (SELECT stddev_pop((date - expected) / 1.5) FROM t) AS z FROM t)
+SELECT node, round(z, 5) AS z, CASE WHEN date IS NULL THEN 'bad_date' WHEN z > 0 THEN 'date_too_late' WHEN abs(date - parent_date) > m / 2.0 THEN 'date_too_early' ELSE 'excess_mutations' END AS diagnosis FROM z WHERE date IS NULL OR abs(z) > 1.2''')
+def diagnose_clock(spark, sf):
+    k = F.col("o_orderkey")
+    tips = read(spark, sf, "orders").select(k.alias("node"), F.when(k % 50 > 0, 1990 + (k % 37) / 10.0).alias("date"), F.lit(1992.0).alias("expected"), (1991.0 + k % 3).alias("parent_date"), (k % 5).alias("mutations"))
+    return T.diagnose_clock(tips, 2.0, 1.5, 1.2).select("node", *R("z", digits=5), "diagnosis")
+
+
+@query(f'''WITH {_CLOSURE}, o AS (SELECT c.node, arg_min(c.ancestor, c.hops) AS past FROM c WHERE hops > 0 AND ancestor < 6 GROUP BY 1)
+SELECT o.node, past, (SELECT count(*) FROM range(1, 19) r(i) WHERE i % 2 = 0 AND substr(a.s_name, i, 1) <> substr(b.s_name, i, 1))::BIGINT AS distance FROM o JOIN supplier a ON a.s_suppkey + 1 = o.node JOIN supplier b ON b.s_suppkey + 1 = past''')
+def distance_to_past_ancestor(spark, sf):
+    e = _tree(spark, sf)
+    dates = e.select("node", F.date_add(F.lit("2000-01-01").cast("date"), F.col("node").cast("int")).alias("date"))
+    seqs = read(spark, sf, "supplier").select((F.col("s_suppkey") + 1).alias("node"), F.col("s_name").alias("seq"))
+    return T.distance_to_past_ancestor(T.closure(e), dates, F.lit("2000-01-07").cast("date"), seqs, "01" * 9).select("node", "past", *L("distance"))
+
+
+@query(f'''WITH {_PANEL}, m AS (SELECT clade, date_diff('month', DATE '1992-01-01', t)::DOUBLE AS x, sum(f) AS f FROM s GROUP BY ALL), b AS (SELECT clade, f, d, date_diff('month', DATE '1992-01-01', t)::DOUBLE AS x FROM s),
+d AS (SELECT b.*, v, f * exp(0.4 * d * greatest(v, 0)) AS g FROM b, (VALUES (-0.5), (0.0), (0.25), (1.0)) w(v)), n AS (SELECT *, g / sum(g) OVER (PARTITION BY x, v) AS p FROM d), q AS (SELECT x, clade, v, sum(p) AS p FROM n GROUP BY ALL),
+o AS (SELECT q.*, l.x AS x0, l.f AS f0, h.x AS x1, h.f AS f1 FROM q JOIN m l ON l.clade = q.clade AND l.x <= q.x + q.v JOIN m h ON h.clade = q.clade AND h.x >= q.x + q.v QUALIFY row_number() OVER (PARTITION BY q.x, q.clade, q.v ORDER BY l.x DESC, h.x) = 1),
+z AS (SELECT *, CASE WHEN x1 = x0 THEN f0 ELSE f0 + (x + v - x0) / (x1 - x0) * (f1 - f0) END AS o FROM o)
+SELECT x, clade, v::DOUBLE AS delta, round(o, 6) AS observed, round(CASE WHEN v < 0 THEN o ELSE p END, 6) AS predicted FROM z''')
+def validate_trajectories(spark, sf):
+    p = M.fitness(M.standardise(_months(spark, sf), ["d"], "f", "t"), {"d": 0.4})
+    lines = p.groupBy("clade", F.col("x").alias("pivot")).agg(F.sum("f").alias("frequency"))
+    return M.validate_trajectories(p, lines, "x", "clade", "f", "fitness", [-0.5, 0.0, 0.25, 1.0]).select("x", "clade", "delta", *R("observed", "predicted", digits=6))
+
+
+# -- what the record queries above leave out ----------------------------------------------------------------------
+
+
+@query("WITH g AS (SELECT c_nationkey AS r FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1 HAVING count(DISTINCT o_orderpriority) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) = 3) SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND c_nationkey IN (SELECT r FROM g)")
+def filter_by_region(spark, sf):
+    o = read(spark, sf, "orders").join(read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return C.filter_by_region(o, "c_nationkey", "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM"]).select("o_orderkey")
+
+
+@query("SELECT c_custkey, concat(c_name, ' (', c_mktsegment, ', ', n_name, ')') AS label FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey")
+def compose_label(spark, sf):
+    c = read(spark, sf, "customer").join(read(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return c.select("c_custkey", S.label("%s (%s, %s)", F.col("c_name"), F.col("c_mktsegment"), F.col("n_name")).alias("label"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'fixed' ELSE n_name END AS country, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS division FROM customer JOIN nation ON n_nationkey = c_nationkey")
+def override_locations(spark, sf):
+    c = read(spark, sf, "customer").join(read(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    fixed = read(spark, sf, "customer").where("c_custkey % 4 = 0").select("c_custkey", F.lit("fixed").alias("country"), F.lit(None).cast("string").alias("division"))
+    return J.override_locations(c, fixed, "c_custkey", ["country", "division"], {"country": F.col("n_name"), "division": F.col("c_mktsegment")}).select("c_custkey", "country", "division")
+
+
+@query("WITH v AS (SELECT n_name, avg(s_acctbal) AS x FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_nationkey % 5 > 0 GROUP BY 1) SELECT c_custkey, round(x, 4) AS coverage FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN v USING (n_name)")
+def coverage_for(spark, sf):
+    """Customers of even keys name their country, others give its code."""
+    n = read(spark, sf, "nation").withColumn("code", F.concat(F.lit("C"), F.col("n_nationkey").cast("string")))
+    c = read(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).withColumn("country", F.when(F.col("c_custkey") % 2 == 0, F.col("n_name")).otherwise(F.col("code")))
+    covered = read(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).where("n_nationkey % 5 > 0").groupBy(F.col("n_name").alias("country")).agg(F.avg("s_acctbal").alias("coverage"))
+    return J.coverage_for(c.select("c_custkey", "country"), "country", n.select("code", F.col("n_name").alias("country")), covered).select("c_custkey", *R("coverage"))
+
+
+@query(f"WITH {_PANEL}, m AS (SELECT clade, date_diff('month', DATE '1992-01-01', t)::DOUBLE AS x, sum(f) AS f FROM s GROUP BY ALL), a AS (SELECT * FROM m UNION ALL SELECT clade, 9001.0, CASE WHEN clade = 1 THEN 0.25 ELSE 0.0 END FROM (SELECT DISTINCT clade FROM m) UNION ALL SELECT clade, 9002.0, CASE WHEN clade = 1 THEN 0.5 ELSE 0.0 END FROM (SELECT DISTINCT clade FROM m)) SELECT clade, count(*)::BIGINT AS n, round(max(x), 2) AS last, string_agg(round(f, 3)::VARCHAR, ',' ORDER BY x) FILTER (x > 9000) AS tail FROM a GROUP BY 1")
+def extend_trajectories(spark, sf):
+    m = _months(spark, sf).groupBy("clade", F.col("x").alias("pivot")).agg(F.sum("f").alias("frequency")).withColumn("pivot_idx", F.col("pivot").cast("int"))
+    ahead = values(spark, "clade long, pivot double, frequency double", (1, 9001.0, 0.25), (1, 9002.0, 0.5))
+    out = A.extend_trajectories(m, ahead, "clade", [9001.0, 9002.0])
+    return out.select("clade", F.size("pivots").cast("long").alias("n"), F.element_at("pivots", -1).alias("last"), F.array_join(F.transform(F.slice("frequencies", -2, 2), lambda x: F.round(x, 3)), ",").alias("tail"))
+
+
 # -- files: written to the session's shared folder and read back ---------------------------------------------------
 
 
