@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .shared import stored
 from .textvec import LETTERS_DIGITS, U, chunks, hash_words, mix
 
-#: Fixed masks by the words of a window (an item's, up to 13): 1 compares a word, 0 ignores it.  Wherever words are
+#: Fixed masks by the words of a window (an item's, from 5 to 13; shorter items are compared whole): 1 compares a word, 0 ignores it.  Wherever words are
 #: substituted with 75 % of the window left equal, one mask of its family still fits somewhere inside the window.
 MASKS = {
     5: ("1111", "11101", "11011", "10111"),
@@ -110,6 +110,7 @@ def overlap(item: np.ndarray, words: np.ndarray, diagonal: int, lo: int, hi: int
     a, z = max(lo, diagonal), min(hi, diagonal + len(item))
     same = words[a:z] == item[a - diagonal : z - diagonal]
     width = min(width, len(item))
+    percent = percent if len(item) >= min(MASKS) else 100
     if len(same) < width:
         return 0, -1
     total = np.concatenate([[0], np.cumsum(same)])
@@ -156,7 +157,7 @@ def find_leaks(
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
-    least: int = 5,
+    least: int = 1,
     width: int = 13,
     percent: int = 75,
     block_words: int = 500_000,
@@ -165,8 +166,8 @@ def find_leaks(
 
     rk is ``xxhash64(key, text)`` of a row; rows that repeat both have their findings once.  Words are runs of letters
     and digits, A-Z lower-cased.  An overlap is a window of ``width`` words of an item (all of a shorter one) of which
-    ``percent`` per cent stand at the same places in the document; ``at`` is the word where it begins.  Items of fewer
-    than ``least`` words, null ones included, are too short to tell and match nothing.  Items with equal texts all count;
+    ``percent`` per cent stand at the same places in the document (all, of items under 5 words); ``at`` is the word where
+    it begins.  Items of fewer than ``least`` words, null ones and ones without words included, match nothing.  Items with equal texts all count;
     null item keys are left out.  The benchmark is read in blocks of about ``block_words`` words.
     """
     slim = docs.select(F.xxhash64(F.col(key), F.col(text)).alias("rk"), F.col(text).alias("_text"))

@@ -64,20 +64,20 @@ def text_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, key: str, text: str, size: int, k: int) -> DataFrame:
-    """(key, nid, n, sig) of every row; a text without words has n 0, no id and no signature."""
+    """(key, rk, nid, n, sig) of every row; a text without words has n 0, no id and no signature."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(k)
         for batch in batches:
             ids, sizes, sigs = [], [], []
-            for s in text_sets(batch.column(1), size):
+            for s in text_sets(batch.column(2), size):
                 ids.append(set_id(s) if len(s) else None)
                 sizes.append(len(s))
                 sigs.append(signature(s, factors) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))], names=["key", "nid", "n", "sig"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))], names=["key", "rk", "nid", "n", "sig"])
 
     kind = docs.select(F.col(key).alias("key")).schema["key"].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(make, f"key {kind}, nid long, n long, sig array<int>")
+    return docs.select(key, F.xxhash64(key, text), text).mapInArrow(make, f"key {kind}, rk long, nid long, n long, sig array<int>")
 
 
 def postings(reps: DataFrame, k: int, t: int) -> DataFrame:
@@ -90,37 +90,36 @@ def postings(reps: DataFrame, k: int, t: int) -> DataFrame:
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int, k: int) -> DataFrame:
-    """(nid, set, sig), one row for each wanted (nid, rid)."""
+    """(nid, set, sig), one row for each wanted (nid, rk)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(k)
         for batch in batches:
             ids, sets, sigs = [], [], []
             for nid, s in zip(batch.column(0), text_sets(batch.column(1), size), strict=True):
-                if len(s) and set_id(s) == nid.as_py():  # a repeated key may stand for other texts too
-                    ids.append(nid.as_py())
-                    sets.append(s.view(np.int64))
-                    sigs.append(signature(s, factors))
+                ids.append(nid.as_py())
+                sets.append(s.view(np.int64))
+                sigs.append(signature(s, factors))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int32()))], names=["nid", "set", "sig"])
 
     few = wanted.count() <= BROADCAST_IDS
-    rows = docs.select(F.col(key).alias("rid"), F.col(text).alias("_text")).join(F.broadcast(wanted) if few else wanted, "rid")
+    rows = docs.select(F.xxhash64(key, text).alias("rk"), F.col(text).alias("_text")).join(F.broadcast(wanted) if few else wanted, "rk")
     return rows.select("nid", "_text").mapInArrow(make, "nid long, set array<long>, sig array<int>").dropDuplicates(["nid"])
 
 
-def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (a, b) whose sets reach the similarity."""
+def verified(edges: DataFrame, sets: DataFrame, percent: int, t: int) -> DataFrame:
+    """The edges (a, b) whose sets reach the similarity and whose signatures match in t coordinates."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(_arrays(batch.column(2)), _arrays(batch.column(3)), strict=True):
+            for x, y, p, q in zip(*(_arrays(batch.column(i)) for i in range(2, 6)), strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both) and (p == q).sum() >= t)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left, right = (sets.select(F.col("nid").alias(k), F.col("set").alias(f"s{k}")) for k in "ab")
-    return edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    left, right = (sets.select(F.col("nid").alias(k), F.col("set").alias(f"s{k}"), F.col("sig").alias(f"t{k}")) for k in "ab")
+    return edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
 def placed_in_blocks(sets: DataFrame) -> DataFrame:
@@ -213,12 +212,12 @@ def _arrays(column: pa.ListArray) -> list[np.ndarray]:
 def near_edges(docs: DataFrame, reps: DataFrame, *, key: str, text: str, size: int, percent: int, k: int, t: int) -> DataFrame:
     """Verified edges (a, b) between set ids that connect whatever links connect."""
     lists = stored(postings(reps, k, t), "postings")
-    wanted = lists.select("nid").distinct().join(reps.select("nid", "rid"), "nid")
+    wanted = lists.select("nid").distinct().join(reps.select("nid", "rk"), "nid")
     sets = stored(candidate_sets(docs, wanted, key, text, size, k), "sets")
     hubs = lists.groupBy("list").agg(F.max(F.struct("cent", "nid")).alias("hub"), F.count("*").alias("m")).where("m > 1").select("list", F.col("hub.nid").alias("b"))
     shared = lists.join(hubs, "list").where("nid <> b").groupBy(F.col("nid").alias("a"), "b").agg(F.count("*").alias("m"))
     best = stored(shared.groupBy("a").agg(F.max(F.struct("m", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "hubs")
-    first = stored(verified(best, sets, percent), "links")
+    first = stored(verified(best, sets, percent, t), "links")
     group = components(first).withColumnsRenamed({"id": "nid"})
     labelled = lists.select("nid", "list").join(group, "nid", "left").withColumn("component", F.coalesce("component", "nid"))
     labelled = stored(labelled, "labelled")
@@ -240,12 +239,13 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     Words are runs of characters other than ASCII white space, A-Z lower-cased; a set holds the distinct shingles of
     ``size`` words, or the whole sequence where it is shorter.  Sets link at ``percent`` per cent Jaccard similarity.
     component_id is the smallest key reachable.  A text without words (or null) links with nothing and is kept.  Rows of
-    equal texts share a component, repeated rows too; a row is kept if its key is the component's.  Null keys never
-    represent a component that has another; a component of null keys alone is null and its rows are kept.
+    equal texts share a component, repeated rows too; a row is kept if its key is the component's.  Rows with null
+    keys link like others but never represent a component that has another key; a component of null keys alone is null and
+    its rows are kept.
     """
     made = stored(signatures(docs, key, text, size, k), "signatures")
-    reps = stored(made.where("n > 0").groupBy("nid").agg(F.min("key").alias("rid"), F.first("sig").alias("sig")), "reps")
-    edges = near_edges(docs, reps.where("rid is not null"), key=key, text=text, size=size, percent=percent, k=k, t=t)
+    reps = stored(made.where("n > 0").groupBy("nid").agg(F.min("key").alias("rid"), F.min("rk").alias("rk"), F.first("sig").alias("sig")), "reps")
+    edges = near_edges(docs, reps, key=key, text=text, size=size, percent=percent, k=k, t=t)
     group = components(edges)
     rid = reps.select("nid", "rid")
     named = rid.join(group, rid.nid == group.id, "left").select("nid", "rid", F.coalesce("component", "nid").alias("component"))

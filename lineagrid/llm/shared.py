@@ -17,9 +17,11 @@ _own: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables; only where the cluster names none, a local one of our own."""
+    """The shared folder for intermediate tables; one of our own only where all runs on one machine and none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("a cluster needs spark.checkpoint.dir: a folder that its executors share")
         app = spark.sparkContext.applicationId
         named = _own[app] = _own.get(app) or tempfile.mkdtemp(prefix="lineagrid-")
     return named.rstrip("/")

@@ -2,7 +2,7 @@
 
 A store is a folder of committed batches, ``batch=<id>``, each a small table of signed sums by source, language and
 tokenizer version.  Committing a batch sums the signs of its changes (map-side first), writes the sums aside and renames
-them into place; a batch whose folder is there already is left as it is.  So a batch that is delivered again, or retried
+them into place, which fails where the folder is there already: of two writers of one batch, one commits.  So a batch that is delivered again, or retried
 after a crash, counts once.  Totals are sums over all batches: inserts, deletes and revised counts rewrite nothing.
 """
 
@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +71,8 @@ def signed(changes: DataFrame) -> DataFrame:
 def commit(changes: DataFrame, store: str, batch_id: str) -> bool:
     """Commit a batch of changes; False, and nothing done, if this batch is there already.
 
-    Sums are written aside and renamed, so that readers see a whole batch or none.
+    Sums are written aside and renamed without overwriting, so that readers see a whole batch or none.  On a file system
+    whose renames are atomic (HDFS, local disks) a batch counts once whatever number of writers commit it at a time.
     """
     if not batch_id or not all(c.isalnum() or c in "-_." for c in batch_id):
         raise ValueError(f"not a batch id: {batch_id!r}")
@@ -81,10 +83,17 @@ def commit(changes: DataFrame, store: str, batch_id: str) -> bool:
     if fs.exists(target):
         return False
     aside = f"{store}/_aside/{batch_id}-{uuid.uuid4().hex}"
-    signed(changes).coalesce(1).write.parquet(aside)
-    if fs.exists(target) or not fs.rename(path(aside), target):
+    signed(changes).write.parquet(aside)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), fs.getConf())
+    no_overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    no_overwrite[0] = getattr(spark._jvm.org.apache.hadoop.fs.Options.Rename, "NONE")
+    try:
+        context.rename(fs.makeQualified(path(aside)), fs.makeQualified(target), no_overwrite)
+    except Py4JJavaError:
         fs.delete(path(aside), True)
-        return False
+        if fs.exists(target):
+            return False
+        raise
     return True
 
 

@@ -101,14 +101,37 @@ def test_rollup(spark, tmp_path):
         token_rollup.commit(change(("put", "a", "en", "t", 5, None)), store, "bad")
 
 
+def test_rollup_two_writers(spark, tmp_path, monkeypatch):
+    """Both see no batch, write their sums, and meet at the rename."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    store, meet, summed = str(tmp_path / "store"), Barrier(2), token_rollup.signed
+    rows = spark.createDataFrame([("insert", "a", "en", "t", 5, None)], "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long")
+    monkeypatch.setattr(token_rollup, "signed", lambda changes: (meet.wait(60), summed(changes))[1])
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(lambda _: token_rollup.commit(rows, store, "one"), range(2)))
+    assert sorted(done) == [False, True]
+    assert [tuple(r) for r in token_rollup.totals(spark, store).collect()] == [("a", "en", "t", 1, 5)]
+
+
+def test_minhash_null_keys(spark):
+    """Rows without a key link others: 1 and 9 are near the null row, not each other."""
+    w = [f"w{i}" for i in range(60)]
+    chain = [[*w[:57], "a", "b", "c"], w, ["x", "y", "z", *w[3:]]]
+    df = spark.createDataFrame([(1, " ".join(chain[0])), (None, " ".join(chain[1])), (9, " ".join(chain[2])), (None, "alone in this text of six words")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()), key=repr)
+    assert got == [(1, 1, True), (9, 1, False), (None, 1, False), (None, None, True)]
+
+
 def test_decontaminate(spark, docs):
-    bench = spark.createDataFrame([(1, WORDS), (2, WORDS), (3, None), (4, "one two"), (None, WORDS), (5, "one two three x y")], "item_id long, text string")
+    bench = spark.createDataFrame([(1, WORDS), (2, WORDS), (3, None), (4, "one two x"), (None, WORDS), (5, "one two three x y"), (6, "?"), (7, "YOU idiot")], "item_id long, text string")
     out = decontaminate.decontaminate(docs, bench)
     got = {r.doc_id: (r.leaked_items, r.kept) for r in out.collect()}
     assert out.count() == len(ROWS)
-    assert [k for k, v in got.items() if not v[1]] and {k for k, v in got.items() if not v[1]} == {1, 2, 7, 10} and got[1][0] == [1, 2]
+    assert [k for k, v in got.items() if not v[1]] and {k for k, v in got.items() if not v[1]} == {1, 2, 6, 7, 10} and got[1][0] == [1, 2] and got[6][0] == [7]
     changed = docs.withColumn("text", F.replace(F.replace("text", F.lit("gamma"), F.lit("g")), F.lit("lambda"), F.lit("l")))
-    assert decontaminate.decontaminate(changed, bench, block_words=10).where("not kept").select("doc_id").distinct().count() == 4
+    assert decontaminate.decontaminate(changed, bench, block_words=10).where("not kept").select("doc_id").distinct().count() == 5
     assert decontaminate.decontaminate(docs, bench.limit(0)).where("not kept").count() == 0
     assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0
 
