@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
-Each page is parsed in its task into a small tree.  Parts that by tag, role or name aren't the article (menus, forms,
-adverts, comments and the like) are cut.  Every node left gets a composite density, its characters per tag adjusted for
+Each page is parsed in its task into a small tree.  Parts that by tag or role aren't the article (menus, forms and the
+like) are cut, and so are reader comments and parts with a class or id that is nothing but such a name.  A part whose
+class or id merely has such a name among other words is cut unless it holds a main heading or half of the page's text.
+Every node left gets a composite density, its characters per tag adjusted for
 links, and the sum of its children's densities.  The node with the largest sum is the article's body; the smallest
 density on its path to the page's body is the threshold at which parts beside that path belong to the article too.
 """
@@ -25,6 +27,7 @@ CUT = frozenset("head script style noscript template title nav footer aside form
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 SCOPE = frozenset("html body article section main div table td th ul ol dl blockquote".split())
 #: Fixed names that mark parts which aren't the article, compared with the words of class and id.
 NAMES = frozenset(
@@ -32,9 +35,11 @@ NAMES = frozenset(
     "sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social related recommended recommendations comment comments disqus reply replies respond pagination pager toolbar widget search".split()
 )
+#: Fixed names of reader comments, which may be longer than the article.
+COMMENTS = frozenset("comment comments disqus reply replies respond".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^>\"'<]|\"(?:[^\"<]|<(?![a-zA-Z/!?]))*+\"|'(?:[^'<]|<(?![a-zA-Z/!?]))*+'|[\"'])*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -46,38 +51,51 @@ class Tree:
 
     tag: list[str] = field(default_factory=lambda: ["#root"])
     parent: list[int] = field(default_factory=lambda: [-1])
+    #: Cut for certain, and cut unless it holds what the article would.
     cut: list[bool] = field(default_factory=lambda: [False])
+    doubtful: list[bool] = field(default_factory=lambda: [False])
+    #: Inside an article or main element.
+    inside: list[bool] = field(default_factory=lambda: [False])
     parts: list[list] = field(default_factory=lambda: [[]])
 
-    def add(self, tag: str, parent: int, cut: bool) -> int:
+    def add(self, tag: str, parent: int, verdict: int) -> int:
         n = len(self.tag)
         self.tag.append(tag)
         self.parent.append(parent)
-        self.cut.append(cut)
+        self.cut.append(verdict == CERTAIN)
+        self.doubtful.append(verdict == DOUBTFUL)
+        self.inside.append(self.inside[parent] or tag in ("article", "main"))
         self.parts.append([])
         self.parts[parent].append(n)
         return n
 
 
-def unwanted(tag: str, attributes: str, inside: bool) -> bool:
+KEEP, DOUBTFUL, CERTAIN = 0, 1, 2
+
+
+def unwanted(tag: str, attributes: str, inside: bool) -> int:
     """Whether an element isn't part of the article; ``inside`` an article or main element a header is."""
     if tag in CUT or (tag == "header" and not inside):
-        return True
+        return CERTAIN
     if not attributes.strip():
-        return False
+        return KEEP
     found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true" or _HIDDEN.search(found.get("style", "")) or found.get("role", "").lower() in ROLES:
-        return tag not in ("html", "body")
-    names = {w.lower() for k in ("class", "id") for w in _NAME_WORDS.findall(found.get(k, ""))} & NAMES
+        return KEEP if tag in ("html", "body") else CERTAIN
+    tokens = [{w.lower() for w in _NAME_WORDS.findall(t)} for k in ("class", "id") for t in found.get(k, "").split()]
     if tag in ("html", "body", "main", "article"):
-        return tag == "article" and bool(names & {"comment", "comments", "reply", "replies"})
-    return bool(names)
+        return CERTAIN if tag == "article" and any(t and t <= COMMENTS for t in tokens) else KEEP
+    if any(t & COMMENTS and len(t) <= 2 for t in tokens):
+        return CERTAIN
+    if tag not in HEADINGS and any(t and t <= NAMES for t in tokens):
+        return CERTAIN
+    return DOUBTFUL if any(t & NAMES for t in tokens) else KEEP
 
 
 def parse(page: str) -> Tree:
     """A tree of the page; closing tags that nothing opened are ignored, missing ones supplied."""
     tree, here, at, n = Tree(), 0, 0, len(page)
-    inside = 0
+    opened: dict[str, int] = {}
 
     def text(piece: str) -> None:
         if piece:
@@ -85,9 +103,14 @@ def parse(page: str) -> Tree:
 
     def close(names: set[str], scope: frozenset[str]) -> int:
         """The parent of the nearest open element of these names, not looking beyond the scope; here if there is none."""
-        k = here
+        if not any(opened.get(x) for x in names):
+            return here
+        k, passed = here, []
         while k:
+            passed.append(tree.tag[k])
             if tree.tag[k] in names:
+                for x in passed:
+                    opened[x] -= 1
                 return tree.parent[k]
             if tree.tag[k] in scope:
                 return here
@@ -98,8 +121,9 @@ def parse(page: str) -> Tree:
         m = _TOKEN.search(page, at)
         if m is None:
             rest = page[at:]
-            broken = re.search(r"<(?:/?[a-zA-Z][^<>]*)?\Z", rest)  # a tag that the page's end cuts off
-            text(rest[: broken.start()] if broken else rest)
+            last = rest.rfind("<")
+            broken = last >= 0 and re.fullmatch(r"<(?:/?[a-zA-Z][^<>]*)?", rest[last:])  # a tag that the page's end cuts off
+            text(rest[:last] if broken else rest)
             break
         text(page[at : m.start()])
         at = m.end()
@@ -113,23 +137,38 @@ def parse(page: str) -> Tree:
             here = close({"p"}, SCOPE)
         if tag in SIBLINGS:
             here = close(SIBLINGS[tag], frozenset({"ul", "ol", "dl", "table", "select"}))
-        k, inside = here, 0
-        while k and not inside:
-            inside, k = tree.tag[k] in ("article", "main"), tree.parent[k]
-        new = tree.add(tag, here, unwanted(tag, m[3], bool(inside)))
+        new = tree.add(tag, here, unwanted(tag, m[3], tree.inside[here]))
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
             here = new
+            opened[tag] = opened.get(tag, 0) + 1
     return tree
 
 
-def selected(tree: Tree) -> list[int]:
-    """The nodes whose subtrees are the article, in page order."""
+def settle(tree: Tree) -> None:
+    """Cut what is doubtful and neither has a main heading nor half of the text that isn't cut for certain."""
     size = len(tree.tag)
     for i in range(1, size):
         tree.cut[i] |= tree.cut[tree.parent[i]]
+    chars, heading = [0] * size, [False] * size
+    for i in range(size - 1, -1, -1):
+        if tree.cut[i]:
+            continue
+        chars[i] += sum(len("".join(p.split())) for p in tree.parts[i] if isinstance(p, str))
+        heading[i] |= tree.tag[i] == "h1"
+        if i:
+            chars[tree.parent[i]] += chars[i]
+            heading[tree.parent[i]] |= heading[i]
+    for i in range(1, size):
+        tree.cut[i] |= tree.cut[tree.parent[i]] or (tree.doubtful[i] and not heading[i] and 2 * chars[i] < chars[0])
+
+
+def selected(tree: Tree) -> list[int]:
+    """The nodes whose subtrees are the article, in page order."""
+    settle(tree)
+    size = len(tree.tag)
     chars, tags, link_chars, links = [0] * size, [0] * size, [0] * size, [0] * size
     for i in range(size - 1, -1, -1):
         if tree.cut[i]:
@@ -204,7 +243,8 @@ def main_text(page: str) -> str:
 def extract(pages: DataFrame, *, page: str = "html", into: str = "text") -> DataFrame:
     """Every row of pages with the main text of its HTML in ``into`` and its code points in n_chars.
 
-    A null page counts as empty; an empty page, or one without text in its body, has an empty text.  Whole pages are
+    A null page counts as empty; an empty page, or one without text in its body, has an empty text.  Quotes that nothing
+    closes end with their tag.  Whole pages are
     parsed; text is a function of the page, so repeated rows get equal texts.  The page's column is dropped; columns
     named as the added ones are replaced.
     """

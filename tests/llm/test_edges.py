@@ -88,6 +88,54 @@ def test_html(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("opening", ['<div class="content has-sidebar">', '<div class="elementor-widget-text">', '<div class="post-notice">', '<div class="search-result-article">', '<div id="page-header-wrap">', '<div class="widget-wrap main">'])
+def test_html_layouts(opening):
+    body = "<h1>Title here</h1>" + "".join(f"<p>Sentence {i} of the article, which has enough words to be text.</p>" for i in range(5))
+    page = f"<body><div class='top-menu'><a href=a>Home</a> <a href=b>News</a></div>{opening}{body}</div><div class=comments><p>{'I disagree with all of it. ' * 40}</p></div><div class='related-posts'><a href=c>Other</a></div></body>"
+    assert html_text.main_text(page) == "\n".join(["Title here", *[f"Sentence {i} of the article, which has enough words to be text." for i in range(5)]])
+
+
+def test_html_heading_and_quotes():
+    page = '<body><article><header class="entry-header"><h1>Head</h1></header><p>One <a href="x>two</a> three four five.</p><p title="a < b > c">Six</p></article></body>'
+    assert html_text.main_text(page) == "Head\nOne two three four five.\nSix"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<a href=\"" * 60_000 + "x", "<p '" * 100_000 + "x", "<div><span>" * 50_000 + "x" + "</span></div>" * 50_000, "<" * 500_000, "<!--" * 100_000, "<b \"'" * 100_000])
+def test_html_large_and_broken(page):
+    import time
+
+    start = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - start < 10  # linear: under 2 s alone
+
+
+def test_html_densities():
+    """The chosen subtree against densities computed plainly, node by node."""
+    import math
+
+    page = "<body><div><p>one two three four</p><p>five <a href=x>six</a> seven</p></div><div><a href=y>eight</a> nine</div></body>"
+    tree = html_text.parse(page)
+    chosen = html_text.selected(tree)
+
+    def inside(i):
+        return [i, *(j for p in tree.parts[i] if not isinstance(p, str) for j in inside(p))]
+
+    def chars(nodes):
+        return sum(len("".join(p.split())) for i in nodes for p in tree.parts[i] if isinstance(p, str))
+
+    body = tree.tag.index("body")
+    links = lambda i: [j for k in inside(i) if tree.tag[k] == "a" for j in inside(k)]
+    ratio = chars(links(body)) / chars(inside(body))
+
+    def density(i):
+        c, t, lc, lt = chars(inside(i)), max(1, len(inside(i)) - 1), chars(links(i)), max(1, sum(tree.tag[j] == "a" for j in inside(i)))
+        base = math.log(c * lc / max(1, c - lc) + ratio * c + math.e)
+        return c / t * math.log(max(1.0, c / max(1, lc) * t / lt) + 1) / math.log(base + 1)
+
+    sums = {i: sum(density(j) for j in tree.parts[i] if not isinstance(j, str)) for i in inside(body) if tree.tag[i] in ("body", "div")}
+    assert max(sums, key=sums.get) in chosen
+
+
 def test_rollup(spark, tmp_path):
     change = lambda *r: spark.createDataFrame(list(r), "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long")
     store = str(tmp_path / "store")
