@@ -240,7 +240,6 @@ def score_toxicity(
     fit_rows: int = 40_000,
     least: int = 5,
     evidence: float = 25.0,
-    tokens_weighed: int = 3,
     keep_text: bool = True,
 ) -> DataFrame:
     """Every row of docs with toxicity (0 to 1) and the restored words that spoke for it (toxic_features).
@@ -248,7 +247,7 @@ def score_toxicity(
     ``labels`` has the rows to learn from; leave held-out rows out of it.  Repeated labels of a document count once, at
     their largest; labels that are null or of null documents not at all.  Whole texts are scored; the score is a function
     of the text, so repeated rows get equal ones.  A null or empty text has no features and gets the prior's score.  With
-    labels of one class only, every score is the prior's.  The ``tokens_weighed`` largest weights count.
+    labels of one class only, every score is the prior's.  The weights of all distinct words count.
     """
     docs = docs.drop("toxicity", "toxic_features")
     lm = language_model(docs if corpus is None else corpus, text)
@@ -281,7 +280,7 @@ def score_toxicity(
                 if sum(len(t) == 1 for t in tokens) > 1:
                     heavy.update(weigh(restore.spaced(whole)))
                 most = sorted(heavy, reverse=True)
-                z = floor + sum(v for v, _ in most[:tokens_weighed])
+                z = floor + sum(v for v, _ in most)
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
                 found.append([w for _, w in most])
             keep = [i for i in range(batch.num_columns) if keep_text or i != at]

@@ -122,7 +122,7 @@ def test_quality_rules_brute_force(spark, data, docs):
         assert r.quality_llr == pytest.approx(score, abs=1e-9) and r.kept == (not failed and r.quality_llr >= -0.1)
 
 
-@pytest.mark.parametrize(("name", "label", "least"), [("op3_toxicity", "toxic", 0.7), ("op5_quality_classifier", "quality", 0.9)])
+@pytest.mark.parametrize(("name", "label", "least"), [("op3_toxicity", "toxic", 0.8), ("op5_quality_classifier", "quality", 0.95)])
 def test_held_out(spark, name, label, least):
     data = "/root/testdata/sf0.01"
     held = queries.queries()[name](spark, data).where("held_out").join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").select("score", label).collect()
