@@ -8,7 +8,8 @@
    for where it is long.  Each character of a script without spaces counts as a word.
 3. A line's keys, one for each choice of blocks with words enough, are sent in packed rows to buckets of about equal size;
    keys of one line only, nearly all, end there.
-4. A line is compared with the member it shares most lists with first, then across what is still apart in its lists.
+4. A line is compared with the first member that it shares most lists with, then with other members of the largest
+   group in each of its lists, which links most of any large group, then across what is still apart in its lists.
    Lines of which more than ``distance`` bits of a second SimHash differ (of 240; chance makes 120, of texts with common words 90) or whose lengths rule it out
    aren't compared.  The edit similarity of the normalised lines (Levenshtein over the longer length) decides.
 5. The first occurrence of each connected group stays, in order of document key and line number; the others go.
@@ -38,6 +39,8 @@ FAMILIES = ((6, 3, 7, 5, 12), (8, 2, 12, 8, 48))
 LONG_BLOCKS, LONG_LETTERS, FEWEST, MOST = 16, 16, 1.5, 5
 #: Postings of a packed bucket, and lines under one key in one part from which they don't go to the key's bucket.
 BUCKET, HOT = 1 << 20, 32
+#: Further members that a list's lines are tried against before all that are still apart meet.
+TURNS = 2
 #: Characters up to which and from which two lines are compared whatever their sketches: few words, or more than lanes hold.
 SHORT_LINE, LONG_LINE = 80, 1 << 16
 #: Characters from which the sketch, of more words, gets by with 8 bits less.
@@ -160,13 +163,13 @@ def line_keys(c: Chunk, min_words: int) -> tuple[np.ndarray, np.ndarray]:
         for shift in (0, 8, 16, 24):
             bits = bits * U(_STEP) + _BLOCK.majority(h, shift, at, size)
         bits = bits.reshape(-1, blocks)
-        for n, choice in enumerate(itertools.combinations(range(blocks), chosen)):
-            some = np.flatnonzero(held[:, choice].sum(1) >= least)
-            key = np.full(len(some), 1_000_003 * blocks + n, U)
-            for i in choice:
-                key = mix(key + bits[some, i])
-            rows.append(of[some])
-            keys.append(key)
+        choices = np.array(list(itertools.combinations(range(blocks), chosen)))
+        some, n = np.nonzero(held[:, choices].sum(2) >= least)
+        key = (1_000_003 * blocks + n).astype(U)
+        for i in range(chosen):
+            key = mix(key + bits[some, choices[n, i]])
+        rows.append(of[some])
+        keys.append(key)
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -370,22 +373,34 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
     tried = members.join(hubs, "list").where((F.col("lid") != F.col("hub_lid")) & near("", "hub_")).groupBy(F.col("lid").alias("a"), F.col("hub_lid").alias("b")).agg(F.count("*").alias("n"))
     best = stored(tried.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "line-pairs")
     first = stored(verified(best, classes, docs, percent), "line-links")
-    group = components(first).withColumnRenamed("id", "lid")
-    labelled = stored(members.join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid")), "line-lists")
-    # Of two members apart one is outside the list's largest component, so those inside needn't meet each other.
-    parts = labelled.groupBy("list", "component").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("list").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select("list", F.col("most.component").alias("most"))
-    apart = labelled.join(mixed, "list")
-    x, y = apart.where("component <> most").alias("x"), apart.alias("y")
-    across = (F.col("x.list") == F.col("y.list")) & (F.col("x.component") != F.col("y.component")) & near("x.", "y.")
-    pairs = x.join(y, across).select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b")).distinct()
-    # A pair that the first round refused needs no second look.
-    refused = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(pairs.join(refused, ["a", "b"], "left_anti"), "line-pairs")
-    forget(met, members, labelled)
-    if pairs.isEmpty():
-        return first
-    return first.union(stored(verified(pairs, classes, docs, percent), "line-links"))
+    links, refused = first, best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for turn in range(TURNS + 1):
+        group = components(links).withColumnRenamed("id", "lid")
+        labelled = members.join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+        # Of two members apart one is outside the list's largest component, so those inside needn't meet each other.
+        parts = labelled.groupBy("list", "component").agg(F.count("*").alias("n"))
+        mixed = parts.groupBy("list").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select("list", F.col("most.component").alias("most"))
+        apart = stored(labelled.join(mixed, "list"), "line-lists")
+        forget(members)
+        members = apart.drop("component", "most")
+        x, y = apart.where("component <> most").alias("x"), apart.alias("y")
+        if turn < TURNS:
+            # Another member of the largest component for each list: what it links needn't be tried against all others.
+            order = F.struct(F.xxhash64("lid", F.lit(turn)).alias("o"), "lid", "size", *SIMS)
+            hubs = apart.where("component = most").groupBy("list").agg(F.min(order).alias("hub")).select("list", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("lid", "size", *SIMS)])
+            pairs = x.join(hubs, "list").where(near("", "hub_")).select(F.least("lid", "hub_lid").alias("a"), F.greatest("lid", "hub_lid").alias("b")).distinct()
+        else:
+            across = (F.col("x.list") == F.col("y.list")) & (F.col("x.component") != F.col("y.component")) & near("x.", "y.")
+            pairs = x.join(y, across).select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b")).distinct()
+        # A pair that was refused needs no second look.
+        pairs = stored(pairs.join(refused, ["a", "b"], "left_anti"), "line-pairs")
+        if not pairs.isEmpty():
+            refused = refused.union(pairs)
+            links = links.union(stored(verified(pairs, classes, docs, percent), "line-links"))
+        elif turn == TURNS:
+            break
+    forget(met, members)
+    return links
 
 
 def dedup_lines(
