@@ -183,10 +183,11 @@ def features(words: set[str]) -> set[str]:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, lm: np.ndarray, *, key: str, text: str, label: str, fit_rows: int, least: int, evidence: float) -> tuple[dict[str, float], float]:
+def fit(docs: DataFrame, labels: DataFrame, lm: np.ndarray, *, key: str, text: str, label: str, fit_rows: int, least: int, evidence: float, strong: float) -> tuple[dict[str, float], float]:
     """Weights of features and the prior log-odds, from at most about ``fit_rows`` labelled rows (hashed choice).
 
-    A feature is kept with ``least`` toxic documents or more and a likelihood-ratio statistic of ``evidence`` or more.
+    A feature is kept with ``least`` toxic documents or more, a likelihood-ratio statistic of ``evidence`` or more, and a
+    log-odds weight of ``strong`` or more: weaker ones, many in a long text, would add up to a verdict by chance.
     The number kept is bounded by the words of the bounded sample over ``least``.
     """
     labelled = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("_y"))
@@ -225,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, lm: np.ndarray, *, key: str, text: s
     share = F.lit(n1 / (n1 + n0))
     # Twice the log-likelihood ratio of this feature's documents against the base rate.
     g = 2 * (a * F.log(F.greatest(a, F.lit(1e-9)) / (F.col("n") * share)) + b * F.log(F.greatest(b, F.lit(1e-9)) / (F.col("n") * (1 - share))))
-    kept = counts.where((a >= least) & (g >= evidence)).select("f", F.log((a + 0.1) / (n1 + 0.2)).alias("l1"), F.log((b + 0.1) / (n0 + 0.2)).alias("l0")).where("l1 > l0").collect()
+    kept = counts.where((a >= least) & (g >= evidence)).select("f", F.log((a + 0.1) / (n1 + 0.2)).alias("l1"), F.log((b + 0.1) / (n0 + 0.2)).alias("l0")).where(F.col("l1") - F.col("l0") >= strong).collect()
     return {r.f: r.l1 - r.l0 for r in kept}, math.log(n1 / n0)
 
 
@@ -240,6 +241,7 @@ def score_toxicity(
     fit_rows: int = 40_000,
     least: int = 5,
     evidence: float = 25.0,
+    strong: float = 4.0,
     keep_text: bool = True,
 ) -> DataFrame:
     """Every row of docs with toxicity (0 to 1) and the restored words that spoke for it (toxic_features).
@@ -251,7 +253,7 @@ def score_toxicity(
     """
     docs = docs.drop("toxicity", "toxic_features")
     lm = language_model(docs if corpus is None else corpus, text)
-    weights, prior = fit(docs if corpus is None else corpus, labels, lm, key=key, text=text, label=label, fit_rows=fit_rows, least=least, evidence=evidence)
+    weights, prior = fit(docs if corpus is None else corpus, labels, lm, key=key, text=text, label=label, fit_rows=fit_rows, least=least, evidence=evidence, strong=strong)
     floor = max(-6.0, min(0.0, prior - 1.0))
     sc = docs.sparkSession.sparkContext
     model = sc.broadcast((lm, weights))
