@@ -46,6 +46,7 @@ SHORT_LINE, LONG_LINE = 80, 1 << 16
 #: Characters from which the sketch, of more words, gets by with 8 bits less.
 LONGER_LINE = 300
 SIMS = ("sim0", "sim1", "sim2", "sim3")
+SIDE = ("lid", "size", *SIMS)
 _WORD = LETTERS_DIGITS != 0x20
 _STEP = 0xD6E8FEB86659FD93
 
@@ -359,6 +360,21 @@ def postings(docs: DataFrame, min_words: int, rows: int) -> DataFrame:
     return made.groupBy("bucket").applyInArrow(meet, "list long, lid long")
 
 
+def told_apart(seated: DataFrame, near) -> DataFrame:
+    """(list, n, weight, hub_..., last_...) of the lists that still matter, from (list, lid, size, sim0, ... sim3).
+
+    hub and last are the smallest and the largest line of a list.  A list of two lines that aren't near is settled and
+    left out; lists of the same lines become one, of that weight.  Lines repeated in a hot list only keep it apart.
+    """
+    hub = [F.min_by(x, "lid").alias(f"hub_{x}") for x in SIDE[1:]]
+    last = [F.max_by(x, "lid").alias(f"last_{x}") for x in SIDE[1:]]
+    same = [F.bit_xor(F.xxhash64("lid")).alias("xor"), F.sum(F.xxhash64("lid", F.lit(1)).bitwiseAND(0x7FFFFFFF)).alias("sum")]
+    ends = seated.groupBy("list").agg(F.count("*").alias("n"), F.min("lid").alias("hub_lid"), F.max("lid").alias("last_lid"), *hub, *last, *same)
+    open_lists = ends.where("hub_lid <> last_lid").where((F.col("n") > 2) | near("hub_", "last_"))
+    carried = [F.first(f"{end}_{x}").alias(f"{end}_{x}") for end in ("hub", "last") for x in SIDE[1:]]
+    return open_lists.groupBy("n", "xor", "sum", "hub_lid", "last_lid").agg(F.min("list").alias("list"), F.count("*").alias("weight"), *carried)
+
+
 def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance: int, percent: int) -> DataFrame:
     """Verified edges between distinct lines that connect whatever links connect."""
 
@@ -368,10 +384,17 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
         return (100 * low >= percent * high) & (~low.between(SHORT_LINE, LONG_LINE) | (bits <= F.when(low < LONGER_LINE, distance).otherwise(distance - 8)))
 
     met = stored(postings(docs, min_words, classes.count()), "line-postings")
-    members = stored(met.join(classes.select("lid", "size", *SIMS), "lid"), "line-lists")
-    hubs = members.groupBy("list").agg(F.min(F.struct("lid", "size", *SIMS)).alias("hub")).select("list", *[F.col(f"hub.{x}").alias(f"hub_{x}") for x in ("lid", "size", *SIMS)])
-    tried = members.join(hubs, "list").where((F.col("lid") != F.col("hub_lid")) & near("", "hub_")).groupBy(F.col("lid").alias("a"), F.col("hub_lid").alias("b")).agg(F.count("*").alias("n"))
-    best = stored(tried.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "line-pairs")
+    seated = stored(met.join(classes.select("lid", "size", *SIMS), "lid"), "line-lists")
+    lists = stored(told_apart(seated, near), "line-lists")
+    two, more = lists.where("n = 2"), lists.where("n > 2")
+    hubs = more.select("list", "weight", *[f"hub_{x}" for x in SIDE])
+    shared = stored(seated.join(hubs, "list").select("list", *SIDE, "hub_lid", "weight", near("", "hub_").alias("near")), "line-lists")
+    forget(met, seated)
+    tried = shared.where("near AND lid <> hub_lid").select("lid", "hub_lid", "weight").union(two.select("last_lid", "hub_lid", "weight")).toDF("a", "b", "weight")
+    best = stored(tried.groupBy("a", "b").agg(F.sum("weight").alias("n")).groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "line-pairs")
+    members = shared.select("list", *SIDE)
+    for end in ("hub_", "last_"):
+        members = members.union(two.select("list", *[end + x for x in SIDE]))
     first = stored(verified(best, classes, docs, percent), "line-links")
     links, refused = first, best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for turn in range(TURNS + 1):
@@ -386,8 +409,8 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
         x, y = apart.where("component <> most").alias("x"), apart.alias("y")
         if turn < TURNS:
             # Another member of the largest component for each list: what it links needn't be tried against all others.
-            order = F.struct(F.xxhash64("lid", F.lit(turn)).alias("o"), "lid", "size", *SIMS)
-            hubs = apart.where("component = most").groupBy("list").agg(F.min(order).alias("hub")).select("list", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("lid", "size", *SIMS)])
+            order = F.struct(F.xxhash64("lid", F.lit(turn)).alias("o"), *SIDE)
+            hubs = apart.where("component = most").groupBy("list").agg(F.min(order).alias("hub")).select("list", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in SIDE])
             pairs = x.join(hubs, "list").where(near("", "hub_")).select(F.least("lid", "hub_lid").alias("a"), F.greatest("lid", "hub_lid").alias("b")).distinct()
         else:
             across = (F.col("x.list") == F.col("y.list")) & (F.col("x.component") != F.col("y.component")) & near("x.", "y.")
@@ -399,7 +422,7 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
             links = links.union(stored(verified(pairs, classes, docs, percent), "line-links"))
         elif turn == TURNS:
             break
-    forget(met, members)
+    forget(members)
     return links
 
 
