@@ -314,12 +314,12 @@ def name_map_by_id(spark, sf):
     return J.name_map_by_id(o.select("id", name(F.when(F.col("id") % 7 == 0, 0).otherwise(F.col("o_custkey")))), o.where("id % 3 > 0").select("id", name(F.col("o_custkey"))), "id", "nm")
 
 
-@query("""WITH q AS (SELECT DISTINCT p_name AS a FROM part WHERE p_partkey % 2 = 0), n AS (SELECT DISTINCT concat(p_name, 's') AS b FROM part),
+@query("""WITH q AS (SELECT DISTINCT p_name AS a FROM part WHERE p_partkey % 100 = 0), n AS (SELECT DISTINCT concat(p_name, 's') AS b FROM part),
 s AS (SELECT a, b, round(1 - levenshtein(x, y) / greatest(length(x), length(y), 1), 6) AS similarity FROM (SELECT a, b, translate(regexp_replace(lower(a), '/0+(\\d)', '/\\1', 'g'), '/_(),- ;.', '') AS x, translate(regexp_replace(lower(b), '/0+(\\d)', '/\\1', 'g'), '/_(),- ;.', '') AS y FROM q, n))
 SELECT a, rank, b, similarity FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY similarity DESC, b)::BIGINT AS rank FROM s WHERE similarity >= 0.8) WHERE rank <= 3""")
 def fuzzy_candidates(spark, sf):
     p = read(spark, sf, "part")
-    out = J.fuzzy_candidates(p.where("p_partkey % 2 = 0").select(F.col("p_name").alias("a")), p.select(F.concat("p_name", F.lit("s")).alias("b")), "a", "b")
+    out = J.fuzzy_candidates(p.where("p_partkey % 100 = 0").select(F.col("p_name").alias("a")), p.select(F.concat("p_name", F.lit("s")).alias("b")), "a", "b")
     return out.select("a", *L("rank"), "b", "similarity")
 
 
@@ -425,10 +425,10 @@ def pivot_results(spark, sf):
     return A.pivot_results(long, ["user_id"], "event_type", "n", ["view", "click"]).select("user_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("view", "click")])
 
 
-@query("""SELECT event_type, value, user_id FROM (SELECT event_type, user_id, round(sum(value), 4) AS value FROM events WHERE event_id % 7 < 3 GROUP BY ALL)
-UNION ALL SELECT 'base', 1.0, user_id FROM (SELECT DISTINCT user_id FROM events WHERE event_id % 7 < 3)""")
+@query("""SELECT event_type, value, user_id FROM (SELECT event_type, user_id, round(sum(value), 4) AS value FROM events GROUP BY ALL)
+UNION ALL SELECT 'base', 1.0, user_id FROM (SELECT DISTINCT user_id FROM events)""")
 def add_pivot_variant(spark, sf):
-    long = read(spark, sf, "events").where("event_id % 7 < 3").groupBy("event_type", "user_id").agg(F.round(F.sum("value"), 4).alias("value"))
+    long = read(spark, sf, "events").groupBy("event_type", "user_id").agg(F.round(F.sum("value"), 4).alias("value"))
     return A.add_pivot_variant(long, "event_type", "user_id", ["value"], "base")
 
 
@@ -458,10 +458,11 @@ def select_references(spark, sf):
     return A.select_references(read(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("item")), s.where("s_acctbal < 0"), s.where("s_acctbal > 5000").select("item"))
 
 
-@query("SELECT y::BIGINT AS y, y IN (SELECT year(o_orderdate) FROM orders WHERE o_custkey % 97 = 0) AS observed FROM (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS y FROM orders WHERE o_custkey % 97 = 0)")
+@query("""WITH v AS (SELECT floor(c_acctbal)::BIGINT AS y FROM customer UNION SELECT floor(s_acctbal)::BIGINT FROM supplier)
+SELECT y, y IN (SELECT y FROM v) AS observed FROM (SELECT unnest(range(min(y), max(y) + 1)) AS y FROM v)""")
 def contiguous_years(spark, sf):
-    o = read(spark, sf, "orders").where("o_custkey % 97 = 0").select(F.year("o_orderdate").cast("long").alias("y"))
-    return A.contiguous_years([o.where("y < 1998"), o.where("y >= 1998")], "y")
+    whole = lambda table, c: read(spark, sf, table).select(F.floor(c).cast("long").alias("y"))
+    return A.contiguous_years([whole("customer", "c_acctbal"), whole("supplier", "s_acctbal")], "y")
 
 
 # -- windows and sampling -----------------------------------------------------------------------------------------
@@ -688,11 +689,11 @@ def group_frequency_delta(spark, sf):
     return K.group_frequency_delta(_daily(spark, sf), "event_type", "d", "n", 3)
 
 
-@query(f"""WITH s AS (SELECT event_type, date_diff('day', DATE '2024-01-01', d) AS x0, n AS y0, lead(date_diff('day', DATE '2024-01-01', d)) OVER w AS x1, lead(n) OVER w AS y1 FROM (SELECT * FROM ({_DAILY}) WHERE day(d) % 3 = 1) WINDOW w AS (PARTITION BY event_type ORDER BY d))
-SELECT event_type, t::BIGINT AS timepoint, round(y0 + (y1 - y0) * (t - x0) / (x1 - x0), 6) AS n FROM s JOIN range(1, 27) g(t) ON t >= x0 AND t < x1""")
+@query(f"""WITH s AS (SELECT event_type, 2 * date_diff('day', DATE '2024-01-01', d) AS x0, n AS y0, 2 * lead(date_diff('day', DATE '2024-01-01', d)) OVER w AS x1, lead(n) OVER w AS y1 FROM ({_DAILY}) WINDOW w AS (PARTITION BY event_type ORDER BY d))
+SELECT event_type, t::BIGINT AS timepoint, round(y0 + (y1 - y0) * (t - x0) / (x1 - x0), 6) AS n FROM s JOIN range(1, 53) g(t) ON t >= x0 AND t < x1""")
 def interpolate(spark, sf):
-    d = _daily(spark, sf).where("day(d) % 3 = 1").select("event_type", F.datediff("d", F.lit("2024-01-01")).alias("x"), F.col("n").cast("double").alias("n"))
-    return K.interpolate(d, "event_type", "x", "n", spark.range(1, 27).withColumnRenamed("id", "timepoint")).select("event_type", "timepoint", *R("n", digits=6))
+    d = _daily(spark, sf).select("event_type", (2 * F.datediff("d", F.lit("2024-01-01"))).alias("x"), F.col("n").cast("double").alias("n"))
+    return K.interpolate(d, "event_type", "x", "n", spark.range(1, 53).withColumnRenamed("id", "timepoint")).select("event_type", "timepoint", *R("n", digits=6))
 
 
 @query(f"""WITH f AS (SELECT event_type, d, n / sum(n) OVER (PARTITION BY d) AS p FROM ({_DAILY})), r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY d DESC) AS r FROM f)
@@ -855,15 +856,16 @@ def map_lineage(spark, sf):
     return J.map_lineage(df, "c_mktsegment", "l", F.lit(""), dim).select("c_custkey", "type", "standard_lineage")
 
 
-@query("""WITH a AS (SELECT o_orderkey AS a, o_custkey AS c, o_totalprice AS p FROM orders WHERE o_orderkey % 5 = 0), b AS (SELECT o_orderkey AS b, o_custkey AS c, o_totalprice AS p FROM orders WHERE o_orderkey % 7 = 0),
-s AS (SELECT x.a, y.b, 'price' AS stage FROM (SELECT p, min(a) AS a FROM a GROUP BY p) x JOIN (SELECT p, min(b) AS b FROM b GROUP BY p) y USING (p)),
+@query("""WITH a AS (SELECT c_custkey AS a, floor(c_acctbal)::BIGINT AS c, c_acctbal AS p FROM customer), b AS (SELECT s_suppkey AS b, floor(s_acctbal)::BIGINT AS c, s_acctbal AS p FROM supplier),
+s AS (SELECT x.a, y.b, 'balance' AS stage FROM (SELECT p, min(a) AS a FROM a GROUP BY p) x JOIN (SELECT p, min(b) AS b FROM b GROUP BY p) y USING (p)),
 s1 AS (SELECT min(a) AS a, b FROM (SELECT a, min(b) AS b FROM s GROUP BY a) GROUP BY b),
 t AS (SELECT x.a, y.b FROM (SELECT c, min(a) AS a FROM a WHERE a NOT IN (SELECT a FROM s1) GROUP BY c) x JOIN (SELECT c, min(b) AS b FROM b WHERE b NOT IN (SELECT b FROM s1) GROUP BY c) y USING (c))
-SELECT a, b, 'price' AS stage FROM s1 UNION ALL SELECT min(a), b, 'customer' FROM (SELECT a, min(b) AS b FROM t GROUP BY a) GROUP BY b""")
+SELECT a, b, 'balance' AS stage FROM s1 UNION ALL SELECT min(a), b, 'whole' FROM (SELECT a, min(b) AS b FROM t GROUP BY a) GROUP BY b""")
 def link_in_stages(spark, sf):
-    o = read(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("c"), F.format_string("%.2f", "o_totalprice").alias("p"))
-    a, b = o.where("o_orderkey % 5 = 0").withColumnRenamed("o_orderkey", "a"), o.where("o_orderkey % 7 = 0").withColumnRenamed("o_orderkey", "b")
-    return J.link_in_stages(a, b, "a", "b", [("price", F.col("p"), F.col("p")), ("customer", F.col("c"), F.col("c"))])
+    side = lambda table, k, bal: read(spark, sf, table).select(k, F.floor(bal).cast("string").alias("c"), F.format_string("%.2f", F.col(bal).cast("double")).alias("p"))
+    a, b = side("customer", "c_custkey", "c_acctbal").withColumnRenamed("c_custkey", "a"), side("supplier", "s_suppkey", "s_acctbal").withColumnRenamed("s_suppkey", "b")
+    return J.link_in_stages(a, b, "a", "b", [("balance", F.col("p"), F.col("p")), ("whole", F.col("c"), F.col("c"))])
+
 
 
 @query("SELECT l_suppkey::BIGINT AS virus, sum(CASE WHEN r = 'virus' THEN 1 ELSE 0 END)::BIGINT AS virus_count, sum(CASE WHEN r = 'serum' THEN 1 ELSE 0 END)::BIGINT AS serum_count, min(l_returnflag) AS candidate FROM (SELECT l_suppkey, 'virus' AS r, l_returnflag FROM lineitem UNION ALL SELECT l_partkey, 'serum', l_returnflag FROM lineitem) GROUP BY 1")
