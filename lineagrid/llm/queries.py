@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, line_dedup, minhash, mixing, pii, quality_classifier, quality_rules, token_rollup, toxicity
-from .shared import stored, table, work_dir
+from . import collocations, decontaminate, html_text, line_dedup, minhash, mixing, pii, quality_classifier, quality_rules, runs, simhash, token_rollup, toxicity
+from .shared import stored, table, words, work_dir
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +97,45 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; see :func:`simhash.near_duplicates`."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; see :func:`collocations.mine`."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the rows go on periodically from one of their words, both told by a hash of doc_id (null: empty)."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.expr("h div 10")
+    a = F.expr("cast(g % n as int)")
+    p = F.expr("cast(1 + (n - a) div (3 + g % 8) as int)")
+    rows = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words(F.col("text")))).withColumns({"n": F.size("w"), "g": g})
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, a)).withColumn("p", F.when(F.col("n") > 0, p))
+    again = F.expr("concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), cast((n - a) div p + 1 as int))), 1, n - a))")
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, a tenth with a planted period; see :func:`runs.collapse_runs`."""
+    out = runs.collapse_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    out = out.withColumn("best", runs.longest_run(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda x: F.concat(x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n"))), "")
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -109,6 +148,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_rollup": op8_token_rollup,
         "op9_decontaminate": op9_decontaminate,
         "op10_mixing": op10_mixing,
+        "op11_simhash": op11_simhash,
+        "op12_collocations": op12_collocations,
+        "op13_runs": op13_runs,
     }
 
 
@@ -151,8 +193,43 @@ mix_taken AS (
   JOIN mix_extra e ON d.source IS NOT DISTINCT FROM e.source AND d.h = e.h)
 """
 
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM words
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM places GROUP BY lang, size, phrase),
+totals AS (SELECT lang, count(*) AS n FROM places WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM candidates, (VALUES (1), (2)) AS t(k) WHERE k < size),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.size = c.k AND x.phrase = c.head
+  JOIN counts y ON y.lang = c.lang AND y.size = c.size - c.k AND y.phrase = c.rest),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, size, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT lang, part, max(a) AS most
+  FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM candidates WHERE size = 3)
+  GROUP BY lang, part),
+ranked AS (
+  SELECT s.lang, s.phrase, s.a, s.l, s.r, s.score,
+         row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+  FROM lowest s LEFT JOIN held h ON h.lang = s.lang AND s.size = 2 AND h.part = s.phrase
+  WHERE h.most IS NULL OR 100 * h.most < 50 * s.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_collocations": COLLOCATIONS_SQL,
         "op10_mixing": f"WITH docs AS (SELECT * FROM documents), {MIX_SQL} SELECT doc_id, size, source_size, target, size * copies AS taken FROM mix_taken",
     }

@@ -13,7 +13,6 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BYTE = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=U)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 2**64)
 _WORD = np.ones(256, bool)
@@ -38,6 +37,10 @@ def _power(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def byte_values(seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(1, 2**64, 256, dtype=U)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     h = (h ^ (h >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -45,6 +48,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
+_BYTE = byte_values(20240229)
+
+
 @dataclass
 class Chunk:
     """Rows first..first+n of a batch; word i has hash[i] and spans bytes start[i]:end[i] of data."""
@@ -60,9 +66,9 @@ class Chunk:
     bound: np.ndarray
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0, word: np.ndarray = _WORD, fold: np.ndarray = _LOWER, cut: np.ndarray | None = None) -> Chunk:
+def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0, word: np.ndarray = _WORD, fold: np.ndarray = _LOWER, cut: np.ndarray | None = None, values: np.ndarray = _BYTE) -> Chunk:
     """Hash the words of one chunk; ``word`` says which bytes make words, ``fold`` what each byte counts as, ``cut`` before
-    which bytes a word ends."""
+    which bytes a word ends; other ``values`` of bytes give other hashes."""
     n = len(data)
     is_word = word[data]
     head, tail = is_word.copy(), is_word.copy()
@@ -78,7 +84,7 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0, word: np.n
     start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
     power, inverse = _power(n + 1)
     total = np.zeros(n + 1, U)
-    np.cumsum(_BYTE[fold[data]] * power[:n], out=total[1:])
+    np.cumsum(values[fold[data]] * power[:n], out=total[1:])
     h = mix((total[end] - total[start]) * inverse[start])
     return Chunk(first, len(offsets) - 1, data, offsets, h, start, end, np.searchsorted(start, offsets))
 
