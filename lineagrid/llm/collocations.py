@@ -27,11 +27,13 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 WORD_ENDS = b" \t"
 
 #: Words of a task that are sorted together.
-WINDOW_WORDS = 1 << 21
+WINDOW_WORDS = 1 << 20
 #: Partitions up to this size are sorted at once.
 LEAF = 1 << 13
 #: The table of phrases that are frequent enough has 2**BITS bits (8 MB) at any size of the corpus.
 BITS = 26
+#: Parts of a language that are ranked apart before the language is.
+PARTS = 32
 
 
 def partitions(ids: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,11 +70,15 @@ def partitions(ids: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray,
 
 
 class Words:
-    """The words of some texts: ids[i] names word i, langs[i] its language, begins[i] says that it begins a piece."""
+    """The words of some texts: ids[i] names word i, begins[i] says that it begins a piece.
 
-    def __init__(self, parts: list[tuple[Chunk, np.ndarray, np.ndarray, np.ndarray]]) -> None:
-        self.chunks, ids, langs, begins = zip(*parts, strict=True)
-        self.ids, self.langs, self.begins = np.concatenate(ids), np.concatenate(langs), np.concatenate(begins)
+    Where texts are asked for, the chunks and langs[i], the language of word i, are there too.
+    """
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray | None, Chunk | None]]) -> None:
+        ids, begins, langs, self.chunks = zip(*parts, strict=True)
+        self.ids, self.begins = np.concatenate(ids), np.concatenate(begins)
+        self.langs = np.concatenate(langs) if langs[0] is not None else None
         self.ends = np.cumsum([len(x) for x in ids])
 
     def texts(self, at: np.ndarray) -> list[str]:
@@ -92,7 +98,7 @@ _IS_WORD = np.ones(256, bool)
 _IS_WORD[list(PIECE_ENDS + WORD_ENDS)] = False
 
 
-def read_words(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[Words]:
+def read_words(batches: Iterator[pa.RecordBatch], seed: int, texts: bool = False) -> Iterator[Words]:
     """Windows of whole texts from batches of (language hash, text)."""
     parts, n, values = [], 0, byte_values(seed)
     for batch in batches:
@@ -106,7 +112,7 @@ def read_words(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[Words]:
             begins = np.ones(len(row), bool)
             begins[1:] = (row[1:] != row[:-1]) | (piece[1:] != piece[:-1])
             langs = lang[first + row]
-            parts.append((c, mix(c.hash ^ langs), langs, begins))
+            parts.append((mix(c.hash ^ langs), begins, langs if texts else None, c if texts else None))
             n += len(row)
             if n >= WINDOW_WORDS:
                 yield Words(parts)
@@ -127,7 +133,7 @@ def count_words(texts: DataFrame, seed: int) -> DataFrame:
     """(id, lh, word, n) of all words of texts (lh, text)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for w in read_words(batches, seed):
+        for w in read_words(batches, seed, texts=True):
             at, n = partitions(w.ids, np.arange(len(w.ids)), 1)
             yield pa.RecordBatch.from_arrays([pa.array(w.ids[at].view(np.int64)), pa.array(w.langs[at].view(np.int64)), pa.array(w.texts(at), pa.string()), pa.array(n)], names=["id", "lh", "word", "n"])
 
@@ -218,8 +224,12 @@ def mine(docs: DataFrame, *, text: str = "text", lang: str = "lang", max_words:
     stay = scored.join(held, "p", "left").where(F.col("most").isNull() | (100 * F.col("most") < inside * F.col("a")))
 
     named = stay.join(words.select(F.col("id").alias("w"), "lh"), F.get("p", F.lit(0)) == F.col("w")).drop("w", "most")
-    ahead = named.withColumn("place", F.rank().over(Window.partitionBy("lh").orderBy(F.desc("score"), F.desc("a")))).where(F.col("place") <= top)
+    # First in parts of a language, so that the one task that ranks a language gets few rows.
+    order = [F.desc("score"), F.desc("a")]
+    ahead = named.withColumn("part", F.pmod(F.xxhash64("p"), F.lit(PARTS)))
+    for keys in (["lh", "part"], ["lh"]):
+        ahead = ahead.withColumn("place", F.rank().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("place") <= top)
     ahead = stored(ahead, "ahead")
     spelt = ahead.select("p", F.posexplode("p").alias("i", "id")).join(words.select("id", "word"), "id").groupBy("p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase"))
-    ranked = ahead.join(spelt, "p").withColumn("rank", F.row_number().over(Window.partitionBy("lh").orderBy(F.desc("score"), F.desc("a"), "phrase")).cast("long")).where(F.col("rank") <= top)
+    ranked = ahead.join(spelt, "p").withColumn("rank", F.row_number().over(Window.partitionBy("lh").orderBy(*order, "phrase")).cast("long")).where(F.col("rank") <= top)
     return ranked.join(totals, "lh").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -133,7 +133,7 @@ def plain_phrases(texts, most, least=10, inside=50):
 
 
 def test_collocations_of_four_words(spark):
-    texts = ["a b c d. x b c e"] * 10 + ["b c. a b. c d. b c d; q a b c d e"] * 15 + ["a a a a a a b"]
+    texts = ["a b c d. x b c e"] * 10 + ["b c. a b. c d. b c d; q a b c d e"] * 15 + ["a a a a a a b"] + ["m n. n m; a"] * 12
     docs = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("text", "'en' as lang")
     got = {r.phrase: (r.a, r.l, r.r, r.score) for r in collocations.mine(docs, max_words=4).collect()}
     assert got == plain_phrases(texts, 4)
