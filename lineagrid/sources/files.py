@@ -25,6 +25,14 @@ def work_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder: its lineage ends there, and a lost executor costs none of its work."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_folder(spark))
+    return df.checkpoint()
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(id, description, seq) with upper-cased sequences; files are split at ``>``."""
     rows = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
