@@ -619,7 +619,7 @@ def clade_average(spark, sf):
 @query(f"WITH {_CLOSURE} SELECT c.node, round(sum(s_acctbal), 2) AS total FROM c JOIN supplier ON s_suppkey + 1 = c.ancestor GROUP BY 1")
 def path_sum(spark, sf):
     e = _tree(spark, sf)
-    return T.path_sum(T.closure(e), e, "s_acctbal").select("node", *R("total", digits=2))
+    return T.path_sum(e, e, "s_acctbal").select("node", *R("total", digits=2))
 
 
 @query(f"""WITH {_CLOSURE}, s AS (SELECT c.node, sum(abs(s_acctbal)) AS t FROM c JOIN supplier ON s_suppkey + 1 = c.ancestor GROUP BY 1),
@@ -630,7 +630,7 @@ def path_distance(spark, sf):
     e = _tree(spark, sf).withColumn("v", F.abs("s_acctbal"))
     n = e.select("node")
     pairs = n.select(F.col("node").alias("a")).join(n.select(F.col("node").alias("b")), F.col("b") == F.col("a") + 7)
-    return T.path_distance(T.closure(e), e, "v", pairs).select("a", "b", *R("distance", digits=2))
+    return T.path_distance(e, e, "v", pairs).select("a", "b", *R("distance", digits=2))
 
 
 @query(f"""WITH {_CLOSURE}, l AS (SELECT node, concat('c', node % 4) AS label FROM e WHERE node % 3 = 0) SELECT c.node, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM c JOIN l ON l.node = c.ancestor GROUP BY 1""")
@@ -645,7 +645,7 @@ k AS (SELECT label FROM l JOIN t USING (node) GROUP BY 1 HAVING count(*) >= 3),
 SELECT c.node, arg_min(label, hops)::BIGINT AS label FROM c JOIN u ON u.node = c.ancestor GROUP BY 1""")
 def collapse_rare(spark, sf):
     e = _tree(spark, sf)
-    return T.collapse_rare(e, T.closure(e), e.select("node", F.floor(F.col("node") / 3).alias("label")), "label", 3)
+    return T.collapse_rare(e, e.select("node", F.floor(F.col("node") / 3).alias("label")), "label", 3)
 
 
 # -- frequencies --------------------------------------------------------------------------------------------------
@@ -945,13 +945,13 @@ def first_node_per_label(spark, sf):
 def past_ancestor(spark, sf):
     e = _tree(spark, sf)
     dates = e.select("node", F.date_add(F.lit("2000-01-01").cast("date"), ((F.col("node") - 1) % 50).cast("int")).alias("date"))
-    return T.past_ancestor(T.closure(e), dates, F.lit("2000-01-03").cast("date"))
+    return T.past_ancestor(e, dates, F.lit("2000-01-03").cast("date"))
 
 
 @query(f"WITH {_CLOSURE}, s AS (SELECT c.node, sum(abs(s_acctbal)) AS t FROM c JOIN supplier ON s_suppkey + 1 = c.ancestor GROUP BY 1) SELECT node, round(t / max(t) OVER (), 6) AS scaled FROM s")
 def cumulative_scaled(spark, sf):
     e = _tree(spark, sf).withColumn("v", F.abs("s_acctbal"))
-    return T.cumulative_scaled(T.closure(e), e, "v").select("node", *R("scaled", digits=6))
+    return T.cumulative_scaled(e, e, "v").select("node", *R("scaled", digits=6))
 
 
 @query(f"""WITH {_CLOSURE}, m AS (SELECT s_suppkey + 1 AS node, s_suppkey % 3 AS site, CASE WHEN s_suppkey % 4 < 2 THEN 'A' ELSE 'B' END AS alt FROM supplier),
@@ -963,7 +963,7 @@ def assign_clades(spark, sf):
     k = F.col("node") - 1
     muts = e.select("node", (k % 3).cast("int").alias("site"), F.when(k % 4 < 2, "A").otherwise("B").alias("alt"))
     defs = values(spark, "clade string, site int, alt string", ("x", 0, "A"), ("y", 0, "A"), ("y", 1, "B"), ("z", 2, "B"))
-    return T.assign_clades(e, T.closure(e), muts, defs).select("node", "clade")
+    return T.assign_clades(e, muts, defs).select("node", "clade")
 
 
 @query(f"""WITH {_PANEL}, c AS (SELECT t, strain, f FROM s) SELECT 'd' AS name, round(avg(sd), 6) AS value FROM (SELECT t, stddev_samp(d) AS sd FROM f GROUP BY t) UNION ALL SELECT 'x', round(avg(sd), 6) FROM (SELECT t, stddev_samp(x) AS sd FROM f GROUP BY t)""")

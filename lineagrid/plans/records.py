@@ -378,7 +378,7 @@ def posterior_path(spark, sf):
     """Root-to-node sums of ten posterior samples in two groups, with the narrowest interval that holds eight."""
     e = _tree(spark, sf)
     some = e.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(1)))).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("v", F.abs("s_acctbal") * (F.col("k") + 1) * (F.col("k") + 1) + F.col("g"))
-    return T.posterior_path(T.closure(e), some, "v", "g", "k", 0.8).select("node", *L("g"), *R("mean", "low", "high"))
+    return T.posterior_path(e, some, "v", "g", "k", 0.8).select("node", *L("g"), *R("mean", "low", "high"))
 
 
 @query(f"""WITH {_CLOSURE} SELECT c.node, round(sum(CASE WHEN s_suppkey % 4 = 0 THEN abs(s_acctbal) ELSE 0 END), 2) AS total, count(*) FILTER (s_suppkey % 4 = 0)::BIGINT AS n_scored, count(*) FILTER (s_suppkey % 4 = 1)::BIGINT AS n_missing, count(*) FILTER (s_suppkey % 4 = 2)::BIGINT AS n_outside, count(*) FILTER (s_suppkey % 4 = 3)::BIGINT AS n_after
@@ -387,7 +387,7 @@ def windowed_path_sum(spark, sf):
     e = _tree(spark, sf)
     k = (F.col("node") - 1) % 4
     scored = e.select("node", F.when(k == 0, F.abs("s_acctbal")).alias("v"), F.get(F.array(*[F.lit(x) for x in ("scored", "missing", "outside", "after")]), k.cast("int")).alias("s"))
-    return T.windowed_path_sum(T.closure(e), scored, "v", "s").withColumn("total", F.round("total", 2))
+    return T.windowed_path_sum(e, scored, "v", "s").withColumn("total", F.round("total", 2))
 
 
 @query(f"WITH {_CLOSURE} SELECT node FROM c WHERE ancestor = (SELECT min(node) FROM e WHERE node % 3 = 0)")
@@ -521,7 +521,7 @@ def distance_to_past_ancestor(spark, sf):
     e = _tree(spark, sf)
     dates = e.select("node", F.date_add(F.lit("2000-01-01").cast("date"), F.col("node").cast("int")).alias("date"))
     seqs = read(spark, sf, "supplier").select((F.col("s_suppkey") + 1).alias("node"), F.col("s_name").alias("seq"))
-    return T.distance_to_past_ancestor(T.closure(e), dates, F.lit("2000-01-07").cast("date"), seqs, "01" * 9).select("node", "past", *L("distance"))
+    return T.distance_to_past_ancestor(e, dates, F.lit("2000-01-07").cast("date"), seqs, "01" * 9).select("node", "past", *L("distance"))
 
 
 @query(f'''WITH {_PANEL}, m AS (SELECT clade, date_diff('month', DATE '1992-01-01', t)::DOUBLE AS x, sum(f) AS f FROM s GROUP BY ALL), b AS (SELECT clade, f, d, date_diff('month', DATE '1992-01-01', t)::DOUBLE AS x FROM s),
