@@ -159,12 +159,6 @@ def score_haplotypes(df: DataFrame, mutations: Mapping[str, float], fitness: str
     return scored.withColumn("score", score).drop("_s", "_med", "_top")
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Rows and an order-free checksum."""
-    columns = sorted(df.columns)
-    return df.agg(F.count("*").alias("records"), F.coalesce(F.bit_xor(F.xxhash64(*columns)), F.lit(0)).alias("checksum"))
-
-
 # -- reshaping ----------------------------------------------------------------------------------------------------
 
 def node_table(nodes: DataFrame, metadata: DataFrame, edges: DataFrame, node: str = "node", strain: str = "strain") -> DataFrame:

@@ -127,3 +127,16 @@ def active_clades(df: DataFrame, clade: str, sample: str, pivot: str, value: str
     samples = now.agg(F.count_distinct(sample)).scalar()
     inside = now.where(F.col(value).between(lo, hi)).groupBy(clade).agg(F.count_distinct(sample).alias("_n")).withColumn("_s", samples)
     return inside.where("_n = _s").select(clade)
+
+
+def active_futures(df: DataFrame, clade: str, sample: str, pivot: str, value: str, observed: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
+    """(clade, sample, current, future) of the clades active at the last observed pivot: their values there and at the last of all.
+
+    Rows of one clade, sample and pivot are summed; a clade without rows at the last pivot has the future 0.
+    """
+    ends = df.agg(F.max(F.when(F.col(observed), F.col(pivot))).alias("now"), F.max(pivot).alias("then"))
+    now, then = ends.select("now").scalar(), ends.select("then").scalar()
+    both = df.withColumns({"_now": F.col(pivot) == now, "_then": F.col(pivot) == then}).where("_now or _then")
+    sums = both.groupBy(clade, sample).agg(F.sum(F.when(F.col("_now"), F.col(value))).alias("current"), F.coalesce(F.sum(F.when(F.col("_then"), F.col(value))), F.lit(0.0)).alias("future"))
+    active = active_clades(sums.withColumn("_at", F.lit(0)), clade, sample, "_at", "current", F.lit(0), lo, hi)
+    return sums.join(active, clade, "left_semi").where("current is not null")

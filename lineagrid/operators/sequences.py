@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from lineagrid.functions.scalars import list_size, sequence_diff
+from lineagrid.operators import trees
 
 
 def assign_haplotypes(df: DataFrame, definitions: DataFrame, row: str, have: Column, clade: str | None = None, default: str | Column = "unassigned") -> DataFrame:
@@ -87,10 +88,39 @@ def distance_to(df: DataFrame, row: str, seq: str, base: str, maps: DataFrame) -
     diff = df.select(row, F.explode(sequence_diff(F.col(base), F.col(seq))).alias("m")).select(row, "m.*")
     on = [diff["site"] == maps["site"], maps["from"].isNull() | (maps["from"] == diff["ref"]), maps["to"].isNull() | (maps["to"] == diff["alt"])]
     hits = diff.join(maps, on).groupBy(row, "map").agg(F.sum("weight").alias("distance"))
-    grid = df.select(row).join(F.broadcast(maps.select("map").distinct()))
+    grid = df.select(row, F.explode(maps.agg(F.collect_set("map")).scalar()).alias("map"))
     return grid.join(hits, [row, "map"], "left").withColumn("distance", F.coalesce("distance", F.lit(0.0)))
 
 
+def bases(edges: DataFrame, compare_to: str | int | DataFrame) -> DataFrame:
+    """(node, base) to compare with: ``root``, ``parent``, the ancestor so many hops up, or a table of one's own.
+
+    Where there is no parent, or no ancestor so far up, the base is the root of the node's tree.
+    """
+    if isinstance(compare_to, DataFrame):
+        return compare_to.select("node", "base")
+    root = trees.nearest(edges, edges.where("parent is null").select("node", F.col("node").alias("base")), "base")
+    if compare_to == "root":
+        return root
+    up = edges.select("node", F.col("parent").alias("up")) if compare_to == "parent" else trees.ancestor_at(edges, int(compare_to)).withColumnRenamed("ancestor", "up")
+    return root.join(up, "node", "left").select("node", F.coalesce("up", "base").alias("base"))
+
+
+def with_bases(edges: DataFrame, seqs: DataFrame, compare_to: str | int | DataFrame) -> DataFrame:
+    """(node, seq, base_seq) of the nodes that have a sequence (node, seq), and whose base has one."""
+    pairs = bases(edges, compare_to).join(seqs.select("node", "seq"), "node")
+    return pairs.join(seqs.select(F.col("node").alias("base"), F.col("seq").alias("base_seq")), "base").select("node", "seq", "base_seq")
+
+
+def map_distances(edges: DataFrame, seqs: DataFrame, maps: DataFrame, compare_to: str | int | DataFrame = "root", cumulative: bool = False) -> DataFrame:
+    """(node, map, distance) of all distance maps in one pass, each node's sequence against that of its base (:func:`bases`).
+
+    ``cumulative`` adds up the distances of the branches from the root down to the node.
+    """
+    one = distance_to(with_bases(edges, seqs, compare_to), "node", "seq", "base_seq", maps)
+    return trees.path_sums(edges, one, {"distance": F.col("distance")}, ["map"]) if cumulative else one
+
+
 def masked_distance(seq: Column, reference: Column, mask: str, bit: str = "1") -> Column:
     """Differing places among those where the mask has the bit."""
     places = [i + 1 for i, c in enumerate(mask) if c == bit]
@@ -127,6 +157,32 @@ def preference_score(df: DataFrame, row: str, parent_seq: str, seq: str, prefere
     return out.groupBy(row).agg(F.sum(score).alias("score"))
 
 
+def preference_path(edges: DataFrame, seqs: DataFrame, preferences: DataFrame, mode: str = "sum", sites: Sequence[int] | None = None, missing: float = 1e-10) -> DataFrame:
+    """(node, score) of a tree's sequences under preferences (site, aa, preference), those that lack counting as ``missing``.
+
+    ``sum``: log2 of new over old preference of all changes from the root down to the node; the root has 0.  ``mean``: the
+    mean natural logarithm of the preferences of all sites (or of ``sites``, from 1) of the node's sequence.  Either way a
+    branch costs its changes only: the root's own mean is taken once and changes are added along the path.
+    """
+    changes = with_bases(edges, seqs, "parent").select("node", F.explode(sequence_diff(F.col("base_seq"), F.col("seq"))).alias("m")).select("node", "m.*")
+    if sites is not None:
+        changes = changes.where(F.col("site").isin(*sites))
+    p = preferences.select("site", "aa", "preference")
+    both = changes.join(p.select("site", F.col("aa").alias("alt"), F.col("preference").alias("_new")), ["site", "alt"], "left").join(p.select("site", F.col("aa").alias("ref"), F.col("preference").alias("_old")), ["site", "ref"], "left")
+    new, old = F.coalesce("_new", F.lit(missing)), F.coalesce("_old", F.lit(missing))
+    roots = edges.where("parent is null").select("node")
+    branch = both.select("node", (F.log2(new / old) if mode == "sum" else F.ln(new) - F.ln(old)).alias("v"))
+    if mode == "sum":
+        whole = branch.union(roots.select("node", F.lit(0.0)))
+        return trees.path_sum(edges, whole, "v").withColumnRenamed("total", "score")
+    at = roots.join(seqs.select("node", "seq"), "node").select("node", F.posexplode(F.filter(F.split("seq", ""), lambda c: c != "")).alias("i", "aa")).withColumn("site", F.col("i") + 1)
+    if sites is not None:
+        at = at.where(F.col("site").isin(*sites))
+    own = at.join(p, ["site", "aa"], "left").groupBy("node").agg(F.sum(F.ln(F.coalesce("preference", F.lit(missing)))).alias("v"), F.count("*").cast("double").alias("n"))
+    sums = trees.path_sums(edges, branch.withColumn("n", F.lit(0.0)).union(own), {"v": F.col("v"), "n": F.col("n")})
+    return sums.select("node", F.try_divide("v", "n").alias("score"))
+
+
 def distance_to_future(references: DataFrame, tips: DataFrame, forecasts: DataFrame, weights: DataFrame, ref: str = "ref", seq: str = "seq") -> DataFrame:
     """Per reference: mean distance to each region's haplotypes times their predicted frequency, summed over regions' number.
 

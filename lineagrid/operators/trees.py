@@ -66,11 +66,11 @@ def path_sums(edges: DataFrame, branches: DataFrame, sums: Mapping[str, Column],
 
     Nodes with no branch of a key on their path have no row for it.
     """
-    own = branches.groupBy("node", *keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()], F.count("*").alias("_n"))
-    names = [*sums, "_n"]
+    names = {f"_s{i}": n for i, n in enumerate(sums)} | {"_rows": None}
+    own = branches.groupBy("node", *keys).agg(*[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())], F.count("*").alias("_rows"))
     state = _per_key(edges, own, keys).join(own, ["node", *keys], "left").select("node", *keys, "up", *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
     total = climb(state, keys, {n: F.col(n) + F.coalesce(f"_{n}", F.lit(0)) for n in names}, F.lit(True))
-    return total.where("_n > 0").select("node", *keys, *sums)
+    return total.where("_rows > 0").select("node", *keys, *[F.col(k).alias(n) for k, n in names.items() if n])
 
 
 def nearest(edges: DataFrame, marks: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:

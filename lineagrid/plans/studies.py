@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineagrid.operators import crossval as V
+from lineagrid.operators import fingerprints as P
 from lineagrid.operators import forecast as M
+from lineagrid.operators import frequencies as K
+from lineagrid.operators import quality as U
+from lineagrid.operators import sequences as Q
 from lineagrid.operators import windows as W
-from lineagrid.plans.catalog import _PANEL, R, _panel, query, values
+from lineagrid.plans.catalog import _CLOSURE, _DIFF, _PANEL, R, _panel, _tree, _versions, query, read, values
 
 # -- cross-validation ---------------------------------------------------------------------------------------------
 
@@ -77,3 +81,132 @@ def model_by_timepoint(spark, sf):
     """A fixed model tested at every timepoint."""
     panel, _, _ = _folds(spark, sf)
     return V.score_model(panel, {"d": 0.4, "x": -0.3}).select("t", *R("error", "null_error", digits=6), "n")
+
+
+# -- distance maps and preferences along trees --------------------------------------------------------------------
+
+_MAPS = [("one", 17, None, None, 1.0), ("one", 18, "1", "3", 2.0), ("two", 18, None, "7", 0.5), ("two", 16, None, None, 4.0)]
+#: Sequences of nodes, the root's, and each distance map's weight of a change.
+_NODES = f"""{_CLOSURE}, q AS (SELECT s_suppkey + 1 AS node, s_name AS s FROM supplier), m(map, site, f, t, w) AS (VALUES {", ".join("(" + ", ".join("NULL" if x is None else repr(x) for x in m) + ")" for m in _MAPS)}),
+pairs AS (SELECT e.node, 1 AS root, coalesce(e.parent, 1) AS parent, coalesce((SELECT ancestor FROM c WHERE c.node = e.node AND hops = 3), 1) AS third FROM e)"""
+
+
+def _distances(base):
+    return f"""SELECT p.node, map, sum(CASE WHEN substr(a.s, site, 1) <> substr(b.s, site, 1) AND (f IS NULL OR f = substr(b.s, site, 1)) AND (t IS NULL OR t = substr(a.s, site, 1)) THEN w ELSE 0 END)::DOUBLE AS distance
+FROM pairs p JOIN q a ON a.node = p.node JOIN q b ON b.node = p.{base}, m GROUP BY ALL"""
+
+
+def _sequences(spark, sf):
+    seqs = read(spark, sf, "supplier").select((F.col("s_suppkey") + 1).alias("node"), F.col("s_name").alias("seq"))
+    return _tree(spark, sf), seqs, values(spark, "map string, site int, `from` string, `to` string, weight double", *_MAPS)
+
+
+@query(f"WITH {_NODES} {_distances('root')}")
+def distances_to_root(spark, sf):
+    return Q.map_distances(*_sequences(spark, sf), "root").select("node", "map", "distance")
+
+
+@query(f"WITH {_NODES} {_distances('parent')}")
+def distances_to_parent(spark, sf):
+    return Q.map_distances(*_sequences(spark, sf), "parent").select("node", "map", "distance")
+
+
+@query(f"WITH {_NODES} {_distances('third')}")
+def distances_to_ancestor(spark, sf):
+    """Against the ancestor three branches up, or the root."""
+    return Q.map_distances(*_sequences(spark, sf), 3).select("node", "map", "distance")
+
+
+@query(f"WITH {_NODES}, d AS ({_distances('parent')}) SELECT c.node, map, sum(distance) AS distance FROM c JOIN d ON d.node = c.ancestor GROUP BY ALL")
+def distances_along_path(spark, sf):
+    """Distances of branches added up from the root."""
+    return Q.map_distances(*_sequences(spark, sf), "parent", cumulative=True).select("node", "map", "distance")
+
+
+_PREFERENCES = [(17, "0", 0.4), (17, "1", 0.2), (17, "2", 0.1), (18, "1", 0.25), (18, "3", 0.5), (18, "5", 0.01)]
+_PREFER = f"""{_NODES}, pr(site, aa, p) AS (VALUES {", ".join(str(p) for p in _PREFERENCES)}), al AS (SELECT node, i AS site, substr(s, i, 1) AS aa FROM q, range(1, 19) r(i)), lp AS (SELECT al.*, coalesce(p, 1e-10) AS p FROM al LEFT JOIN pr USING (site, aa))"""
+
+
+@query(f"""WITH {_PREFER}, br AS (SELECT e.node, sum(CASE WHEN a.aa <> b.aa THEN log2(a.p / b.p) ELSE 0 END) AS v FROM e JOIN lp a ON a.node = e.node JOIN lp b ON b.node = coalesce(e.parent, e.node) AND b.site = a.site GROUP BY 1)
+SELECT c.node, round(sum(v), 5) AS score FROM c JOIN br ON br.node = c.ancestor GROUP BY 1""")
+def preference_path(spark, sf):
+    """Effects of all changes from the root down."""
+    edges, seqs, _ = _sequences(spark, sf)
+    return Q.preference_path(edges, seqs, values(spark, "site int, aa string, preference double", *_PREFERENCES)).select("node", *R("score", digits=5))
+
+
+@query(f"WITH {_PREFER} SELECT node, round(avg(ln(p)), 5) AS score FROM lp WHERE site > 9 GROUP BY 1")
+def mean_preference(spark, sf):
+    """The mean log preference over half of the sites."""
+    edges, seqs, _ = _sequences(spark, sf)
+    prefs = values(spark, "site int, aa string, preference double", *_PREFERENCES)
+    return Q.preference_path(edges, seqs, prefs, "mean", range(10, 19)).select("node", *R("score", digits=5))
+
+
+@query("""WITH f AS (SELECT l_suppkey % 20 AS clade, l_linenumber AS sample, year(l_shipdate) AS y, sum(l_quantity) AS q FROM lineitem GROUP BY ALL), s AS (SELECT *, q / sum(q) OVER (PARTITION BY sample, y) AS v FROM f),
+e AS (SELECT max(y) FILTER (y <= 1998) AS a, max(y) AS z FROM s), c AS (SELECT clade, sample, sum(v) FILTER (y = a) AS current, coalesce(sum(v) FILTER (y = z), 0) AS future FROM s, e GROUP BY ALL)
+SELECT clade, sample, round(current, 6) AS current, round(future, 6) AS future FROM c WHERE clade IN (SELECT clade FROM c WHERE current BETWEEN 0.045 AND 0.07 GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT sample) FROM c WHERE current IS NOT NULL))""")
+def active_futures(spark, sf):
+    """Clades within a band in all samples at the last observed year, and their share in the last of all."""
+    l = read(spark, sf, "lineitem").groupBy((F.col("l_suppkey") % 20).alias("clade"), F.col("l_linenumber").alias("sample"), F.year("l_shipdate").alias("pivot")).agg(F.sum("l_quantity").alias("q"))  # noqa: E741
+    shares = W.normalise(l, ["sample", "pivot"], "q", "v").withColumn("seen", F.col("pivot") <= 1998)
+    return K.active_futures(shares, "clade", "sample", "pivot", "v", "seen", 0.045, 0.07).select("clade", "sample", *R("current", "future", digits=6))
+
+
+# -- versions of tables -------------------------------------------------------------------------------------------
+
+#: Orders of a customer by status as sets of keys, in two versions.
+_PARTS = """SELECT o_custkey, o_orderstatus AS part, list(DISTINCT o_orderkey::VARCHAR) AS names FROM orders WHERE {} GROUP BY ALL"""
+
+
+@query(f"""WITH a AS ({_PARTS.format("o_orderkey % 19 > 0")}), b AS ({_PARTS.format("o_orderkey % 17 > 0")}), k AS (SELECT o_custkey FROM a INTERSECT SELECT o_custkey FROM b),
+j AS (SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.part, b.part) AS part, list_sort(list_filter(coalesce(a.names, []), lambda x: NOT list_contains(coalesce(b.names, []), x))) AS gone, list_sort(list_filter(coalesce(b.names, []), lambda x: NOT list_contains(coalesce(a.names, []), x))) AS new
+FROM a FULL JOIN b ON a.o_custkey = b.o_custkey AND a.part = b.part)
+SELECT o_custkey, 'orders changed' AS change, concat(part, ' removed') AS field, array_to_string(gone, ', ') AS was, NULL AS now FROM j WHERE len(gone) > 0 AND o_custkey IN (SELECT o_custkey FROM k)
+UNION ALL SELECT o_custkey, 'orders changed', concat(part, ' added'), NULL, array_to_string(new, ', ') FROM j WHERE len(new) > 0 AND o_custkey IN (SELECT o_custkey FROM k)
+UNION ALL SELECT DISTINCT o_custkey, 'removed record', NULL, NULL, NULL FROM a WHERE o_custkey NOT IN (SELECT o_custkey FROM k) UNION ALL SELECT DISTINCT o_custkey, 'added record', NULL, NULL, NULL FROM b WHERE o_custkey NOT IN (SELECT o_custkey FROM k)""")
+def diff_nested(spark, sf):
+    """Names added to and removed from the parts of records, beside records added and removed."""
+    o = read(spark, sf, "orders")
+
+    def version(keep):
+        parts = o.where(keep).groupBy("o_custkey", "o_orderstatus").agg(F.collect_set(F.col("o_orderkey").cast("string")).alias("names"))
+        return parts.groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("o_orderstatus", "names"))).alias("orders"))
+
+    return U.diff_records(version("o_orderkey % 19 > 0"), version("o_orderkey % 17 > 0"), "o_custkey", sets=["orders"])
+
+
+@query(f"""WITH d AS ({_DIFF}), w AS (SELECT *, CASE WHEN lower(was) = lower(now) THEN 2.0 ELSE 0 END + CASE WHEN change = 'modified' THEN 0.5 ELSE 0 END AS c, CASE WHEN now IS NULL AND was IS NOT NULL THEN 1.5 ELSE 0 END + CASE WHEN change = 'modified' THEN 0.5 ELSE 0 END AS e FROM d)
+SELECT o_orderkey, CASE WHEN c > 0.25 AND c >= e THEN 'case' WHEN e > 0.25 THEN 'emptied' ELSE 'unexplained' END AS reason, CASE WHEN greatest(c, e) > 0.25 THEN greatest(c, e) ELSE 0 END::DOUBLE AS weight, CASE WHEN greatest(c, e) > 0.25 THEN greatest(c, e) - CASE WHEN least(c, e) > 0.25 THEN least(c, e) ELSE 0 END END::DOUBLE AS lead FROM w""")
+def explain_weighted(spark, sf):
+    """Differences with the reason for which most evidence adds up."""
+    d = U.diff_records(*_versions(spark, sf), "o_orderkey")
+    evidence = [("case", F.lower("was") == F.lower("now"), 2.0), ("emptied", F.col("now").isNull() & F.col("was").isNotNull(), 1.5), ("case", F.col("change") == "modified", 0.5), ("emptied", F.col("change") == "modified", 0.5)]
+    return U.explain_weighted(d, evidence, 0.25).select("o_orderkey", "reason", "weight", "lead")
+
+
+#: Statuses of orders as repeated rows; in the second version one in three is another.
+_REPEATS = "SELECT o_custkey % 50 AS k, o_orderstatus AS s FROM orders", "SELECT o_custkey % 50 AS k, CASE WHEN o_custkey % 50 < 20 AND o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders"
+
+
+def _repeats(spark, sf):
+    o = read(spark, sf, "orders").withColumn("k", F.col("o_custkey") % 50)
+    other = F.when((F.col("k") < 20) & (F.col("o_orderkey") % 3 == 0), "X").otherwise(F.col("o_orderstatus"))
+    return o.select("k", F.col("o_orderstatus").alias("s")), o.select("k", other.alias("s"))
+
+
+@query(f"""WITH a AS ({_REPEATS[0]}), b AS ({_REPEATS[1]}), d AS (SELECT DISTINCT k FROM ((SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)))
+SELECT k AS bucket, (SELECT count(*) FROM b WHERE b.k = d.k)::BIGINT AS records, (SELECT count(*) FROM a WHERE a.k = d.k)::BIGINT AS previous FROM d""")
+def changed_buckets(spark, sf):
+    """The buckets in which two versions with repeated rows differ, by their sums of row hashes."""
+    a, b = _repeats(spark, sf)
+    return P.changed_buckets(P.tree(b, F.col("k"), 8), P.tree(a, F.col("k"), 8), 8)
+
+
+@query(f"""WITH a AS ({_REPEATS[0]}), b AS ({_REPEATS[1]}), d AS ((SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a))
+SELECT (SELECT count(*) FROM b)::BIGINT AS records, (SELECT count(*) FROM a)::BIGINT AS previous, 0::BIGINT AS delta, (SELECT count(*) FROM d) > 0 AS changed
+UNION ALL SELECT 2 * (SELECT count(*) FROM a)::BIGINT, 2 * (SELECT count(*) FROM a)::BIGINT, 0::BIGINT, false""")
+def repeated_rows_change(spark, sf):
+    """Versions of as many rows that repeat: other ones, and the same twice."""
+    a, b = _repeats(spark, sf)
+    return U.record_change(b, a).union(U.record_change(a.union(a), a.union(a).repartition(5)))

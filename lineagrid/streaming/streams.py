@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
+from lineagrid.operators.fingerprints import fingerprint
+
 
 def stream_batches(spark: SparkSession, folder: str, schema: StructType | str, fmt: str = "parquet", per_trigger: int = 100) -> DataFrame:
     """Files of a folder, each read once; the query's checkpoint remembers which."""
@@ -37,8 +39,6 @@ def upsert_first(stream: DataFrame, target: str, key: str, order: Sequence[str],
 def record_delta(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """A row a batch: its number, records and checksum, under ``target``; a replay overwrites its own row."""
     def write(df: DataFrame, number: int) -> None:
-        from lineagrid.operators.aggregates import fingerprint
-
         fingerprint(df).withColumn("number", F.lit(number)).coalesce(1).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -5,12 +5,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lineagrid.operators import aggregates as A
 from lineagrid.operators import curate as C
 from lineagrid.operators import link as J
 from lineagrid.operators import sequences as Q
 from lineagrid.operators import trees as T
 from lineagrid.operators import windows as W
+from lineagrid.operators.fingerprints import fingerprint
 from lineagrid.sources import files
 from lineagrid.streaming import streams
 
@@ -80,7 +80,7 @@ def test_partitions_do_not_matter(spark, data):
     e = spark.read.parquet(f"{data}/events.parquet")
     first = rows(W.dedup_first(e, "user_id", ["ts", "event_id"]).select("event_id"))
     assert first == rows(W.dedup_first(e.repartition(7), "user_id", ["ts", "event_id"]).select("event_id"))
-    assert rows(A.fingerprint(e)) == rows(A.fingerprint(e.repartition(5)))
+    assert rows(fingerprint(e)) == rows(fingerprint(e.repartition(5)))
 
 
 def test_streams_equal_batches(spark, data, tmp_path):
