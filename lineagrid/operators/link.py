@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagrid.functions.scalars import simplify_name
@@ -199,18 +199,47 @@ def link_in_stages(a: DataFrame, b: DataFrame, a_key: str, b_key: str, stages: S
     return found
 
 
+def fuzzy_pairs(queries: DataFrame, names: DataFrame, q: str, n: str, least: float = 0.8) -> DataFrame:
+    """(q, n, _x, _y) of the pairs that may reach the similarity, with their simplified names.
+
+    A name of l characters has partners of at most l / least, so at most d = floor((1 - least) l / least) edits apart; these
+    spoil g d of its pieces of g letters, and one of any g d + 1 pieces is in the partner, d places away at most.  Names are
+    posted under all their pieces of three and of two letters, a query under the g d + 1 that fewest names of its block
+    have: of three letters, or of two where it hasn't so many.  A query too short for both meets its whole block.
+    """
+    key = lambda c: F.struct(F.translate(F.regexp_replace(c, "[^0-9]", ""), "0", "").alias("d"), c.endswith("-egg").alias("e"))
+    none = F.array().cast("array<struct<i:int,g:string>>")
+
+    def pieces(c: Column, size: int) -> Column:
+        last = F.length(c) - size + 1
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(i.alias("i"), F.substr(c, i, F.lit(size)).alias("g")))).otherwise(none)
+
+    x = queries.select(q, key(F.col(q)).alias("_k"), simplify_name(F.col(q)).alias("_x")).where(F.col(q).isNotNull()).distinct()
+    y = names.select(n, key(F.col(n)).alias("_k"), simplify_name(F.col(n)).alias("_y")).where(F.col(n).isNotNull()).distinct()
+    x = x.withColumn("_d", F.floor((1 - least) * F.length("_x") / least + 1e-9))
+    size = F.when(F.length("_x") - 2 > 3 * F.col("_d"), 3).when(F.length("_x") - 1 > 2 * F.col("_d"), 2)
+    x = x.withColumn("_size", size)
+    posted = y.select(n, "_k", "_y", F.explode(F.concat(pieces(F.col("_y"), 3), pieces(F.col("_y"), 2))).alias("_p")).select(n, "_k", "_y", F.col("_p.i").alias("_j"), F.col("_p.g").alias("_g"))
+    common = posted.groupBy("_k", "_g").agg(F.count("*").alias("_df"))
+    asked = x.where("_size is not null").select(q, "_k", "_x", "_d", "_size", F.explode(F.when(F.col("_size") == 3, pieces(F.col("_x"), 3)).otherwise(pieces(F.col("_x"), 2))).alias("_p")).select(q, "_k", "_x", "_d", "_size", "_p.*")
+    # A piece that no name has is the rarest, and joins nothing.
+    ranked = asked.withColumnRenamed("g", "_g").join(common, ["_k", "_g"], "left").withColumn("_r", F.row_number().over(Window.partitionBy(q).orderBy(F.coalesce("_df", F.lit(0)), "i")))
+    prefix = ranked.where("_r <= _size * _d + 1").select(q, "_k", "_x", "_d", "i", "_g")
+    fits = F.least(F.length("_x"), F.length("_y")) >= least * F.greatest(F.length("_x"), F.length("_y")) - 1e-9
+    near = prefix.join(posted, ["_k", "_g"]).where(fits & (F.abs(F.col("i") - F.col("_j")) <= F.col("_d"))).select(q, n, "_x", "_y")
+    return near.union(x.where("_size is null").join(y, "_k").where(fits).select(q, n, "_x", "_y")).distinct()
+
+
 def fuzzy_candidates(queries: DataFrame, names: DataFrame, q: str, n: str, least: float = 0.8, k: int = 3) -> DataFrame:
     """The k names most similar to each query among those with the same digits but zeros and the same egg suffix.
 
-    Similarity is 1 less the Levenshtein distance over the longer length, of simplified names; ties by name.
+    Similarity is 1 less the Levenshtein distance over the longer length, of simplified names; ties by name.  Null names
+    have no partners.
     """
-    key = lambda c: F.struct(F.translate(F.regexp_replace(c, "[^0-9]", ""), "0", "").alias("d"), c.endswith("-egg").alias("e"))
-    x = queries.select(q, key(F.col(q)).alias("_k"), simplify_name(F.col(q)).alias("_x")).distinct()
-    y = names.select(n, key(F.col(n)).alias("_k"), simplify_name(F.col(n)).alias("_y")).distinct()
     score = 1 - F.levenshtein("_x", "_y") / F.greatest(F.length("_x"), F.length("_y"), F.lit(1))
-    scored = x.join(y, "_k").select(q, n, F.round(score, 6).alias("similarity")).where(F.col("similarity") >= least)
-    best = scored.groupBy(q).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("s"), F.col(n).alias("n")))), 1, k).alias("x"))
-    return best.select(q, F.posexplode("x").alias("rank", "y")).select(q, (F.col("rank") + 1).alias("rank"), F.col("y.n").alias(n), (-F.col("y.s")).alias("similarity"))
+    scored = fuzzy_pairs(queries, names, q, n, least).select(q, n, F.round(score, 6).alias("similarity")).where(F.col("similarity") >= least)
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(q).orderBy(F.desc("similarity"), n)))
+    return ranked.where(F.col("rank") <= k).select(q, "rank", n, "similarity")
 
 
 def asof_window(df: DataFrame, t: str, windows: DataFrame, key: str, past_last: bool = True) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from lineagrid.functions.scalars import list_size, sequence_diff
 from lineagrid.operators import trees
@@ -49,29 +49,51 @@ def attach_sequences(df: DataFrame, seqs: DataFrame, key: str, gene: str, seq: s
     return df.join(seqs.groupBy(key).pivot(gene, list(genes)).agg(F.first(seq)), key, "left")
 
 
-@F.pandas_udf(IntegerType())
-def hamming_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Differing places of strings; those beyond the shorter string count as differing."""
-    def one(x: str, y: str) -> int:
-        p, q = np.frombuffer(x.encode("utf-32-le"), np.uint32), np.frombuffer(y.encode("utf-32-le"), np.uint32)
-        n = min(len(p), len(q))
-        return int((p[:n] != q[:n]).sum()) + max(len(p), len(q)) - n
-    return pd.Series([None if x is None or y is None else one(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
+#: Sequences of one timepoint that a task compares with as many queries at once.
+BLOCK_ROWS, BLOCK_QUERIES = 2048, 512
 
 
-def pairwise_hamming(df: DataFrame, t: str, months: int, sample: str, seq: str, queries: Column | None = None, blocks: int = 16) -> DataFrame:
+def characters(texts: list[str]) -> np.ndarray:
+    """Texts as rows of code points, filled up with zeros."""
+    wide = max(map(len, texts), default=0)
+    kind, code = (np.uint8, "ascii") if all(map(str.isascii, texts)) else (np.uint32, "utf-32-le")
+    return np.frombuffer("".join(t.ljust(wide, "\0") for t in texts).encode(code), kind).reshape(len(texts), wide)
+
+
+def _compared(left: pa.Table, right: pa.Table) -> pa.Table:
+    """(sample, other_sample, distance) of all queries against all others of a block."""
+    ids, others = left.column("sample").combine_chunks(), right.column("other_sample").combine_chunks()
+    if not len(ids) or not len(others):
+        empty = pa.array([], pa.int32())
+        return pa.table({"sample": ids.slice(0, 0), "other_sample": others.slice(0, 0), "distance": empty})
+    both = characters(left.column("a").to_pylist() + right.column("b").to_pylist())
+    a, b = both[: len(ids)], both[len(ids) :]
+    far = np.concatenate([(b != row).sum(1, dtype=np.int32) for row in a])
+    x, y = np.repeat(np.arange(len(a)), len(b)), np.tile(np.arange(len(b)), len(a))
+    apart = pc.not_equal(ids.take(pa.array(x)), others.take(pa.array(y)))
+    return pa.table({"sample": ids.take(pa.array(x)), "other_sample": others.take(pa.array(y)), "distance": pa.array(far)}).filter(apart)
+
+
+def pairwise_hamming(df: DataFrame, t: str, months: int, sample: str, seq: str, queries: Column | None = None) -> DataFrame:
     """(sample, other_sample, distance) of samples of one timepoint, and of a timepoint with that ``months`` later.
 
-    With ``queries``, only for samples that it holds for, against all others.  A timepoint is dealt to blocks by the other
-    sample, each of which meets every query of the timepoint, so that a crowded one is not one task's work.
+    With ``queries``, only for samples that it holds for, against all others.  Places beyond the shorter sequence differ;
+    rows without a timepoint, sample or sequence have no pairs.  A timepoint is cut into blocks of rows and of queries by
+    its size, each pair of which is one task's matrix; sequences are decoded once a block.
     """
-    rows = df.select(F.col(t).alias("_t"), F.col(sample).alias("_s"), F.col(seq).alias("_q"))
-    asked = df.where(queries).select(F.col(t).alias("_t"), F.col(sample).alias("_s"), F.col(seq).alias("_q")) if queries is not None else rows
-    x = asked.select(F.explode(F.array("_t", F.add_months("_t", months))).alias("_u"), F.col("_s").alias("sample"), F.col("_q").alias("a"))
-    x = x.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    y = rows.select(F.col("_t").alias("_u"), F.col("_s").alias("other_sample"), F.col("_q").alias("b"), F.pmod(F.xxhash64("_s"), F.lit(blocks)).cast("int").alias("_block"))
-    pairs = x.join(y, ["_u", "_block"]).where("sample <> other_sample")
-    return pairs.select("sample", "other_sample", hamming_batch("a", "b").alias("distance")).distinct()
+    rows = df.select(F.col(t).alias("_t"), F.col(sample).alias("_s"), F.col(seq).alias("_q")).dropna()
+    asked = (df.where(queries) if queries is not None else df).select(F.col(t).alias("_t"), F.col(sample).alias("_s"), F.col(seq).alias("_q")).dropna()
+    x = asked.select(F.explode(F.array_distinct(F.array("_t", F.add_months("_t", months)))).alias("_u"), F.col("_s").alias("sample"), F.col("_q").alias("a"))
+    y = rows.select(F.col("_t").alias("_u"), F.col("_s").alias("other_sample"), F.col("_q").alias("b"))
+    parts = y.groupBy("_u").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("_ny")).join(x.groupBy("_u").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("_nx")), "_u")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = x.join(parts, "_u").select("_u", F.pmod(F.xxhash64("sample"), F.col("_nx")).alias("_bx"), upto("_ny").alias("_by"), "sample", "a")
+    right = y.join(parts, "_u").select("_u", upto("_nx").alias("_bx"), F.pmod(F.xxhash64("other_sample"), F.col("_ny")).alias("_by"), "other_sample", "b")
+    kind = rows.schema["_s"].dataType.simpleString()
+    keys = ["_u", "_bx", "_by"]
+    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compared, f"sample {kind}, other_sample {kind}, distance int")
+    # A sample that occurs at several timepoints can meet another more than once.
+    return pairs.distinct() if months else pairs
 
 
 def substitution_distance(pairs: DataFrame, a: str, b: str, weights: DataFrame, key: Sequence[str], default: float = 0.0) -> DataFrame:
@@ -128,10 +150,38 @@ def masked_distance(seq: Column, reference: Column, mask: str, bit: str = "1") -
     return F.size(F.filter(at, lambda i: F.substr(seq, i, F.lit(1)) != F.substr(reference, i, F.lit(1))))
 
 
+#: Characters that a task counts at once.
+COUNTED = 1 << 21
+
+
 def site_counts(seqs: DataFrame, seq: str, weight: Column | None = None) -> DataFrame:
-    """(site, char, n): characters at each site, weighted if asked."""
-    chars = seqs.select(F.posexplode(F.split(seq, "")).alias("i", "char"), (weight if weight is not None else F.lit(1.0)).alias("w")).where("char <> ''")
-    return chars.groupBy((F.col("i") + 1).alias("site"), "char").agg(F.sum("w").alias("n"))
+    """(site, char, n): characters at each site, weighted if asked; a task passes on sums, not characters."""
+
+    def counted(texts: list[str], weights: list[float]) -> pa.RecordBatch:
+        sizes = np.array([len(t) for t in texts])
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+        site = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        key, of = np.unique(site << 21 | codes, return_inverse=True)
+        names, which = np.unique(key & 0x1FFFFF, return_inverse=True)
+        chars = pa.DictionaryArray.from_arrays(pa.array(which.astype(np.int32)), pa.array([chr(c) for c in names.tolist()], pa.string())).cast(pa.string())
+        n = np.bincount(of, np.repeat(np.array(weights), sizes), len(key))
+        return pa.RecordBatch.from_arrays([pa.array((key >> 21).astype(np.int32) + 1), chars, pa.array(n)], names=["site", "char", "n"])
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, weights, held = [], [], 0
+        for b in batches:
+            for text, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                texts.append(text)
+                weights.append(w)
+                held += len(text)
+                if held >= COUNTED:
+                    yield counted(texts, weights)
+                    texts, weights, held = [], [], 0
+        if held:
+            yield counted(texts, weights)
+
+    rows = seqs.select(F.col(seq).alias("s"), (weight if weight is not None else F.lit(1.0)).cast("double").alias("w")).dropna()
+    return rows.mapInArrow(make, "site int, char string, n double").groupBy("site", "char").agg(F.sum("n").alias("n"))
 
 
 def site_entropy(seqs: DataFrame, seq: str, alphabet: str | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lineagrid.operators.builds import subsample_builds
+
 
 def dedup_first(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in order; an aggregate, so a key of many rows is reduced before the shuffle."""
@@ -46,31 +48,16 @@ def split_segments(df: DataFrame, segments: Sequence[str], column: str = "sequen
     return out.withColumn("n_segments", n).where("n_segments > 0").drop(column, *[f"_{s}" for s in segments])
 
 
-def subsample(df: DataFrame, by: Sequence[str], max_rows: int, row: str, priority: Column | None = None, seed: str = "0") -> DataFrame:
+def subsample(df: DataFrame, by: Sequence[str], max_rows: int, row: str, priority: Column | None = None, seed: str = "0", probabilistic: bool = False) -> DataFrame:
     """At most max_rows, spread evenly over groups: the largest equal quota whose total fits, then one more row for the
     groups that are first by name while rows are left.
 
-    Within a group, higher priority first, then the smallest MD5 of (row, seed).  Quotas are found on the table of group
-    sizes (one row a group).  With more groups than max_rows the quota is 0 and the first groups give one row each.
+    Within a group, higher priority first, then the smallest MD5 of (row, seed).  With more groups than max_rows the quota
+    is 0 and the first groups give one row each, or, if ``probabilistic``, each as many as a Poisson draw says
+    (:func:`lineagrid.operators.builds.quotas`), max_rows in all on average.
     """
-    sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    # For each quota q the total is sum(min(n, q)); it bends only at group sizes, so a running sum over sizes finds it.
-    order = Window.orderBy("_n", *by)
-    run = sizes.withColumns({
-        "_below": F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "_left": F.count("*").over(order.rowsBetween(0, Window.unboundedFollowing)),
-    })
-    fits = run.withColumn("_q", F.floor((F.lit(max_rows) - F.col("_below")) / F.col("_left")))
-    # The first group that is larger than the quota fixes it; if none is, everything fits.
-    quota = fits.where("_q < _n").agg(F.min_by("_q", "_n")).scalar()
-    sized = sizes.withColumn("_quota", F.coalesce(quota, F.lit(max_rows).cast("long")))
-    used = sized.withColumn("_take", F.least("_n", "_quota"))
-    spare = used.withColumn("_open", F.col("_n") > F.col("_quota")).withColumn("_place", F.when(F.col("_open"), F.count_if("_open").over(Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))))
-    rest = used.agg(F.lit(max_rows) - F.sum("_take")).scalar()
-    final = spare.withColumn("_rest", rest).withColumn("_take", F.col("_take") + F.when(F.col("_place") <= F.col("_rest"), 1).otherwise(0)).select(*by, "_take")
-    within = Window.partitionBy(*by).orderBy(*([priority.desc_nulls_last()] if priority is not None else []), F.md5(F.concat(F.col(row).cast("string"), F.lit(seed))), row)
-    ranked = df.withColumn("_r", F.row_number().over(within))
-    return ranked.join(final, list(by)).where("_r <= _take").drop("_r", "_take")
+    one = df.withColumns({"build": F.lit("all"), "max_rows": F.lit(max_rows).cast("long")})
+    return subsample_builds(one, by, row, priority, seed, probabilistic).select(*df.columns)
 
 
 def top_references(df: DataFrame, key: str, n: int, include: DataFrame, exclude: DataFrame, item: str = "item") -> DataFrame:

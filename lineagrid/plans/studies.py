@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lineagrid.operators import builds as B
 from lineagrid.operators import crossval as V
 from lineagrid.operators import fingerprints as P
 from lineagrid.operators import forecast as M
@@ -210,3 +211,32 @@ def repeated_rows_change(spark, sf):
     """Versions of as many rows that repeat: other ones, and the same twice."""
     a, b = _repeats(spark, sf)
     return U.record_change(b, a).union(U.record_change(a.union(a), a.union(a).repartition(5)))
+
+
+# -- build matrices and draws -------------------------------------------------------------------------------------
+
+
+def _quota_sql(groups):
+    """SQL from ``m`` (build, o_orderkey, o_totalprice, month, cap) to what builds take, with at most cap rows a build."""
+    return f"""s AS (SELECT build, month, any_value(cap) AS cap, count(*) AS n FROM m GROUP BY build, month),
+r AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY build ORDER BY n, month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below, count(*) OVER (PARTITION BY build ORDER BY n, month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM s),
+qq AS (SELECT build, arg_min(floor((cap - below) / rest), n) AS q FROM r WHERE floor((cap - below) / rest) < n GROUP BY build),
+t AS (SELECT s.build, month, cap, least(n, coalesce(q, n)) AS take, n > coalesce(q, n) AS open FROM s LEFT JOIN qq USING (build)),
+z AS (SELECT *, cap - sum(take) OVER (PARTITION BY build) AS spare, count(*) FILTER (open) OVER (PARTITION BY build ORDER BY month ROWS UNBOUNDED PRECEDING) AS place FROM t),
+f AS (SELECT build, month, take + CASE WHEN open AND place <= spare THEN 1 ELSE 0 END AS take FROM z)
+SELECT {groups} FROM (SELECT *, row_number() OVER (PARTITION BY build, month ORDER BY o_totalprice DESC, md5(concat(o_orderkey, '0')), o_orderkey) AS rn FROM m) x JOIN f USING (build, month) WHERE rn <= take"""
+
+
+@query(f"""WITH st(s) AS (VALUES ('F'), ('O'), ('P'), (NULL)), pr(p) AS (VALUES ('1-URGENT'), ('3-MEDIUM'), ('5-LOW'), (NULL)),
+m AS (SELECT concat_ws('_', coalesce(s, 'None'), coalesce(p, 'None')) AS build, o_orderkey, o_totalprice, month(o_orderdate::DATE) AS month, CASE WHEN s = 'F' THEN 25 ELSE 60 END AS cap
+FROM st, pr, orders WHERE (s IS NULL OR o_orderstatus = s) AND (p IS NULL OR o_orderpriority = p) AND (o_totalprice >= CASE WHEN p = '5-LOW' THEN 100000 ELSE 0 END)),
+{_quota_sql("build, o_orderkey")}""")
+def build_matrix(spark, sf):
+    """Sixteen builds of statuses and priorities, some over all values, each spread over months within its own cap."""
+    orders = read(spark, sf, "orders").withColumn("month", F.month("o_orderdate"))
+    builds = B.matrix(
+        spark, {"status": ["F", "O", "P", None], "priority": ["1-URGENT", "3-MEDIUM", "5-LOW", None]}, "{status}_{priority}",
+        lambda status, priority: 25 if status == "F" else 60, price=lambda status, priority: 100000.0 if priority == "5-LOW" else 0.0,
+    )
+    matched = B.match(orders, builds, {"o_orderstatus": "status", "o_orderpriority": "priority"}, F.col("o_totalprice") >= F.col("b_price"))
+    return B.subsample_builds(matched, ["month"], "o_orderkey", F.col("o_totalprice")).select("build", "o_orderkey")
