@@ -155,17 +155,30 @@ COUNTED = 1 << 21
 
 
 def site_counts(seqs: DataFrame, seq: str, weight: Column | None = None) -> DataFrame:
-    """(site, char, n): characters at each site, weighted if asked; a task passes on sums, not characters."""
+    """(site, char, n): characters at each site, weighted if asked; a task passes on sums, not characters.
+
+    Rows are dealt by site, so what is summed by site afterwards needs no further shuffle.
+    """
 
     def counted(texts: list[str], weights: list[float]) -> pa.RecordBatch:
         sizes = np.array([len(t) for t in texts])
         codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
         site = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        key, of = np.unique(site << 21 | codes, return_inverse=True)
-        names, which = np.unique(key & 0x1FFFFF, return_inverse=True)
-        chars = pa.DictionaryArray.from_arrays(pa.array(which.astype(np.int32)), pa.array([chr(c) for c in names.tolist()], pa.string())).cast(pa.string())
-        n = np.bincount(of, np.repeat(np.array(weights), sizes), len(key))
-        return pa.RecordBatch.from_arrays([pa.array((key >> 21).astype(np.int32) + 1), chars, pa.array(n)], names=["site", "char", "n"])
+        seen = np.zeros(0x110000, bool)
+        seen[codes] = True
+        names = np.flatnonzero(seen)
+        rank = np.cumsum(seen) - 1
+        cell = site * len(names) + rank[codes]
+        w = np.repeat(np.array(weights), sizes)
+        if len(names) * int(sizes.max()) <= 8 * len(codes):  # a table of all cells is small
+            n = np.bincount(cell, w)
+            key = np.flatnonzero(np.bincount(cell))
+            n = n[key]
+        else:
+            key, of = np.unique(cell, return_inverse=True)
+            n = np.bincount(of, w, len(key))
+        chars = pa.DictionaryArray.from_arrays(pa.array((key % len(names)).astype(np.int32)), pa.array([chr(c) for c in names.tolist()], pa.string())).cast(pa.string())
+        return pa.RecordBatch.from_arrays([pa.array((key // len(names)).astype(np.int32) + 1), chars, pa.array(n)], names=["site", "char", "n"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, weights, held = [], [], 0
@@ -181,16 +194,15 @@ def site_counts(seqs: DataFrame, seq: str, weight: Column | None = None) -> Data
             yield counted(texts, weights)
 
     rows = seqs.select(F.col(seq).alias("s"), (weight if weight is not None else F.lit(1.0)).cast("double").alias("w")).dropna()
-    return rows.mapInArrow(make, "site int, char string, n double").groupBy("site", "char").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(make, "site int, char string, n double").repartition("site").groupBy("site", "char").agg(F.sum("n").alias("n"))
 
 
 def site_entropy(seqs: DataFrame, seq: str, alphabet: str | None = None) -> DataFrame:
     """Shannon entropy in nats of each site's characters (of the alphabet)."""
     n = site_counts(seqs, seq)
     n = n.where(F.col("char").isin(*alphabet)) if alphabet else n
-    total = n.groupBy("site").agg(F.sum("n").alias("t"))
-    p = F.col("n") / F.col("t")
-    return n.join(total, "site").groupBy("site").agg((-F.sum(p * F.ln(p + 1e-15))).alias("entropy"))
+    # -sum(n/t ln(n/t)) = ln t - sum(n ln n) / t
+    return n.groupBy("site").agg((F.ln(F.sum("n")) - F.sum(F.when(F.col("n") > 0, F.col("n") * F.ln("n"))) / F.sum("n")).alias("entropy"))
 
 
 def allele_frequencies(seqs: DataFrame, seq: str, weight: str) -> DataFrame:
