@@ -9,6 +9,7 @@ from lineagrid.operators import crossval as V
 from lineagrid.operators import fingerprints as P
 from lineagrid.operators import forecast as M
 from lineagrid.operators import frequencies as K
+from lineagrid.operators import predictors as N
 from lineagrid.operators import quality as U
 from lineagrid.operators import sequences as Q
 from lineagrid.operators import windows as W
@@ -240,3 +241,22 @@ def build_matrix(spark, sf):
     )
     matched = B.match(orders, builds, {"o_orderstatus": "status", "o_orderpriority": "priority"}, F.col("o_totalprice") >= F.col("b_price"))
     return B.subsample_builds(matched, ["month"], "o_orderkey", F.col("o_totalprice")).select("build", "o_orderkey")
+
+
+# -- predictors by name -------------------------------------------------------------------------------------------
+
+_MASK = "0" * 16 + "10"
+
+
+@query(f"""WITH {_PREFER}, df AS (SELECT e.node, al.site, al.aa, rt.aa AS root, pa.aa AS parent, al.p AS new, pa.p AS old FROM e JOIN lp al ON al.node = e.node JOIN lp rt ON rt.node = 1 AND rt.site = al.site JOIN lp pa ON pa.node = coalesce(e.parent, e.node) AND pa.site = al.site),
+rr AS (SELECT node, count(*) FILTER (aa <> root AND site = 17) AS ep, count(*) FILTER (aa <> root AND site <> 17) AS ne, count(*) FILTER (aa <> parent) AS mu, coalesce(sum(log2(new / old)) FILTER (aa <> parent), 0) AS dms FROM df GROUP BY 1),
+pp AS (SELECT c.node, sum(mu) AS mutations, sum(dms) AS dms, sum(abs(s_acctbal)) AS lbi FROM c JOIN rr ON rr.node = c.ancestor JOIN supplier ON s_suppkey + 1 = c.ancestor GROUP BY 1)
+SELECT node, (ep - ne)::DOUBLE AS ep_excess, ne::DOUBLE AS ne, mutations::DOUBLE AS mutations, round(pp.dms, 5) AS dms, round(lbi, 2) AS cum_lbi, round(ln(greatest((node % 11) / 100.0, 1e-6)), 6) AS log_freq FROM rr JOIN pp USING (node)""")
+def predictors_by_name(spark, sf):
+    """Six predictors, one of which needs another two, from one climb of the tree."""
+    edges, seqs, _ = _sequences(spark, sf)
+    nodes = edges.select("node", F.abs("s_acctbal").alias("lbi"), ((F.col("node") % 11) / 100.0).alias("frequency"))
+    inputs = N.Inputs(edges, seqs, nodes, _MASK, values(spark, "site int, aa string, preference double", *_PREFERENCES))
+    out = N.compute(["ep_excess", "ne", "mutations", "dms", "cum_lbi", "log_freq"], inputs)
+    whole = [F.col(c).cast("double").alias(c) for c in ("ep_excess", "ne", "mutations")]
+    return out.select("node", *whole, *R("dms", digits=5), *R("cum_lbi", digits=2), *R("log_freq", digits=6))
