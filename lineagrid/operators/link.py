@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineagrid.functions.scalars import simplify_name
@@ -45,6 +45,26 @@ def link_by_composite(meta: DataFrame, seqs: DataFrame, key: str, segments: Sequ
     return long.join(seqs.select(F.col("id").alias("_id"), "sequence"), "_id", "left").drop("_id")
 
 
+def lineage_dimension(spark: SparkSession, ha: int = 19, na: int = 11, unknown: str = "n/a") -> DataFrame:
+    """(subtype, lineage, type, subtype_name, name) for :func:`map_lineage`, of all combinations of HA and NA numbers.
+
+    The type A names follow a rule; the other rows are fixed values.
+    """
+    both = spark.range(1, ha + 1).select(F.col("id").alias("h"), F.explode(F.array(F.lit(None).cast("long"), *[F.lit(n) for n in range(1, na + 1)])).alias("n"))
+    named = both.select(F.concat(F.lit("h"), "h", F.coalesce(F.concat(F.lit("n"), "n"), F.lit(""))).alias("k")).union(spark.range(1, na + 1).select(F.concat(F.lit("n"), "id")))
+    a = named.select(F.concat(F.lit("a / "), "k").alias("subtype"), F.lit("").alias("lineage"), F.lit("a").alias("type"), F.col("k").alias("subtype_name"), F.col("k").alias("name"))
+    # Subtypes and lineages as sources write them, and their standard names.
+    fixed = [
+        ("a", "", "a", unknown, unknown),
+        ("a / h1n1", "pdm09", "a", "h1n1", "h1n1pdm"),
+        ("b", "", "b", unknown, unknown),
+        ("b", "victoria", "b", unknown, "vic"),
+        ("b", "yamagata", "b", unknown, "yam"),
+        ("c", "", "c", unknown, unknown),
+    ]
+    return a.union(spark.createDataFrame(fixed, a.schema))
+
+
 def map_lineage(df: DataFrame, subtype: str, lineage: str, note: Column, dim: DataFrame, default: str = "tbd") -> DataFrame:
     """type and subtype_lineage by (subtype, lineage) from ``dim``; an empty lineage is read from the note; default if unknown.
 

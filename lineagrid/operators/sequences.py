@@ -96,6 +96,14 @@ def pairwise_hamming(df: DataFrame, t: str, months: int, sample: str, seq: str,
     return pairs.distinct() if months else pairs
 
 
+def query_pairs(df: DataFrame, row: str, seq: str, queries: Column) -> DataFrame:
+    """(a, b, x, y): every row that ``queries`` holds for with every other row, by blocks of rows that each meet all queries."""
+    blocks = df.agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n")).scalar()
+    asked = df.where(queries).select(F.col(row).alias("a"), F.col(seq).alias("x"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"))
+    rows = df.select(F.col(row).alias("b"), F.col(seq).alias("y"), F.pmod(F.xxhash64(row), blocks).cast("int").alias("_block"))
+    return asked.join(rows, "_block").where("a <> b").drop("_block")
+
+
 def substitution_distance(pairs: DataFrame, a: str, b: str, weights: DataFrame, key: Sequence[str], default: float = 0.0) -> DataFrame:
     """Sum over differing sites of the weight of (site, from, to); a null from or to in ``weights`` fits any."""
     diff = pairs.select(*key, F.explode_outer(sequence_diff(F.col(a), F.col(b))).alias("m")).select(*key, "m.*")

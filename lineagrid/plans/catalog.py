@@ -577,9 +577,9 @@ def mutation_features(spark, sf):
 SELECT a, b, round(sum(CASE WHEN i > least(length(x), length(y)) OR substr(x, i, 1) = substr(y, i, 1) THEN 0 WHEN i = 3 AND substr(x, i, 1) = 'a' AND substr(y, i, 1) = 't' THEN 2.5 WHEN i % 2 = 0 THEN 0.5 ELSE 1.0 END), 6) AS distance FROM p, range(1, (SELECT max(length(text)) + 1 FROM benchmark)) t(i) WHERE i <= greatest(length(x), length(y)) GROUP BY a, b""")
 def substitution_distance(spark, sf):
     b = read(spark, sf, "benchmark").select("item_id", F.col("text").alias("s"))
-    queries = b.where("item_id % 100 = 0").select(F.col("item_id").alias("a"), F.col("s").alias("x"))  # a stated query set against all rows
-    pairs = b.select(F.col("item_id").alias("b"), F.col("s").alias("y")).join(queries, F.col("a") != F.col("b"))
-    weights = values(spark, "site int, `from` string, `to` string, weight double", (3, "a", "t", 2.5), *[(i, None, None, 0.5) for i in range(2, 2000, 2)])
+    pairs = Q.query_pairs(b, "item_id", "s", F.col("item_id") % 100 == 0)  # a stated query set against all rows
+    even = b.agg(F.max(F.length("s")).alias("n")).select(F.explode(F.sequence(F.lit(2), F.greatest("n", F.lit(2)), F.lit(2))).alias("site"))
+    weights = even.select("site", F.lit(None).cast("string").alias("from"), F.lit(None).cast("string").alias("to"), F.lit(0.5).alias("weight")).union(values(spark, "site int, `from` string, `to` string, weight double", (3, "a", "t", 2.5)))
     return Q.substitution_distance(pairs, "x", "y", weights, ["a", "b"], 1.0).select("a", "b", *R("distance", digits=6))
 
 
@@ -660,10 +660,9 @@ def kde_frequencies(spark, sf):
     return K.kde_frequencies(df, "user_id", "x", spark.range(0, 31, 3).withColumnRenamed("id", "pivot"), 1.0, 3.0, 0.8).select("user_id", *L("pivot"), *R("frequency", digits=6))
 
 
-@query(f"""SELECT o_orderpriority, m AS month, coalesce(n, 0)::BIGINT AS n FROM (SELECT o_orderpriority, unnest(generate_series(min(m)::TIMESTAMP, max(m)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM ({_MONTHS}) WHERE n > 30 GROUP BY 1) LEFT JOIN (SELECT * FROM ({_MONTHS}) WHERE n > 0) USING (o_orderpriority, m)""")
+@query(f"""SELECT o_orderpriority, m AS month, coalesce(n, 0)::BIGINT AS n FROM (SELECT o_orderpriority, unnest(generate_series(min(m)::TIMESTAMP, max(m)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM ({_MONTHS}) WHERE n > 0 GROUP BY 1) LEFT JOIN (SELECT * FROM ({_MONTHS}) WHERE n > 0) USING (o_orderpriority, m)""")
 def monthly_counts(spark, sf):
-    m = _months(spark, sf).where("n > 30").groupBy("o_orderpriority").agg(F.min("m").alias("a"), F.max("m").alias("z"))
-    o = read(spark, sf, "orders").select("o_orderpriority", day("o_orderdate").alias("d")).join(m, "o_orderpriority").where(F.trunc("d", "month").between(F.col("a"), F.col("z")))
+    o = read(spark, sf, "orders").select("o_orderpriority", day("o_orderdate").alias("d"))
     return K.monthly_counts(o, ["o_orderpriority"], "d")
 
 
@@ -874,10 +873,10 @@ def missing_strains(spark, sf):
     return A.missing_strains(df, ["virus", "serum"], "candidate").select(F.col("name").alias("virus"), "virus_count", "serum_count", "candidate")
 
 
-@query("""WITH r AS (SELECT l_returnflag AS region, l_linenumber AS site, l_linestatus AS wildtype, l_returnflag AS mutant, round(avg(l_tax), 6) AS weight FROM lineitem WHERE l_quantity > 30 GROUP BY ALL)
+@query("""WITH r AS (SELECT l_returnflag AS region, l_linenumber AS site, l_linestatus AS wildtype, l_returnflag AS mutant, round(avg(l_tax), 6) AS weight FROM lineitem GROUP BY ALL)
 SELECT region AS gene, CASE WHEN region = 'A' THEN site + (SELECT max(site) FROM r WHERE region <> 'A') ELSE site END::BIGINT AS site, wildtype AS "from", mutant AS "to", weight FROM r WHERE wildtype <> mutant AND weight IS NOT NULL""")
 def phenotype_to_map(spark, sf):
-    r = read(spark, sf, "lineitem").where("l_quantity > 30").groupBy(F.col("l_returnflag").alias("region"), F.col("l_linenumber").alias("site"), F.col("l_linestatus").alias("wildtype"), F.col("l_returnflag").alias("mutant")).agg(F.round(F.avg("l_tax"), 6).alias("weight"))
+    r = read(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("region"), F.col("l_linenumber").alias("site"), F.col("l_linestatus").alias("wildtype"), F.col("l_returnflag").alias("mutant")).agg(F.round(F.avg("l_tax"), 6).alias("weight"))
     return A.phenotype_to_map(r, "weight", "A").select("gene", *L("site"), "from", "to", "weight")
 
 

@@ -154,11 +154,11 @@ def name_rewrites(spark, sf):
     return _names(spark, sf).select("k", plain.alias("plain"), S.apply_rewrites(plain, S.SEASONAL_REWRITES, F.col("seasonal")).alias("rewritten"))
 
 
-@query(f"""WITH n AS ({_NAMES}) SELECT k, concat('A/', CASE WHEN place = 'Hong Kong' THEN 'HongKong' WHEN place = 'new york' THEN 'Newyork' WHEN place = 'NJ' THEN 'Nj' WHEN place = 'TEXAS' THEN 'Texas' ELSE 'Lyon' END, '/', CASE WHEN k % 97 = 0 THEN '' ELSE ltrim(num, '0') END, '/', '19', yy) AS name FROM n WHERE yy::INT >= 90""")
+@query(f"""WITH n AS ({_NAMES}) SELECT k, concat('A/', CASE WHEN place = 'Hong Kong' THEN 'HongKong' WHEN place = 'new york' THEN 'Newyork' WHEN place = 'NJ' THEN 'Nj' WHEN place = 'TEXAS' THEN 'Texas' ELSE 'Lyon' END, '/', CASE WHEN k % 97 = 0 THEN '' ELSE ltrim(num, '0') END, '/', CASE WHEN yy::INT >= 90 THEN '19' ELSE '20' END, yy) AS name FROM n""")
 def fix_names(spark, sf):
     """Whole repair of four-part names with accents, subtypes, spaces, leading zeros and places in one case."""
-    raw = F.concat(F.lit("A/"), "place", F.lit("/"), "num", F.lit("/19"), "yy", F.lit("(H3N2)"))
-    return _names(spark, sf).where("cast(yy AS int) >= 90").select("k", S.fix_name(raw, F.lit(False)).alias("name"))
+    raw = F.concat(F.lit("A/"), "place", F.lit("/"), "num", F.lit("/"), F.when(F.col("yy").cast("int") >= 90, "19").otherwise("20"), "yy", F.lit("(H3N2)"))
+    return _names(spark, sf).select("k", S.fix_name(raw, F.lit(False)).alias("name"))
 
 
 # -- projections and filters --------------------------------------------------------------------------------------
@@ -230,10 +230,10 @@ def merge_header_fields(spark, sf):
     return J.merge_header_fields(h, "o_custkey", ["c_name", "c_mktsegment"])
 
 
-@query("SELECT o_orderkey, s::BIGINT AS segment, l_shipdate::DATE AS sequence FROM orders, range(1, 4) r(s) LEFT JOIN (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS l_shipdate FROM lineitem GROUP BY ALL) ON l_orderkey = o_orderkey AND l_linenumber = s")
+@query("SELECT o_orderkey, s::BIGINT AS segment, l_shipdate::DATE AS sequence FROM orders, range(1, 8) r(s) LEFT JOIN (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS l_shipdate FROM lineitem GROUP BY ALL) ON l_orderkey = o_orderkey AND l_linenumber = s")
 def link_by_composite(spark, sf):
     seqs = read(spark, sf, "lineitem").groupBy(F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id")).agg(F.max(day("l_shipdate")).alias("sequence"))
-    return J.link_by_composite(read(spark, sf, "orders").select("o_orderkey"), seqs, "o_orderkey", [1, 2, 3]).select("o_orderkey", *L("segment"), "sequence")
+    return J.link_by_composite(read(spark, sf, "orders").select("o_orderkey"), seqs, "o_orderkey", list(range(1, 8))).select("o_orderkey", *L("segment"), "sequence")
 
 
 @query("SELECT coalesce(b.id, a.id) AS id, coalesce(b.name, a.name) AS name FROM (SELECT c_custkey AS id, c_name AS name FROM customer) a FULL JOIN (SELECT s_suppkey * 2 AS id, s_name AS name FROM supplier) b ON a.id = b.id")
@@ -278,7 +278,7 @@ FROM (SELECT CASE WHEN year(o_orderdate) >= 1998 THEN 'unknown' WHEN year(o_orde
 def order_missing(spark, sf):
     y = F.year("o_orderdate")
     counts = A.count_by(read(spark, sf, "orders").withColumn("year", F.when(y >= 1998, "unknown").when(y <= 1993, "<=1993").otherwise(y.cast("string"))), "year")
-    listed = W.order_missing(counts, "year", F.col("n"), "year").limit(100).agg(F.collect_list(F.struct("year", "n")).alias("x"))
+    listed = W.order_missing(counts, "year", F.col("n"), "year").coalesce(1).agg(F.collect_list(F.struct("year", "n")).alias("x"))
     return listed.select(F.posexplode("x").alias("place", "x")).select("x.year", "x.n", (F.col("place") + 1).cast("long").alias("place"))
 
 
@@ -607,8 +607,8 @@ def rejected_records(spark, sf):
 def node_data_round_trip(spark, sf):
     path = _folder(spark, "node-data")
     lines = IO.to_node_data(read(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("node"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")), "node")
-    # A JSON document for each bucket of nodes.
-    lines.groupBy(F.pmod(F.xxhash64("node"), F.lit(16)).alias("bucket")).agg(F.concat(F.lit('{"nodes":{'), F.array_join(F.transform(F.collect_list(F.struct("node", "json")), lambda x: F.concat(F.lit('"'), x["node"], F.lit('":'), x["json"])), ","), F.lit("}}")).alias("value")).write.mode("overwrite").partitionBy("bucket").text(path)
+    # A JSON document for each thousand nodes.
+    lines.groupBy(F.floor(F.col("node").cast("long") / 1000).alias("bucket")).agg(F.concat(F.lit('{"nodes":{'), F.array_join(F.transform(F.collect_list(F.struct("node", "json")), lambda x: F.concat(F.lit('"'), x["node"], F.lit('":'), x["json"])), ","), F.lit("}}")).alias("value")).write.mode("overwrite").partitionBy("bucket").text(path)
     return IO.read_node_data(spark, path).select("node", F.col("attributes")["name"].alias("name"), F.col("attributes")["nation"].alias("nation"))
 
 

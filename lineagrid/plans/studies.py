@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lineagrid.functions import scalars as S
 from lineagrid.operators import builds as B
 from lineagrid.operators import crossval as V
 from lineagrid.operators import fingerprints as P
 from lineagrid.operators import forecast as M
 from lineagrid.operators import frequencies as K
+from lineagrid.operators import link as J
 from lineagrid.operators import predictors as N
 from lineagrid.operators import quality as U
 from lineagrid.operators import sequences as Q
+from lineagrid.operators import trees as T
 from lineagrid.operators import windows as W
-from lineagrid.plans.catalog import _CLOSURE, _DIFF, _PANEL, R, _panel, _tree, _versions, query, read, values
+from lineagrid.plans.catalog import _CLOSURE, _DIFF, _PANEL, L, R, _panel, _tree, _versions, query, read, values
+from lineagrid.plans.records import _folder
+from lineagrid.sources import files as IO
 
 # -- cross-validation ---------------------------------------------------------------------------------------------
 
@@ -260,3 +265,122 @@ def predictors_by_name(spark, sf):
     out = N.compute(["ep_excess", "ne", "mutations", "dms", "cum_lbi", "log_freq"], inputs)
     whole = [F.col(c).cast("double").alias(c) for c in ("ep_excess", "ne", "mutations")]
     return out.select("node", *whole, *R("dms", digits=5), *R("cum_lbi", digits=2), *R("log_freq", digits=6))
+
+
+# -- files written and read back ----------------------------------------------------------------------------------
+
+
+def _documents(df, bucket, path):
+    """JSON documents (bucket, value), a file each."""
+    df.select(bucket, "value").write.mode("overwrite").partitionBy(bucket).text(path)
+    return path
+
+
+def _json_map(entries):
+    """A JSON object of an array of (key, JSON text) structs, in the order of keys."""
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(entries), lambda x: F.concat(F.to_json(F.struct(x["k"].cast("string").alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(x["k"].cast("string").alias("k")))) - 6), F.lit(":"), x["v"])), ","), F.lit("}"))
+
+
+@query("SELECT replace(c_name, '#', '-') AS item FROM customer")
+def item_list(spark, sf):
+    """A list of one item a line with comments and empty lines."""
+    path = _folder(spark, "items")
+    k, name = F.col("c_custkey") % 3, F.replace("c_name", F.lit("#"), F.lit("-"))
+    lines = F.when(k == 0, F.concat(name, F.lit("  # of old"))).when(k == 1, F.concat(F.lit(" "), name)).otherwise(name)
+    both = read(spark, sf, "customer").select(F.explode(F.array(lines, F.when(k == 2, "# nothing").otherwise(""))).alias("value"))
+    both.write.mode("overwrite").text(path)
+    return IO.read_items(spark, path)
+
+
+@query("""WITH q AS (SELECT l_suppkey, l_linenumber, sum(l_quantity) AS q FROM lineitem GROUP BY ALL), k AS (SELECT DISTINCT l_suppkey FROM lineitem)
+SELECT concat('s', k.l_suppkey) AS node, i::BIGINT AS pivot_idx, 2000 + i / 4 AS pivot, coalesce(q, 0)::DOUBLE AS frequency FROM k, range(0, 7) r(i) LEFT JOIN q ON q.l_suppkey = k.l_suppkey AND q.l_linenumber = i + 1""")
+def frequencies_round_trip(spark, sf):
+    sums = read(spark, sf, "lineitem").groupBy("l_suppkey").pivot("l_linenumber", list(range(1, 8))).agg(F.sum("l_quantity")).fillna(0)
+    values_ = F.to_json(F.struct(F.array(*[F.col(str(i)).cast("double") for i in range(1, 8)]).alias("frequencies")))
+    entry = F.struct(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("k"), values_.alias("v"))
+    pivots = F.struct(F.lit("pivots").alias("k"), F.lit("[" + ",".join(str(2000 + i / 4) for i in range(7)) + "]").alias("v"))
+    docs = sums.groupBy(F.floor(F.col("l_suppkey") / 1000).alias("bucket")).agg(_json_map(F.concat(F.array(pivots), F.collect_list(entry))).alias("value"))
+    return IO.read_frequencies(spark, _documents(docs, "bucket", _folder(spark, "frequencies"))).select("node", *L("pivot_idx"), "pivot", "frequency")
+
+
+@query("SELECT l_suppkey::VARCHAR AS reference, l_linenumber::VARCHAR AS test, l_returnflag AS serum, round(avg(l_tax), 4) AS log2, sum(l_quantity)::DOUBLE AS raw FROM lineitem GROUP BY ALL")
+def titer_model_round_trip(spark, sf):
+    t = read(spark, sf, "lineitem").groupBy("l_suppkey", "l_linenumber", "l_returnflag").agg(F.to_json(F.array(F.round(F.avg("l_tax"), 4), F.sum("l_quantity").cast("double"))).alias("v"))
+    sera = t.groupBy("l_suppkey", F.col("l_linenumber").alias("k")).agg(_json_map(F.collect_list(F.struct(F.col("l_returnflag").alias("k"), "v"))).alias("v"))
+    tests = sera.groupBy(F.col("l_suppkey").alias("k")).agg(_json_map(F.collect_list(F.struct("k", "v"))).alias("v"))
+    docs = tests.groupBy(F.floor(F.col("k") / 1000).alias("bucket")).agg(F.concat(F.lit('{"titers":'), _json_map(F.collect_list(F.struct("k", "v"))), F.lit("}")).alias("value"))
+    return IO.read_titer_model(spark, _documents(docs, "bucket", _folder(spark, "titers"))).select("reference", "test", "serum", "log2", "raw")
+
+
+@query("""SELECT 'freq' AS site, 'median' AS ps, o_orderpriority AS location, o_orderstatus AS variant, strftime(o_orderdate::DATE, '%Y-%m-01') AS date, count(*)::DOUBLE AS value FROM orders GROUP BY ALL""")
+def model_results_round_trip(spark, sf):
+    o = read(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("location"), F.col("o_orderstatus").alias("variant"), F.date_format(F.trunc(F.to_date("o_orderdate"), "month"), "yyyy-MM-dd").alias("date")).agg(F.count("*").cast("double").alias("value"))
+    row = F.struct(F.lit("freq").alias("site"), F.lit("median").alias("ps"), "location", "variant", "date", "value")
+    docs = o.groupBy(F.col("location").alias("bucket")).agg(F.to_json(F.struct(F.collect_list(row).alias("data"))).alias("value"))
+    return IO.read_model_results(spark, _documents(docs, "bucket", _folder(spark, "model-results"))).select("site", "ps", "location", "variant", "date", "value")
+
+
+@query("""SELECT p_brand AS map, p_type AS gene, p_size::BIGINT AS site, CASE WHEN p_size % 2 = 1 THEN 'A' END AS "from", CASE WHEN p_size % 2 = 1 THEN c END AS "to", round(CASE WHEN c = 'C' THEN avg(p_retailprice) ELSE 1 END, 2) AS weight
+FROM part, (VALUES ('C'), ('T')) v(c) WHERE c = 'C' OR p_size % 2 = 1 GROUP BY p_brand, p_type, p_size, c""")
+def distance_map_round_trip(spark, sf):
+    """Maps of both forms: a weight a site, and a weight a substitution."""
+    p = read(spark, sf, "part").groupBy("p_brand", "p_type", "p_size").agg(F.round(F.avg("p_retailprice"), 2).alias("w"))
+    change = lambda to, w: F.struct(F.lit("A").alias("from"), F.lit(to).alias("to"), w.alias("weight"))
+    v = F.when(F.col("p_size") % 2 == 1, F.to_json(F.array(change("C", F.col("w")), change("T", F.lit(1.0))))).otherwise(F.col("w").cast("string"))
+    genes = p.groupBy("p_brand", F.col("p_type").alias("k")).agg(_json_map(F.collect_list(F.struct(F.col("p_size").alias("k"), v.alias("v")))).alias("v"))
+    docs = genes.groupBy("p_brand").agg(F.concat(F.lit('{"name":"'), F.first("p_brand"), F.lit('","default":0,"map":'), _json_map(F.collect_list(F.struct("k", "v"))), F.lit("}")).alias("value")).withColumn("bucket", F.xxhash64("p_brand"))
+    return IO.read_distance_map(spark, _documents(docs, "bucket", _folder(spark, "distance-maps"))).select("map", "gene", *L("site"), "from", "to", "weight")
+
+
+@query("""WITH t AS (SELECT s_nationkey AS n, s_suppkey // 1000 AS b, s_suppkey AS k, row_number() OVER (PARTITION BY s_nationkey, s_suppkey // 1000 ORDER BY s_suppkey) AS i FROM supplier)
+SELECT concat('s', k) AS node, concat('n', n, '_', b) AS parent, true AS is_terminal, i::BIGINT AS preorder FROM t UNION ALL SELECT DISTINCT concat('n', n, '_', b), NULL, false, 0::BIGINT FROM t""")
+def trees_round_trip(spark, sf):
+    """A tree of suppliers for each nation and thousand keys, a file each, read in parallel."""
+    s = read(spark, sf, "supplier").withColumn("b", F.floor(F.col("s_suppkey") / 1000))
+    tips = F.array_join(F.transform(F.array_sort(F.collect_list("s_suppkey")), lambda k: F.concat(F.lit("s"), k.cast("string"), F.lit(":0.5"))), ",")
+    root = F.concat(F.lit("n"), F.col("s_nationkey").cast("string"), F.lit("_"), F.col("b").cast("string"))
+    docs = s.groupBy("s_nationkey", "b").agg(tips.alias("tips")).select(root.alias("bucket"), F.concat(F.lit("("), "tips", F.lit(")"), root, F.lit(":0;")).alias("value"))
+    return IO.read_trees(spark, _documents(docs, "bucket", _folder(spark, "trees")) + "/*").select("node", "parent", "is_terminal", *L("preorder"))
+
+
+@query(f"""WITH {_CLOSURE}, t AS (SELECT node FROM e WHERE node NOT IN (SELECT parent FROM e WHERE parent IS NOT NULL)), k AS (SELECT DISTINCT ancestor AS node FROM c WHERE node IN (SELECT node FROM t WHERE node % 3 <> 0))
+SELECT tree, node FROM k, (VALUES ('whole'), ('thinned')) v(tree)""")
+def prune_to_common(spark, sf):
+    """A tree and one that lacks a third of the tips, both cut down to the tips of both."""
+    whole = _tree(spark, sf)
+    thinned = whole.where("not is_terminal or node % 3 <> 0")
+    x, y = T.prune_to_common([(e, T.closure(e)) for e in (whole, thinned)])
+    return x.select(F.lit("whole").alias("tree"), "node").union(y.select(F.lit("thinned").alias("tree"), "node"))
+
+
+# -- reports and tables that other operators lean on --------------------------------------------------------------
+
+
+@query("SELECT c_custkey, 'c_mktsegment' AS field, c_mktsegment AS value FROM customer WHERE c_custkey % 10 = 0 AND c_custkey % 20 = 0")
+def unnecessary_annotations(spark, sf):
+    """Overrides that repeat what the record says."""
+    df = read(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    notes = df.where("c_custkey % 10 = 0").select("c_custkey", F.lit("c_mktsegment").alias("field"), F.when(F.col("c_custkey") % 20 == 0, F.col("c_mktsegment")).otherwise("FIXED").alias("value"))
+    return J.unnecessary_annotations(df, notes, "c_custkey").select("c_custkey", "field", "value")
+
+
+@query("SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) WHERE r > 1")
+def dropped_duplicates(spark, sf):
+    return W.dropped_duplicates(read(spark, sf, "events"), "user_id", "event_id", ["ts", "event_id"]).select("event_id", "user_id")
+
+
+@query("SELECT o_orderkey, o_orderdate::DATE AS d FROM orders")
+def decimal_years(spark, sf):
+    """Dates to decimal years and back."""
+    return read(spark, sf, "orders").select("o_orderkey", S.from_decimal_year(S.to_decimal_year(F.to_date("o_orderdate"))).alias("d"))
+
+
+@query("""WITH k AS (SELECT c_custkey, c_custkey % 24 AS h, c_custkey // 24 % 14 AS n FROM customer)
+SELECT c_custkey, CASE WHEN h = 20 THEN 'b' WHEN h > 20 OR (h = 0 AND n = 0) OR n > 11 THEN 'tbd' ELSE 'a' END AS type, CASE WHEN h = 20 THEN CASE WHEN n % 2 = 0 THEN 'vic' ELSE 'n/a' END WHEN h > 20 OR (h = 0 AND n = 0) OR n > 11 THEN 'tbd' WHEN h = 1 AND n = 1 THEN 'h1n1pdm' ELSE concat(CASE WHEN h > 0 THEN concat('h', h) ELSE '' END, CASE WHEN n > 0 THEN concat('n', n) ELSE '' END) END AS standard_lineage FROM k""")
+def lineage_dimension(spark, sf):
+    """Lineages by the generated table of subtypes, with those it doesn't know."""
+    h, n = F.col("c_custkey") % 24, F.floor(F.col("c_custkey") / 24) % 14
+    subtype = F.when(h == 20, "B").otherwise(F.concat(F.lit("A / "), F.when(h > 0, F.concat(F.lit("H"), h.cast("string"))).otherwise(""), F.when(n > 0, F.concat(F.lit("N"), n.cast("string"))).otherwise("")))
+    lineage = F.when((h == 20) & (n % 2 == 0), "Victoria").when((h == 1) & (n == 1), "pdm09").otherwise("")
+    df = read(spark, sf, "customer").select("c_custkey", subtype.alias("s"), lineage.alias("l"))
+    return J.map_lineage(df, "s", "l", F.lit(""), J.lineage_dimension(spark)).select("c_custkey", "type", "standard_lineage")
