@@ -233,7 +233,9 @@ def fix_name(col: Column, seasonal: Column, part_fixes: Column | None = None) ->
     name = F.when(seasonal, name).otherwise(F.replace(name, F.lit("_"), F.lit("")))
     if part_fixes is not None:
         name = fix_name_parts(name, part_fixes)
-    name = F.when(name.rlike(r"^[ab|][\w\s\-/]+"), F.concat(F.upper(F.substring(name, 1, 1)), F.substring(name, 2, 1_000_000))).otherwise(name)
+    # A name in lower case ends where its letters, digits, spaces, dashes and slashes do.
+    lower = r"^[ab|]([\w\s\-/]+)"
+    name = F.when(name.rlike(lower), F.concat(F.upper(F.substring(name, 1, 1)), F.regexp_extract(name, lower, 1))).otherwise(name)
     name = F.regexp_replace(name, r"^([^(]+)[^)]+\)(.+)$", "$1$2")
     name = F.regexp_replace(name, r"^([^(]+)[^)]+\)$", "$1")
     name = apply_rewrites(name, SEASONAL_REWRITES, seasonal)

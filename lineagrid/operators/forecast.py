@@ -35,9 +35,9 @@ def fitness(df: DataFrame, beta: Mapping[str, float | Column], name: str = "fitn
 
 
 def project(df: DataFrame, frequency: str, fit: str, dt: float | Column, keys: Sequence[str], name: str = "projected", cap: float = 1000.0) -> DataFrame:
-    """Frequencies times exp(fitness dt), growth capped where infinite, over the sum per group of keys."""
-    growth = F.exp(F.col(fit) * dt)
-    grown = df.withColumn("_g", F.col(frequency) * F.when(growth == float("inf"), F.lit(cap)).otherwise(growth))
+    """Frequencies times exp(fitness dt), ``cap`` where that is infinite, over the sum per group of keys."""
+    ahead = F.col(frequency) * F.exp(F.col(fit) * dt)
+    grown = df.withColumn("_g", F.when(ahead == float("inf"), F.lit(cap)).otherwise(ahead))
     totals = grown.groupBy(*keys).agg(F.sum("_g").alias("_t"))
     return grown.join(totals, list(keys)).withColumn(name, F.try_divide("_g", "_t")).drop("_g", "_t")
 
@@ -140,15 +140,16 @@ def scores_by_timepoint(df: DataFrame, t: str, names: str, values: str) -> DataF
 def search_coefficients(df: DataFrame, candidates: DataFrame, predictors: Sequence[str], t: str, clade: str, frequency: str, observed: DataFrame, dt: float, name: str = "mae", l1: float = 0.0) -> DataFrame:
     """(candidate, loss), every candidate's coefficients scored in one job, the L1 norm added.
 
-    ``candidates`` (candidate, one column a predictor) is a small table.  Standardised rows are taken once a candidate.
+    ``candidates`` (candidate, one column a predictor) meet standardised rows by timepoint, of which they are given each.
     """
     ready = standardise(df, predictors, frequency, t)
     beta = candidates.select("candidate", *[F.col(p).alias(f"_b_{p}") for p in predictors])
-    tried = fitness(ready.join(F.broadcast(beta)), {p: F.col(f"_b_{p}") for p in predictors})
+    every = beta.withColumn(t, F.explode(df.agg(F.collect_set(t)).scalar()))
+    tried = fitness(ready.join(every, t), {p: F.col(f"_b_{p}") for p in predictors})
     projected = project(tried, frequency, "fitness", dt, ["candidate", t]).groupBy("candidate", t, clade).agg(F.sum(frequency).alias("initial"), F.sum("projected").alias("estimated"))
     scored = loss(align_observed(projected, observed, [t, clade]), name, "observed", "estimated", "initial", ["candidate"])
     norm = reduce(lambda a, b: a + b, [F.abs(f"_b_{p}") for p in predictors])
-    return scored.join(F.broadcast(beta), "candidate").select("candidate", (F.col("loss") + l1 * norm).alias("loss"))
+    return scored.join(beta, "candidate").select("candidate", (F.col("loss") + l1 * norm).alias("loss"))
 
 
 def best_candidate(scored: DataFrame) -> DataFrame:

@@ -260,7 +260,10 @@ def distance_to_future(references: DataFrame, tips: DataFrame, forecasts: DataFr
     """
     distinct = tips.select("region", "haplotype", seq).groupBy("region", "haplotype", seq).agg(F.count("*").alias("_n"))
     seqs = distinct.select(F.col(seq).alias("_s")).distinct()
-    pairs = references.select(F.col(ref).alias("_ref"), F.col(seq).alias("_r")).join(F.broadcast(seqs) if _small(seqs, 10_000) else seqs)
+    # Blocks of sequences each meet all references, one equality join.
+    blocks = seqs.agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n")).scalar()
+    asked = references.select(F.col(ref).alias("_ref"), F.col(seq).alias("_r"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"))
+    pairs = asked.join(seqs.withColumn("_block", F.pmod(F.xxhash64("_s"), blocks).cast("int")), "_block")
     scored = substitution_distance(pairs, "_r", "_s", weights, ["_ref", "_s"], 0.0)
     mean = distinct.join(scored, distinct[seq] == scored["_s"]).groupBy("_ref", "region", "haplotype").agg((F.sum(F.col("distance") * F.col("_n")) / F.sum("_n")).alias("d"))
     regions = forecasts.agg(F.count_distinct("region")).scalar()

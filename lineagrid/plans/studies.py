@@ -75,11 +75,12 @@ def cross_validation(spark, sf):
     return V.cross_validate(panel, candidates, splits, l1=0.1).select("validate", "candidate", "training_n", "validation_n", *R(*_ERRORS, digits=6))
 
 
-@query(f"""{_BEST} SELECT validate, round(avg(CASE WHEN validation_error < null_validation_error THEN 1.0 ELSE 0.0 END) OVER (ORDER BY validate), 6) AS beats_naive FROM cv""")
+@query(f"""{_BEST} SELECT validate, round(avg(CASE WHEN round(validation_error, 9) < round(null_validation_error, 9) THEN 1.0 ELSE 0.0 END) OVER (ORDER BY validate), 6) AS beats_naive FROM cv""")
 def running_best(spark, sf):
     """The share of splits so far in which the fitted model beats the one without growth."""
     panel, candidates, splits = _folds(spark, sf)
-    cv = V.cross_validate(panel, candidates, splits, l1=0.1)
+    # A model of no growth and the naive one differ by the order of their sums.
+    cv = V.cross_validate(panel, candidates, splits, l1=0.1).select("validate", *R("validation_error", "null_validation_error", digits=9))
     return W.beats_naive(cv, [], "validate", "validation_error", "null_validation_error").select("validate", *R("beats_naive", digits=6))
 
 

@@ -61,3 +61,10 @@ def test_bins(spark):
     f = S.bin_days(F.col("d"), F.to_date(F.lit("2024-01-11")), [0, 1, 10], ["new", "old"])
     days = [datetime.date(2024, 1, x) for x in (11, 10, 9, 1)] + [datetime.date(2023, 12, 31)]
     assert values(spark, f, [(d,) for d in days], "d date") == ["new", "new", "old", "old", "undefined"]
+
+
+def test_names_in_lower_case_end_with_their_letters(spark):
+    rows = [("b/sydney/508/2008*x", "B/sydney/508/2008"), ("a/lyon/1/2001", "A/lyon/1/2001"), ("B/Sydney/508/2008*x", "B/Sydney/508/2008*x")]
+    df = spark.createDataFrame(rows, "raw string, want string")
+    got = df.select("want", S.fix_name(F.col("raw"), F.lit(False)).alias("got")).collect()
+    assert [r.got.lower() for r in got] == [r.want.lower() for r in got] and [r.got[0] for r in got] == ["B", "A", "B"]
