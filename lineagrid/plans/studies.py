@@ -344,6 +344,23 @@ def trees_round_trip(spark, sf):
     return IO.read_trees(spark, _documents(docs, "bucket", _folder(spark, "trees")) + "/*").select("node", "parent", "is_terminal", *L("preorder"))
 
 
+@query("""WITH t AS (SELECT s_nationkey AS n, s_suppkey AS k, row_number() OVER (ORDER BY s_nationkey, s_suppkey) AS i, dense_rank() OVER (ORDER BY s_nationkey) AS g FROM supplier)
+SELECT concat('s', k) AS node, concat('n', n) AS parent, true AS is_terminal, (i + g)::BIGINT AS preorder FROM t
+UNION ALL SELECT DISTINCT concat('n', n), 'root', false, min(i + g - 1) OVER (PARTITION BY n)::BIGINT FROM t UNION ALL SELECT 'root', NULL, false, 0
+UNION ALL SELECT 'last', 'root', true, (SELECT count(*) + count(DISTINCT n) + 1 FROM t)::BIGINT""")
+def tree_by_ranges(spark, sf):
+    """One tree of all suppliers below their nations, in one file, read by byte ranges."""
+    s = read(spark, sf, "supplier").select(F.col("s_nationkey").alias("n"), F.col("s_suppkey").alias("k"))
+    ends = s.groupBy("n").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    opening = F.concat(F.when(F.col("n") == s.agg(F.min("n")).scalar(), "((").otherwise("("), F.lit("s"), F.col("k").cast("string"))
+    name = F.when(F.col("k") == F.col("lo"), opening).otherwise(F.concat(F.lit("s"), F.col("k").cast("string")))
+    line = F.concat(name, F.when(F.col("k") == F.col("hi"), F.concat(F.lit(":1)n"), F.col("n").cast("string"), F.lit(":0.5,"))).otherwise(","))
+    lines = s.join(ends, "n").select("n", "k", line.alias("value")).union(spark.sql("SELECT cast(9e15 as long), 0L, 'last)root;'"))
+    path = _folder(spark, "tree")
+    lines.orderBy("n", "k").select("value").coalesce(1).write.mode("overwrite").text(path)
+    return IO.read_tree(spark, path).select("node", "parent", "is_terminal", "preorder")
+
+
 @query(f"""WITH {_CLOSURE}, t AS (SELECT node FROM e WHERE node NOT IN (SELECT parent FROM e WHERE parent IS NOT NULL)), k AS (SELECT DISTINCT ancestor AS node FROM c WHERE node IN (SELECT node FROM t WHERE node % 3 <> 0))
 SELECT tree, node FROM k, (VALUES ('whole'), ('thinned')) v(tree)""")
 def prune_to_common(spark, sf):

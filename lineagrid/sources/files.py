@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -145,6 +145,43 @@ def read_trees(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return files.mapInPandas(edges, "tree_id string, node string, parent string, is_terminal boolean, preorder long")
 
 
+def read_tree(spark: SparkSession, path: str) -> DataFrame:
+    """(node, parent, is_terminal, preorder) of one Newick file of any size, read by byte ranges in many tasks.
+
+    For names and comments without commas and brackets; :func:`read_trees` takes any.  The text is cut at commas.  A piece
+    opens groups, names a tip and closes groups, so running sums over pieces give depths and preorder: within a byte
+    range, plus what the ranges before it sum to.  The group that a node lies in, and the one that a closing bracket
+    names, is the last opened at the depth above; it is looked up among the rows of that depth.
+    """
+    raw = spark.read.option("lineSep", ",").text(path).select("value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    text = F.regexp_replace("value", r"\[[^\]]*\]|[\r\n\t]|;\s*$", "")
+    opens = F.length(F.replace(F.regexp_extract(text, r"^[ (]*", 0), F.lit(" "), F.lit("")))
+    labels = F.transform(F.split(F.regexp_replace(text, r"^[ (]*", ""), r"\)"), lambda x: F.trim(F.replace(F.split_part(x, F.lit(":"), F.lit(1)), F.lit("'"), F.lit(""))))
+    pieces = checkpointed(raw.select("block", "id", opens.alias("o"), labels.alias("labels")).withColumn("c", F.size("labels") - 1))
+    ranges = pieces.groupBy("block").agg(F.sum(F.col("o") - F.col("c")).alias("rise"), F.sum(F.col("o") + 1).alias("nodes"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row a byte range
+    offsets = ranges.select("block", F.coalesce(F.sum("rise").over(before), F.lit(0)).alias("d0"), F.coalesce(F.sum("nodes").over(before), F.lit(0)).alias("p0"))
+    own = Window.partitionBy("block").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumns({"d": F.coalesce(F.sum(F.col("o") - F.col("c")).over(own), F.lit(0)), "p": F.coalesce(F.sum(F.col("o") + 1).over(own), F.lit(0))})
+    placed = placed.join(offsets, "block").select("o", "c", "labels", (F.col("d") + F.col("d0")).alias("d"), (F.col("p") + F.col("p0")).alias("p"))
+    # Rows by the depth of the group they ask for: groups opened there, then what lies in them, then their closing names.
+    group = lambda i: F.struct((F.col("d") + i).alias("depth"), (F.col("p") + i).alias("pre"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("name"))
+    inner = F.transform(F.sequence(F.lit(1), F.col("o")), lambda i: F.struct((F.col("d") + i - 2).alias("depth"), (F.col("p") + i - 1).alias("pre"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("name")))
+    opened = F.transform(F.sequence(F.lit(1), F.col("o")), lambda i: group(i - 1))
+    tip = F.struct((F.col("d") + F.col("o") - 1).alias("depth"), (F.col("p") + F.col("o")).alias("pre"), F.lit(2).alias("kind"), F.get("labels", F.lit(0)).alias("name"))
+    closed = F.transform(F.sequence(F.lit(1), F.col("c")), lambda m: F.struct((F.col("d") + F.col("o") - m).alias("depth"), (F.col("p") + F.col("o")).alias("pre"), F.lit(3).alias("kind"), F.get("labels", m).alias("name")))
+    none = F.slice(F.array(tip), F.lit(1), F.lit(0))
+    rows = placed.select(F.explode(F.concat(F.when(F.col("o") > 0, F.concat(opened, inner)).otherwise(none), F.array(tip), F.when(F.col("c") > 0, closed).otherwise(none))).alias("x")).select("x.*")
+    # A group opened at a place is known to what lies deeper at the same place, not to itself.
+    order = Window.partitionBy("depth").orderBy("pre", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumn("up", F.last(F.when(F.col("kind") == 0, F.col("pre")), ignorenulls=True).over(order))
+    names = found.where("kind = 3").select(F.col("up").alias("pre"), "name")
+    nodes = found.where("kind in (1, 2)").select("pre", "up", (F.col("kind") == 2).alias("is_terminal"), F.col("name").alias("tip"))
+    named = nodes.join(names, "pre", "left").select("pre", "up", "is_terminal", F.coalesce(F.nullif(F.coalesce("tip", "name"), F.lit("")), F.format_string("NODE_%07d", F.col("pre"))).alias("node"))
+    named = checkpointed(named)
+    return named.join(named.select(F.col("pre").alias("up"), F.col("node").alias("parent")), "up", "left").select("node", "parent", "is_terminal", F.col("pre").cast("long").alias("preorder"))
+
+
 def write_fasta(df: DataFrame, folder: str, key: str = "id", seq: str = "seq", partition: str = "segment") -> None:
     df.select(partition, F.concat(F.lit(">"), F.col(key), F.lit("\n"), F.col(seq)).alias("value")).write.mode("overwrite").partitionBy(partition).text(folder)
 
