@@ -1017,4 +1017,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 # Registers more queries; at the end, since it uses what this module defines.
-from lineagrid.plans import records, studies  # noqa: E402, F401
+from lineagrid.plans import flows, records, studies  # noqa: E402, F401
