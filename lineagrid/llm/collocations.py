@@ -27,7 +27,7 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 WORD_ENDS = b" \t"
 
 #: Words of a task that are sorted together.
-WINDOW_WORDS = 1 << 20
+WINDOW_WORDS = 1 << 19
 #: Partitions up to this size are sorted at once.
 LEAF = 1 << 13
 #: The table of phrases that are frequent enough has 2**BITS bits (8 MB) at any size of the corpus.
