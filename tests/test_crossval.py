@@ -91,3 +91,9 @@ def test_edges(spark, panel):
     # Nothing observed: all clades died.
     gone = V.Panel(df, observed.limit(0), ["x", "y"], "t", "clade", "f", 1.0)
     assert abs(V.score_model(gone, BETA).first().error - 0.25) < 1e-12
+
+
+def test_infinite_growth_counts_as_the_cap(spark):
+    df = spark.createDataFrame([(1, 0.25, 1e6), (1, 0.25, 0.0), (1, 0.5, 0.0)], "t int, f double, fit double")
+    got = sorted(r.projected for r in M.project(df, "f", "fit", 1.0, ["t"]).collect())
+    assert got == pytest.approx([0.25 / 1000.75, 0.5 / 1000.75, 1000 / 1000.75])
