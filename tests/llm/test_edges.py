@@ -145,6 +145,31 @@ def test_html_layouts(opening):
     assert html_text.main_text(page) == "\n".join(["Title here", *[f"Sentence {i} of the article, which has enough words to be text." for i in range(5)]])
 
 
+LINE = "<p>The river rose by two metres overnight, and the lower town was cleared before dawn.</p>"
+POSTS = "".join(f'<div class="entry"><span class="author">Reader {i}</span><p>I think that this is a long remark, number {i}, about rivers and towns.</p></div>' for i in range(9))
+LAYOUTS = {
+    "form around the page": (f"<body><form><nav><a>Home</a></nav><h1>Title</h1>{LINE * 3}</form></body>", "Title", 3),
+    "role of a form": (f"<body><div role=form><h1>Title</h1>{LINE * 3}</div></body>", "Title", 3),
+    "named search": (f"<body><div>Home News</div><div id=search><h1>Title</h1>{LINE * 3}</div></body>", "Title", 3),
+    "named social inside the article": (f"<body><article><h1>Title</h1><section class=social>{LINE * 3}</section></article></body>", "Title", 3),
+    "heading with an anchor": (f"<body><article><h1>Title</h1>{LINE * 3}<h2 id=related-work>Related</h2></article></body>", "Title", 3),
+    "named header inside the article": (f"<body><article><div class=header><h1>Title</h1></div>{LINE * 3}</article></body>", "Title", 3),
+    "posts without a telling name": (f"<body><article><h1>Title</h1>{LINE * 2}</article><div id=discussion>{POSTS}</div></body>", "Title", 2),
+    "posts inside the article": (f"<body><article><h1>Title</h1>{LINE * 2}<div id=discussion>{POSTS}</div></article></body>", "Title", 2),
+    "sidebar longer than the article": (f"<body><div class=content><h1>Title</h1>{LINE}</div><div class=sidebar>{LINE * 4}</div></body>", "Title", 1),
+    "small form beside the article": (f"<body><article><h1>Title</h1>{LINE * 2}</article><form>Your name <p>and your remarks</p></form></body>", "Title", 2),
+    "long form beside the article": (f"<body><article><h1>Title</h1>{LINE}</article><form>{LINE * 4}</form></body>", "Title", 1),
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_html_wrappers_and_posts(layout):
+    page, title, n = LAYOUTS[layout]
+    lines = html_text.main_text(page).split("\n")
+    assert lines[0].startswith(title) and [x for x in lines if x in LINE] == [LINE[3:-4]] * n
+    assert "remark" not in " ".join(lines) and "Home" not in " ".join(lines)
+
+
 def test_html_heading_and_quotes():
     page = '<body><article><header class="entry-header"><h1>Head</h1></header><p>One <a href="x>two</a> three four five.</p><p title="a < b > c">Six</p></article></body>'
     assert html_text.main_text(page) == "Head\nOne two three four five.\nSix"
