@@ -1,9 +1,11 @@
 """Toxicity by a noisy channel: restore disguised words with a character language model, then score restored text.
 
 1. A character trigram model is counted over all documents (one vectorised pass, counts summed by Spark).
-2. Tokens that may be disguised (digits or signs inside, doubled letters, letters spaced out) become character
-   lattices; Viterbi decoding under the trigram model picks the reading.  A token of plain letters has a lattice of one
-   path and stands for itself.
+2. Tokens that may be disguised (a letter with digits or signs that stand for letters, doubled letters, letters spaced
+   out, letters of other scripts or with marks) become character lattices; Viterbi decoding under the trigram model picks
+   the reading.  A token of plain letters has a lattice of one path and stands for itself.  Where a token is pieces of
+   letters with separators between, or words that follow each other make up a word with a weight, the lattice is only
+   whether each gap is nothing or a space, and the model decides between the word and its pieces.
 3. Words and word beginnings of the restored texts of labelled documents get log-odds weights, kept where the evidence
    is strong; a document's score is a logistic function of the sum of its distinct features' weights.
 """
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +29,11 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
+#: Fixed letters of other scripts that look like Latin ones.
+ALIKE = {
+    "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "һ": "h",
+    "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i",
+}
 #: Letters of the model: class 0 is the space between words, 1 anything else that isn't a letter listed here.
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêçàâîôûáíóúñ"
 SIZE = 64
@@ -38,9 +46,14 @@ for _c, _i in CODE.items():
     if len(_c.upper()) == 1:
         _TABLE[ord(_c.upper())] = _i
 
-#: Costs in nats of the channel's edits.
-SUBSTITUTE, SQUEEZE, DROP = 0.7, 0.5, 2.5
+#: Costs in nats of the channel's edits: a sign read as a letter, a repetition left out, a separator left out, and
+#: anything left out that could be read as a letter.
+SUBSTITUTE, SQUEEZE, DROP, LOSE = 0.7, 0.5, 2.5, 12.0
+#: Cost in nats of a white space inside a word; other separators read as a space cost as much as read as nothing.
+GAP = 0.5
 PREFIXES = (4, 5, 6)
+#: Letters of the longest word that is put together from pieces; insults are shorter.
+LONGEST = 40
 
 
 def trigram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,9 +98,22 @@ _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(€£])(?:\s+(?:[^\W_]|[@$!|+(€
 _SEPARATED = re.compile(r"[^\W_](?:[.\-_*~]+[^\W_]){2,}")
 _BETWEEN = re.compile(r"[\s.\-_*~]")
 _RUN = re.compile(r"([^\W\d_])\1", re.I)
-_INSIDE = re.compile(r"[^\W\d_][\d@$!|+(€£]+[^\W\d_]|^[\d@$!|+(€£]+[^\W\d_]|[^\W\d_][013457@$|]$")
+_LATIN = re.compile(r"[a-z]", re.I)
+_SIGN = re.compile(r"[\d@$!|+(€£]")
 _WORDISH = re.compile(r"[^\W\d_]+")
-_EDGE = re.compile(r"^[.,;:?\"'*#%&\-_()\[\]]+|(?:[.,;:?\"'*#%&\-_()\[\]!]|([$@|+])\1+)+$")
+_EDGE = re.compile(r"^[.,;:?\"'*#%&\-_()\[\]]+|(?:[.,;:?\"'*#%&\-_()\[\]!]|([|+])\1+)+$")
+
+
+def plain(ch: str) -> str:
+    """The Latin letter under a letter's marks that the model doesn't know as it is; none if there is none."""
+    base = "" if ch.isascii() or ch in CODE else unicodedata.normalize("NFD", ch)[0]
+    return base if base in CODE else ""
+
+
+def cost(text: str, lm: np.ndarray) -> float:
+    """What the model charges for a text of words, spaces around it included."""
+    codes = [0, 0, *(0 if c == " " else CODE.get(c, 1) for c in text), 0]
+    return -sum(float(lm[a, b, c]) for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
 
 
 def decode(token: str, lm: np.ndarray, several: bool = False) -> str:
@@ -102,8 +128,8 @@ def decode(token: str, lm: np.ndarray, several: bool = False) -> str:
     before = ""
     for ch in token.lower():
         options = [(ch, 0.0)] if ch in CODE else []
-        options += [(c, SUBSTITUTE) for c in LEET.get(ch, "")]
-        skip = SQUEEZE if ch == before else DROP if ch not in CODE else None
+        options += [(c, SUBSTITUTE) for c in LEET.get(ch, "") or ALIKE.get(ch, "") or plain(ch)]
+        skip = SQUEEZE if ch == before else None if ch in CODE else LOSE if options else DROP
         if not options and skip is None:
             options = [("", DROP)]
         following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
@@ -137,17 +163,54 @@ class Restorer:
 
     def token(self, token: str) -> list[str]:
         """The words that a token without white space reads as."""
+        if not token.isascii():
+            token = "".join(c for c in unicodedata.normalize("NFKC", token) if unicodedata.category(c) not in ("Cf", "Mn"))
         core = _EDGE.sub("", token)
         if core.isalpha() and not _RUN.search(core):
-            return [core.lower()]
+            return [core.lower(), *self.unmarked(core.lower())]
         if _SEPARATED.fullmatch(core):
             return self.run(core)
-        if 2 * sum(map(str.isalnum, core)) < len(core):
-            return _WORDISH.findall(core.lower())
-        letters = sum(map(str.isalpha, core))
-        if _RUN.search(core) or (_INSIDE.search(core) and letters > 1 and 3 * letters >= len(core)):
-            return [decode(core, self.lm), *_WORDISH.findall(core.lower())]
-        return _WORDISH.findall(core.lower())
+        words = _WORDISH.findall(core.lower())
+        if not words or 2 * sum(c.isalnum() or c in LEET for c in core) < len(core):
+            return words
+        if _RUN.search(core) or _SIGN.search(core):
+            return [decode(core, self.lm), *words]
+        return [*words, *self.joined(words, 0.0)]
+
+    def unmarked(self, word: str) -> list[str]:
+        """A word of Latin letters and others that look like them as it reads in Latin ones, if it has such others."""
+        if word.isascii() or not _LATIN.search(word) or all(c in CODE for c in word):
+            return []
+        return [decode(word, self.lm)]
+
+    def joined(self, pieces: list[str], gap: float) -> list[str]:
+        """Pieces as one word, if the model finds it likelier than the pieces as words, when a gap costs so much."""
+        whole = "".join(pieces)
+        if len(pieces) < 2 or len(whole) > LONGEST or cost(whole, self.lm) + gap * (len(pieces) - 1) > cost(" ".join(pieces), self.lm):
+            return []
+        return [whole]
+
+    def across(self, tokens: list[str], starts: dict[str, str], heavy: dict[str, float], beginnings: set[str]) -> list[str]:
+        """Words of ``heavy`` that tokens in a row make up.
+
+        ``starts`` has the tokens that a word of heavy begins with, ``beginnings`` all beginnings of such words.
+        """
+        found: list[str] = []
+        for i, token in enumerate(tokens):
+            if (whole := starts.get(token)) is None:
+                continue
+            pieces = [whole]
+            for after in tokens[i + 1 : i + LONGEST]:
+                piece = _EDGE.sub("", after).lower()
+                whole += piece
+                pieces.append(piece)
+                if not piece or whole not in beginnings:
+                    break
+                if whole in heavy:
+                    found += self.joined(pieces, GAP)
+                if not after[-1:].isalpha():
+                    break
+        return found
 
     def run(self, run: str) -> list[str]:
         """The words that letters set apart read as: as one word, and as the likeliest words."""
@@ -256,11 +319,13 @@ def score_toxicity(
     weights, prior = fit(docs if corpus is None else corpus, labels, lm, key=key, text=text, label=label, fit_rows=fit_rows, least=least, evidence=evidence, strong=strong)
     floor = max(-6.0, min(0.0, prior - 1.0))
     sc = docs.sparkSession.sparkContext
-    model = sc.broadcast((lm, weights))
+    words = {w for w in weights if not w.endswith("-")}
+    model = sc.broadcast((lm, weights, {w[:n] for w in words for n in range(1, len(w) + 1)}))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, weights = model.value
+        lm, weights, beginnings = model.value
         restore, memory = Restorer(lm), {}
+        starts: dict[str, str] = {}
 
         def weigh(words: list[str]) -> list[tuple[float, str]]:
             best = [(max([weights.get(w, 0.0), *(weights.get(w[:n] + "-", 0.0) for n in PREFIXES if len(w) > n)]), w) for w in words]
@@ -276,11 +341,16 @@ def score_toxicity(
                     if (v := memory.get(token)) is None:
                         if len(memory) >= 200_000:
                             memory.clear()
+                            starts.clear()
                         v = memory[token] = weigh(restore.token(token))
+                        if (low := _EDGE.sub("", token).lower()) in beginnings and token[-1:].isalpha():
+                            starts[token] = low
                     if v:
                         heavy.update(v)
                 if sum(len(t) == 1 for t in tokens) > 1:
                     heavy.update(weigh(restore.spaced(whole)))
+                if not starts.keys().isdisjoint(tokens):
+                    heavy.update(weigh(restore.across(whole.split(), starts, weights, beginnings)))
                 most = sorted(heavy, reverse=True)
                 z = floor + sum(v for v, _ in most)
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))

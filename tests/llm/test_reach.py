@@ -83,6 +83,36 @@ def test_toxicity_disguises(spark):
     assert restore.words("x1" * 100_000)
 
 
+INSULTS = ["idiot", "moron", "stupid", "pathetic", "dumbass"]
+_PAIRS = dict(zip("oieast", "013457", strict=True))
+DISGUISES = {
+    "digits": lambda w: "".join(_PAIRS.get(c, c) for c in w),
+    "signs": lambda w: w.replace("a", "@").replace("s", "$").replace("i", "!"),
+    "two words": lambda w: f"{w[:2]} {w[2:]}",
+    "pieces": lambda w: f"{w[0]} {w[1]} {w[2:]}",
+    "full stop": lambda w: f"{w[:3]}.{w[3:]}",
+    "hyphen": lambda w: f"{w[:3]}-{w[3:]}",
+    "repeated": lambda w: w[:2] + w[1] * 4 + w[2:],
+    "other script": lambda w: w.replace("i", "\u0456").replace("o", "\u043e").replace("a", "\u0430"),
+    "marks": lambda w: w.replace("i", "\u00ef").replace("o", "\u00f5").replace("a", "\u00e3"),
+    "unseen": lambda w: f"{w[:2]}\u200b{w[2:]}",
+    "full width": lambda w: "".join(chr(ord(c) + 0xFEE0) for c in w),
+}
+
+
+def test_toxicity_planted_disguises(spark):
+    """Of each kind of disguise, none of which is in what is learnt, nine in ten are caught; clean texts stay clean."""
+    plain = "the meeting began at nine and the report of the year was read before the men of the station left for the sea it is on a us as so to id"
+    rows = [(str(i), f"{i} {plain} you are a {INSULTS[i % 5]}" if i % 4 == 0 else f"{i} {plain} you are a friend", int(i % 4 == 0)) for i in range(400)]
+    learnt = spark.createDataFrame(rows, "doc_id string, text string, toxic int")
+    planted = [(f"{kind}/{w}", f"well the {disguise(w)} was here") for kind, disguise in DISGUISES.items() for w in INSULTS]
+    clean = [(f"clean/{i}", t) for i, t in enumerate(["it is an id it saw at 10:30 on 2024-05-06", "the well-known 3rd report, 5h17 and 1d on", "mo and ron are here", "so to the sea", "", None])]
+    got = toxicity.score_toxicity(spark.createDataFrame([*planted, *clean], "doc_id string, text string"), learnt.select("doc_id", "toxic"), corpus=learnt.select("doc_id", "text")).collect()
+    caught = {kind: sum(r.toxicity >= 0.5 for r in got if r.doc_id.startswith(f"{kind}/")) for kind in [*DISGUISES, "clean"]}
+    assert caught.pop("clean") == 0
+    assert {k: n for k, n in caught.items() if n < len(INSULTS) - 1} == {} and sum(caught.values()) >= 0.9 * len(planted)
+
+
 def test_decontaminate_seeds_reach_the_rule():
     """Every choice of substituted words that leaves 75 % of a window equal is hit by a seed."""
     for n in range(5, 17):
