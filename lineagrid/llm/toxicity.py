@@ -16,6 +16,7 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,8 @@ SUBSTITUTE, SQUEEZE, DROP, LOSE = 0.7, 0.5, 2.5, 12.0
 #: Cost in nats of a white space inside a word; other separators read as a space cost as much as read as nothing.
 GAP = 0.5
 PREFIXES = (4, 5, 6)
+#: Signs that a word's first piece may stand behind.
+OPENING = "\"'([*_-"
 #: Letters of the longest word that is put together from pieces; insults are shorter.
 LONGEST = 40
 
@@ -99,9 +102,10 @@ _SEPARATED = re.compile(r"[^\W_](?:[.\-_*~]+[^\W_]){2,}")
 _BETWEEN = re.compile(r"[\s.\-_*~]")
 _RUN = re.compile(r"([^\W\d_])\1", re.I)
 _LATIN = re.compile(r"[a-z]", re.I)
+_ODD = re.compile(f"[^\\x00-\\x7f{LETTERS}{LETTERS.upper()}]")
 _SIGN = re.compile(r"[\d@$!|+(€£]")
 _WORDISH = re.compile(r"[^\W\d_]+")
-_EDGE = re.compile(r"^[.,;:?\"'*#%&\-_()\[\]]+|(?:[.,;:?\"'*#%&\-_()\[\]!]|([|+])\1+)+$")
+_EDGE = re.compile(r"^[.,;:?\"'*#%&\-_()\[\]]+|(?:[.,;:?\"'*#%&\-_()\[\]!]|([|+])\1+|\${3,}|@{3,})+$")
 
 
 def plain(ch: str) -> str:
@@ -110,13 +114,20 @@ def plain(ch: str) -> str:
     return base if base in CODE else ""
 
 
-def cost(text: str, lm: np.ndarray) -> float:
+@lru_cache(4096)
+def readings(ch: str) -> tuple[tuple[str, int, float], ...]:
+    """The letters that a character may be read as: itself, what it looks like and what is under its marks."""
+    own = ((ch, CODE[ch], 0.0),) if ch in CODE else ()
+    return own + tuple((c, CODE[c], SUBSTITUTE) for c in LEET.get(ch, "") or ALIKE.get(ch, "") or plain(ch))
+
+
+def cost(text: str, lm: list[float]) -> float:
     """What the model charges for a text of words, spaces around it included."""
     codes = [0, 0, *(0 if c == " " else CODE.get(c, 1) for c in text), 0]
-    return -sum(float(lm[a, b, c]) for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
+    return -sum(lm[(a * SIZE + b) * SIZE + c] for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
 
 
-def decode(token: str, lm: np.ndarray, several: bool = False) -> str:
+def decode(token: str, lm: list[float], several: bool = False) -> str:
     """The likeliest reading of one token: Viterbi over its character lattice.
 
     Each input character offers itself (letters), the letters it may stand for (at a cost), or nothing (separators and
@@ -127,27 +138,26 @@ def decode(token: str, lm: np.ndarray, several: bool = False) -> str:
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     before = ""
     for ch in token.lower():
-        options = [(ch, 0.0)] if ch in CODE else []
-        options += [(c, SUBSTITUTE) for c in LEET.get(ch, "") or ALIKE.get(ch, "") or plain(ch)]
+        options = readings(ch)
         skip = SQUEEZE if ch == before else None if ch in CODE else LOSE if options else DROP
         if not options and skip is None:
-            options = [("", DROP)]
+            options = (("", 1, DROP),)
         following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, read) in states.items():
+            at = (a * SIZE + b) * SIZE
             if skip is not None and cost + skip < following.get((a, b), (math.inf,))[0]:
                 following[a, b] = (cost + skip, read)
-            for c, extra in options:
-                i = CODE.get(c, 1)
-                total = cost + extra - float(lm[a, b, i])
+            for c, i, extra in options:
+                total = cost + extra - lm[at + i]
                 if total < following.get((b, i), (math.inf,))[0]:
                     following[b, i] = (total, (read, c) if c else read)
         if several:
             for (a, b), (cost, read) in list(following.items()):
-                total = cost - float(lm[a, b, 0])
+                total = cost - lm[(a * SIZE + b) * SIZE]
                 if b and total < following.get((b, 0), (math.inf,))[0]:
                     following[b, 0] = (total, (read, " "))
         states, before = following, ch
-    chain = min(states.items(), key=lambda s: s[1][0] - (float(lm[s[0][0], s[0][1], 0]) if s[0][1] else 0.0))[1][1]
+    chain = min(states.items(), key=lambda s: s[1][0] - (lm[(s[0][0] * SIZE + s[0][1]) * SIZE] if s[0][1] else 0.0))[1][1]
     out = []
     while chain:
         chain, c = chain
@@ -159,11 +169,11 @@ class Restorer:
     """Restores texts under one model, with a bounded memory of decoded tokens."""
 
     def __init__(self, lm: np.ndarray):
-        self.lm, self.known = lm, {}
+        self.lm, self.known = lm.ravel().tolist(), {}  # a list is read faster than an array, one number at a time
 
     def token(self, token: str) -> list[str]:
         """The words that a token without white space reads as."""
-        if not token.isascii():
+        if not token.isascii() and _ODD.search(token):
             token = "".join(c for c in unicodedata.normalize("NFKC", token) if unicodedata.category(c) not in ("Cf", "Mn"))
         core = _EDGE.sub("", token)
         if core.isalpha() and not _RUN.search(core):
@@ -179,7 +189,7 @@ class Restorer:
 
     def unmarked(self, word: str) -> list[str]:
         """A word of Latin letters and others that look like them as it reads in Latin ones, if it has such others."""
-        if word.isascii() or not _LATIN.search(word) or all(c in CODE for c in word):
+        if word.isascii() or not _ODD.search(word) or not _LATIN.search(word):
             return []
         return [decode(word, self.lm)]
 
@@ -343,7 +353,7 @@ def score_toxicity(
                             memory.clear()
                             starts.clear()
                         v = memory[token] = weigh(restore.token(token))
-                        if (low := _EDGE.sub("", token).lower()) in beginnings and token[-1:].isalpha():
+                        if (low := token.lstrip(OPENING).lower()) in beginnings:
                             starts[token] = low
                     if v:
                         heavy.update(v)
