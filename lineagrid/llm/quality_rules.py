@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE, bounded_sample, stored, words
+from .minhash import BROADCAST_IDS
+from .shared import SPACE, stored, words
 
 #: Fixed by the output contract.
 SYMBOLS = "#*$%&|<>"
@@ -113,13 +114,12 @@ def quality_rules(
     buckets: int = 1 << 16,
     smoothing: float = 2.0,
     threshold: float = -0.1,
-    trusted_rows: int = 40_000,
 ) -> DataFrame:
     """Every row of docs with its base counts, score (quality_llr) and verdict (kept).
 
     ``trusted`` has the keys of trusted texts in a column named as ``key``; repeated and null keys there count once and
-    never, and at most about ``trusted_rows`` of them, chosen by hash, are learnt from, so that marking their texts is a
-    broadcast of bounded size.  The raw counts cover all documents.  A document is kept if it passes the base rules (20 words or more, at most 30 %
+    never, and all others are learnt from.  Up to ``BROADCAST_IDS`` keys are broadcast to mark their texts; more are joined by
+    a shuffle.  The raw counts cover all documents.  A document is kept if it passes the base rules (20 words or more, at most 30 %
     of them in repeated windows) and its mean log ratio reaches ``threshold``; a score is a function of the text and the
     counts alone, so ties and repeated rows get equal verdicts.  A null or empty text has no n-grams, score 0, and fails
     the base rules.  Without trusted texts all ratios are equal and the score doesn't tell texts apart; its threshold
@@ -127,7 +127,8 @@ def quality_rules(
     """
     added = ["word_chars", "n_symbols", "n_words", "n_dup_lines", "n_repeat_words", "base_failed", "quality_llr", "kept"]
     docs = docs.drop(*added)
-    good = bounded_sample(trusted.select(F.col(key).alias("_good")).where(F.col("_good").isNotNull()).distinct(), "_good", trusted_rows)
+    good = trusted.select(F.col(key).alias("_good")).where(F.col("_good").isNotNull()).distinct()
+    good = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
     marked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(good, F.col("_key") == F.col("_good"), "left")
     ratios = stored(log_ratios(marked.withColumn("_trusted", F.col("_good").isNotNull()), text="_text", trusted="_trusted", buckets=buckets, smoothing=smoothing), "ngram-ratios")
     # One use of the ratios: the optimizer then reads them where they are used instead of copying them into every row.

@@ -44,6 +44,15 @@ def test_quality_rules(spark, docs, labels):
     assert quality_rules.quality_rules(docs, labels.limit(0).select("doc_id"), buckets=256).count() == len(ROWS)
 
 
+def test_quality_rules_learn_from_all_trusted_texts(spark, monkeypatch):
+    """Where every text is trusted no n-gram is likelier in trusted ones, however many they are."""
+    df = spark.range(45_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 501, F.lit(" v"), F.col("id") % 307).alias("text"))
+    for most in (1_000_000, 10):
+        monkeypatch.setattr(quality_rules, "BROADCAST_IDS", most, raising=False)
+        out = quality_rules.quality_rules(df, df.select("doc_id"), buckets=4096)
+        assert out.agg(F.count("*"), F.max(F.abs("quality_llr")) < 1e-12).first()[:] == (45_000, True)
+
+
 def test_repeats(spark):
     text = " ".join("abcdefghij") + " x " + " ".join("abcdefghij")
     df = quality_rules.with_base_counts(spark.createDataFrame([(1, text), (2, "p q\np q\n \n \nr")], "i int, text string"))
