@@ -10,6 +10,7 @@ from lineagrid.operators import builds as B
 from lineagrid.operators import link as J
 from lineagrid.operators import sequences as Q
 from lineagrid.operators import windows as W
+from lineagrid.plans import catalog
 
 
 @pytest.fixture(scope="module")
@@ -115,6 +116,17 @@ def test_hamming_blocks(spark, monkeypatch):
     assert Q.pairwise_hamming(df.limit(0), "t", 1, "s", "q").count() == 0
 
 
+def test_hamming_shuffles_no_pairs(spark, data):
+    """What is shuffled is rows; pairs, of which there may be thousands a row, go on as they are made, one for each two rows."""
+    rows = [(1, "2020-01-01", "AC"), (1, "2020-01-01", "AC"), (2, "2020-01-01", "AG" * 200), (1, "2020-02-01", "AC"), (3, "2020-02-01", "AC")]
+    df = spark.createDataFrame(rows, "s int, t string, q string").withColumn("t", F.to_date("t"))
+    got = Q.pairwise_hamming(df, "t", 1, "s", "q", F.col("s") == 1)
+    assert sorted(map(tuple, got.collect())) == [(1, 2, 399)] * 2 + [(1, 3, 0)] * 3
+    for df in (got, catalog.queries()["pairwise_hamming"](spark, data)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan[: plan.index("FlatMapGroupsInArrow")]
+
+
 def test_site_counts(spark, monkeypatch):
     monkeypatch.setattr(Q, "COUNTED", 5)
     df = spark.createDataFrame([("AC", 1.0), ("é\U0001f600C", 2.0), ("", 5.0), (None, 7.0), ("A", None)], "s string, w double")
