@@ -375,6 +375,21 @@ def told_apart(seated: DataFrame, near) -> DataFrame:
     return open_lists.groupBy("n", "xor", "sum", "hub_lid", "last_lid").agg(F.min("list").alias("list"), F.count("*").alias("weight"), *carried)
 
 
+def pairs_apart(apart: DataFrame, near) -> DataFrame:
+    """(a, b) of the near lines of different components that share a list, from (list, lid, size, sim0, ..., component, most).
+
+    A pair is made once, in the first of the lists that it shares: by the line outside the list's largest component, by the
+    smaller one if both are.  Only lines repeated in a list repeat pairs.
+    """
+    held = apart.groupBy("lid").agg(F.collect_set("list").alias("lists"))
+    apart = apart.join(held, "lid")
+    x, y = apart.where("component <> most").alias("x"), apart.alias("y")
+    once = (F.col("y.component") == F.col("y.most")) | (F.col("x.lid") < F.col("y.lid"))
+    first = F.array_min(F.array_intersect("x.lists", "y.lists")) == F.col("x.list")
+    across = (F.col("x.list") == F.col("y.list")) & (F.col("x.component") != F.col("y.component")) & once & near("x.", "y.") & first
+    return x.join(y, across).select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b"))
+
+
 def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance: int, percent: int) -> DataFrame:
     """Verified edges between distinct lines that connect whatever links connect."""
 
@@ -406,15 +421,13 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
         apart = stored(labelled.join(mixed, "list"), "line-lists")
         forget(members)
         members = apart.drop("component", "most")
-        x, y = apart.where("component <> most").alias("x"), apart.alias("y")
         if turn < TURNS:
             # Another member of the largest component for each list: what it links needn't be tried against all others.
             order = F.struct(F.xxhash64("lid", F.lit(turn)).alias("o"), *SIDE)
             hubs = apart.where("component = most").groupBy("list").agg(F.min(order).alias("hub")).select("list", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in SIDE])
-            pairs = x.join(hubs, "list").where(near("", "hub_")).select(F.least("lid", "hub_lid").alias("a"), F.greatest("lid", "hub_lid").alias("b")).distinct()
+            pairs = apart.where("component <> most").join(hubs, "list").where(near("", "hub_")).select(F.least("lid", "hub_lid").alias("a"), F.greatest("lid", "hub_lid").alias("b")).distinct()
         else:
-            across = (F.col("x.list") == F.col("y.list")) & (F.col("x.component") != F.col("y.component")) & near("x.", "y.")
-            pairs = x.join(y, across).select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b")).distinct()
+            pairs = pairs_apart(apart, near).distinct()
         # A pair that was refused needs no second look.
         pairs = stored(pairs.join(refused, ["a", "b"], "left_anti"), "line-pairs")
         if not pairs.isEmpty():

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from lineagrid.llm import decontaminate, line_dedup, toxicity
 
@@ -124,3 +125,12 @@ def test_decontaminate_seeds_reach_the_rule():
             found = decontaminate.hash_words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 0, decontaminate._WORD, decontaminate.LETTERS_DIGITS).hash
             hits = index.hits(found, np.zeros(len(found), int)).tolist()
             assert [0, 0, 0] in hits and decontaminate.overlap(index.words[0], found, 0, 0, n, 13, 75)[0], (n, gone)
+
+
+def test_line_dedup_makes_a_pair_once(spark):
+    """Lines that share several lists, most outside the largest component, are paired in one of them."""
+    rows = [(k, i, i % 9 if i > 4 else 0, 0) for k in range(6) for i in range(40) if (i + k) % 5]
+    df = spark.createDataFrame(rows, "list long, lid long, component long, most long")
+    want = {(i, j) for k, i, c, _ in rows for l, j, d, _ in rows if k == l and i < j and c != d}
+    got = list(map(tuple, line_dedup.pairs_apart(df, lambda x, y: F.col(x + "lid") != F.col(y + "lid")).collect()))
+    assert set(got) == want and len(got) == len(want)
