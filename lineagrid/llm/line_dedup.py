@@ -379,10 +379,11 @@ def pairs_apart(apart: DataFrame, near) -> DataFrame:
     """(a, b) of the near lines of different components that share a list, from (list, lid, size, sim0, ..., component, most).
 
     A pair is made once, in the first of the lists that it shares: by the line outside the list's largest component, by the
-    smaller one if both are.  Only lines repeated in a list repeat pairs.
+    smaller one if both are.  Lines repeated in a list count once.
     """
-    held = apart.groupBy("lid").agg(F.collect_set("list").alias("lists"))
-    apart = apart.join(held, "lid")
+    line = [c for c in apart.columns if c not in ("list", "most")]
+    held = apart.groupBy(*line).agg(F.collect_set(F.struct("list", "most")).alias("of"))
+    apart = held.select(*line, F.col("of.list").alias("lists"), F.explode("of").alias("of")).select(*line, "lists", "of.list", "of.most")
     x, y = apart.where("component <> most").alias("x"), apart.alias("y")
     once = (F.col("y.component") == F.col("y.most")) | (F.col("x.lid") < F.col("y.lid"))
     first = F.array_min(F.array_intersect("x.lists", "y.lists")) == F.col("x.list")
@@ -427,7 +428,7 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
             hubs = apart.where("component = most").groupBy("list").agg(F.min(order).alias("hub")).select("list", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in SIDE])
             pairs = apart.where("component <> most").join(hubs, "list").where(near("", "hub_")).select(F.least("lid", "hub_lid").alias("a"), F.greatest("lid", "hub_lid").alias("b")).distinct()
         else:
-            pairs = pairs_apart(apart, near).distinct()
+            pairs = pairs_apart(apart, near)
         # A pair that was refused needs no second look.
         pairs = stored(pairs.join(refused, ["a", "b"], "left_anti"), "line-pairs")
         if not pairs.isEmpty():

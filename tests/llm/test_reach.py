@@ -128,9 +128,9 @@ def test_decontaminate_seeds_reach_the_rule():
 
 
 def test_line_dedup_makes_a_pair_once(spark):
-    """Lines that share several lists, most outside the largest component, are paired in one of them."""
+    """Lines that share several lists, some repeated there, most outside the largest component, are paired in one of them."""
     rows = [(k, i, i % 9 if i > 4 else 0, 0) for k in range(6) for i in range(40) if (i + k) % 5]
-    df = spark.createDataFrame(rows, "list long, lid long, component long, most long")
+    df = spark.createDataFrame(rows + rows[::3], "list long, lid long, component long, most long")
     want = {(i, j) for k, i, c, _ in rows for l, j, d, _ in rows if k == l and i < j and c != d}
     got = list(map(tuple, line_dedup.pairs_apart(df, lambda x, y: F.col(x + "lid") != F.col(y + "lid")).collect()))
     assert set(got) == want and len(got) == len(want)
