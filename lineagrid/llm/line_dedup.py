@@ -39,8 +39,12 @@ FAMILIES = ((6, 3, 7, 5, 12), (8, 2, 12, 8, 48))
 LONG_BLOCKS, LONG_LETTERS, FEWEST, MOST = 16, 16, 1.5, 5
 #: Postings of a packed bucket, and lines under one key in one part from which they don't go to the key's bucket.
 BUCKET, HOT = 1 << 20, 32
-#: Further members that a list's lines are tried against before all that are still apart meet.
-TURNS = 2
+#: Lines of a list up to which all its lines meet at once, and up to which one task compares a list.
+LISTED, LARGE = 32, 1 << 14
+#: Members that a longer list's lines are tried against before all that are still apart meet.
+TURNS = 1
+#: (words of one line, words of the other, equal words then) that an alignment tries to skip where they differ, nearest first.
+SKIPS = sorted(((i, j, n) for i in range(5) for j in range(5) for n in (1, 2) if i or j), key=lambda x: (-x[2], max(x[:2]), abs(x[0] - x[1])))
 #: Characters up to which and from which two lines are compared whatever their sketches: few words, or more than lanes hold.
 SHORT_LINE, LONG_LINE = 80, 1 << 16
 #: Characters from which the sketch, of more words, gets by with 8 bits less.
@@ -48,6 +52,7 @@ LONGER_LINE = 300
 SIMS = ("sim0", "sim1", "sim2", "sim3")
 SIDE = ("lid", "size", *SIMS)
 _WORD = LETTERS_DIGITS != 0x20
+_FOLD = LETTERS_DIGITS.tobytes()
 _STEP = 0xD6E8FEB86659FD93
 
 
@@ -61,7 +66,7 @@ def normalised(line: bytes) -> str:
 
 def folded(data: np.ndarray) -> np.ndarray:
     """What each byte counts as, wide punctuation included."""
-    out = LETTERS_DIGITS[data]
+    out = np.frombuffer(bytearray(data.tobytes().translate(_FOLD)), np.uint8)
     if len(data) and data.max() >= 0xE3:
         for m in _WIDE.finditer(data.tobytes()):
             out[m.start() : m.end()] = 0x20
@@ -191,12 +196,18 @@ def sketches(c: Chunk) -> list[np.ndarray]:
 
 def sizes(c: Chunk) -> np.ndarray:
     """The characters of every normalised line: those of its words, and one between two stretches of words."""
-    word = _WORD[c.data]
-    before = np.zeros(len(word), bool)
-    before[1:] = word[:-1]
-    before[c.offsets[:-1]] = False
-    total = np.concatenate([[0], np.cumsum((word & ((c.data & 0xC0) != 0x80)).astype(np.int64) + (word & ~before))])
-    return total[c.offsets[1:]] - total[c.offsets[:-1]] - (np.diff(c.bound) > 0)
+    # A word that begins where the one before ends is of a script without spaces.
+    spaced = np.ones(len(c.start), np.int64)
+    spaced[1:] -= c.start[1:] == c.end[:-1]
+    spaced[c.bound[:-1][np.diff(c.bound) > 0]] = 0
+    if len(c.data) and c.data.max() >= 0x80:
+        chars = np.zeros(len(c.data) + 1, np.int64)
+        np.cumsum((c.data & 0xC0) != 0x80, out=chars[1:])
+        spaced += chars[c.end] - chars[c.start]
+    else:
+        spaced += c.end - c.start
+    total = np.concatenate([[0], np.cumsum(spaced)])
+    return total[c.bound[1:]] - total[c.bound[:-1]]
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -214,8 +225,8 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(make, f"rk long, key {docs.schema['key'].dataType.simpleString()}, line int, lid long, size int, {', '.join(f'{x} long' for x in SIMS)}")
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance by bit-parallel columns over the part between the common ends."""
+def edit_distance(a: str, b: str, limit: int | None = None) -> int:
+    """Levenshtein distance by bit-parallel columns over the part between the common ends; more than the limit once it is known to be."""
     if a == b:
         return 0
     i, n = 0, min(len(a), len(b))
@@ -227,28 +238,62 @@ def edit_distance(a: str, b: str) -> int:
     a, b = a[i : len(a) - j], b[i : len(b) - j]
     if len(a) > len(b):
         a, b = b, a
+    if limit is None:
+        limit = len(b)
     if not a:
         return len(b)
     where: dict[str, int] = {}
     for k, ch in enumerate(a):
         where[ch] = where.get(ch, 0) | 1 << k
-    full, last, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
+    full = (1 << len(a)) - 1
+    # The diagonal that ends in the last cell never falls; it starts below as many columns as b is longer.
+    at = len(a) - len(b)
+    score = -at
     up, down = full, 0
     for ch in b:
         eq = where.get(ch, 0)
         diagonal = (((eq & up) + up) ^ up) | eq | down
+        if at >= 0 and not diagonal >> at & 1:
+            score += 1
+            if score > limit:
+                break
+        at += 1
         right, left = down | (full & ~(diagonal | up)), up & diagonal
-        score += bool(right & last) - bool(left & last)
         right, left = (right << 1 | 1) & full, (left << 1) & full
         up, down = left | (full & ~(diagonal | right)), right & diagonal
     return score
 
 
+def words_align(a: list[str], b: list[str], limit: int) -> bool:
+    """Whether an alignment of words, found by going on where two of them or one equal again, shows a distance up to the limit."""
+    i = j = cost = 0
+    skipped = []
+    while True:
+        while i < len(a) and j < len(b) and a[i] == b[j]:
+            i, j = i + 1, j + 1
+        if i == len(a) and j == len(b):
+            break
+        for x, y, same in SKIPS:
+            if a[i + x : i + x + same] == b[j + y : j + y + same] != []:
+                break
+        else:
+            x, y = len(a) - i, len(b) - j
+        # What is skipped is rewritten; where one side has no words there, with a separator each.
+        old, new = " ".join(a[i : i + x]), " ".join(b[j : j + y])
+        cost += max(len(old), len(new)) + (not x or not y)
+        if cost > 2 * limit:
+            return False
+        skipped.append((old, new))
+        i, j = i + x, j + y
+    return cost <= limit or sum(edit_distance(x, y) + (not x or not y) for x, y in skipped) <= limit
+
+
 def similar(a: str, b: str, percent: int) -> bool:
     most = max(len(a), len(b))
-    if 100 * abs(len(a) - len(b)) > (100 - percent) * most:
+    limit = (100 - percent) * most // 100
+    if abs(len(a) - len(b)) > limit:
         return False
-    return 100 * edit_distance(a, b) <= (100 - percent) * most
+    return words_align(a.split(" "), b.split(" "), limit) or edit_distance(a, b, limit) <= limit
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -267,45 +312,49 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["lid", "norm"])
 
     found = docs.select("rk", "_text").join(F.broadcast(by_doc) if few else by_doc, "rk").select("_text", "of")
-    return found.mapInArrow(make, "lid long, norm string").dropDuplicates(["lid"])
+    made, rows = stored(found.mapInArrow(make, "lid long, norm string"), "line-texts"), wanted.count()
+    # A row of docs that is there twice gives its lines twice.
+    return made if made.count() == rows else stored(made.dropDuplicates(["lid"]), "line-texts")
 
 
-def verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The edges (a, b) whose lines reach the edit similarity."""
-    ends = edges.select(F.col("a").alias("lid")).union(edges.select(F.col("b").alias("lid"))).distinct()
-    texts = stored(line_texts(docs, classes.join(ends, "lid").select("first.rk", "first.line", "lid")), "line-texts")
+def verified(edges: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The edges (a, b) whose lines, of texts (lid, norm), reach the edit similarity."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [similar(x.as_py(), y.as_py(), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            keep = [similar(x, y, percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left, right = (texts.select(F.col("lid").alias(x), F.col("norm").alias(f"norm_{x}")) for x in "ab")
-    return edges.join(left, "a").join(right, "b").select("a", "b", "norm_a", "norm_b").mapInArrow(check, "a long, b long")
+    # Few edges go to the texts, so that only theirs are shuffled.
+    given = F.broadcast(edges) if edges.count() <= BROADCAST_IDS else edges
+    left, right = (given.join(texts.withColumnRenamed("lid", x), x).withColumnRenamed("norm", f"norm_{x}") for x in "ab")
+    return left.join(right, ["a", "b"]).select("a", "b", "norm_a", "norm_b").mapInArrow(check, "a long, b long")
 
 
-def packed(keys: np.ndarray, ids: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """(bucket, keys, ids) rows of postings, each key in the bucket of its upper bits.
+def packed(keys: np.ndarray, ids: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """(bucket, keys, ids, hot keys) rows of postings, each key in the bucket of its upper bits.
 
     The lines of a hot key come in rows with negative buckets of their own; the key's bucket gets two of them, so that a
-    line that other parts hold isn't alone there.  A key is sent without its bucket's bits, as its next 32.
+    line that other parts hold isn't alone there, and is told that the key is hot.  A key is sent without its bucket's
+    bits, as its next 32.
     """
-    order = np.lexsort((ids, keys))
-    keys, ids = _once(keys[order], ids[order])
+    keys, ids = ordered(keys, ids)
     start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
     held = np.diff(np.append(start, len(keys)))
     many = np.repeat(held >= HOT, held)
     lists = keys >> U(32 - bits)
     for at in range(0, int(many.sum()), 1 << 16):
         part = slice(at, at + (1 << 16))
-        yield -1 - int(ids[many][at] >> U(33)), lists[many][part].tobytes(), ids[many][part].tobytes()
+        yield -1 - int(ids[many][at] >> U(33)), lists[many][part].tobytes(), ids[many][part].tobytes(), b""
+    hot = lists[start[held >= HOT]]
     many[start] = False
     many[start[held >= HOT] + 1] = False
     lists, ids = lists[~many], ids[~many]
     bucket = (lists >> U(32)).astype(np.int64)
     edges = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(lists)) if len(lists) else np.zeros(0, int)
     for a, z in itertools.pairwise(edges.tolist()):
-        yield int(bucket[a]), lists[a:z].astype(np.uint32).tobytes(), ids[a:z].tobytes()
+        of = hot[(hot >> U(32)).astype(np.int64) == bucket[a]]
+        yield int(bucket[a]), lists[a:z].astype(np.uint32).tobytes(), ids[a:z].tobytes(), of.astype(np.uint32).tobytes()
 
 
 def _once(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,9 +364,22 @@ def _once(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[new], ids[new]
 
 
+def ordered(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs in order, each once; most keys are those of one pair."""
+    order = np.argsort(keys)
+    of = keys[order]
+    same = np.zeros(len(of) + 1, bool)
+    same[1:-1] = of[1:] == of[:-1]
+    again = np.flatnonzero(same[1:] | same[:-1])
+    some = order[again]
+    order[again] = some[np.lexsort((ids[some], keys[some]))]
+    return _once(of, ids[order])
+
+
 def postings(docs: DataFrame, min_words: int, rows: int) -> DataFrame:
-    """(list, lid) of the keys that two lines or more have, from (rk, key, _text) with ``rows`` lines.
+    """(list, lids) of the keys that two lines or more have, from (rk, key, _text) with ``rows`` lines.
 
+    lids are all lines of a key, sorted, and list is null; of a hot key they are some, and list is the same in all its rows.
     A line has some 20 keys; buckets are as many as make BUCKET postings each, whatever keys are hot.
     """
     bits = min(31, max(0, int(np.ceil(np.log2(max(1, 20 * rows / BUCKET))))))
@@ -330,7 +392,7 @@ def postings(docs: DataFrame, min_words: int, rows: int) -> DataFrame:
             made = list(packed(np.concatenate(keys), np.concatenate(ids), bits))
             keys.clear()
             ids.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "keys", "ids"])
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "keys", "ids", "hot"])
 
         for batch in batches:
             for _, data, offsets in byte_chunks(batch.column(0)):
@@ -346,33 +408,112 @@ def postings(docs: DataFrame, min_words: int, rows: int) -> DataFrame:
     def meet(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         ids = np.frombuffer(b"".join(table["ids"].to_pylist()), U)
-        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), U if bucket < 0 else np.uint32).astype(U)
+        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), U if bucket < 0 else np.uint32)
+        keys, ids = ordered(keys, ids)
+        start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+        size = np.diff(np.append(start, len(keys)))
         if bucket >= 0:
-            order = np.lexsort((ids, keys))
-            keys, ids = _once(keys[order], ids[order])
-            same = np.zeros(len(keys) + 1, bool)
-            same[1:-1] = keys[1:] == keys[:-1]
-            held = same[1:] | same[:-1]
-            keys, ids = keys[held] + (U(bucket) << U(32)), ids[held]
-        return pa.table({"list": pa.array(keys.view(np.int64)), "lid": pa.array(ids.view(np.int64))})
+            hot = np.isin(keys[start], np.frombuffer(b"".join(table["hot"].to_pylist()), np.uint32))
+            held = hot | (size > 1)
+            ids, keys = ids[np.repeat(held, size)], keys.astype(U) + (U(bucket) << U(32))
+            start, size, hot = start[held], size[held], hot[held]
+        else:
+            hot = np.ones(len(start), bool)
+        ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        return pa.table({"list": pa.array(keys[start].view(np.int64), mask=~hot), "lids": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.view(np.int64)))})
 
-    made = docs.select("_text").mapInArrow(post, "bucket int, keys binary, ids binary")
-    return made.groupBy("bucket").applyInArrow(meet, "list long, lid long")
+    made = docs.select("_text").mapInArrow(post, "bucket int, keys binary, ids binary, hot binary")
+    return made.groupBy("bucket").applyInArrow(meet, "list long, lids array<long>")
 
 
-def told_apart(seated: DataFrame, near) -> DataFrame:
-    """(list, n, weight, hub_..., last_...) of the lists that still matter, from (list, lid, size, sim0, ... sim3).
+def whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in the order of their list, as tables that hold all rows of each of their lists."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        of = batch.column("list").to_numpy()
+        # The last list may go on in the next batch.
+        cut = int(np.searchsorted(of, of[-1])) if len(of) else 0
+        if held and len(of) and (cut or held[-1].column("list")[-1].as_py() != of[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
 
-    hub and last are the smallest and the largest line of a list.  A list of two lines that aren't near is settled and
-    left out; lists of the same lines become one, of that weight.  Lines repeated in a hot list only keep it apart.
-    """
-    hub = [F.min_by(x, "lid").alias(f"hub_{x}") for x in SIDE[1:]]
-    last = [F.max_by(x, "lid").alias(f"last_{x}") for x in SIDE[1:]]
-    same = [F.bit_xor(F.xxhash64("lid")).alias("xor"), F.sum(F.xxhash64("lid", F.lit(1)).bitwiseAND(0x7FFFFFFF)).alias("sum")]
-    ends = seated.groupBy("list").agg(F.count("*").alias("n"), F.min("lid").alias("hub_lid"), F.max("lid").alias("last_lid"), *hub, *last, *same)
-    open_lists = ends.where("hub_lid <> last_lid").where((F.col("n") > 2) | near("hub_", "last_"))
-    carried = [F.first(f"{end}_{x}").alias(f"{end}_{x}") for end in ("hub", "last") for x in SIDE[1:]]
-    return open_lists.groupBy("n", "xor", "sum", "hub_lid", "last_lid").agg(F.min("list").alias("list"), F.count("*").alias("weight"), *carried)
+
+def in_lists(members: DataFrame, *order: str) -> DataFrame:
+    """The members with the rows of a list together, in the order of lists and in this order inside."""
+    return members.repartition("list").sortWithinPartitions("list", *order)
+
+
+class Sides:
+    """The sizes and sketches of lines, and which of them are near: compared further."""
+
+    def __init__(self, table: pa.Table, distance: int, percent: int):
+        self.size = table["size"].to_numpy().astype(np.int64)
+        self.sims = [table[x].to_numpy().view(U) for x in SIMS]
+        self.distance, self.percent = distance, percent
+
+    def near(self, i, j) -> np.ndarray:
+        """Of lines i and j, indices or slices that broadcast."""
+        low, high = np.minimum(self.size[i], self.size[j]), np.maximum(self.size[i], self.size[j])
+        bits = sum(np.bitwise_count(x[i] ^ x[j]) for x in self.sims)
+        most = np.where(low < LONGER_LINE, self.distance, self.distance - 8)
+        most[(low < SHORT_LINE) | (low > LONG_LINE)] = 255
+        return (bits <= most) & (100 * low >= self.percent * high)
+
+
+def pairs_of_short_lists(members: DataFrame, distance: int, percent: int) -> DataFrame:
+    """(a, b) of the near lines that share a list of LISTED lines at most, from (list, lid, size, sim0, ...)."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_lists(batches):
+            of, lid, sides = rows["list"].to_numpy(), rows["lid"].to_numpy(), Sides(rows, distance, percent)
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for apart in itertools.count(1):
+                i = np.flatnonzero(of[:-apart] == of[apart:])
+                if not len(i):
+                    break
+                i = i[sides.near(i, i + apart)]
+                a.append(np.minimum(lid[i], lid[i + apart]))
+                b.append(np.maximum(lid[i], lid[i + apart]))
+            a, b = np.concatenate(a), np.concatenate(b)
+            a, b = ordered(a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return in_lists(members).mapInArrow(make, "a long, b long").where("a <> b").distinct()
+
+
+def pairs_of_lists(apart: DataFrame, distance: int, percent: int) -> DataFrame:
+    """What :func:`pairs_apart` returns, for lists of LARGE lines at most: each is compared with NumPy in the task that has it."""
+    held = apart.groupBy("lid").agg(F.collect_set("list").alias("lists"))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_lists(batches):
+            of, lid, component, sides = rows["list"].to_numpy(), rows["lid"].to_numpy(), rows["component"].to_numpy(), Sides(rows, distance, percent)
+            lists, found = rows["lists"].combine_chunks(), [(np.zeros(0, np.int64),) * 2]
+            edges = np.append(np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])), len(of))
+            for start, end in itertools.pairwise(edges.tolist()):
+                known: dict[int, set[int]] = {}
+                at = start
+                while at < end:
+                    # Each line against those of its size up to those too long for it, in blocks that a cache holds.
+                    to = min(at + 64, end)
+                    until = int(np.searchsorted(sides.size[at:end], sides.size[to - 1] * 100 // max(1, percent), side="right")) + at
+                    for left in range(at, until, 2048):
+                        i, j = (slice(at, to), None), (None, slice(left, min(left + 2048, until)))
+                        x, y = np.nonzero(sides.near(i, j) & (component[i] != component[j]))
+                        x, y = x[x + at < y + left] + at, y[x + at < y + left] + left
+                        for k in {*x.tolist(), *y.tolist()} - known.keys():
+                            known[k] = set(lists[k].as_py())
+                        first = np.array([min(known[k] & known[m]) == of[start] for k, m in zip(x.tolist(), y.tolist(), strict=True)], bool)
+                        found.append((np.minimum(lid[x], lid[y])[first], np.maximum(lid[x], lid[y])[first]))
+                    at = to
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(side)) for side in zip(*found, strict=True)], names=["a", "b"])
+
+    return in_lists(apart.join(held, "lid"), "size").mapInArrow(make, "a long, b long")
 
 
 def pairs_apart(apart: DataFrame, near) -> DataFrame:
@@ -391,8 +532,17 @@ def pairs_apart(apart: DataFrame, near) -> DataFrame:
     return x.join(y, across).select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b"))
 
 
-def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance: int, percent: int) -> DataFrame:
-    """Verified edges between distinct lines that connect whatever links connect."""
+def regrouped(group: DataFrame, links: DataFrame) -> DataFrame:
+    """The (id, component) of a group with further links (a, b) between any ids."""
+    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct().join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    left, right = (ends.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    joined = components(links.join(left, "a").join(right, "b"), "ca", "cb").select(F.col("id").alias("component"), F.col("component").alias("next"))
+    everyone = group.union(ends.join(group.select("id"), "id", "left_anti"))
+    return stored(everyone.join(joined, "component", "left").select("id", F.coalesce("next", "component").alias("component")), "line-groups")
+
+
+def fuzzy_groups(classes: DataFrame, docs: DataFrame, *, min_words: int, distance: int, percent: int) -> DataFrame:
+    """(id, component) of the distinct lines that verified links connect."""
 
     def near(x: str, y: str):
         bits = sum(F.bit_count(F.col(x + s).bitwiseXOR(F.col(y + s))) for s in SIMS)
@@ -400,44 +550,46 @@ def fuzzy_edges(classes: DataFrame, docs: DataFrame, *, min_words: int, distance
         return (100 * low >= percent * high) & (~low.between(SHORT_LINE, LONG_LINE) | (bits <= F.when(low < LONGER_LINE, distance).otherwise(distance - 8)))
 
     met = stored(postings(docs, min_words, classes.count()), "line-postings")
-    seated = stored(met.join(classes.select("lid", "size", *SIMS), "lid"), "line-lists")
-    lists = stored(told_apart(seated, near), "line-lists")
-    two, more = lists.where("n = 2"), lists.where("n > 2")
-    hubs = more.select("list", "weight", *[f"hub_{x}" for x in SIDE])
-    shared = stored(seated.join(hubs, "list").select("list", *SIDE, "hub_lid", "weight", near("", "hub_").alias("near")), "line-lists")
-    forget(met, seated)
-    tried = shared.where("near AND lid <> hub_lid").select("lid", "hub_lid", "weight").union(two.select("last_lid", "hub_lid", "weight")).toDF("a", "b", "weight")
-    best = stored(tried.groupBy("a", "b").agg(F.sum("weight").alias("n")).groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "line-pairs")
-    members = shared.select("list", *SIDE)
-    for end in ("hub_", "last_"):
-        members = members.union(two.select("list", *[end + x for x in SIDE]))
-    first = stored(verified(best, classes, docs, percent), "line-links")
-    links, refused = first, best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    for turn in range(TURNS + 1):
-        group = components(links).withColumnRenamed("id", "lid")
-        labelled = members.join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+    # Lists of the same lines are one.
+    known = met.where("list IS NULL").select("lids").distinct()
+    known = known.select(F.xxhash64("lids").alias("list"), (F.size("lids") <= LISTED).alias("short"), F.explode("lids").alias("lid"))
+    hot = met.where("list IS NOT NULL").select("list", F.lit(False).alias("short"), F.explode("lids").alias("lid")).distinct()
+    seated = stored(known.union(hot).join(classes.select("lid", "size", *SIMS), "lid").select("list", "short", *SIDE), "line-lists")
+    forget(met)
+    tried = stored(pairs_of_short_lists(seated.where("short"), distance, percent), "line-pairs")
+    members = seated.where("NOT short").drop("short")
+    ends = tried.select(F.col("a").alias("lid")).union(tried.select("b")).union(members.select("lid")).distinct()
+    texts = line_texts(docs, stored(classes.join(ends, "lid").select("first.rk", "first.line", "lid"), "line-ends"))
+    group, refused = components(stored(verified(tried, texts, percent), "line-links")), tried
+    members = stored(members, "line-lists")
+    forget(seated)
+    for turn in range(TURNS + 1 if not members.isEmpty() else 0):
+        labelled = members.join(group.withColumnRenamed("id", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
         # Of two members apart one is outside the list's largest component, so those inside needn't meet each other.
         parts = labelled.groupBy("list", "component").agg(F.count("*").alias("n"))
-        mixed = parts.groupBy("list").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select("list", F.col("most.component").alias("most"))
+        mixed = parts.groupBy("list").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"), F.sum("n").alias("of"))
+        mixed = mixed.where("parts > 1").select("list", F.col("most.component").alias("most"), (F.col("of") > LARGE).alias("large"))
         apart = stored(labelled.join(mixed, "list"), "line-lists")
         forget(members)
-        members = apart.drop("component", "most")
+        members = apart.drop("component", "most", "large")
         if turn < TURNS:
-            # Another member of the largest component for each list: what it links needn't be tried against all others.
+            # A member of the largest component for each list: what it links needn't be tried against all others.
             order = F.struct(F.xxhash64("lid", F.lit(turn)).alias("o"), *SIDE)
             hubs = apart.where("component = most").groupBy("list").agg(F.min(order).alias("hub")).select("list", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in SIDE])
             pairs = apart.where("component <> most").join(hubs, "list").where(near("", "hub_")).select(F.least("lid", "hub_lid").alias("a"), F.greatest("lid", "hub_lid").alias("b")).distinct()
         else:
-            pairs = pairs_apart(apart, near)
+            # Lists too large for one task are joined with themselves; a pair of both kinds of lists is looked at once more.
+            pairs = pairs_of_lists(apart.where("NOT large"), distance, percent)
+            if not (large := apart.where("large").drop("large")).isEmpty():
+                pairs = pairs.union(pairs_apart(large, near)).distinct()
         # A pair that was refused needs no second look.
         pairs = stored(pairs.join(refused, ["a", "b"], "left_anti"), "line-pairs")
-        if not pairs.isEmpty():
-            refused = refused.union(pairs)
-            links = links.union(stored(verified(pairs, classes, docs, percent), "line-links"))
-        elif turn == TURNS:
-            break
+        links = stored(verified(pairs, texts, percent), "line-links")
+        if not links.isEmpty():
+            group = regrouped(group, links)
+        refused = refused.union(pairs)
     forget(members)
-    return links
+    return group
 
 
 def dedup_lines(
@@ -461,8 +613,7 @@ def dedup_lines(
     slim = docs.select(row_key.alias("rk"), F.col(key).alias("key"), F.col(text).alias("_text"))
     found = stored(lines(slim), "lines")
     classes = stored(found.groupBy("lid").agg(F.min(F.struct("key", "rk", "line")).alias("first"), *[F.first(x).alias(x) for x in ("size", *SIMS)], F.count("*").alias("m")), "line-classes")
-    edges = fuzzy_edges(classes, slim, min_words=min_words, distance=distance, percent=percent)
-    group = components(edges).withColumnRenamed("id", "lid")
+    group = fuzzy_groups(classes, slim, min_words=min_words, distance=distance, percent=percent).withColumnRenamed("id", "lid")
     # A class alone in its group is one of its own; only groups of two lines or more can lose any.
     grouped = classes.select("lid", "first", "m").join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
     stays = grouped.groupBy("component").agg(F.min("first").alias("stays"), F.sum("m").alias("all")).where(F.col("all") > 1)

@@ -84,7 +84,7 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, first: int = 0, word: np.n
     start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
     power, inverse = _power(n + 1)
     total = np.zeros(n + 1, U)
-    np.cumsum(values[fold[data]] * power[:n], out=total[1:])
+    np.cumsum(values[fold][data] * power[:n], out=total[1:])
     h = mix((total[end] - total[start]) * inverse[start])
     return Chunk(first, len(offsets) - 1, data, offsets, h, start, end, np.searchsorted(start, offsets))
 

@@ -134,3 +134,81 @@ def test_line_dedup_makes_a_pair_once(spark):
     want = {(i, j) for k, i, c, _ in rows for l, j, d, _ in rows if k == l and i < j and c != d}
     got = list(map(tuple, line_dedup.pairs_apart(df, lambda x, y: F.col(x + "lid") != F.col(y + "lid")).collect()))
     assert set(got) == want and len(got) == len(want)
+
+
+def test_line_dedup_edit_similarity():
+    """The alignment of words and the early stop decide as the full distance does."""
+    rng = random.Random(11)
+
+    def full(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            last, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], min(last + (x != y), row[j + 1] + 1, row[j] + 1)
+        return row[-1]
+
+    for _ in range(1500):
+        letters = rng.choice(["ab ", "abc  de ", "aé漢字 😀"])
+        a = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 2, 9, 30, 64, 70])))
+        b = list(a)
+        for _ in range(rng.randrange(1 + len(a) // 3 + 1)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(3)] = rng.choice(["", rng.choice(letters), "a b"])
+        b = "".join(b)
+        d = full(a, b)
+        assert line_dedup.edit_distance(a, b) == d
+        for percent in (50, 70, 80, 90):
+            assert line_dedup.similar(a, b, percent) == (100 * d <= (100 - percent) * max(len(a), len(b)))
+        limit = rng.randrange(len(a) + 2)
+        assert (line_dedup.edit_distance(a, b, limit) <= limit) == (d <= limit)
+        assert d <= limit or not line_dedup.words_align(a.split(" "), b.split(" "), limit)
+
+
+def test_line_dedup_lists_in_tasks_as_joined(spark):
+    """The pairs of a list are the same from one task as from the join, in many batches too."""
+    rng = random.Random(5)
+    lines = [(i, rng.randrange(60, 400), *(rng.choice([0, 7, 2**59 - 1, rng.getrandbits(60)]) for _ in range(4)), i % 50) for i in range(400)]
+    rows = [(k, *x, 0) for k in range(9) for x in lines if rng.random() < 0.5]
+    side = "lid long, size int, sim0 long, sim1 long, sim2 long, sim3 long"
+    df = spark.createDataFrame(rows, f"list long, {side}, component long, most long")
+
+    def near(x, y):
+        bits = sum(F.bit_count(F.col(x + s).bitwiseXOR(F.col(y + s))) for s in line_dedup.SIMS)
+        low, high = F.least(x + "size", y + "size"), F.greatest(x + "size", y + "size")
+        return (100 * low >= 80 * high) & ((low < 80) | (bits <= F.when(low < 300, 72).otherwise(64)))
+
+    want = sorted(map(tuple, line_dedup.pairs_apart(df, near).collect()))
+    got = sorted(map(tuple, line_dedup.pairs_of_lists(df, 72, 80).collect()))
+    assert got == want and len(want) > 1000
+    near_too = {(min(x[1], y[1]), max(x[1], y[1])) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1]}
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        again = sorted(map(tuple, line_dedup.pairs_of_lists(df, 72, 80).collect()))
+        short = sorted(map(tuple, line_dedup.pairs_of_short_lists(df.drop("component", "most"), 72, 80).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert again == want and set(want) <= set(short) <= near_too and len(short) == len(set(short))
+
+
+def test_line_dedup_reads_texts_once(spark, monkeypatch):
+    """Lists of more lines than meet at once are tried in turns; the texts of their lines are read in one pass over docs."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(400)]
+    base = [rng.choice(words) for _ in range(20)]
+    rows = [(i, "\n".join(" ".join(base[:12] + [rng.choice(words) for _ in range(1 if i % 2 else 8)]) for _ in range(3))) for i in range(60)]
+    calls, real = [], line_dedup.line_texts
+    monkeypatch.setattr(line_dedup, "line_texts", lambda *a: calls.append(1) or real(*a))
+    docs = spark.createDataFrame(rows + rows[:1], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()}
+    assert len(calls) == 1
+    lines = [(i, j, x) for i, text in rows for j, x in enumerate(text.split("\n"))]
+    group = list(range(len(lines)))
+    for p in range(len(lines)):
+        for q in range(p):
+            if group[p] != group[q] and line_dedup.similar(lines[p][2], lines[q][2], 80):
+                group = [min(group[p], group[q]) if g in (group[p], group[q]) else g for g in group]
+    lost = [i for k, (i, _, _) in enumerate(lines) if group[k] != k]
+    assert sum(n for _, n in got.values()) >= 0.95 * len(lost) > 0
+    assert all(got[i][1] <= lost.count(i) for i in got)
