@@ -8,8 +8,8 @@
    for where it is long.  Each character of a script without spaces counts as a word.
 3. A line's keys, one for each choice of blocks with words enough, are sent in packed rows to buckets of about equal size;
    keys of one line only, nearly all, end there.
-4. A line is compared with the first member that it shares most lists with, then with other members of the largest
-   group in each of its lists, which links most of any large group, then across what is still apart in its lists.
+4. The lines of a short list are all compared with each other.  Those of a longer one are compared with a member of its
+   largest group, which links most of any large group, then across what is still apart in the list.
    Lines of which more than ``distance`` bits of a second SimHash differ (of 240; chance makes 120, of texts with common words 90) or whose lengths rule it out
    aren't compared.  The edit similarity of the normalised lines (Levenshtein over the longer length) decides.
 5. The first occurrence of each connected group stays, in order of document key and line number; the others go.
