@@ -9,7 +9,8 @@
 3. A line's keys, one for each choice of blocks with words enough, are sent in packed rows to buckets of about equal size;
    keys of one line only, nearly all, end there.
 4. The lines of a short list are all compared with each other.  Those of a longer one are compared with a member of its
-   largest group, which links most of any large group, then across what is still apart in the list.
+   largest group, which links most of any large group, then across what is still apart in the list: in the task that
+   has the list, or in tasks that have a tile each of one too large.  Their pairs are verified in packs with their texts.
    Lines of which more than ``distance`` bits of a second SimHash differ (of 240; chance makes 120, of texts with common words 90) or whose lengths rule it out
    aren't compared.  The edit similarity of the normalised lines (Levenshtein over the longer length) decides.
 5. The first occurrence of each connected group stays, in order of document key and line number; the others go.
@@ -39,8 +40,12 @@ FAMILIES = ((6, 3, 7, 5, 12), (8, 2, 12, 8, 48))
 LONG_BLOCKS, LONG_LETTERS, FEWEST, MOST = 16, 16, 1.5, 5
 #: Postings of a packed bucket, and lines under one key in one part from which they don't go to the key's bucket.
 BUCKET, HOT = 1 << 20, 32
-#: Lines of a list up to which all its lines meet at once, and up to which one task compares a list.
+#: Lines of a list up to which all its lines meet at once, and up to which one task compares a list or a tile of one.
 LISTED, LARGE = 32, 1 << 14
+#: Pairs that are compared together have so many lines and characters at most.
+PACKED_LINES, PACKED_CHARS = 1 << 13, 1 << 25
+#: Pairs whose distances are counted side by side, for each block of 64 letters from which it is worth it, and the longest.
+STACK, WORTH, STACKED = 1 << 10, 8, 1 << 12
 #: Members that a longer list's lines are tried against before all that are still apart meet.
 TURNS = 1
 #: (words of one line, words of the other, equal words then) that an alignment tries to skip where they differ, nearest first.
@@ -296,6 +301,113 @@ def similar(a: str, b: str, percent: int) -> bool:
     return words_align(a.split(" "), b.split(" "), limit) or edit_distance(a, b, limit) <= limit
 
 
+def within(a: list[str], b: list[str], limit: np.ndarray) -> np.ndarray:
+    """Which pairs, none longer apart than its limit and no text empty, have a Levenshtein distance up to it.
+
+    Bit-parallel columns of all pairs at once, in blocks of 64 rows near the diagonal.  Pairs that are over, as the
+    diagonal which ends in the last cell never falls, are left out every 32 columns.
+    """
+    m, n = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    order = np.argsort(n, kind="stable")
+    a, b, m, n, limit = [a[i] for i in order], [b[i] for i in order], m[order], n[order], limit[order]
+    blocks, rows, most = -(-int(m.max()) // 64), len(a), int(limit.max())
+    letters, flat = np.unique(np.frombuffer("".join(a + b).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+    out, of, wide = np.zeros(rows, bool), order, len(letters)
+    if rows > 1 and blocks * rows * wide > 1 << 20:
+        half = rows // 2
+        out[order] = np.concatenate([within(a[:half], b[:half], limit[:half]), within(a[half:], b[half:], limit[half:])])
+        return out
+    pair = np.repeat(np.arange(rows), m)
+    at = np.arange(len(pair)) - np.repeat(np.cumsum(m) - m, m)
+    # The places of each letter in a, by blocks of 64, summed as two halves of exact floats.
+    halves = np.bincount(((at >> 5) * rows + pair) * wide + flat[: len(at)], 2.0 ** (at & 31), 2 * blocks * rows * wide).astype(U).reshape(blocks, 2, -1)
+    equal = halves[:, 0] | halves[:, 1] << U(32)
+    pair = np.repeat(np.arange(rows), n)
+    codes = np.zeros((int(n[-1]), rows), np.int64)
+    codes[np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n), pair] = flat[len(at) :]
+    codes += np.arange(rows) * wide
+    up, down = np.full((blocks, rows), ~U(0)), np.zeros((blocks, rows), U)
+    score, last, go = np.full(rows, 64), 0, np.arange(rows)
+
+    def cell(row: np.ndarray, part: slice) -> np.ndarray:
+        # From the last row of the last block up to this one.
+        value = score[part].copy()
+        for k in range(int(row.min()) // 64, last + 1):
+            beyond = np.where(row < 64 * k, ~U(0), ~U(0) << np.clip(row - 64 * k, 0, 63).astype(U) << U(1))
+            value += np.bitwise_count(down[k, part] & beyond).astype(np.int64) - np.bitwise_count(up[k, part] & beyond)
+        return value
+
+    for t in range(len(codes)):
+        if t % 32 == 31 and len(n):
+            row = t - 1 + m - n
+            keep = (row < 0) | (cell(np.maximum(row, 0), slice(None)) <= limit)
+            if 4 * keep.sum() < 3 * len(keep):
+                up, down, score, go, of, m, n, limit = up[:, keep], down[:, keep], score[keep], go[keep], of[keep], m[keep], n[keep], limit[keep]
+        if not len(n):
+            break
+        first, final = max(0, t - most) // 64, min(blocks - 1, (t + most) // 64)
+        score += 64 * (final - last)
+        last = final
+        # What enters from above grows by one a column: the first row, or what is too far from the diagonal.
+        code, more, less = codes[t, go], np.ones(len(n), U), None
+        for k in range(first, final + 1):
+            eq, pv, mv = equal[k].take(code), up[k], down[k]
+            xv = eq | mv
+            if less is not None:
+                eq |= less
+            xh = eq & pv
+            xh += pv
+            xh ^= pv
+            xh |= eq
+            ph = xh | pv
+            np.invert(ph, ph)
+            ph |= mv
+            xh &= pv
+            above, below = more, less
+            more, less = ph >> U(63), xh >> U(63)
+            ph <<= U(1)
+            ph |= above
+            xh <<= U(1)
+            if below is not None:
+                xh |= below
+            np.bitwise_and(ph, xv, mv)
+            xv |= ph
+            np.invert(xv, xv)
+            np.bitwise_or(xh, xv, pv)
+        score += more.view(np.int64)
+        score -= less.view(np.int64)
+        ended = int(np.searchsorted(n, t + 1, side="right"))
+        if ended:
+            part = slice(0, ended)
+            out[of[part]] = cell(m[part] - 1, part) <= limit[part]
+            rest = slice(ended, None)
+            up, down, score, go, of, m, n, limit = up[:, rest], down[:, rest], score[rest], go[rest], of[rest], m[rest], n[rest], limit[rest]
+    return out
+
+
+def similar_pairs(a: list[str], b: list[str], percent: int) -> np.ndarray:
+    """What :func:`similar` says of each pair, faster for many pairs of which most are refused: words aren't aligned first."""
+    n, m = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    high = np.maximum(n, m)
+    limit = (100 - percent) * high // 100
+    out = high <= limit
+    left = np.flatnonzero(~out & (np.abs(n - m) <= limit) & (np.minimum(n, m) > 0))
+    left = left[np.argsort(high[left], kind="stable")]
+    at = 0
+    while at < len(left):
+        # Of like lengths, as columns are as many as the longest has letters.
+        part = left[at : min(at + STACK, int(np.searchsorted(high[left], 3 * high[left[at]] // 2 + 16)))]
+        at += len(part)
+        longest, band = int(high[part[-1]]), int(limit[part].max()) // 32 + 2
+        x, y = [a[i] for i in part], [b[i] for i in part]
+        if len(part) < WORTH * min(band, longest // 64 + 1) or longest > STACKED:
+            out[part] = [edit_distance(*of) <= of[2] for of in zip(x, y, limit[part].tolist(), strict=True)]
+        else:
+            out[part] = within(x, y, limit[part])
+    # Two empty texts are equal; one has no letter in common with any other.
+    return out | ((n == 0) & (m == 0))
+
+
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(lid, norm) of the wanted (rk, line, lid), from (rk, key, _text)."""
     by_doc = wanted.groupBy("rk").agg(F.collect_list(F.struct("line", "lid")).alias("of"))
@@ -331,6 +443,55 @@ def verified(edges: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return left.join(right, ["a", "b"]).select("a", "b", "norm_a", "norm_b").mapInArrow(check, "a long, b long")
 
 
+def verified_in_packs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """What :func:`verified` returns of pairs (a, b, size_a, size_b) of which those of a list follow each other.
+
+    Pairs go with the lines they are of, each once a pack: a text is shuffled for each pack and not for each pair.
+    """
+
+    def packs_of(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> Iterator[pa.RecordBatch]:
+        start, most = 0, len(a)
+        while start < len(a):
+            to = min(start + most, len(a))
+            while True:
+                ids, first, at = np.unique(np.concatenate([a[start:to], b[start:to]]), return_index=True, return_inverse=True)
+                chars = int(np.concatenate([na[start:to], nb[start:to]])[first].astype(np.int64).sum())
+                if to - start == 1 or (len(ids) <= PACKED_LINES and chars <= PACKED_CHARS):
+                    break
+                to = start + (to - start) // 2
+            x, y = at.astype(np.int32).reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([x.tobytes()]), pa.array([y.tobytes()])], names=["lids", "x", "y"])
+            start, most = to, 2 * (to - start)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            held.append([c.to_numpy() for c in batch.columns])
+            if sum(len(x[0]) for x in held) >= 1 << 20:
+                yield from packs_of(*map(np.concatenate, zip(*held, strict=True)))
+                held = []
+        if held:
+            yield from packs_of(*map(np.concatenate, zip(*held, strict=True)))
+
+    def check(pair: pa.Table, text: pa.Table) -> pa.Table:
+        ids, of = pair["lids"][0].values, [""] * len(pair["lids"][0])
+        for i, norm in zip(text["at"].to_pylist(), text["norm"].to_pylist(), strict=True):
+            of[i] = norm
+        x, y = (np.frombuffer(pair[c][0].as_py(), np.int32) for c in "xy")
+        some = [np.zeros(0, np.int64)]
+        for at in range(0, len(x), 1 << 15):
+            part = slice(at, at + (1 << 15))
+            some.append(at + np.flatnonzero(similar_pairs([of[i] for i in x[part].tolist()], [of[i] for i in y[part].tolist()], percent)))
+        some = np.concatenate(some)
+        return pa.table({"a": ids.take(pa.array(x[some])), "b": ids.take(pa.array(y[some]))})
+
+    packs = stored(pairs.mapInArrow(pack, "lids array<long>, x binary, y binary").withColumn("pack", F.monotonically_increasing_id()), "line-packs")
+    held = packs.select("pack", F.posexplode("lids").alias("at", "lid"))
+    given = F.broadcast(held) if held.count() <= BROADCAST_IDS else held
+    found = given.join(texts, "lid").select(F.col("pack").alias("of"), "at", "norm")
+    return packs.groupBy("pack").cogroup(found.groupBy("of")).applyInArrow(check, "a long, b long")
+
+
 def packed(keys: np.ndarray, ids: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
     """(bucket, keys, ids, hot keys) rows of postings, each key in the bucket of its upper bits.
 
@@ -426,14 +587,14 @@ def postings(docs: DataFrame, min_words: int, rows: int) -> DataFrame:
     return made.groupBy("bucket").applyInArrow(meet, "list long, lids array<long>")
 
 
-def whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def whole_lists(batches: Iterator[pa.RecordBatch], by: str = "list") -> Iterator[pa.Table]:
     """Rows in the order of their list, as tables that hold all rows of each of their lists."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        of = batch.column("list").to_numpy()
+        of = batch.column(by).to_numpy()
         # The last list may go on in the next batch.
         cut = int(np.searchsorted(of, of[-1])) if len(of) else 0
-        if held and len(of) and (cut or held[-1].column("list")[-1].as_py() != of[0]):
+        if held and len(of) and (cut or held[-1].column(by)[-1].as_py() != of[0]):
             yield pa.Table.from_batches([*held, batch.slice(0, cut)])
             held = []
         elif cut:
@@ -443,9 +604,9 @@ def whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def in_lists(members: DataFrame, *order: str) -> DataFrame:
+def in_lists(members: DataFrame, *order: str, by: str = "list", tasks: int | None = None) -> DataFrame:
     """The members with the rows of a list together, in the order of lists and in this order inside."""
-    return members.repartition("list").sortWithinPartitions("list", *order)
+    return (members.repartition(tasks, by) if tasks else members.repartition(by)).sortWithinPartitions(by, *order)
 
 
 class Sides:
@@ -464,6 +625,17 @@ class Sides:
         most[(low < SHORT_LINE) | (low > LONG_LINE)] = 255
         return (bits <= most) & (100 * low >= self.percent * high)
 
+    def near_in(self, at: int, to: int, left: int, right: int) -> tuple[np.ndarray, np.ndarray]:
+        """The near lines of at:to and left:right, each stretch in order of size, as two arrays."""
+        bits = np.bitwise_count(self.sims[0][at:to, None] ^ self.sims[0][None, left:right])
+        for x in self.sims[1:]:
+            bits += np.bitwise_count(x[at:to, None] ^ x[None, left:right])
+        low, high = min(self.size[at], self.size[left]), min(self.size[to - 1], self.size[right - 1])
+        x, y = np.nonzero(bits <= (255 if low < SHORT_LINE or high > LONG_LINE else min(self.distance, 255)))
+        x, y = x + at, y + left
+        some = self.near(x, y)
+        return x[some], y[some]
+
 
 def pairs_of_short_lists(members: DataFrame, distance: int, percent: int) -> DataFrame:
     """(a, b) of the near lines that share a list of LISTED lines at most, from (list, lid, size, sim0, ...)."""
@@ -486,34 +658,103 @@ def pairs_of_short_lists(members: DataFrame, distance: int, percent: int) -> Dat
     return in_lists(members).mapInArrow(make, "a long, b long").where("a <> b").distinct()
 
 
-def pairs_of_lists(apart: DataFrame, distance: int, percent: int) -> DataFrame:
-    """What :func:`pairs_apart` returns, for lists of LARGE lines at most: each is compared with NumPy in the task that has it."""
-    held = apart.groupBy("lid").agg(F.collect_set("list").alias("lists"))
+def in_tiles(apart: DataFrame, percent: int) -> DataFrame:
+    """The lines of lists too large for one task with the tiles in which two near lines of a list meet once, and their side there.
+
+    Lines go by classes of size, of which near ones have one or two neighbours, and classes of many lines by parts.  In a
+    tile of one part (side -1) all lines meet, in one of two parts those of side 0 meet those of side 1.
+    """
+    step = np.log(100 / percent) + 1e-6 if 0 < percent < 100 else 1e-6 if percent > 0 else 1e9
+    apart = apart.withColumn("class", F.floor(F.log(F.greatest("size", F.lit(1))) / F.lit(float(step))))
+    parts = apart.groupBy("list", "class").agg(F.ceil(F.count("*") / F.lit(LARGE)).alias("parts"))
+    below = parts.select("list", (F.col("class") + 1).alias("class"), F.col("parts").alias("below"))
+    apart = apart.join(parts, ["list", "class"]).join(below, ["list", "class"], "left")
+    part = F.pmod(F.xxhash64("lid"), F.col("parts"))
+    tile = lambda c, own, x, y: F.xxhash64("list", c, F.lit(own), x, y)
+    every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    seats = [
+        F.transform(every(F.col("parts")), lambda j: F.struct(tile(F.col("class"), True, F.least(part, j), F.greatest(part, j)).alias("tile"), F.when(part == j, -1).when(part < j, 0).otherwise(1).alias("side"))),
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts_above") - 1), lambda j: F.struct(tile(F.col("class"), False, part, j).alias("tile"), F.lit(0).alias("side"))),
+        F.transform(every(F.col("below")), lambda j: F.struct(tile(F.col("class") - 1, False, j, part).alias("tile"), F.lit(1).alias("side"))),
+    ]
+    above = parts.select("list", (F.col("class") - 1).alias("class"), F.col("parts").alias("parts_above"))
+    apart = apart.join(above, ["list", "class"], "left")
+    seat = F.concat(*[F.coalesce(x, F.array().cast("array<struct<tile:bigint,side:int>>")) for x in seats])
+    return apart.withColumn("seat", F.explode(seat)).select("*", "seat.tile", "seat.side").drop("class", "parts", "below", "parts_above", "seat")
+
+
+def in_first_list(of: int, lists: pa.ListArray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the lines x and y, members of the list ``of``, share no list with a smaller number."""
+    rows, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+    held = lists.take(pa.array(rows))
+    flat, line = held.flatten().to_numpy(), np.repeat(np.arange(len(rows)), np.diff(held.offsets.to_numpy()))
+    line, flat = line[flat < of], flat[flat < of]
+    _, number, count = np.unique(flat, return_inverse=True, return_counts=True)
+    line, number = line[count[number] > 1], number[count[number] > 1]
+    shared = np.zeros(len(x), bool)
+    # 64 lists at a time are bits of a word.
+    numbers, number = np.unique(number, return_inverse=True)
+    for k in range(0, len(numbers), 64):
+        some = (number >= k) & (number < k + 64)
+        bits = np.zeros(len(rows), U)
+        np.bitwise_or.at(bits, line[some], U(1) << (number[some] - k).astype(U))
+        shared |= (bits[at[: len(x)]] & bits[at[len(x) :]]) != 0
+    return ~shared
+
+
+def near_in_lists(apart: DataFrame, distance: int, percent: int) -> DataFrame:
+    """(a, b, size_a, size_b) of what :func:`pairs_apart` returns; lists are compared with NumPy in the task that has them.
+
+    Lists that a column ``large`` names, if there is one, are divided into tiles before.
+    """
+    held, tiles = apart.groupBy("lid").agg(F.collect_set("list").alias("lists")), None
+    if "large" in apart.columns:
+        tiles = in_tiles(apart.where("large").drop("large"), percent)
+        apart = apart.where("NOT large").drop("large")
+    whole = apart.withColumn("tile", F.col("list")).withColumn("side", F.lit(-1))
+    if tiles is not None:
+        whole = whole.unionByName(tiles)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_lists(batches):
-            of, lid, component, sides = rows["list"].to_numpy(), rows["lid"].to_numpy(), rows["component"].to_numpy(), Sides(rows, distance, percent)
-            lists, found = rows["lists"].combine_chunks(), [(np.zeros(0, np.int64),) * 2]
-            edges = np.append(np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])), len(of))
+        for rows in whole_lists(batches, "tile"):
+            of, tile, side, lid, component = (rows[c].to_numpy() for c in ("list", "tile", "side", "lid", "component"))
+            lists, sides = rows["lists"].combine_chunks(), Sides(rows, distance, percent)
+            edges = np.append(np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])), len(tile))
             for start, end in itertools.pairwise(edges.tolist()):
-                known: dict[int, set[int]] = {}
-                at = start
-                while at < end:
-                    # Each line against those of its size up to those too long for it, in blocks that a cache holds.
-                    to = min(at + 64, end)
-                    until = int(np.searchsorted(sides.size[at:end], sides.size[to - 1] * 100 // max(1, percent), side="right")) + at
-                    for left in range(at, until, 2048):
-                        i, j = (slice(at, to), None), (None, slice(left, min(left + 2048, until)))
-                        x, y = np.nonzero(sides.near(i, j) & (component[i] != component[j]))
-                        x, y = x[x + at < y + left] + at, y[x + at < y + left] + left
-                        for k in {*x.tolist(), *y.tolist()} - known.keys():
-                            known[k] = set(lists[k].as_py())
-                        first = np.array([min(known[k] & known[m]) == of[start] for k, m in zip(x.tolist(), y.tolist(), strict=True)], bool)
-                        found.append((np.minimum(lid[x], lid[y])[first], np.maximum(lid[x], lid[y])[first]))
-                    at = to
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(side)) for side in zip(*found, strict=True)], names=["a", "b"])
-
-    return in_lists(apart.join(held, "lid"), "size").mapInArrow(make, "a long, b long")
+                # Each line against those of its size up to those too long for it, in blocks that a cache holds.
+                middle = start + int(np.searchsorted(side[start:end], 1)) if side[start] >= 0 else end
+                found, many = [], 0
+                for at in range(start, middle, 64):
+                    to, other, last = min(at + 64, middle), start if middle == end else middle, end
+                    if side[start] < 0:
+                        other = at
+                    elif middle == end:
+                        break
+                    size = sides.size[other:last]
+                    left = other + int(np.searchsorted(size, -(-sides.size[at] * percent // 100)))
+                    until = other + int(np.searchsorted(size, sides.size[to - 1] * 100 // max(1, percent), side="right")) if percent > 0 else last
+                    for left in range(left, until, 2048):
+                        x, y = sides.near_in(at, to, left, min(left + 2048, until))
+                        some = (x < y) & (component[x] != component[y])
+                        found.append((x[some], y[some]))
+                        many += len(found[-1][0])
+                    if many and (many >= 1 << 18 or to == middle):
+                        x, y = (np.concatenate(s) for s in zip(*found, strict=True))
+                        some = in_first_list(of[start], lists, x, y)
+                        x, y = x[some], y[some]
+                        x, y = np.where(lid[x] < lid[y], x, y), np.where(lid[x] < lid[y], y, x)
+                        made = [lid[x], lid[y], sides.size[x].astype(np.int32), sides.size[y].astype(np.int32)]
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, made)), names=["a", "b", "size_a", "size_b"])
+                        found, many = [], 0
+
+    # Few rows make much work: as many tasks as the session has them, not as many as the bytes are worth.
+    tasks = int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return in_lists(whole.join(held, "lid"), "side", "size", by="tile", tasks=tasks).mapInArrow(make, "a long, b long, size_a int, size_b int")
+
+
+def pairs_of_lists(apart: DataFrame, distance: int, percent: int) -> DataFrame:
+    """What :func:`pairs_apart` returns, by :func:`near_in_lists`."""
+    return near_in_lists(apart, distance, percent).select("a", "b")
 
 
 def pairs_apart(apart: DataFrame, near) -> DataFrame:
@@ -572,22 +813,21 @@ def fuzzy_groups(classes: DataFrame, docs: DataFrame, *, min_words: int, distanc
         apart = stored(labelled.join(mixed, "list"), "line-lists")
         forget(members)
         members = apart.drop("component", "most", "large")
-        if turn < TURNS:
+        if turn == TURNS:
+            # What was refused before is in the same lists; it is a small part of these pairs and looked at once more.
+            pairs = stored(near_in_lists(apart, distance, percent), "line-pairs")
+            links = stored(verified_in_packs(pairs, texts, percent), "line-links")
+        else:
             # A member of the largest component for each list: what it links needn't be tried against all others.
             order = F.struct(F.xxhash64("lid", F.lit(turn)).alias("o"), *SIDE)
             hubs = apart.where("component = most").groupBy("list").agg(F.min(order).alias("hub")).select("list", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in SIDE])
             pairs = apart.where("component <> most").join(hubs, "list").where(near("", "hub_")).select(F.least("lid", "hub_lid").alias("a"), F.greatest("lid", "hub_lid").alias("b")).distinct()
-        else:
-            # Lists too large for one task are joined with themselves; a pair of both kinds of lists is looked at once more.
-            pairs = pairs_of_lists(apart.where("NOT large"), distance, percent)
-            if not (large := apart.where("large").drop("large")).isEmpty():
-                pairs = pairs.union(pairs_apart(large, near)).distinct()
-        # A pair that was refused needs no second look.
-        pairs = stored(pairs.join(refused, ["a", "b"], "left_anti"), "line-pairs")
-        links = stored(verified(pairs, texts, percent), "line-links")
+            # A pair that was refused needs no second look.
+            pairs = stored(pairs.join(refused, ["a", "b"], "left_anti"), "line-pairs")
+            links = stored(verified(pairs, texts, percent), "line-links")
+            refused = refused.union(pairs)
         if not links.isEmpty():
             group = regrouped(group, links)
-        refused = refused.union(pairs)
     forget(members)
     return group
 
@@ -615,9 +855,11 @@ def dedup_lines(
     classes = stored(found.groupBy("lid").agg(F.min(F.struct("key", "rk", "line")).alias("first"), *[F.first(x).alias(x) for x in ("size", *SIMS)], F.count("*").alias("m")), "line-classes")
     group = fuzzy_groups(classes, slim, min_words=min_words, distance=distance, percent=percent).withColumnRenamed("id", "lid")
     # A class alone in its group is one of its own; only groups of two lines or more can lose any.
-    grouped = classes.select("lid", "first", "m").join(group, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
-    stays = grouped.groupBy("component").agg(F.min("first").alias("stays"), F.sum("m").alias("all")).where(F.col("all") > 1)
-    repeated = grouped.select("lid", "component").join(stays, "component").select("lid", F.col("stays.rk").alias("stay_rk"), F.col("stays.line").alias("stay_line"))
+    grouped = classes.select("lid", "first", "m").join(group, "lid", "left")
+    stays = grouped.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("stays"))
+    repeated = grouped.where("component IS NOT NULL").select("lid", "component").join(stays, "component").select("lid", "stays")
+    repeated = repeated.union(grouped.where("component IS NULL AND m > 1").select("lid", "first"))
+    repeated = repeated.select("lid", F.col("stays.rk").alias("stay_rk"), F.col("stays.line").alias("stay_line"))
     goes = found.select("rk", "line", "lid").join(repeated, "lid").where((F.col("rk") != F.col("stay_rk")) | (F.col("line") != F.col("stay_line")))
     dropped = stored(goes.groupBy("rk").agg(F.collect_set("line").alias("_dropped")), "dropped-lines").withColumnRenamed("rk", "_rk")
     rows, total = dropped.agg(F.count("*"), F.coalesce(F.sum(F.size("_dropped")), F.lit(0))).first()

@@ -212,3 +212,55 @@ def test_line_dedup_reads_texts_once(spark, monkeypatch):
     lost = [i for k, (i, _, _) in enumerate(lines) if group[k] != k]
     assert sum(n for _, n in got.values()) >= 0.95 * len(lost) > 0
     assert all(got[i][1] <= lost.count(i) for i in got)
+
+
+def test_line_dedup_distances_side_by_side():
+    """Pairs compared all at once are decided as one by one: short and long, of few letters and of many."""
+    rng = random.Random(23)
+    a, b = ["", "", "x"], ["", "x", ""]
+    for _ in range(3000):
+        letters = rng.choice(["ab ", "abc  de ", "aé漢字 😀", "abcdefghijklmnopqrstuvwxyz    "])
+        x = "".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 9, 30, 63, 64, 65, 127, 128, 129, 200, 300])))
+        y = list(x)
+        for _ in range(rng.randrange(1 + len(x) // 3 + 1)):
+            at = rng.randrange(len(y) + 1)
+            y[at : at + rng.randrange(3)] = rng.choice(["", rng.choice(letters), "a b"])
+        a.append(x)
+        b.append("".join(y) if rng.random() < 0.8 else "".join(rng.choice(letters) for _ in x))
+    for percent in (50, 80, 90):
+        want = [line_dedup.similar(x, y, percent) for x, y in zip(a, b, strict=True)]
+        assert line_dedup.similar_pairs(a, b, percent).tolist() == want and 100 < sum(want) < len(want) - 100
+
+
+def test_line_dedup_large_lists_in_tiles(spark, monkeypatch):
+    """A list too large for one task goes by tiles, in which each pair meets once, and isn't joined with itself."""
+    rng = random.Random(6)
+    lines = [(i, rng.choice([60, 79, 80, 81, 99, 100, 101, 125, 126, 299, 301, rng.randrange(60, 400)]), *(rng.choice([0, 7, 2**59 - 1, rng.getrandbits(60)]) for _ in range(4)), i % 50) for i in range(400)]
+    rows = [(k, *x, 0, k % 2 == 0) for k in range(6) for x in lines if rng.random() < 0.5]
+    df = spark.createDataFrame(rows, "list long, lid long, size int, sim0 long, sim1 long, sim2 long, sim3 long, component long, most long, large boolean")
+    want = sorted(map(tuple, line_dedup.pairs_of_lists(df.drop("large"), 72, 80).collect()))
+    for most in (5, 30, 1 << 14):
+        monkeypatch.setattr(line_dedup, "LARGE", most)
+        got = sorted(map(tuple, line_dedup.pairs_of_lists(df, 72, 80).collect()))
+        assert got == want and len(want) > 1000
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(300)]
+    base = [rng.choice(words) for _ in range(20)]
+    docs = spark.createDataFrame([(i, " ".join(base[:12] + [rng.choice(words) for _ in range(1 if i % 2 else 8)])) for i in range(150)], "doc_id long, text string")
+    want = sorted(map(tuple, line_dedup.dedup_lines(docs).collect()))
+    monkeypatch.setattr(line_dedup, "LARGE", 20)
+    monkeypatch.setattr(line_dedup, "pairs_apart", None)
+    assert sorted(map(tuple, line_dedup.dedup_lines(docs).collect())) == want and sum(r[-1] for r in want) > 0
+
+
+def test_line_dedup_pairs_in_packs(spark, monkeypatch):
+    """Pairs verified in packs of few lines, of texts that many pairs share, are those verified one by one."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abc") for _ in range(4)) * 20 for _ in range(5)]
+    texts = ["".join(rng.choice("xyz") if rng.random() < 0.12 else c for c in texts[i % 5]) for i in range(60)]
+    norm = spark.createDataFrame(list(enumerate(texts)), "lid long, norm string")
+    pairs = spark.createDataFrame([(i, j, len(texts[i]), len(texts[j])) for i in range(60) for j in range(i + 1, 60)], "a long, b long, size_a int, size_b int").coalesce(2)
+    want = sorted(map(tuple, line_dedup.verified(pairs.select("a", "b"), norm, 80).collect()))
+    for most in (2, 25, 1 << 13):
+        monkeypatch.setattr(line_dedup, "PACKED_LINES", most)
+        got = sorted(map(tuple, line_dedup.verified_in_packs(pairs, norm, 80).collect()))
+        assert got == want and 0 < len(want) < 1770
