@@ -42,8 +42,8 @@ LONG_BLOCKS, LONG_LETTERS, FEWEST, MOST = 16, 16, 1.5, 5
 BUCKET, HOT = 1 << 20, 32
 #: Lines of a list up to which all its lines meet at once, and up to which one task compares a list or a tile of one.
 LISTED, LARGE = 32, 1 << 14
-#: Pairs that are compared together have so many lines and characters at most.
-PACKED_LINES, PACKED_CHARS = 1 << 13, 1 << 25
+#: Pairs that are compared together, some seconds of one task, and the lines and characters that they have at most.
+PACKED, PACKED_LINES, PACKED_CHARS = 1 << 14, 1 << 13, 1 << 25
 #: Pairs whose distances are counted side by side, for each block of 64 letters from which it is worth it, and the longest.
 STACK, WORTH, STACKED = 1 << 10, 8, 1 << 12
 #: Members that a longer list's lines are tried against before all that are still apart meet.
@@ -450,7 +450,7 @@ def verified_in_packs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataF
     """
 
     def packs_of(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> Iterator[pa.RecordBatch]:
-        start, most = 0, len(a)
+        start, most = 0, PACKED
         while start < len(a):
             to = min(start + most, len(a))
             while True:
@@ -461,13 +461,13 @@ def verified_in_packs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataF
                 to = start + (to - start) // 2
             x, y = at.astype(np.int32).reshape(2, -1)
             yield pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([x.tobytes()]), pa.array([y.tobytes()])], names=["lids", "x", "y"])
-            start, most = to, 2 * (to - start)
+            start, most = to, min(PACKED, 2 * (to - start))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for batch in batches:
             held.append([c.to_numpy() for c in batch.columns])
-            if sum(len(x[0]) for x in held) >= 1 << 20:
+            if sum(len(x[0]) for x in held) >= 1 << 18:
                 yield from packs_of(*map(np.concatenate, zip(*held, strict=True)))
                 held = []
         if held:
@@ -489,7 +489,9 @@ def verified_in_packs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataF
     held = packs.select("pack", F.posexplode("lids").alias("at", "lid"))
     given = F.broadcast(held) if held.count() <= BROADCAST_IDS else held
     found = given.join(texts, "lid").select(F.col("pack").alias("of"), "at", "norm")
-    return packs.groupBy("pack").cogroup(found.groupBy("of")).applyInArrow(check, "a long, b long")
+    # As many tasks as the session has them, whatever the bytes are worth.
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packs.repartition(tasks, "pack").groupBy("pack").cogroup(found.repartition(tasks, "of").groupBy("of")).applyInArrow(check, "a long, b long")
 
 
 def packed(keys: np.ndarray, ids: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
